@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from carrel.llm import media
+from carrel.llm import media, packing, sentence_pieces
 
 QUERIES = {
+    "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_media_columns": media.op7_media_columns,
 }
 ORACLES: dict[str, str] = {}
