@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from carrel.llm import media, packing, sentence_pieces
+from carrel.llm import chat, media, packing, sentence_pieces
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
+    "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_media_columns": media.op7_media_columns,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat_formatting": chat.ORACLE,
+}

@@ -53,12 +53,18 @@ class PieceCodec:
                 self.scores[piece] = self.library.get_score(i)
         self.unknown = self.library.unk_id()
         self.end = self.library.eos_id()
-        cuttable = not any(re.search(f"[^{SPACE}]{SPACE}", p) or (len(p) > 1 and "\n" in p) for p in self.ids)
-        self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+" if cuttable else r"(?s).+").findall
+        self.cut = self._cutter()
         self.known: dict[str, tuple[int, ...]] = {}
         self.spelled: dict[str, str] = {}
         self._pair_table()
 
+    def _cutter(self):
+        """Cuts a text where no piece reaches across: before spaces, at line breaks."""
+        if any(re.search(f"[^{SPACE}]{SPACE}", p) or (len(p) > 1 and "\n" in p) for p in self.ids):
+            return re.compile(r"(?s).+").findall
+        plain = f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+"
+        return re.compile(plain).findall
+
     def _pair_table(self) -> None:
         """Pairs of symbols that join, as sorted arrays. Symbols are pieces and the letters in them."""
         n = self.library.get_piece_size()
