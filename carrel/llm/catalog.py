@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from carrel.llm import chat, media, packing, sentence_pieces
+from carrel.llm import chat, language, media, packing, quality, sentence_pieces, simhash
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
+    "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_media_columns": media.op7_media_columns,
+    "op10_language_id": language.op10_language_id,
 }
 ORACLES: dict[str, str] = {
     "op4_chat_formatting": chat.ORACLE,
