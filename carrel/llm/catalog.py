@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carrel.llm import chat, language, media, packing, quality, sentence_pieces, simhash
+from carrel.llm import chat, language, lattice, media, packing, quality, sentence_pieces, simhash
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_media_columns": media.op7_media_columns,
+    "op8_lattice_near_dedup": lattice.op8_lattice_near_dedup,
     "op10_language_id": language.op10_language_id,
 }
 ORACLES: dict[str, str] = {

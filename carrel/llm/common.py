@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,3 +89,27 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError("the components did not settle")
     roots = pairs.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
     return pairs.select(F.col("hi").alias("id"), F.col("lo").alias("component")).union(roots)
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of consecutive rows with equal ``keys`` (no nulls), over batch boundaries."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(n, bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        first = tuple(c[0] for c in columns)
+        cuts = [0, *np.flatnonzero(new).tolist(), n]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if held and not (k == 0 and first == last):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+        last = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.Table.from_batches(held)
