@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from carrel.llm import chat, language, lattice, media, packing, quality, sentence_pieces, simhash
+from carrel.llm import chat, language, lattice, media, packing, quality, sentence_pieces, sentences, simhash, suffixes
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_chat_formatting": chat.op4_chat_formatting,
+    "op5_suffix_merge_dedup": suffixes.op5_suffix_merge_dedup,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_media_columns": media.op7_media_columns,
     "op8_lattice_near_dedup": lattice.op8_lattice_near_dedup,
+    "op9_sentence_spans": sentences.op9_sentence_spans,
     "op10_language_id": language.op10_language_id,
 }
 ORACLES: dict[str, str] = {

@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carrel.llm import language, packing, quality, sentences, simhash
 from carrel.llm.common import table, written
 
-STAGES: list = []
 
-#: No SQL expresses the stages.
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", quality.keep_good),
+    ("language id", language.keep_identified),
+    ("simhash near-dedup", simhash.keep_first),
+    ("substring dedup", sentences.drop_repeats),
+    ("best-fit packing", pack),
+]
+
+#: The stages use models, tokenizers and graph components that SQL doesn't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
