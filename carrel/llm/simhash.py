@@ -4,7 +4,9 @@ Fingerprints are counted once each. A bounded sample of them builds the upper va
 on the driver: a node holds a vantage fingerprint and a radius; nearer fingerprints go left, the
 others right. Every fingerprint has one home shard; where the triangle bound cannot exclude
 partners on the other side of a radius, it also visits that side as a query. Within a shard the
-tree goes on over arrays down to small leaves that are compared outright. A shard reports a
+tree goes on over arrays down to small leaves that are compared outright. Shards grow in number
+with the root of the fingerprints: every level of the upper tree sends more guests, while the
+levels within a shard send none. A shard reports a
 spanning forest of its links, not its pairs, so a dense group costs no more edges than members.
 Components of the forest edges are found by star contraction.
 
@@ -27,7 +29,7 @@ from carrel.llm.common import components, pieces, table, written
 SHINGLE = 4
 RADIUS = 4
 SAMPLE = 20_000
-SHARD = 4_000
+ROOTS_PER_SHARD = 8
 MOST_SHARDS = 4_096
 LEAF = 256
 
@@ -165,7 +167,7 @@ def links(distinct: DataFrame, n: int) -> DataFrame:
     """Spanning edges (a, b) of all links between the ``n`` fingerprints in column print."""
     sample = [r["print"] for r in distinct.select("print").orderBy(F.xxhash64("print"), "print").limit(SAMPLE).collect()]
     points = np.array(sample, np.int64).view(np.uint64)
-    wanted = min(MOST_SHARDS, max(1, n // SHARD))
+    wanted = min(MOST_SHARDS, max(1, round(n**0.5 / ROOTS_PER_SHARD)))
     shards: list[int] = []
     tree = grow(points, max(2, -(-len(points) // wanted)), shards)
 
