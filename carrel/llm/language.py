@@ -12,8 +12,8 @@ parameters, so the automata have a proven size bound): the labelled documents wi
 hash of their id. A text that is null or has no letter is ``und`` with score 0. Ties go to the
 alphabetically first language. The score is 1 less the ratio of the best to the second-best
 number of phrases (1 if only one language was learned). With nothing learned, everything is
-``und``. Rows with equal ids are rows of their own; extra columns are left out by the query and
-kept by ``identified``'s caller.
+``und``. Rows with equal ids are rows of their own; extra columns are carried by the stage
+and left out by the query.
 """
 
 from __future__ import annotations
@@ -186,9 +186,8 @@ def samples(labelled: DataFrame, letters: int = LETTERS, total: int = TOTAL) ->
     return out
 
 
-def identified(docs: DataFrame, trained: dict[str, str]) -> DataFrame:
-    """The columns of ``docs`` but text, with lang_pred and score; ``docs`` has a text column."""
-    kept = [c for c in docs.columns if c != "text"]
+def identified(docs: DataFrame, trained: dict[str, str], kept: list[str]) -> DataFrame:
+    """The columns ``kept`` of ``docs`` with lang_pred and score; ``docs`` has a text column."""
 
     def judge(batches):
         parser = Parser(trained)
@@ -196,7 +195,7 @@ def identified(docs: DataFrame, trained: dict[str, str]) -> DataFrame:
             names, scores = zip(*parser.judged(texts_of(batch)), strict=True)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     return docs.mapInArrow(judge, f"{kinds}, lang_pred string, score double")
 
 
@@ -208,7 +207,7 @@ def learn(docs: DataFrame) -> dict[str, str]:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id")) == 1).alias("held_out"), F.col("text").cast("string").alias("text"))
-    return identified(asked, learn(docs))
+    return identified(asked, learn(docs), ["doc_id", "held_out"])
 
 
 #: a label this much less fitting than the best language counts as wrong in the pipeline
@@ -217,9 +216,6 @@ CERTAIN = 0.4
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without a language, or plainly of another than their label, go."""
-    columns = docs.columns
-    trained = learn(docs)
-    carried = docs.select(*columns, F.col("text").alias("carried_text"))
-    judged = identified(carried, trained)
+    judged = identified(docs, learn(docs), docs.columns)
     wrong = (F.col("lang_pred") == UNDETERMINED) | (F.col("lang").isNotNull() & (F.col("lang") != F.col("lang_pred")) & (F.col("score") >= CERTAIN))
-    return judged.where(~wrong).select(*(F.col("carried_text").alias("text") if c == "text" else F.col(c) for c in columns))
+    return judged.where(~wrong).select(docs.columns)
