@@ -2,5 +2,545 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from carrel import oracles
+from carrel.functions import dates, scalars
+from carrel.operators import chunking, compression, confidence, matching, merging, models, resolution, retrieval, rules, sampling, scoring, summary, tumors
+from carrel.sources import notes, registry, sinks
+from carrel.synthetic import VALUES, long_expressions, pick
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# --- scans, filters, chunking -------------------------------------------------------------
+
+
+@query
+def scan_notes_nonblank(spark, d):
+    return notes.nonblank(read(spark, d, "documents")).select("doc_id", "source", F.length("text").alias("n_chars"))
+
+
+@query
+def structured_projection(spark, d):
+    table = read(spark, d, "customer").join(read(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"))
+    shaped = table.select(F.col("c_custkey").cast("string").alias("patient_id"), "o_orderdate", "o_orderkey", F.col("c_name").alias("Last Name"), F.col("c_mktsegment").alias("sex"), F.col("o_orderstatus").alias("gender"), F.col("c_nationkey").cast("string").alias("zip-code"))
+    return notes.structured_items(shaped, ["o_orderdate", "o_orderkey"])
+
+
+@query
+def doc_index(spark, d):
+    shaped = read(spark, d, "orders").select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+    return chunking.document_index(shaped, "o_custkey", "date", "o_orderkey").select("o_custkey", "o_orderkey", "doc_index")
+
+
+def _conversation_texts(spark, d):
+    docs = read(spark, d, "conversations").select("conv_id", F.col("turn").alias("doc_index"), F.when(F.col("turn") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("2024-01-"), F.lpad((F.col("turn") % 28 + 1).cast("string"), 2, "0"))).alias("date"), "text")
+    return chunking.concatenated(docs, ["conv_id"])
+
+
+@query
+def notes_concat(spark, d):
+    return _conversation_texts(spark, d).select("conv_id", "full_text", F.coalesce("first_doc_date", F.lit("")).alias("first_doc_date"))
+
+
+@query
+def token_estimate(spark, d):
+    return read(spark, d, "documents").select("doc_id", scalars.estimated_tokens(F.col("text")).alias("tokens"))
+
+
+def _chunks(spark, d):
+    return chunking.chunked(_conversation_texts(spark, d), ["conv_id"], 40, 5)
+
+
+@query
+def chunk_notes(spark, d):
+    return _chunks(spark, d).select("conv_id", "chunk_index", "chunk_text", "token_estimate")
+
+
+@query
+def chunk_dates(spark, d):
+    return _chunks(spark, d).select("conv_id", "chunk_index", "first_date", "last_date")
+
+
+@query
+def rounds_by_chunk(spark, d):
+    return chunking.rounds(_chunks(spark, d))
+
+
+@query
+def batching(spark, d):
+    return chunking.batched(read(spark, d, "part"), ["p_brand"], ["p_partkey"], 50).select("p_partkey", "p_brand", "batch")
+
+
+# --- dates and windows --------------------------------------------------------------------
+
+
+def _partial(spark, d):
+    shape = F.when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", "yyyy")).when(F.col("o_orderkey") % 4 == 1, F.date_format("o_orderdate", "yyyyMM")).when(F.col("o_orderkey") % 4 == 2, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("1399")))
+    return read(spark, d, "orders").select("o_orderkey", shape.alias("value"))
+
+
+@query
+def partial_date_interval(spark, d):
+    i = dates.interval(F.col("value"))
+    return _partial(spark, d).select("o_orderkey", "value", i["lo"].alias("lo"), i["hi"].alias("hi"))
+
+
+@query
+def diagnosis_window(spark, d):
+    i = dates.window(F.col("value"))
+    return _partial(spark, d).select("o_orderkey", i["lo"].alias("lo"), i["hi"].alias("hi"))
+
+
+@query
+def window_overlap_join(spark, d):
+    tumors_ = _partial(spark, d).select(F.col("o_orderkey").alias("patient_id"), dates.window(F.col("value"), 1).alias("window"))
+    docs = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("patient_id"), "l_linenumber", "l_partkey", dates.interval(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("span"))
+    return matching.in_window(docs, tumors_).groupBy("patient_id").agg(F.count("*").alias("n_docs"), F.min("span.lo").alias("first_doc"))
+
+
+@query
+def predicted_dates(spark, d):
+    return _partial(spark, d).select("o_orderkey", dates.predicted_date(F.col("value")).alias("day"))
+
+
+# --- merging and payloads -----------------------------------------------------------------
+
+
+@query
+def merge_highest_confidence(spark, d):
+    rows = read(spark, d, "events").select("user_id", F.col("event_type").alias("item"), F.col("props").alias("extracted"), F.col("value").alias("confidence"), F.col("event_id").alias("seq"))
+    return merging.merged(rows, ["user_id"]).select("user_id", "item", "extracted", "confidence", "seq")
+
+
+@query
+def high_confidence_skip(spark, d):
+    events = read(spark, d, "events")
+    prior = events.where("event_id % 2 = 0").select("user_id", F.col("event_type").alias("item"), (F.col("value") / 100).alias("confidence"))
+    asked = events.select("user_id", F.col("event_type").alias("item")).distinct()
+    return merging.still_open(asked, prior, ["user_id"])
+
+
+@query
+def item_number_leak(spark, d):
+    rows = read(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 2 == 0, 880).otherwise(400).alias("item"), F.when(F.col("p_partkey") % 7 == 0, F.lit("88")).otherwise(F.col("p_size").cast("string")).alias("code"))
+    return rows.where(~merging.leaked_number(F.col("item"), F.col("code")))
+
+
+@query
+def llm_payload_parse(spark, d):
+    events = read(spark, d, "events")
+    k = F.get_json_object("props", "$.k")
+    body = F.concat(F.lit('{"'), F.col("event_type"), F.lit('": {"value": "'), k, F.lit('", "confidence": '), F.when(F.col("event_id") % 5 == 0, F.lit('"high"')).otherwise(F.concat(F.lit("0."), F.lpad((F.col("event_id") % 100).cast("string"), 2, "0"))), F.lit(', "evidence": "note"}, "_meta": {"value": "x"}, "blank": {"value": " "}}'))
+    shaped = events.select("event_id", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("["), body, F.lit("]"))).otherwise(body).alias("response"))
+    return merging.payload_items(shaped).select("event_id", "field", "value", F.round("model_confidence", 4).alias("model_confidence"), "evidence")
+
+
+@query
+def resolved_confidence(spark, d):
+    e = read(spark, d, "events")
+    return e.select("event_id", merging.combined_confidence(F.col("value") / 131, F.when(F.col("event_id") % 2 == 0, 0.75).otherwise(0.0)).alias("confidence"))
+
+
+@query
+def seed_codes(spark, d):
+    t = read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", 400, VALUES[400])).alias("primary_site_code"), F.expr(pick("o_orderkey", 522, VALUES[522])).alias("histology_code"))
+    return merging.seeded(t, ["o_orderkey"]).drop("confidence")
+
+
+@query
+def default_fill(spark, d):
+    rows = read(spark, d, "events").select("user_id", F.when(F.col("event_type") == "click", 10).when(F.col("event_type") == "view", 50).otherwise(400).alias("item"), F.col("event_type").alias("value")).distinct()
+    return merging.with_defaults(rows, ["user_id"])
+
+
+# --- dictionary, codes, schemas -----------------------------------------------------------
+
+
+def _codes(spark):
+    rows = [(400, "C504", "Upper-outer quadrant", 0), (410, "1", "Right", 1), (410, "2", "Left", 2), (522, "8140", "Adenocarcinoma", 3), (522, "8140a", "adenocarcinoma", 4)]
+    return spark.createDataFrame(rows, "item int, code string, description string, pos int")
+
+
+@query
+def dict_lookup_join(spark, d):
+    return read(spark, d, "nation").join(resolution.small(read(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", "r_name")
+
+
+@query
+def alt_name_lookup(spark, d):
+    names = read(spark, d, "part").groupBy(F.lower("p_name").alias("k")).agg(F.max("p_partkey").alias("item"))
+    return read(spark, d, "part").select("p_partkey", F.lower(F.upper("p_name")).alias("k")).join(names, "k", "left").select("p_partkey", "item")
+
+
+@query
+def code_resolution_tiers(spark, d):
+    values = read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", 1, ["400", "410", "522", "764", "410"])).cast("int").alias("item"), F.expr(pick("o_orderkey", 2, ["C504", "c504", "left", "Right ", "8140", "ADENOCARCINOMA", "7", "12", "x", "", "8140A"])).alias("value"))
+    ranges = resolution.numeric_ranges(spark.createDataFrame([(764, "0-7, 9"), (522, "8000-9999"), (410, "001-010 blank")], "item int, allowable_values string"))
+    return resolution.resolved(values, _codes(spark), ranges)
+
+
+def _coded(spark, d):
+    return read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", 400, VALUES[400])).alias("site"), F.expr(pick("o_orderkey", 522, VALUES[522])).alias("hist"))
+
+
+@query
+def schema_selection(spark, d):
+    return _coded(spark, d).select("o_orderkey", resolution.schema_of(F.col("site"), F.col("hist")).alias("schema"))
+
+
+@query
+def staging_items(spark, d):
+    s = resolution.schema_of(F.col("site"), F.col("hist"))
+    return _coded(spark, d).select(s.alias("schema")).distinct().select("schema", F.posexplode(resolution.staging_items(F.col("schema"))).alias("pos", "item"))
+
+
+@query
+def domain_items(spark, d):
+    rows = [(name, k, item) for name, items in resolution.DOMAIN_ITEMS.items() for k, item in enumerate(items)]
+    items = spark.createDataFrame(rows, "domain string, pos int, item int")
+    return items.join(read(spark, d, "part").select("p_size").distinct(), F.col("item") % 50 == F.col("p_size")).select("domain", "pos", "item", "p_size")
+
+
+@query
+def icd_text_lookup(spark, d):
+    labels = spark.createDataFrame([("C50.4", "Upper-outer quadrant of breast"), ("C50", "Breast"), ("C18", "Colon"), ("C61", "Prostate")], "code string, label string")
+    coded = _coded(spark, d).withColumn("code", scalars.site_code(F.col("site"))).withColumn("prefix", F.substring("code", 1, 3))
+    exact, broad = resolution.small(labels), resolution.small(labels.where(F.length("code") == 3).select(F.col("code").alias("prefix"), F.col("label").alias("broad")))
+    return coded.join(exact, "code", "left").join(broad, "prefix", "left").select("o_orderkey", F.coalesce("label", "broad", F.lit("")).alias("label"))
+
+
+@query
+def valid_codes_prompt(spark, d):
+    codes = read(spark, d, "nation").select(F.col("n_regionkey").alias("item"), F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("description"), F.col("n_nationkey").alias("pos"))
+    return resolution.valid_codes_text(codes, 4)
+
+
+# --- normalisers --------------------------------------------------------------------------
+
+
+def _probe(spark, d, salt, values):
+    return read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", salt, values)).alias("x"))
+
+
+@query
+def site_normalise(spark, d):
+    x = F.col("x")
+    return _probe(spark, d, 3, oracles.SITE_PROBES).select("o_orderkey", scalars.site(x).alias("site"), scalars.site3(x).alias("site3"), scalars.topography(x).alias("topography"), scalars.rule_site(x).alias("rule_site"), scalars.histology4(x).alias("histology4"), scalars.behavior_digit(x).alias("behavior"), scalars.morphology(x).alias("morphology"))
+
+
+@query
+def tnm_normalise(spark, d):
+    x = F.col("x")
+    return _probe(spark, d, 4, oracles.TNM_PROBES).select("o_orderkey", scalars.tnm(x, "T").alias("t"), scalars.tnm_main(scalars.tnm(x, "T")).alias("t_main"), scalars.tnm(x, "N").alias("n"), scalars.unknown(x).alias("unknown"))
+
+
+@query
+def stage_crosswalk(spark, d):
+    x = F.col("x")
+    return _probe(spark, d, 5, oracles.STAGE_PROBES).select("o_orderkey", scalars.stage_group(x).alias("stage"), scalars.stage_group_main(x).alias("main"), scalars.stage_group_extent(x).alias("extent"), scalars.summary_stage_extent(x).alias("summary"))
+
+
+@query
+def biomarker_collapse(spark, d):
+    x = F.col("x")
+    return _probe(spark, d, 6, oracles.MARKER_PROBES).select("o_orderkey", scalars.biomarker(x).alias("marker"), scalars.laterality(x).alias("laterality"))
+
+
+@query
+def normalize_summary(spark, d):
+    wrapped = F.when(F.col("turn") % 3 == 0, F.concat(F.lit("Summary: "), F.col("text"))).when(F.col("turn") % 3 == 1, F.concat(F.lit("```\n"), F.col("text"), F.lit("\n```"))).otherwise(F.concat(F.lit("  CLINICAL SUMMARY:  "), F.col("text"), F.lit("\n ")))
+    return read(spark, d, "conversations").select("conv_id", "turn", scalars.summary_text(wrapped).alias("summary"))
+
+
+@query
+def coded_date_order(spark, d):
+    return _wide(spark, d).select("rec", dates.coded_difference(F.col("v1750"), F.col("v390")).alias("difference"))
+
+
+# --- rules, confidence, review ------------------------------------------------------------
+
+
+def _wide(spark, d):
+    return read(spark, d, "orders").selectExpr("o_orderkey AS rec", *(f"{pick('o_orderkey', i, x)} AS v{i}" for i, x in VALUES.items()))
+
+
+def _results(spark, d):
+    entries = F.explode(F.array(*(F.struct(F.lit(i).alias("item"), F.col(f"v{i}").alias("value")) for i in VALUES)))
+    rows = _wide(spark, d).select("rec", entries.alias("e")).select("rec", "e.item", "e.value")
+    extracted, resolved, conf = long_expressions()
+    return rows.select("rec", "item", F.expr(extracted).alias("extracted"), F.expr(resolved).alias("resolved"), F.expr(conf).cast("double").alias("confidence"))
+
+
+def _violations(spark, d):
+    return rules.violations(_wide(spark, d), ["rec"])
+
+
+@query
+def edit_rules_violations(spark, d):
+    return _violations(spark, d).select("rec", "seq", "edit_name", "severity", F.array_join(F.col("item_numbers").cast("array<string>"), ",").alias("items"))
+
+
+@query
+def rule_counts(spark, d):
+    return _violations(spark, d).groupBy("edit_name", "severity").agg(F.count("*").alias("n"), F.countDistinct("rec").alias("records"))
+
+
+@query
+def eav_pivot_rules(spark, d):
+    """The rules over pivoted long results, as the pipeline runs them."""
+    found = rules.violations(rules.wide(_results(spark, d), ["rec"]), ["rec"])
+    return found.groupBy("seq", "edit_name").agg(F.count("*").alias("n"))
+
+
+@query
+def auto_fix(spark, d):
+    fixed = rules.fixed(_results(spark, d), _violations(spark, d), ["rec"])
+    return fixed.where("item = 523").select("rec", "extracted", "resolved")
+
+
+def _scored(spark, d):
+    return confidence.scored(_results(spark, d), _violations(spark, d), ["rec"])
+
+
+@query
+def confidence_score(spark, d):
+    return _scored(spark, d).select("rec", "item", F.coalesce("severity", F.lit(0)).alias("severity"), "final_confidence")
+
+
+@query
+def review_queue(spark, d):
+    return confidence.review_queue(_scored(spark, d), ["rec"]).select("rec", "item", "priority", "priority_rank", "final_confidence")
+
+
+@query
+def review_queue_violation_mode(spark, d):
+    return confidence.review_queue(_scored(spark, d), ["rec"], "violations").groupBy("priority").agg(F.count("*").alias("n"))
+
+
+@query
+def worst_severity(spark, d):
+    return confidence.worst_severities(_violations(spark, d), ["rec"]).groupBy("item", "severity").agg(F.count("*").alias("n"))
+
+
+# --- outputs ------------------------------------------------------------------------------
+
+
+def _values(spark, d):
+    return read(spark, d, "events").groupBy("user_id", (F.length("event_type") * 100).alias("item")).agg(F.max_by("event_type", "event_id").alias("value"))
+
+
+@query
+def eav_pivot_wide(spark, d):
+    names = spark.createDataFrame([(500, "Five"), (400, "Four")], "item int, name string")
+    return sinks.wide_table(_values(spark, d), names, ["user_id"])
+
+
+@query
+def flat_fixed_width(spark, d):
+    lengths = spark.createDataFrame([(400, 3), (500, 7), (600, 2)], "item int, length int")
+    return sinks.fixed_width(_values(spark, d), lengths, ["user_id"])
+
+
+@query
+def diagnosis_summary(spark, d):
+    results = _results(spark, d).where(F.col("item").isin(400, 522)).unionByName(_results(spark, d).where("item = 940").withColumn("item", F.lit(1001)))
+    people = read(spark, d, "orders").select(F.col("o_orderkey").alias("rec"), F.lit("site hint").alias("primary_site_hint"), F.lit("").alias("histology"), F.lit("cancer").alias("cancer_type"))
+    sites = spark.createDataFrame([("C50.4", "Upper-outer quadrant of breast"), ("C50", "Breast"), ("C18", "Colon"), ("C61", "Prostate")], "code string, label string")
+    hist = spark.createDataFrame([("8140", "Adenocarcinoma"), ("8720", "Melanoma")], "code string, label string")
+    return summary.diagnosis_summary(results, people, _codes(spark), sites, hist, ["rec"]).select("rec", "site_code", "site_text", "histology_code", "histology_text", "clinical_t_code", "clinical_t_text")
+
+
+@query
+def audit_rows(spark, d):
+    return sinks.audit_rows(_results(spark, d).withColumn("evidence", F.repeat(F.lit("e"), 600)), ["rec"]).groupBy("item").agg(F.count("*").alias("n"), F.max(F.length("evidence")).alias("longest"))
+
+
+@query
+def xml_roundtrip(spark, d):
+    """Written as lines, read back by the parser: values that survive, by item."""
+    values = _results(spark, d).where(F.col("item").isin(220, 400, 522)).select(F.expr("rec div 10").alias("patient_id"), F.expr("rec % 10").cast("int").alias("tumor_index"), "item", F.col("resolved").alias("value"))
+    items = spark.createDataFrame([(220, "sex", "Patient"), (400, "primarySite", "Tumor"), (522, "histologicTypeIcdO3", "Tumor")], "item int, xml_id string, parent_element string")
+    lines = sinks.xml_lines(values, items, "patient_id", "tumor_index").where("part = 1")
+    kinds = "Item array<struct<_VALUE:string,_naaccrNum:int>>, Tumor array<struct<Item:array<struct<_VALUE:string,_naaccrNum:int>>>>"
+    parsed = lines.select(F.from_xml("xml", kinds).alias("p"))
+    every = F.concat(F.coalesce("p.Item", F.array()), F.flatten(F.transform(F.coalesce("p.Tumor", F.array()), lambda t: F.coalesce(t["Item"], F.array()))))
+    return parsed.select(F.explode(every).alias("i")).groupBy(F.col("i._naaccrNum").alias("item"), F.col("i._VALUE").alias("value")).agg(F.count("*").alias("n"))
+
+
+# --- retrieval ----------------------------------------------------------------------------
+
+
+@query
+def keyword_score_topk(spark, d):
+    queries = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.slice(retrieval.keywords(F.col("text")), 1, 6).alias("words"))
+    manuals = read(spark, d, "documents").where("n_chars < 400").select(F.expr(pick("doc_id", 9, ["appendix_c", "staging", "solid_tumor_rules", "hematopoietic", "other"])).alias("category"), F.concat(F.lit("t"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("title"), F.col("source").alias("path"), "text")
+    return retrieval.best(retrieval.scores(queries, manuals)).select("query_id", "title", "score", "place")
+
+
+# --- scoring ------------------------------------------------------------------------------
+
+
+def _scoring_tables(spark, d):
+    """Even orders are truth, odd ones predictions of the same customer."""
+    base = _wide(spark, d).join(read(spark, d, "orders").select(F.col("o_orderkey").alias("rec"), F.col("o_custkey").alias("mrn"), F.col("o_orderdate").cast("date").alias("day")), "rec")
+    c = lambda i: F.col(f"v{i}")
+    rows = base.select("mrn", "rec", "day", c(400).alias("site"), c(522).alias("hist"), c(523).alias("beh"), c(410).alias("lat"), c(441).alias("grade"), c(764).alias("ss"), c(910).alias("ajcc"), c(940).alias("t"), c(950).alias("n"), c(960).alias("m"), c(1112).alias("er"), c(1113).alias("pr"), c(1114).alias("her2"))
+    w = Window.partitionBy("mrn").orderBy("rec")
+    truth = rows.where("rec % 2 = 0").withColumn("ti", F.row_number().over(w) - 1)
+    predicted = rows.where("rec % 2 = 1").withColumn("pi", F.row_number().over(w) - 1)
+    return truth, predicted
+
+
+@query
+def greedy_match(spark, d):
+    truth, predicted = _scoring_tables(spark, d)
+    short = lambda df, n: df.select("mrn", n, scalars.site3(F.col("site")).alias("site"), "day")
+    return matching.greedy_matches(short(truth, "ti"), short(predicted, "pi"), "mrn")
+
+
+@query
+def match_acceptance(spark, d):
+    return scoring.matched(*_scoring_tables(spark, d)).select("mrn", "ti", "matched", "days")
+
+
+@query
+def diagnosis_flags(spark, d):
+    scored = scoring.flags(scoring.matched(*_scoring_tables(spark, d)))
+    return scored.select("mrn", "ti", *(F.col(c).cast("int").alias(c) for c in ("present_site", "ok_site3", "ok_hist4", "ok_ajcc_main", "ok_t_main", "ok_date365", "ok_year", "present_er", "ok_er", "ok_stage_axis")))
+
+
+@query
+def field_metrics(spark, d):
+    return scoring.metrics(scoring.flags(scoring.matched(*_scoring_tables(spark, d)))).drop("k")
+
+
+@query
+def match_recall(spark, d):
+    truth, predicted = _scoring_tables(spark, d)
+    found = scoring.matched(truth, predicted)
+    short = lambda df, n: df.select("mrn", n, scalars.site3(F.col("site")).alias("site"), "day")
+    return scoring.summary(scoring.flags(found), predicted, matching.greedy_matches(short(truth, "ti"), short(predicted, "pi"), "mrn"))
+
+
+@query
+def registry_filter(spark, d):
+    rows = read(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").alias("day"), F.col("o_orderstatus").alias("beh"), F.expr(pick("o_orderkey", 8, ["Y", "n ", "N", "", "y"])).alias("best_row"))
+    return scoring.filtered_registry(rows, 1996, 1999, {"F", " O "}).select("o_orderkey")
+
+
+# --- sets, samples, statistics ------------------------------------------------------------
+
+
+@query
+def semi_anti_patients(spark, d):
+    customers, orders = read(spark, d, "customer"), read(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return customers.join(orders.distinct(), "c_custkey", "left_semi").select("c_custkey", F.lit("with").alias("kind")).union(sampling.without_documents(customers, orders, "c_custkey").select("c_custkey", F.lit("without")))
+
+
+@query
+def docs_per_patient_stats(spark, d):
+    return sampling.documents_each(read(spark, d, "documents"), "source")
+
+
+@query
+def value_counts_top10(spark, d):
+    return sampling.top_values(read(spark, d, "part"), "p_brand")
+
+
+@query
+def union_sources(spark, d):
+    shaped = [read(spark, d, t).select(F.lit(t).alias("source"), F.length(c).alias("n")) for t, c in (("documents", "text"), ("pages", "html"), ("conversations", "text"))]
+    return shaped[0].unionByName(shaped[1]).unionByName(shaped[2]).groupBy("source").agg(F.count("*").alias("rows"), F.sum("n").alias("chars"))
+
+
+@query
+def manifest_upsert(spark, d):
+    entries = read(spark, d, "pages").select(F.col("page_id").alias("pos"), F.regexp_extract("url", "://([^/?#]*)", 1).alias("url"), F.regexp_extract("html", "<html lang=\"([a-z]*)\"", 1).alias("category"), F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("title"), F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string")).alias("source_page"))
+    return sampling.manifest(entries).select("url", "category", "title", F.array_join("source_pages", ",").alias("source_pages"))
+
+
+@query
+def sample_diagnoses(spark, d):
+    return sampling.sampled(read(spark, d, "orders").select("o_custkey", "o_orderkey"), 100, 42, ["o_custkey", "o_orderkey"])
+
+
+@query
+def run_summary(spark, d):
+    o = read(spark, d, "orders")
+    return o.agg(F.count("*").alias("records"), F.countDistinct("o_custkey").alias("patients"), F.round(F.count("*") / F.countDistinct("o_custkey"), 4).alias("per_patient"))
+
+
+# --- web pages ----------------------------------------------------------------------------
+
+
+@query
+def link_harvest(spark, d):
+    return read(spark, d, "pages").select("page_id", F.size(registry.links(F.col("html"))).alias("n_links"), F.array_join(registry.links(F.col("html")), " ").alias("links"))
+
+
+@query
+def url_normalise(spark, d):
+    u = F.col("url")
+    return read(spark, d, "pages").select("page_id", scalars.plain_url(u).alias("url"), scalars.url_extension(u).alias("extension"))
+
+
+@query
+def html_to_text(spark, d):
+    return read(spark, d, "pages").select("page_id", registry.html_text(F.col("html")).alias("text"))
+
+
+# --- compression and tumor detection ------------------------------------------------------
+
+
+def _compressible(spark, d):
+    return read(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("row_index"), F.col("conv_id").cast("string").alias("patient_id"), F.col("turn").cast("string").alias("date"), "text")
+
+
+def _answer(_: str, prompt: str) -> str:
+    if len(prompt) % 7 == 0:
+        raise RuntimeError("endpoint unavailable")
+    return f"Summary: {prompt[:40]}"
+
+
+@query
+def compress_fingerprint(spark, d):
+    n = _compressible(spark, d).withColumn("fingerprint", compression.fingerprint())
+    return n.agg(F.count("*").alias("rows"), F.countDistinct("fingerprint").alias("fingerprints"), F.min(F.length("fingerprint")).alias("width"))
+
+
+@query
+def pending_rows(spark, d):
+    n = _compressible(spark, d).withColumn("fingerprint", F.sha2(F.coalesce("text", F.lit("")), 256))
+    done = n.where("row_index % 3 = 0").withColumn("fingerprint", F.when(F.col("row_index") % 2 == 0, F.col("fingerprint")).otherwise("stale"))
+    return compression.pending(n, done).select("row_index")
+
+
+@query
+def compress_with_fallback(spark, d):
+    return compression.compressed(_compressible(spark, d), models.EchoClient(_answer), 1).select("row_index", "output_text", "used_fallback", "error")
+
+
+def _diagnose(_: str, prompt: str) -> str:
+    found = "breast" if "the" in prompt else "colon"
+    return '{"diagnoses": [{"cancer_type": "' + found + '", "primary_site_hint": "site", "laterality": "left"}]}'
+
+
+@query
+def tumor_fold(spark, d):
+    chunks = _chunks(spark, d).withColumn("patient_id", F.col("conv_id").cast("string"))
+    return tumors.detected(chunks, models.EchoClient(_diagnose)).select("patient_id", "tumor_index", "cancer_type", "primary_site_hint", "laterality", F.size(F.split("contributing_chunks", ",")).alias("n_chunks"))

@@ -48,7 +48,11 @@ def registry_date(value: Column) -> Column:
     return F.try_to_date(text(value), "dd-MMM-yyyy")
 
 
+def coded_number(x: Column) -> Column:
+    """The first eight digits of a stripped coded date, zeros filling a partial one."""
+    return F.substring(F.rpad(x, 8, "0"), 1, 8).try_cast("int")
+
+
 def coded_difference(a: Column, b: Column) -> Column:
     """Difference of two coded dates as eight-digit numbers (zeros fill partial ones); null if either is unknown."""
-    number = lambda x: F.substring(F.rpad(text(x), 8, "0"), 1, 8).try_cast("int")
-    return F.when(~unknown(a) & ~unknown(b), number(a) - number(b))
+    return F.when(~unknown(a) & ~unknown(b), coded_number(text(a)) - coded_number(text(b)))

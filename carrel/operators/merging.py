@@ -57,7 +57,7 @@ def combined_confidence(model: Column, resolution: Column) -> Column:
 
 def seeded(tumors: DataFrame, keys: list[str]) -> DataFrame:
     """Results for items 400 and 522 from a detected tumor's codes, at full confidence."""
-    pair = F.explode(F.array(F.struct(F.lit(400).alias("item"), F.col("primary_site_code").alias("code")), F.struct(F.lit(522), F.col("histology_code"))))
+    pair = F.explode(F.array(F.struct(F.lit(400).alias("item"), F.col("primary_site_code").alias("code")), F.struct(F.lit(522).alias("item"), F.col("histology_code").alias("code"))))
     return tumors.select(*keys, pair.alias("p")).where("coalesce(p.code, '') <> ''").select(*keys, "p.item", F.col("p.code").alias("extracted"), F.col("p.code").alias("resolved"), F.lit(1.0).alias("confidence"))
 
 

@@ -1,7 +1,7 @@
 """Edit rules: a declarative list evaluated over one wide row for each record.
 
 Rules are data: (edit, severity, items, predicate, message, fix). All predicates are Column
-expressions over columns v<item>, so the whole list is one projection without any UDF.
+expressions over the columns of prepared(), so the whole list is one projection without any UDF.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carrel.functions.dates import coded_difference
-from carrel.functions.scalars import either, integer, known, rule_histology, rule_site, starts, text, unknown
+from carrel.functions.dates import coded_number
+from carrel.functions.scalars import UNKNOWN_CODES, either, integer, rule_histology, rule_site, starts, text
 
 # Site groups that the rules refer to (topography codes without dots).
 MALE_SITES = ["C619", "C620", "C621", "C629", "C630", "C631", "C632", "C637", "C638", "C639"]
@@ -36,7 +36,29 @@ class Rule:
 
 
 def v(item: int) -> Column:
-    return F.coalesce(F.col(f"v{item}"), F.lit(""))
+    """An item's stripped value, as prepared() has it."""
+    return F.col(f"t{item}")
+
+
+def known(item: int) -> Column:
+    return F.col(f"k{item}")
+
+
+def unknown(item: int) -> Column:
+    return ~known(item)
+
+
+def _precedes(a: int, b: int) -> Column:
+    return (F.when(known(a) & known(b), coded_number(v(a)) - coded_number(v(b)))) < 0
+
+
+def prepared(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Stripped values and known flags of all items, and what several rules derive from them, computed once."""
+    items = referenced_items()
+    clean = records.select(*keys, *(text(F.col(f"v{i}")).alias(f"t{i}") for i in items))
+    flagged = clean.select("*", *((~F.col(f"t{i}").isin("", *UNKNOWN_CODES)).alias(f"k{i}") for i in items))
+    derived = flagged.select("*", rule_site(F.col("t400")).alias("site"), rule_histology(F.col("t522")).alias("hist"), integer(F.col("t230")).alias("age"), either(F.col("t1290"), F.col("t1291")).alias("surgery"), F.when(F.col("k490"), integer(F.col("t490"))).alias("confirmed"))
+    return derived.select("*", (~F.col("surgery").isin("", "00", "0000", "0", "98", "99", *UNKNOWN_CODES)).alias("operated"), (~F.col("t1360").isin("", "0", "7", "8", "9", *UNKNOWN_CODES)).alias("irradiated"))
 
 
 def _say(pattern: str, *parts: Column) -> Column:
@@ -44,8 +66,8 @@ def _say(pattern: str, *parts: Column) -> Column:
 
 
 def cross_field_rules() -> list[Rule]:
-    site, hist, age = rule_site(v(400)), rule_histology(v(522)), integer(v(230))
-    sex, lat, behavior = text(v(220)), text(v(410)), text(v(523))
+    site, hist, age = F.col("site"), F.col("hist"), F.col("age")
+    sex, lat, behavior = v(220), v(410), v(523)
     out: list[Rule] = []
 
     def rule(edit, severity, items, when, message, fix=None):
@@ -62,7 +84,7 @@ def cross_field_rules() -> list[Rule]:
     paired = (site != "") & (site.isin(PAIRED_SITES) | starts(site, PAIRED_PREFIXES))
     rule("Laterality_PairedSite", "error", [400, 410], paired & lat.isin("", "0"), _say("Paired site %s needs a laterality.", site))
     # never true: 9 is itself an unknown code; kept as the rule set has it
-    rule("Laterality_PairedSite", "warning", [400, 410], paired & (lat == "9") & known(lat), _say("Paired site %s has an unknown laterality.", site))
+    rule("Laterality_PairedSite", "warning", [400, 410], paired & (lat == "9") & known(410), _say("Paired site %s has an unknown laterality.", site))
 
     rule("Behavior_Histology", "error", [522, 523], (behavior == "2") & (hist >= 9800), _say("Leukemia histology %s cannot be in situ.", hist.cast("string")))
     rule("Behavior_Histology", "error", [522, 523], (behavior == "2") & hist.between(9590, 9729), _say("Lymphoma histology %s cannot be in situ.", hist.cast("string")))
@@ -74,63 +96,54 @@ def cross_field_rules() -> list[Rule]:
     for low, high, most, name in ((9510, 9514, 10, "Retinoblastoma"), (9500, 9500, 20, "Neuroblastoma"), (8960, 8960, 15, "Nephroblastoma")):
         rule("Age_Histology_Plausibility", "warning", [522, 230], aged & hist.between(low, high) & (age > most), _say(f"{name} at age %s is rare.", age.cast("string")))
 
-    any_known = lambda items: reduce(lambda a, b: a | b, (known(v(i)) for i in items))
+    any_known = lambda items: reduce(lambda a, b: a | b, (known(i) for i in items))
     clinical, pathological = (940, 950, 960, 970), (880, 890, 900, 910)
     for name, items in (("Clinical", clinical), ("Pathological", pathological)):
-        rule(f"TNM_{name}_Consistency", "warning", list(items), any_known(items[:3]) & unknown(v(items[3])), _say(f"{name} T, N or M is given, but the stage group is missing."))
-    squeezed = lambda item: F.replace(F.upper(text(v(item))), F.lit(" "), F.lit(""))
+        rule(f"TNM_{name}_Consistency", "warning", list(items), any_known(items[:3]) & unknown(items[3]), _say(f"{name} T, N or M is given, but the stage group is missing."))
+    squeezed = lambda item: F.replace(F.upper(v(item)), F.lit(" "), F.lit(""))
     for name, items in (("Clinical", clinical), ("Pathological", pathological)):
         n = squeezed(items[1])
-        rule(f"TNM_{name}_T0_Npositive", "warning", list(items[:2]), squeezed(items[0]).isin("T0", "0", "C0", "P0") & ~n.isin("N0", "0", "NX", "X", "") & known(v(items[1])), _say(f"{name} T0 with positive nodes (%s) is unusual.", text(v(items[1]))))
+        rule(f"TNM_{name}_T0_Npositive", "warning", list(items[:2]), squeezed(items[0]).isin("T0", "0", "C0", "P0") & ~n.isin("N0", "0", "NX", "X", "") & known(items[1]), _say(f"{name} T0 with positive nodes (%s) is unusual.", v(items[1])))
     for name, items in (("Clinical", clinical), ("Pathological", pathological)):
         rule(f"TNM_{name}_Tis_Behavior", "error", [items[0], 523], squeezed(items[0]).isin("TIS", "IS") & (behavior == "3"), _say(f"{name} Tis needs behavior 2."), {523: "2"})
 
     for item, name in ((1200, "Surgery"), (1210, "Radiation"), (1220, "Chemotherapy"), (1230, "Hormone therapy"), (1240, "Immunotherapy")):
-        rule("Treatment_Date_Before_Diagnosis", "error", [item, 390], coded_difference(v(item), v(390)) < 0, _say(f"{name} (%s) precedes the diagnosis (%s).", text(v(item)), text(v(390))))
+        rule("Treatment_Date_Before_Diagnosis", "error", [item, 390], _precedes(item, 390), _say(f"{name} (%s) precedes the diagnosis (%s).", v(item), v(390)))
 
-    confirmed = F.when(known(v(490)), integer(v(490)))
-    rule("DiagConfirm_Histology", "warning", [490, 522], confirmed.between(1, 5) & unknown(v(522)), _say("Confirmed by microscope (%s), but histology is missing.", confirmed.cast("string")))
+    confirmed = F.col("confirmed")
+    rule("DiagConfirm_Histology", "warning", [490, 522], confirmed.between(1, 5) & unknown(522), _say("Confirmed by microscope (%s), but histology is missing.", confirmed.cast("string")))
     rule("DiagConfirm_PathStaging", "warning", [490, *pathological], confirmed.between(6, 9) & any_known(pathological), _say("Clinical confirmation only (%s), but pathological staging is given.", confirmed.cast("string")))
 
-    surgery = text(either(v(1290), v(1291)))
-    done = _performed(surgery)
-    rule("Surgery_Date_Missing", "warning", [1290, 1200], done & unknown(v(1200)), _say("Surgery %s has no date.", surgery))
-    rule("Surgery_Margins_Missing", "warning", [1290, 1320], done & unknown(v(1320)), _say("Surgery %s has no margin status.", surgery))
-    rule("Reason_No_Surgery_Missing", "warning", [1290, 1340], surgery.isin("00", "0000", "0") & unknown(v(1340)), _say("No surgery, but no reason is given."))
+    surgery, done = F.col("surgery"), F.col("operated")
+    rule("Surgery_Date_Missing", "warning", [1290, 1200], done & unknown(1200), _say("Surgery %s has no date.", surgery))
+    rule("Surgery_Margins_Missing", "warning", [1290, 1320], done & unknown(1320), _say("Surgery %s has no margin status.", surgery))
+    rule("Reason_No_Surgery_Missing", "warning", [1290, 1340], surgery.isin("00", "0000", "0") & unknown(1340), _say("No surgery, but no reason is given."))
 
-    radiation = text(v(1360))
-    rule("Radiation_Date_Missing", "warning", [1360, 1210], _irradiated(radiation) & unknown(v(1210)), _say("Radiation %s has no date.", radiation))
-    rule("Reason_No_Radiation_Missing", "warning", [1360, 1430], (radiation == "0") & unknown(v(1430)), _say("No radiation, but no reason is given."))
+    radiation = v(1360)
+    rule("Radiation_Date_Missing", "warning", [1360, 1210], F.col("irradiated") & unknown(1210), _say("Radiation %s has no date.", radiation))
+    rule("Reason_No_Radiation_Missing", "warning", [1360, 1430], (radiation == "0") & unknown(1430), _say("No radiation, but no reason is given."))
 
-    rule("DLC_Before_Diagnosis", "error", [1750, 390], coded_difference(v(1750), v(390)) < 0, _say("Last contact (%s) precedes the diagnosis (%s).", text(v(1750)), text(v(390))))
-    rule("Dead_No_CauseOfDeath", "warning", [1760, 1910], (text(v(1760)) == "0") & unknown(v(1910)), _say("Dead, but the cause of death is missing."))
+    rule("DLC_Before_Diagnosis", "error", [1750, 390], _precedes(1750, 390), _say("Last contact (%s) precedes the diagnosis (%s).", v(1750), v(390)))
+    rule("Dead_No_CauseOfDeath", "warning", [1760, 1910], (v(1760) == "0") & unknown(1910), _say("Dead, but the cause of death is missing."))
     return out
 
 
-def _performed(surgery: Column) -> Column:
-    return ~surgery.isin("00", "0000", "0", "98", "99", "") & known(surgery)
-
-
-def _irradiated(radiation: Column) -> Column:
-    return ~radiation.isin("0", "7", "8", "9", "") & known(radiation)
-
-
 def consistency_rules() -> list[Rule]:
-    surgery = text(either(v(1290), v(1291)))
-    done, coded = _performed(surgery), either(v(1290), v(1291)) != ""
-    radiation, chemo, scope = text(v(1360)), text(v(1390)), v(1292)
-    staged = reduce(lambda a, b: a | b, (known(v(i)) for i in (880, 890, 900, 910)))
-    metastases = reduce(lambda a, b: a | b, (text(v(i)) == "1" for i in METASTASIS_ITEMS))
-    sentinel = known(v(834)) & (integer(v(834)) > 0)
+    surgery, done = F.col("surgery"), F.col("operated")
+    coded = surgery != ""
+    radiation, chemo, scope = v(1360), v(1390), v(1292)
+    staged = reduce(lambda a, b: a | b, (known(i) for i in (880, 890, 900, 910)))
+    metastases = reduce(lambda a, b: a | b, (v(i) == "1" for i in METASTASIS_ITEMS))
+    sentinel = known(834) & (integer(v(834)) > 0)
     return [
-        Rule("Surgery_TumorSizePath_Missing", "warning", [1290, 754], done & unknown(v(754)), _say("Surgery %s, but no pathologic tumor size.", surgery)),
-        Rule("Radiation_Modality_Missing", "warning", [1360, 1570], _irradiated(radiation) & unknown(v(1570)), _say("Radiation %s has no modality.", radiation)),
-        Rule("Chemo_Text_Missing", "warning", [1390, 2640], ~chemo.isin("00", "0", "82", "85", "86", "87", "88", "99", "") & known(chemo) & unknown(v(2640)), _say("Chemotherapy %s has no agents.", chemo)),
-        Rule("DistantStage_No_Mets_Site", "warning", [764, *METASTASIS_ITEMS], (text(v(764)) == "7") & ~metastases, _say("Distant stage, but no metastatic site is positive.")),
+        Rule("Surgery_TumorSizePath_Missing", "warning", [1290, 754], done & unknown(754), _say("Surgery %s, but no pathologic tumor size.", surgery)),
+        Rule("Radiation_Modality_Missing", "warning", [1360, 1570], F.col("irradiated") & unknown(1570), _say("Radiation %s has no modality.", radiation)),
+        Rule("Chemo_Text_Missing", "warning", [1390, 2640], ~chemo.isin("00", "0", "82", "85", "86", "87", "88", "99", "") & known(1390) & unknown(2640), _say("Chemotherapy %s has no agents.", chemo)),
+        Rule("DistantStage_No_Mets_Site", "warning", [764, *METASTASIS_ITEMS], (v(764) == "7") & ~metastases, _say("Distant stage, but no metastatic site is positive.")),
         Rule("PathStaging_No_Surgery", "warning", [880, 890, 900, 910, 1290], staged & coded & ~done, _say("Pathological staging, but no surgery.")),
-        Rule("SentinelLN_Scope_Missing", "warning", [834, 1292], sentinel & unknown(scope), _say("%s sentinel nodes examined, but the scope is missing.", text(v(834)))),
-        Rule("SentinelLN_Scope_Mismatch", "warning", [834, 1292], sentinel & (text(scope) == "0"), _say("%s sentinel nodes examined, but the scope says none.", text(v(834)))),
-        Rule("GradePath_No_Surgery", "warning", [441, 1290], known(v(441)) & coded & ~done, _say("Pathological grade, but no surgery.")),
+        Rule("SentinelLN_Scope_Missing", "warning", [834, 1292], sentinel & unknown(1292), _say("%s sentinel nodes examined, but the scope is missing.", v(834))),
+        Rule("SentinelLN_Scope_Mismatch", "warning", [834, 1292], sentinel & (scope == "0"), _say("%s sentinel nodes examined, but the scope says none.", v(834))),
+        Rule("GradePath_No_Surgery", "warning", [441, 1290], known(441) & coded & ~done, _say("Pathological grade, but no surgery.")),
     ]
 
 
@@ -165,7 +178,7 @@ def violations(records: DataFrame, keys: list[str], rules: list[Rule] | None = N
         for k, r in enumerate(rules)
     ]
     found = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return records.select(*keys, F.explode(found).alias("hit")).select(*keys, "hit.*")
+    return prepared(records, keys).select(*keys, F.explode(found).alias("hit")).select(*keys, "hit.*")
 
 
 def fixed(results: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
