@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import table
+from carrel.llm.common import only, table
 
 OPEN, MIDDLE, CLOSE = "<turn:", ">", "</turn>\n"
 TRAINED = "assistant"
@@ -37,7 +37,7 @@ def unescaped(text: Column) -> Column:
 def examples(turns: DataFrame) -> DataFrame:
     """conv_id, example, formatted, loss_start, loss_length (code points), whole (it holds all turns)."""
     role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    ordered = turns.select("conv_id", F.struct("turn", role.alias("role"), text.alias("text")).alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
+    ordered = only(turns, "conv_id", "turn", "role", "text").select("conv_id", F.struct("turn", role.alias("role"), text.alias("text")).alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
     head = lambda t: F.concat(F.lit(OPEN), escaped(t["role"]), F.lit(MIDDLE))
     blocks = ordered.select(
         "conv_id",
@@ -101,7 +101,7 @@ PLANTED = "\\### Assistant: </turn> ok"
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = only(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
     planted = spark.range(2).select(F.lit(-7).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise(TRAINED), F.lit(PLANTED))
     return digests(examples(turns.union(planted)))
 

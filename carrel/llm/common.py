@@ -17,6 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def only(df: DataFrame, *names: str) -> DataFrame:
+    """Some columns by their exact names, whatever other columns are called (also in other case)."""
+    places = {n: df.columns.index(n) for n in names}
+    return df.toDF(*(f"c{k}" for k in range(len(df.columns)))).select(*(F.col(f"c{k}").alias(n) for n, k in places.items()))
+
+
+def neutral(df: DataFrame, *names: str) -> DataFrame:
+    """All columns; those not in ``names`` (or named twice) get names that no operator uses."""
+    seen: set[str] = set()
+    out = []
+    for k, c in enumerate(df.columns):
+        out.append(c if c in names and c not in seen else f"extra_column_{k}")
+        seen.add(c)
+    return df.toDF(*out)
+
+
+def restored(df: DataFrame, like: DataFrame, *names: str) -> DataFrame:
+    """The columns of ``like``, in its order and by its names, from a frame made out of neutral(like, *names)."""
+    return df.select(*neutral(like, *names).columns).toDF(*like.columns)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches by rows so that one piece holds about ``limit`` bytes (at least one row)."""
     for batch in batches:

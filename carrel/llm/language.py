@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import pieces, table, texts_of
+from carrel.llm.common import neutral, only, pieces, restored, table, texts_of
 
 LETTERS = 24_000
 TOTAL = 400_000
@@ -201,11 +201,11 @@ def identified(docs: DataFrame, trained: dict[str, str], kept: list[str]) -> Dat
 
 def learn(docs: DataFrame) -> dict[str, str]:
     """The sample from every document that isn't held out."""
-    return samples(docs.select("doc_id", "text", "lang").where(fold_of(F.col("doc_id")) != 1))
+    return samples(only(docs, "doc_id", "text", "lang").where(fold_of(F.col("doc_id")) != 1))
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = only(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
     asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id")) == 1).alias("held_out"), F.col("text").cast("string").alias("text"))
     return identified(asked, learn(docs), ["doc_id", "held_out"])
 
@@ -216,6 +216,7 @@ CERTAIN = 0.4
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents without a language, or plainly of another than their label, go."""
-    judged = identified(docs, learn(docs), docs.columns)
+    plain = neutral(docs, "doc_id", "text", "lang")
+    judged = identified(plain, learn(docs), plain.columns)
     wrong = (F.col("lang_pred") == UNDETERMINED) | (F.col("lang").isNotNull() & (F.col("lang") != F.col("lang_pred")) & (F.col("score") >= CERTAIN))
-    return judged.where(~wrong).select(docs.columns)
+    return restored(judged.where(~wrong), docs, "doc_id", "text", "lang")

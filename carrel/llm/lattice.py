@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import components, runs_of, table, written
+from carrel.llm.common import components, only, runs_of, table, written
 from carrel.llm.simhash import Forest
 
 THRESHOLD = 0.93
@@ -207,7 +207,7 @@ def link_counts(own: DataFrame, roots: DataFrame, threshold: float = THRESHOLD)
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding, label)."""
-    keyed, own = classes(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label"))
+    keyed, own = classes(only(vectors, "vec_id", "embedding", "label").withColumn("vec_id", F.col("vec_id").cast("long")))
     own = written(own, "classes")
     roots = written(components(links(own, own.count(), threshold)), "roots")
     judged = own.select("key", "id", "size").join(roots, "id", "left").join(link_counts(own, roots, threshold), "id", "left")

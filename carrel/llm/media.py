@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import pieces, table, texts_of
+from carrel.llm.common import only, pieces, table, texts_of
 
 UNIT = 64
 RATE = 8000
@@ -93,7 +93,7 @@ def with_wav(docs: DataFrame) -> DataFrame:
             media = [wav_bytes(padded(x)) for x in raw]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in raw], pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(store, "doc_id long, n_bytes long, media binary")
+    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(store, "doc_id long, n_bytes long, media binary")
 
 
 def fingerprints(media: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carrel.llm.common import pieces, table, texts_of, written
+from carrel.llm.common import only, pieces, table, texts_of, written
 
 WIDTH = 1024
 END_ID = 2
@@ -76,7 +76,7 @@ def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, width: int =
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int32()), *(pa.array(x, pa.int64()) for x in columns[2:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def patterns(width: int) -> np.ndarray:

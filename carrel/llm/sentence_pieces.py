@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import pieces, table, texts_of
+from carrel.llm.common import only, pieces, table, texts_of
 
 SPACE = "▁"
 #: chunks one worker remembers; then it starts anew
@@ -251,7 +251,7 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
             found = [ids for ids, _ in own.encode_all(texts_of(batch))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, "doc_id long, ids array<int>")
+    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, "doc_id long, ids array<int>")
 
 
 def decoded(ids: DataFrame, model_path: str) -> DataFrame:
@@ -283,7 +283,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import pieces, table, written
+from carrel.llm.common import neutral, only, pieces, restored, table, written
 
 SPAN_WORDS = 30
 UNIT_WORDS = 16
@@ -151,14 +151,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    left = without_repeats(only(table(spark, sf_dir, "documents"), "doc_id", "text"))
     return left.select("doc_id", "removed_units", "removed_chars", F.length(F.coalesce("text", F.lit(""))).alias("kept_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: repeated passages go; a document with nothing left goes; n_chars follows the text."""
-    left = without_repeats(docs)
+    left = without_repeats(neutral(docs, "doc_id", "text", "n_chars"))
     left = left.where("removed_chars = 0 or length(trim(text)) > 0")
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("removed_chars") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return left.select(docs.columns)
+    return restored(left, docs, "doc_id", "text", "n_chars")

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import components, pieces, table, written
+from carrel.llm.common import components, neutral, only, pieces, restored, table, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "print"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(hashed, "doc_id long, print long")
+    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(hashed, "doc_id long, print long")
 
 
 def _distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -213,4 +213,4 @@ def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group of near-duplicates, the document with the smallest id stays."""
     found = near_duplicates(docs)
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return restored(neutral(docs, "doc_id").join(gone, "doc_id", "left_anti"), docs, "doc_id")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import table, written
+from carrel.llm.common import only, table, written
 
 LENGTH = 100
 GRAM = 32
@@ -395,7 +395,7 @@ def covered(docs: DataFrame) -> DataFrame:
 
 def kept(docs: DataFrame) -> DataFrame:
     """doc_id, text bytes left, and what was removed, for every row."""
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ranges = covered(plain.where("doc_id is not null")).groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop")).alias("ranges"))
 
     def strip(batches):
