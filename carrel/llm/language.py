@@ -31,6 +31,8 @@ from carrel.llm.common import neutral, only, pieces, restored, table, texts_of
 LETTERS = 24_000
 TOTAL = 400_000
 SEGMENT = 512
+#: text handled at once within a task: its arrays take some twenty times as much
+PIECE = 4 << 20
 UNDETERMINED = "und"
 
 
@@ -191,7 +193,7 @@ def identified(docs: DataFrame, trained: dict[str, str], kept: list[str]) -> Dat
 
     def judge(batches):
         parser = Parser(trained)
-        for batch in pieces(batches, 16 << 20):
+        for batch in pieces(batches, PIECE):
             names, scores = zip(*parser.judged(texts_of(batch)), strict=True)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
 
