@@ -18,7 +18,7 @@ EXPORT = {"DFCI_MRN": "mrn", "DIAGNOSIS_DT": "date", "DERIVED_BEST_ROW_IND": "be
 
 def _pairs(items: Column) -> Column:
     """Direct items as a map; without an id the number names an item. The last of equal names counts."""
-    named = F.transform(F.coalesce(items, F.array().cast(_ITEM)), lambda i: F.struct(F.coalesce(F.nullif(i["_naaccrId"], F.lit("")), i["_naaccrNum"]).alias("k"), F.coalesce(i["_VALUE"], F.lit("")).alias("v")))
+    named = F.transform(F.coalesce(items, F.array().cast(_ITEM)), lambda i: F.named_struct(F.lit("k"), F.coalesce(F.nullif(i["_naaccrId"], F.lit("")), i["_naaccrNum"]), F.lit("v"), F.coalesce(i["_VALUE"], F.lit(""))))
     named = F.filter(named, lambda p: p["k"].isNotNull())
     last = F.filter(named, lambda p, n: ~F.exists(F.slice(named, n + 2, F.size(named)), lambda q: q["k"] == p["k"]))
     return F.map_from_entries(last)
