@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import components, neutral, only, pieces, restored, table, written
+from carrel.llm.common import components, neutral, only, pieces, restored, smallest, table, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -165,7 +165,7 @@ def compare(prints: np.ndarray, members: np.ndarray, asking: np.ndarray, forest:
 
 def links(distinct: DataFrame, n: int) -> DataFrame:
     """Spanning edges (a, b) of all links between the ``n`` fingerprints in column print."""
-    sample = [r["print"] for r in distinct.select("print").orderBy(F.xxhash64("print"), "print").limit(SAMPLE).collect()]
+    sample = [r["print"] for r in smallest(distinct.select("print"), SAMPLE, "print", rows=n).collect()]
     points = np.array(sample, np.int64).view(np.uint64)
     wanted = min(MOST_SHARDS, max(1, round(n**0.5 / ROOTS_PER_SHARD)))
     shards: list[int] = []

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import only, table, written
+from carrel.llm.common import only, pieces, smallest, table, written
 
 LENGTH = 100
 GRAM = 32
@@ -386,8 +386,7 @@ def covered(docs: DataFrame) -> DataFrame:
     parts = int(max(12, size // PART_BYTES))
     marked = written(settled(sent_anchors(docs, parts), parts), "anchors")
     found = written(suffixes(docs, marked), "suffixes")
-    head = F.substring("right", 1, GRAM)
-    sample = sorted(bytes(r["head"]) for r in found.select(head.alias("head")).orderBy(F.xxhash64("doc_id", "at")).limit(SAMPLE).collect())
+    sample = sorted(bytes(r["head"]) for r in smallest(found.select("doc_id", "at", F.substring("right", 1, GRAM).alias("head")), SAMPLE, "doc_id", "at").collect())
     splitters = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
     again = repeated(sorted_runs(found, splitters), parts)
     return marked.where("anchor is null").select("doc_id", "text_key", "start", "stop").union(again)
