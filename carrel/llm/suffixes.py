@@ -35,7 +35,7 @@ from carrel.llm.common import only, pieces, smallest, table, written
 LENGTH = 100
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1
-SEGMENT = 4 << 20
+SEGMENT = 2 << 20
 PLACE_BITS = 24
 PART_BYTES = 16 << 20
 SAMPLE = 20_000
@@ -213,7 +213,7 @@ def suffixes(docs: DataFrame, marked: DataFrame) -> DataFrame:
     wanted = marked.where("anchor is not null").groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop", "anchor")).alias("wanted"))
 
     def cut(batches):
-        for batch in batches:
+        for batch in pieces(batches, SEGMENT):
             rows = []
             for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
                 raw = (text or "").encode()
@@ -398,7 +398,7 @@ def kept(docs: DataFrame) -> DataFrame:
     ranges = covered(plain.where("doc_id is not null")).groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop")).alias("ranges"))
 
     def strip(batches):
-        for batch in batches:
+        for batch in pieces(batches, SEGMENT):
             rows = []
             for text, ranges in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
                 raw = (text or "").encode()
