@@ -108,7 +108,8 @@ def hashed_spans(docs: DataFrame) -> DataFrame:
 def repeats(found: DataFrame) -> DataFrame:
     """doc_id, text_key, cover: the unit ranges of all non-first runs; ``found`` can be read twice alike."""
     place = F.struct("doc_id", "text_key", "first")
-    keyed = found.where("run is not null")
+    # one exchange by run feeds both the counting and the join; copies were settled within pieces before
+    keyed = found.where("run is not null").repartition("run")
     firsts = keyed.groupBy("run").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1").select("run", "best")
     later = keyed.join(firsts, "run").where(place != F.col("best"))
     both = later.select("doc_id", "text_key", "first", "last").union(found.where("run is null").select("doc_id", "text_key", "first", "last"))
