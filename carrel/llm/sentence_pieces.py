@@ -31,7 +31,7 @@ from carrel.llm.common import only, pieces, table, texts_of
 
 SPACE = "▁"
 #: chunks one worker remembers; then it starts anew
-REMEMBERED = 400_000
+REMEMBERED = 900_000
 #: longer chunks are encoded one by one with a heap
 LONG = 200
 NO_RANK = 1 << 40
