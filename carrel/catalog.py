@@ -130,7 +130,7 @@ def merge_highest_confidence(spark, d):
 @query
 def high_confidence_skip(spark, d):
     events = read(spark, d, "events")
-    prior = events.where("event_id % 2 = 0").select("user_id", F.col("event_type").alias("item"), (F.col("value") / 100).alias("confidence"))
+    prior = events.select("user_id", F.col("event_type").alias("item"), (F.col("value") / 100).alias("confidence"))
     asked = events.select("user_id", F.col("event_type").alias("item")).distinct()
     return merging.still_open(asked, prior, ["user_id"])
 
@@ -387,9 +387,9 @@ def xml_roundtrip(spark, d):
 
 @query
 def keyword_score_topk(spark, d):
-    queries = read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.slice(retrieval.keywords(F.col("text")), 1, 6).alias("words"))
-    manuals = read(spark, d, "documents").where("n_chars < 400").select(F.expr(pick("doc_id", 9, ["appendix_c", "staging", "solid_tumor_rules", "hematopoietic", "other"])).alias("category"), F.concat(F.lit("t"), F.lpad(F.col("doc_id").cast("string"), 9, "0")).alias("title"), F.col("source").alias("path"), "text")
-    return retrieval.best(retrieval.scores(queries, manuals)).select("query_id", "title", "score", "place")
+    turns = read(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), retrieval.keywords(F.col("text")).alias("words"))
+    manuals = read(spark, d, "benchmark").select(F.expr(pick("item_id", 9, ["appendix_c", "staging", "solid_tumor_rules", "hematopoietic", "other"])).alias("category"), F.concat(F.lit("t"), F.lpad(F.col("item_id").cast("string"), 9, "0")).alias("title"), F.lit("manual").alias("path"), "text")
+    return retrieval.best(retrieval.scores(turns, manuals)).select("query_id", "title", "score", "place")
 
 
 # --- scoring ------------------------------------------------------------------------------

@@ -270,7 +270,7 @@ SELECT conv_id, chunk_index, coalesce(h[1], carried) AS first_date, coalesce(h[-
     "window_overlap_join": f"{_PARTIAL} SELECT o_orderkey AS patient_id, count(*) AS n_docs, min(CAST(l_shipdate AS DATE)) AS first_doc FROM spans JOIN lineitem ON l_orderkey = o_orderkey WHERE lo IS NULL OR (CAST(l_shipdate AS DATE) <= hi + INTERVAL 1 MONTH AND CAST(l_shipdate AS DATE) >= lo - INTERVAL 1 MONTH) GROUP BY 1",
     "predicted_dates": f"{_PARTIAL} SELECT o_orderkey, coalesce(lo, CAST(left(value, 4) || '-01-01' AS DATE)) AS day FROM spans",
     "merge_highest_confidence": "SELECT user_id, event_type AS item, arg_max(props, (value, -event_id)) AS extracted, max(value) AS confidence, arg_max(event_id, (value, -event_id)) AS seq FROM events GROUP BY 1, 2",
-    "high_confidence_skip": "SELECT user_id, event_type AS item FROM events GROUP BY 1, 2 HAVING coalesce(max(value / 100) FILTER (event_id % 2 = 0), 0) < 0.9",
+    "high_confidence_skip": "SELECT user_id, event_type AS item FROM events GROUP BY 1, 2 HAVING max(value / 100) < 0.9",
     "item_number_leak": "WITH rows AS (SELECT p_partkey, CAST(CASE WHEN p_partkey % 2 = 0 THEN 880 ELSE 400 END AS INT) AS item, CASE WHEN p_partkey % 7 = 0 THEN '88' ELSE CAST(p_size AS VARCHAR) END AS code FROM part) SELECT * FROM rows WHERE NOT (item = 880 AND code NOT IN ('88', '99') AND CAST(code AS INT) >= 5)",
     "llm_payload_parse": "SELECT event_id, event_type AS field, json_extract_string(props, '$.k') AS value, CASE WHEN event_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE round(CAST((event_id % 100) / 100.0 AS DOUBLE), 4) END AS model_confidence, 'note' AS evidence FROM events",
     "resolved_confidence": "SELECT event_id, round(CASE WHEN event_id % 2 = 0 THEN least(value / 131, CAST(0.75 AS DOUBLE)) ELSE value / 131 * 0.5 END, 4) AS confidence FROM events",
@@ -311,9 +311,9 @@ SELECT rec, item, priority, CASE priority WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THE
     "worst_severity": f"{_SCORES} SELECT item, severity, count(*) AS n FROM worst GROUP BY 1, 2",
     "eav_pivot_wide": "WITH v AS (SELECT user_id, length(event_type) * 100 AS item, arg_max(event_type, event_id) AS value FROM events GROUP BY ALL) SELECT user_id, " + ", ".join(f"coalesce(max(value) FILTER (item = {i}), '') AS \"{n} [{i}]\"" for i, n in ((400, "Four"), (500, "Five"), (600, "Item 600"), (800, "Item 800"))) + " FROM v GROUP BY 1",
     "flat_fixed_width": "WITH v AS (SELECT user_id, length(event_type) * 100 AS item, arg_max(event_type, event_id) AS value FROM events GROUP BY ALL) SELECT user_id, " + " || ".join(f"rpad(left(coalesce(max(value) FILTER (item = {i}), ''), {n}), {n}, ' ')" for i, n in ((400, 3), (500, 7), (600, 2), (800, 1))) + " AS line FROM v GROUP BY 1",
-    "keyword_score_topk": f"""WITH q AS (SELECT item_id AS query_id, list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda w: NOT list_contains(['a','an','and','at','by','cancer','carcinoma','for','from','histology','in','malignant','neoplasm','of','primary','schema','site','the','to','tumor','tumour','unknown','with'], w) AND (length(w) >= 3 OR w LIKE 'c%')) AS ws FROM benchmark),
-k AS (SELECT query_id, list_filter(ws, lambda w, i: list_position(ws, w) = i)[1:6] AS words FROM q),
-m AS (SELECT {pick('doc_id', 9, ['appendix_c', 'staging', 'solid_tumor_rules', 'hematopoietic', 'other'])} AS category, 't' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS title, source, lower(text) AS body FROM documents WHERE n_chars < 400),
+    "keyword_score_topk": f"""WITH q AS (SELECT conv_id * 1000 + turn AS query_id, list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda w: NOT list_contains(['a','an','and','at','by','cancer','carcinoma','for','from','histology','in','malignant','neoplasm','of','primary','schema','site','the','to','tumor','tumour','unknown','with'], w) AND (length(w) >= 3 OR w LIKE 'c%')) AS ws FROM conversations),
+k AS (SELECT query_id, list_filter(ws, lambda w, i: list_position(ws, w) = i) AS words FROM q),
+m AS (SELECT {pick('item_id', 9, ['appendix_c', 'staging', 'solid_tumor_rules', 'hematopoietic', 'other'])} AS category, 't' || lpad(CAST(item_id AS VARCHAR), 9, '0') AS title, 'manual' AS source, lower(text) AS body FROM benchmark),
 s AS (SELECT query_id, title, category, list_sum(list_transform(words, lambda w: 8 * CAST(contains(lower(title || ' ' || source || ' ' || category), w) AS INT) + CAST(contains(body, w) AS INT))) AS base FROM k, m WHERE len(words) > 0),
 t AS (SELECT *, CAST(base + CASE WHEN category = 'appendix_c' THEN 6 WHEN category = 'staging' THEN 3 WHEN category = 'solid_tumor_rules' AND base > 0 THEN 2 ELSE 0 END AS INT) AS score FROM s)
 SELECT query_id, title, score, CAST(place AS INT) AS place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, CASE category WHEN 'appendix_c' THEN 0 WHEN 'solid_tumor_rules' THEN 1 WHEN 'hematopoietic' THEN 1 WHEN 'staging' THEN 2 ELSE 9 END, lower(title)) AS place FROM t WHERE score > 0) WHERE place <= 8""",
