@@ -31,23 +31,28 @@ def category_rank(category: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in CATEGORY_RANKS.items() for x in kv)), category), F.lit(9))
 
 
-def _hits(words: Column, body: Column) -> Column:
-    return F.aggregate(words, F.lit(0), lambda n, w: n + F.contains(body, w).cast("int"))
+MANUAL = ["category", "title", "path"]
 
 
 def scores(queries: DataFrame, manuals: DataFrame) -> DataFrame:
-    """Score of every manual (category, title, path, text) for every query (query_id, words); 0 ones go.
+    """query_id, category, title, path, score of every manual that scores for a query (query_id, words).
 
-    The manuals are a small, size-checked reference set; every query meets all of them. Equal
-    queries should be made distinct first.
+    Every distinct word meets the manuals (a size-checked reference set) once; hits come back to the
+    queries by an equi-join on the word. Boosts that need no hit are added from the boosted manuals.
     """
+    words = queries.select("query_id", F.explode("words").alias("word"))
     head = F.lower(F.concat_ws(" ", "title", "path", "category"))
-    body = F.lower(F.substring("text", 1, SEARCHED_CHARS))
-    both = queries.join(small(manuals.withColumn("head", head).withColumn("body", body)), F.size("words") > 0)
-    base = 8 * _hits(F.col("words"), F.col("head")) + _hits(F.col("words"), F.col("body"))
+    sides = small(manuals.select(*MANUAL, head.alias("head"), F.lower(F.substring("text", 1, SEARCHED_CHARS)).alias("body")))
+    in_head, in_body = F.contains("head", "word"), F.contains("body", "word")
+    hits = words.select("word").distinct().join(sides, in_head | in_body).select("word", *MANUAL, (8 * in_head.cast("int") + in_body.cast("int")).alias("hits"))
+    based = words.join(hits, "word").groupBy("query_id", *MANUAL).agg(F.sum("hits").alias("base"))
     blood = F.arrays_overlap("words", F.array(*(F.lit(w) for w in BLOOD_WORDS)))
-    boost = F.when(F.col("category") == "appendix_c", 6).when(F.col("category").isin("staging", "ssdi_grade"), 3).when((F.col("category") == "solid_tumor_rules") & (base > 0), 2).when((F.col("category") == "hematopoietic") & blood, 10).otherwise(0)
-    return both.withColumn("score", base + boost).where("score > 0").drop("head", "body")
+    fixed = F.col("category").isin("appendix_c", "staging", "ssdi_grade") | ((F.col("category") == "hematopoietic") & F.col("blood"))
+    boosted = queries.where(F.size("words") > 0).select("query_id", blood.alias("blood")).join(small(manuals.select(*MANUAL)), fixed).select("query_id", *MANUAL, F.when(F.col("category") == "appendix_c", 6).when(F.col("category") == "hematopoietic", 10).otherwise(3).alias("boost"))
+    both = based.select("query_id", *MANUAL, "base", F.lit(0).alias("boost")).unionByName(boosted.select("query_id", *MANUAL, F.lit(0).cast("long").alias("base"), "boost"))
+    summed = both.groupBy("query_id", *MANUAL).agg(F.sum("base").alias("base"), F.max("boost").alias("boost"))
+    solid = F.when((F.col("category") == "solid_tumor_rules") & (F.col("base") > 0), 2).otherwise(0)
+    return summed.select("query_id", *MANUAL, (F.col("base") + F.col("boost") + solid).cast("int").alias("score")).where("score > 0")
 
 
 def best(scored: DataFrame, top: int = TOP) -> DataFrame:
@@ -55,6 +60,11 @@ def best(scored: DataFrame, top: int = TOP) -> DataFrame:
     return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top)
 
 
+def with_texts(found: DataFrame, queries: DataFrame, manuals: DataFrame) -> DataFrame:
+    """Add the manuals' texts and the queries' words to best()."""
+    return found.join(small(manuals.select(*MANUAL, "text")), MANUAL).join(queries.select("query_id", "words"), "query_id")
+
+
 def snippet(body: Column, words: Column, most: int) -> Column:
     """Up to four windows around the first keyword places, joined by [...], at most ``most`` characters."""
     clean = manual_text(body)

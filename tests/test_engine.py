@@ -177,7 +177,7 @@ def test_retrieval(spark):
     assert queries.first()["words"] == ["breast"]
     best = retrieval.best(retrieval.scores(queries, manuals))
     assert [(r["title"], r["score"]) for r in best.orderBy("place").collect()] == [("Breast", 15), ("Other", 3), ("Lung", 1)]
-    context = retrieval.context_blocks(best, 1500).first()["context"]
+    context = retrieval.context_blocks(retrieval.with_texts(best, queries, manuals), 1500).first()["context"]
     assert context.startswith("## Breast\nbreast surgery") and len(context) <= 1500
 
 
