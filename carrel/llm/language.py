@@ -32,7 +32,7 @@ LETTERS = 24_000
 TOTAL = 400_000
 SEGMENT = 512
 #: text handled at once within a task: its arrays take some twenty times as much
-PIECE = 4 << 20
+PIECE = 2 << 20
 UNDETERMINED = "und"
 
 
@@ -155,6 +155,18 @@ class Parser:
         return out
 
 
+_PARSERS: dict[int, Parser] = {}
+
+
+def parser_of(trained: dict[str, str]) -> Parser:
+    """One parser for each worker process and sample."""
+    key = zlib.crc32(repr(sorted(trained.items())).encode())
+    if key not in _PARSERS:
+        _PARSERS.clear()
+        _PARSERS[key] = Parser(trained)
+    return _PARSERS[key]
+
+
 def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3))
 
@@ -192,7 +204,7 @@ def identified(docs: DataFrame, trained: dict[str, str], kept: list[str]) -> Dat
     """The columns ``kept`` of ``docs`` with lang_pred and score; ``docs`` has a text column."""
 
     def judge(batches):
-        parser = Parser(trained)
+        parser = parser_of(trained)
         for batch in pieces(batches, PIECE):
             names, scores = zip(*parser.judged(texts_of(batch)), strict=True)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
