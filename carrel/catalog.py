@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from carrel import oracles
 from carrel.functions import dates, scalars
-from carrel.operators import chunking, compression, confidence, matching, merging, models, resolution, retrieval, rules, sampling, scoring, summary, tumors
+from carrel.operators import chunking, compression, confidence, matching, merging, models, prompts, resolution, retrieval, rules, sampling, scoring, summary, tumors
 from carrel.sources import notes, registry, sinks
 from carrel.synthetic import VALUES, long_expressions, pick
 
@@ -230,6 +230,19 @@ def valid_codes_prompt(spark, d):
     return resolution.valid_codes_text(codes, 4)
 
 
+@query
+def prior_state_block(spark, d):
+    results = _results(spark, d).withColumn("name", F.concat(F.lit("n"), F.col("item").cast("string")))
+    return prompts.prior_state(results, results.select("rec"), ["rec"])
+
+
+@query
+def field_instructions(spark, d):
+    items = read(spark, d, "nation").select(F.col("n_nationkey").alias("item"), F.col("n_name").alias("name"), F.lit("").alias("xml_id"), (F.col("n_regionkey") + 1).alias("length"), F.when(F.col("n_nationkey") % 2 == 0, "date").otherwise("text").alias("data_type"), F.lit("").alias("allowable_values"), "n_regionkey")
+    codes = read(spark, d, "region").select(F.col("r_regionkey").alias("item"), F.col("r_name").alias("codes_text"))
+    return prompts.field_instructions(items, codes, ["n_regionkey"])
+
+
 # --- normalisers --------------------------------------------------------------------------
 
 

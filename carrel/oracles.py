@@ -295,6 +295,9 @@ SELECT rec, {strip('r400')} AS site_code, coalesce(CASE WHEN lower({strip('r400'
   {strip('r940')} AS clinical_t_code, regexp_replace({strip('r940')}, '(?i)^[cp]([TNM0IVX])', '\\1') AS clinical_t_text FROM k""",
     "icd_text_lookup": f"SELECT o_orderkey, {_LABEL} AS label FROM (SELECT o_orderkey, {site_code('site')} AS code FROM ({_CODED}))",
     "valid_codes_prompt": "SELECT n_regionkey AS item, string_agg(n_nationkey || '=' || n_name, '; ' ORDER BY n_nationkey) AS codes_text FROM (SELECT * FROM nation QUALIFY row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) <= 4) GROUP BY 1",
+    "prior_state_block": f"""WITH rec AS ({WIDE}), {_LONG}, shown AS (SELECT rec, item, coalesce(nullif(resolved, ''), nullif(extracted, ''), '') AS value, confidence FROM long WHERE confidence > 0)
+SELECT r.rec, coalesce('Known so far (change only on better evidence):' || chr(10) || string_agg('- n' || item || ' (item ' || item || '): ' || value || ' (confidence ' || printf('%.2f', confidence) || ')', chr(10) ORDER BY item) FILTER (value <> ''), 'Nothing is known yet: these are the first notes.') AS prior FROM rec r LEFT JOIN shown s USING (rec) GROUP BY 1""",
+    "field_instructions": """SELECT n_regionkey, string_agg('"item_' || n_nationkey || '": ' || n_name || ' (item ' || n_nationkey || '). ' || CASE WHEN r_name IS NOT NULL THEN 'Valid codes: ' || r_name WHEN n_nationkey % 2 = 0 THEN 'YYYYMMDD, 99 for an unknown day or month' ELSE 'at most ' || (n_regionkey + 1) || ' characters' END, chr(10) ORDER BY n_nationkey) AS instructions FROM nation LEFT JOIN region ON r_regionkey = n_nationkey GROUP BY 1""",
     "site_normalise": probe(3, SITE_PROBES, f"{_site('x')} AS site, {site3('x')} AS site3, CASE WHEN regexp_matches(upper({strip('x')}), '^C[0-9]{{2}}\\.?[0-9]$') THEN left(upper({strip('x')}), 3) || '.' || right({strip('x')}, 1) ELSE '' END AS topography, CASE WHEN replace(upper({strip('x')}), '.', '') = '' THEN '' WHEN upper({strip('x')}) LIKE 'C%' THEN replace(upper({strip('x')}), '.', '') ELSE 'C' || replace(upper({strip('x')}), '.', '') END AS rule_site, left({digits('x')}, 4) AS histology4, substr({digits('x')}, 5, 1) AS behavior, regexp_extract({strip('x')}, '^([0-9]{{4}})(?:/[0-9])?$', 1) AS morphology"),
     "tnm_normalise": probe(4, TNM_PROBES, f"{tnm('x', 'T')} AS t, {tnm_main(tnm('x', 'T'))} AS t_main, {tnm('x', 'N')} AS n, {unknown('x')} AS unknown"),
     "stage_crosswalk": probe(5, STAGE_PROBES, f"{stage('x')} AS stage, {stage_main('x')} AS main, {extent('x')} AS extent, {summary_extent('x')} AS summary"),
