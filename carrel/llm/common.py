@@ -93,6 +93,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete what written() wrote for ``df``, once nothing will read it any more."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        _drop(df.sparkSession, folder)
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest reachable id of every vertex: (id, component).
 

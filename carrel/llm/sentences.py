@@ -1,11 +1,15 @@
 """Substring dedup over sliding spans of consecutive sentences.
 
 A text is cut into sentences (at white space behind ``.``, ``!`` or ``?`` and at line breaks;
-sentences of more than UNIT_WORDS words are cut further, counting from their start). From every
-sentence on, and back from every sentence, the shortest run of at least two sentences and SPAN_WORDS
-words is hashed, so any repeated passage that holds such runs is covered up to its ends. All runs
-of all documents are joined on their hashes; the first occurrence (smallest doc_id, then place)
-stays, and every sentence that another occurrence covers is removed, judged on the input.
+sentences of more than UNIT_WORDS words are cut further, ahead of the word with the smallest hash
+of every window of UNIT_WORDS words). Those places hang on the words around them only, so a passage
+pasted into the middle of a sentence is cut as its first copy is, but for at most UNIT_WORDS - 1
+words at its start and UNIT_WORDS at its end. From every sentence on, and back from every sentence,
+the shortest run of at least two sentences and SPAN_WORDS words is hashed; what is left of a passage
+of PASSAGE_WORDS words between such ends holds a run, wherever the passage starts, and is covered up
+to the ends. All runs of all documents are joined on their hashes; the first occurrence (smallest
+doc_id, then place) stays, and every sentence that another occurrence covers is removed, judged on
+the input.
 
 Case and white space do not count in a hash. Occurrences within one Arrow piece are settled
 before the shuffle, so a very common passage sends a row for each piece, not for each document.
@@ -24,14 +28,34 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import neutral, only, pieces, restored, table, written
+from carrel.llm.common import dropped, neutral, only, pieces, restored, table, written
 
-SPAN_WORDS = 30
+PASSAGE_WORDS = 50
 UNIT_WORDS = 16
+SPAN_WORDS = PASSAGE_WORDS - 2 * UNIT_WORDS + 1
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
 _WORD = re.compile(r"\S+\s*")
 
 
+def inner_cuts(long: list[list[str]]) -> list[list[int]]:
+    """Where long sentences are cut: the smallest word hash of every window, the last of equal ones."""
+    if not long:
+        return []
+    hashes = np.frombuffer(b"".join([xxhash.xxh3_64_digest(w) for words in long for w in words]), "<u8")
+    sizes = np.array([len(words) for words in long])
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(long)), sizes)
+    windows = np.lib.stride_tricks.sliding_window_view(hashes[::-1], UNIT_WORDS)
+    places = len(hashes) - 1 - (np.arange(len(windows)) + windows.argmin(axis=1))
+    whole = (owner[UNIT_WORDS - 1 :] == owner[: len(windows)])[::-1]
+    chosen = np.zeros(len(hashes), bool)
+    chosen[places[whole]] = True
+    chosen[ends - sizes] = True
+    cuts = np.flatnonzero(chosen)
+    parts = np.split(cuts, np.searchsorted(cuts, ends[:-1]))
+    return [[*(part - at).tolist(), n] for part, at, n in zip(parts, (ends - sizes).tolist(), sizes.tolist(), strict=True)]
+
+
 def units(text: str) -> tuple[list[int], list[int], list[bytes]]:
     """Starts (one more than units), words and digests of the sentences of a text."""
     cuts = [0, *(m.end() for m in _BREAK.finditer(text))]
@@ -39,19 +63,20 @@ def units(text: str) -> tuple[list[int], list[int], list[bytes]]:
         cuts.append(len(text))
     starts, sizes, digests = [], [], []
     digest = xxhash.xxh64_digest
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        words = text[a:b].lower().split()
+    found = [(a, b, text[a:b].lower().split()) for a, b in zip(cuts, cuts[1:], strict=False)]
+    inner = iter(inner_cuts([words for _, _, words in found if len(words) > UNIT_WORDS]))
+    for a, b, words in found:
         if len(words) <= UNIT_WORDS:
             starts.append(a)
             sizes.append(len(words))
             digests.append(digest(" ".join(words)))
             continue
         places = [a + m.start() for m in _WORD.finditer(text[a:b])]
-        for k in range(0, len(words), UNIT_WORDS):
-            part = words[k : k + UNIT_WORDS]
+        own = next(inner)
+        for k, after in zip(own, own[1:], strict=False):
             starts.append(places[k] if k else a)
-            sizes.append(len(part))
-            digests.append(digest(" ".join(part)))
+            sizes.append(after - k)
+            digests.append(digest(" ".join(words[k:after])))
     starts.append(len(text))
     return starts, sizes, digests
 
@@ -83,7 +108,7 @@ def spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def hashed_spans(docs: DataFrame) -> DataFrame:
-    """run, doc_id, text_key, first, last; run is null where an earlier row of the batch has it."""
+    """run, doc_id, text_key, place (first unit, unit behind the last in the lower half); run is null where an earlier row of the batch has it."""
 
     def cut(batches):
         for batch in pieces(batches):
@@ -96,30 +121,32 @@ def hashed_spans(docs: DataFrame) -> DataFrame:
                 ids += [doc_id] * len(own)
                 keys += [np.uint64(xxhash.xxh64_intdigest(text)).astype(np.int64)] * len(own)
             run = np.array(runs, np.uint64).view(np.int64)
-            ids_, first_ = np.array(ids, np.int64), np.array(first, np.int32)
-            order = np.lexsort((first_, np.array(keys, np.int64), ids_, run))
+            ids_, place = np.array(ids, np.int64), np.array(first, np.int64) << 32 | np.array(last, np.int64)
+            order = np.lexsort((place, np.array(keys, np.int64), ids_, run))
             again = np.zeros(len(run), bool)
             again[order[1:]] = run[order][1:] == run[order][:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(run, mask=again), pa.array(ids_), pa.array(np.array(keys, np.int64)), pa.array(first_), pa.array(np.array(last, np.int32))], ["run", "doc_id", "text_key", "first", "last"])
+            yield pa.RecordBatch.from_arrays([pa.array(run, mask=again), pa.array(ids_), pa.array(np.array(keys, np.int64)), pa.array(place)], ["run", "doc_id", "text_key", "place"])
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, "run long, doc_id long, text_key long, first int, last int")
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, "run long, doc_id long, text_key long, place long")
 
 
 def repeats(found: DataFrame) -> DataFrame:
-    """doc_id, text_key, cover: the unit ranges of all non-first runs; ``found`` can be read twice alike."""
-    place = F.struct("doc_id", "text_key", "first")
+    """doc_id, text_key, cover: the places of all non-first runs; ``found`` can be read twice alike."""
+    place = F.struct("doc_id", "text_key", "place")
     # one exchange by run feeds both the counting and the join; copies were settled within pieces before
     keyed = found.where("run is not null").repartition("run")
     firsts = keyed.groupBy("run").agg(F.min(place).alias("best"), F.count("*").alias("n")).where("n > 1").select("run", "best")
     later = keyed.join(firsts, "run").where(place != F.col("best"))
-    both = later.select("doc_id", "text_key", "first", "last").union(found.where("run is null").select("doc_id", "text_key", "first", "last"))
-    return both.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("first", "last")).alias("cover"))
+    both = later.select("doc_id", "text_key", "place").union(found.where("run is null").select("doc_id", "text_key", "place"))
+    return both.groupBy("doc_id", "text_key").agg(F.collect_set("place").alias("cover"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """All rows and columns of ``docs``; text is what is left; removed_units and removed_chars are added."""
     columns = docs.columns
-    covered = repeats(written(hashed_spans(docs), "spans"))
+    found = written(hashed_spans(docs), "spans")
+    covered = written(repeats(found), "covers")
+    dropped(found)
     keyed = docs.join(covered.groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "cover")).alias("covers")), "doc_id", "left").select(*columns, "covers")
 
     def strip(batches):
@@ -138,8 +165,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 starts = units(text)[0]
                 gone = np.zeros(len(starts), np.int64)
                 for span in own:
-                    gone[span["first"]] += 1
-                    gone[span["last"]] -= 1
+                    gone[span >> 32] += 1
+                    gone[span & 0xFFFFFFFF] -= 1
                 gone = np.cumsum(gone)[:-1] > 0
                 left = "".join(text[starts[k] : starts[k + 1]] for k in np.flatnonzero(~gone).tolist())
                 texts.append(left)

@@ -427,6 +427,45 @@ def test_spans_cover_a_passage_to_its_ends():
     assert covered == inside
 
 
+def test_spans_find_passages_pasted_mid_sentence():
+    """Against a matcher of 50-word runs: no planted passage goes uncovered, wherever its sentences break."""
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+
+    def run_of(n, longest):
+        out = [rng.choice(words) for _ in range(n)]
+        at = rng.randint(1, longest)
+        while at < n:
+            out[at - 1] += "."
+            at += rng.randint(1, longest)
+        return out
+
+    for trial in range(300):
+        longest = rng.choice([6, 12, 16, 17, 20, 40, 90, 500])
+        passage = run_of(rng.choice([50, 50, 51, 60, 120]), longest)
+        if trial % 10 == 0:
+            passage = [passage[k % (trial // 30 + 1)] for k in range(len(passage))]  # short periods, one repeated word
+        texts = []
+        for _ in range(2):
+            host = run_of(rng.randint(0, 90), longest), run_of(rng.randint(0, 90), longest)
+            texts.append((len(host[0]), [*host[0], *passage, *host[1]]))
+        seen = {h for h, *_ in sentences.spans(" ".join(texts[0][1]))}
+        at, later = texts[1]
+        sizes = sentences.units(" ".join(later))[1]
+        gone = np.zeros(len(sizes), bool)
+        for h, a, b in sentences.spans(" ".join(later)):
+            if h in seen:
+                gone[a:b] = True
+        earlier = {tuple(texts[0][1][k : k + 50]) for k in range(len(texts[0][1]) - 49)}
+        held = np.zeros(len(later), bool)
+        for k in range(len(later) - 49):
+            if tuple(later[k : k + 50]) in earlier:
+                held[k : k + 50] = True
+        assert held[at : at + len(passage)].all()
+        covered = np.repeat(gone, sizes) & held
+        assert covered.sum() >= held.sum() - 31, (trial, longest)
+
+
 def test_language_parsing_matches_brute_force():
     samples = {"en": "the thing that is in the other house of an old man and then", "de": "der mann und die frau in dem alten haus der stadt", "xx": "zzz"}
     parser = language.Parser(samples)
