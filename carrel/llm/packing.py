@@ -49,27 +49,36 @@ def json_bpe(path: str):
         from tokenizers import Tokenizer
 
         _TOKENIZERS[path] = Tokenizer.from_file(path)
-        _TOKENIZERS[path].encode_special_tokens = True
     return _TOKENIZERS[path]
 
 
 def token_pieces(docs: DataFrame, json_path: str, ranks_path: str, width: int = WIDTH, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 for every piece of every document.
 
-    Ids come from the vocabulary's rank file by a faster encoder; the shortest text of every
-    Arrow piece is encoded by the tokenizers library too, and a difference fails the task.
+    Ids are the tokenizers library's. A text that holds an added token goes to the library itself;
+    others go to a faster encoder of the vocabulary's rank file, and of every Arrow piece the text
+    of median length among those that are not blank is encoded by the library too: a difference
+    fails the task.
     """
 
     def cut(batches):
-        fast = byte_bpe(ranks_path)
+        fast, library = byte_bpe(ranks_path), json_bpe(json_path)
+        added = [token.content for token in library.get_added_tokens_decoder().values()]
+
+        def encoded(text: str) -> list[int]:
+            if any(token in text for token in added):
+                return library.encode(text, add_special_tokens=False).ids
+            return fast.encode_ordinary(text)
+
         for batch in pieces(batches):
             rows = []
             texts = texts_of(batch)
-            probe = min(texts, key=len)
-            if fast.encode_ordinary(probe) != json_bpe(json_path).encode(probe, add_special_tokens=False).ids:
+            probes = sorted((t for t in texts if t.strip() and not any(token in t for token in added)), key=len)
+            probe = probes[len(probes) // 2] if probes else ""
+            if encoded(probe) != library.encode(probe, add_special_tokens=False).ids:
                 raise ValueError("the two encoders of one vocabulary differ")
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                ids = np.append(np.asarray(fast.encode_ordinary(text), "<u4"), np.uint32(end_id)).astype("<u4")
+                ids = np.append(np.asarray(encoded(text), "<u4"), np.uint32(end_id)).astype("<u4")
                 first = len(ids) % width or width
                 cuts = [0, *range(min(first, len(ids)), len(ids) + 1, width)]
                 rows += [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]

@@ -291,6 +291,23 @@ def test_packing(spark, folder, doc_rows):
     assert len(by) <= -(-total // 1024) + 2
 
 
+def test_packing_ids_of_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # as loaded
+    token = "<|endoftext|>"
+    texts = [f"end {token} next", token, f"{token}{token} a", f"x{token}\n{token} " * 700, "<|endoftext", "<|endoftext|", f"  {token}  é世😀", "plain text.", "", " "]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for i, t in enumerate(texts):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 2]
+        cuts = [0, *range(len(ids) % 1024 or 1024, len(ids) + 1, 1024)]
+        want |= {(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(itertools.pairwise(cuts))}
+    rows = ran(spark, "op6_best_fit_packing", str(tmp_path))
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows} == want
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [437, 220, 50256, 1306]
+
+
 @pytest.mark.parametrize("n", [0, 1, 40, 5000])
 def test_plan_covers_histogram(n):
     lengths = np.minimum(np.random.default_rng(n).integers(1, 1300, n), 1024)
