@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,17 +64,45 @@ def pieces(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[
             yield batch.slice(at, step)
 
 
+def returned() -> None:
+    """Give freed memory back to the system: Arrow's pool and the C heap keep it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+#: bytes of an Arrow batch between the JVM and a worker, where the session has Spark's own default
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """df.mapInArrow with batches of bounded bytes; a worker that stays alive holds little between tasks."""
+
+    def run(batches):
+        yield from work(batches)
+        returned()
+
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH) in ("64MB", str(64 << 20), f"{64 << 20}b"):
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of our own where none is set (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; in local mode, where none is set, one of our own."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir")
     if named:
         return named
     if context.getCheckpointDir() is None:
+        if context.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="carrel-"))
     return context.getCheckpointDir()
 
@@ -120,9 +151,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         linked = large.join(least, "hi")
         small = linked.select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo").union(least.select("hi", F.col("m")))
-        pairs = written(small.distinct(), "stars")
-        now = pairs.agg(F.count("*"), F.sum(F.hash("hi", "lo").cast("long"))).first()
-        if now == marks:
+        before, pairs = pairs, written(small.distinct(), "stars")
+        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)"))).first()
+        settled = now == marks and before.exceptAll(pairs).isEmpty()
+        dropped(before)
+        if settled:
             break
         marks = now
     else:

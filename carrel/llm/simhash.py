@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import components, neutral, only, pieces, restored, smallest, table, written
+from carrel.llm.common import components, mapped, neutral, only, pieces, restored, smallest, table, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.array([fingerprint(t) for t in batch.column("text").to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "print"])
 
-    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(hashed, "doc_id long, print long")
+    return mapped(only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), hashed, "doc_id long, print long")
 
 
 def _distance(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
@@ -186,7 +186,7 @@ def links(distinct: DataFrame, n: int) -> DataFrame:
         edges = np.array(forest.edges, np.int64).reshape(-1, 2)
         return pa.table({"a": prints[edges[:, 0]].view(np.int64), "b": prints[edges[:, 1]].view(np.int64)})
 
-    spread = distinct.select("print").mapInArrow(dealt, "shard int, print long, home boolean")
+    spread = mapped(distinct.select("print"), dealt, "shard int, print long, home boolean")
     return spread.groupBy("shard").applyInArrow(linked, "a long, b long")
 
 
