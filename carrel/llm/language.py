@@ -3,17 +3,20 @@
 For every language a suffix automaton of a bounded sample of labelled text is built. A text is
 parsed into phrases, each the longest match that the automaton holds; the language with the
 fewest phrases wins, normalised by the logarithm of the sample's length (the bits that name a
-phrase; per letter, this is the cross-parsing entropy). Texts are folded to lower-case letters with single spaces
-and cut into segments of at most 512 letters, which are parsed side by side as arrays (a phrase
-ends at a segment's end, for every language alike).
-
-The sample is bounded by ``letters`` a language and ``total`` over all languages (documented
-parameters, so the automata have a proven size bound): the labelled documents with the smallest
-hash of their id. A text that is null or has no letter is ``und`` with score 0. Ties go to the
-alphabetically first language. The score is 1 less the ratio of the best to the second-best
-number of phrases (1 if only one language was learned). With nothing learned, everything is
-``und``. Rows with equal ids are rows of their own; extra columns are carried by the stage
-and left out by the query.
+phrase; per letter, this is the cross-parsing entropy). Texts are folded to lower-case letters,
+with their marks, and single spaces. Whole texts are parsed: segments of a text are first parsed
+side by side as arrays, each as if a phrase began with it; then every segment is parsed again from
+the state that the one before ends in, up to where both parses begin a phrase at the same letter,
+behind which they agree.
+
+The sample is bounded by ``letters`` a language, ``total`` over all languages and ``most``
+languages, commonest first (documented parameters, so the automata have a proven size bound): the
+labelled documents with the smallest hash of their id. A text that is null or has no letter is
+``und`` with score 0. Ties go to the alphabetically first language. The score is 1 less the ratio
+of the best to the second-best number of phrases (1 if only one language was learned). With
+nothing learned, everything is ``und``. A null doc_id is not learned from and not held out. Rows
+with equal ids are rows of their own; extra columns are carried by the stage and left out by the
+query.
 """
 
 from __future__ import annotations
@@ -23,14 +26,18 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from carrel.llm.common import neutral, only, pieces, restored, table, texts_of
+from carrel.llm.common import mapped, neutral, only, pieces, restored, table, texts_of
 
 LETTERS = 24_000
 TOTAL = 400_000
+#: languages learned at most: each then has TOTAL / MOST letters
+MOST = 1_000
 SEGMENT = 512
+#: up to so many segments are followed one by one, more of them as arrays
+FEW = 12
 #: text handled at once within a task: its arrays take some twenty times as much
 PIECE = 2 << 20
 UNDETERMINED = "und"
@@ -73,11 +80,12 @@ class SuffixAutomaton:
 
 
 class _Fold(dict):
-    """str.translate table: letters to lower case, all else to a space; filled as met."""
+    """str.translate table: letters to lower case, marks as they are, all else to a space; filled as met."""
 
     def __missing__(self, point: int):
         c = chr(point)
-        low = c.lower()[:1] if unicodedata.category(c)[0] == "L" else " "
+        kind = unicodedata.category(c)[0]
+        low = c.lower()[:1] if kind == "L" else c if kind == "M" else " "
         self[point] = low
         return low
 
@@ -116,37 +124,103 @@ class Parser:
         start = np.repeat(np.cumsum(sizes) - sizes, counts) + within * SEGMENT
         size = np.minimum(SEGMENT, np.repeat(sizes, counts) - within * SEGMENT)
         order = np.argsort(-size, kind="stable")
-        start, size, owner = start[order], size[order], owner[order]
-        live_at = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # segments longer than t
         out = np.zeros((len(texts), len(self.tables)), np.int64)
         for k, step in enumerate(self.tables):
-            flat, width = step.ravel(), step.shape[1]
+            begins = np.zeros(len(codes), bool)
             state = np.zeros(len(start), np.int32)
-            ended = np.zeros(len(start), np.int32)
-            for t in range(SEGMENT):
-                n = live_at[t]
-                if not n:
-                    break
-                c = codes[start[:n] + t]
-                to = flat[state[:n] * width + c]
-                failed = np.flatnonzero(to == 0)
-                if len(failed):
-                    # the phrase ends before this letter (if one had begun); the letter begins the next
-                    ended[failed] += state[failed] != 0
-                    again = flat[c[failed]]
-                    ended[failed] += again == 0  # a letter the sample lacks is a phrase of its own
-                    to[failed] = again
-                state[:n] = to
-            ended += state != 0
-            out[:, k] = np.bincount(owner, weights=ended, minlength=len(texts)).astype(np.int64)
+            state[order] = self._parsed(step, codes, start[order], size[order], begins)
+            per_segment = self._joined(step, codes, start, size, within, state, begins)
+            out[:, k] = np.bincount(owner, weights=per_segment, minlength=len(texts)).astype(np.int64)
         return out
 
+    @staticmethod
+    def _stepped(step: np.ndarray, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and where a phrase begins with the letter (one the sample lacks is a phrase of its own)."""
+        flat, width = step.ravel(), step.shape[1]
+        to = flat[state * width + c]
+        begun = (to == 0) | (state == 0)
+        failed = np.flatnonzero(to == 0)
+        to[failed] = flat[c[failed]]
+        return to, begun
+
+    def _parsed(self, step, codes, start, size, begins) -> np.ndarray:
+        """Parse segments (longest first) each from a fresh phrase; marks ``begins``, gives the last states."""
+        state = np.zeros(len(start), np.int32)
+        live = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # segments longer than t
+        for t in range(SEGMENT):
+            n = live[t]
+            if not n:
+                break
+            at = start[:n] + t
+            state[:n], begun = self._stepped(step, state[:n], codes[at])
+            begins[at[begun]] = True
+        return state
+
+    @staticmethod
+    def _walked(step, codes, begins, state: int, at: int, end: int) -> tuple[int, int, int]:
+        """One segment letter by letter up to where ``begins`` agrees: last state, phrases begun, place."""
+        flat, width, begun = memoryview(step.reshape(-1)), step.shape[1], 0
+        for c, there in zip(codes[at:end].tolist(), begins[at:end].tolist(), strict=True):
+            to = flat[state * width + c]
+            if not to or not state:
+                if there:
+                    break
+                begun += 1
+                to = to or flat[c]
+            state = to
+            at += 1
+        return state, begun, at
+
+    def _joined(self, step, codes, start, size, within, state, begins) -> np.ndarray:
+        """Phrases of each segment when every text is parsed as a whole.
+
+        A segment whose state at the end comes out otherwise than first thought has the next one
+        parsed again.
+        """
+        upto = np.r_[0, np.cumsum(begins)]
+        phrases = upto[start + size] - upto[start]
+        last = state.copy()
+        todo = np.flatnonzero(within > 0)
+        while len(todo):
+            now, own, at = last[todo - 1], np.zeros(len(todo), np.int64), start[todo].copy()
+            ends = start[todo] + size[todo]
+            after = state[todo].copy()
+            live = np.arange(len(todo))
+            count = np.zeros(len(todo), np.int64)
+            while len(live) > FEW:
+                here = at[live]
+                to, begun = self._stepped(step, now[live], codes[here])
+                met = begun & begins[here]
+                own[live] += begun & ~met
+                now[live] = to
+                at[live] += 1
+                count[live[met]] = upto[ends[live[met]]] - upto[here[met]]
+                live = live[~met]
+                over = at[live] == ends[live]
+                after[live[over]] = now[live[over]]
+                live = live[~over]
+            for lane in live.tolist():
+                here, end = int(at[lane]), int(ends[lane])
+                now[lane], begun, here = self._walked(step, codes, begins, int(now[lane]), here, end)
+                own[lane] += begun
+                if here < end:
+                    count[lane] = upto[end] - upto[here]
+                else:
+                    after[lane] = now[lane]
+            phrases[todo] = own + count
+            changed = todo[after != last[todo]]
+            last[todo] = after
+            todo = changed + 1
+            todo = todo[todo < len(start)]
+            todo = todo[within[todo] > 0]
+        return phrases
+
     def judged(self, texts: list[str]) -> list[tuple[str, float]]:
         plain = [folded(t) for t in texts]
         counts = self.phrases(plain) * self.cost
         out = []
         for text, row in zip(plain, counts.tolist(), strict=True):
-            if not text or not self.languages:
+            if not self.languages or not any(map(str.isalpha, text)):
                 out.append((UNDETERMINED, 0.0))
                 continue
             best = min(range(len(row)), key=row.__getitem__)
@@ -171,30 +245,32 @@ def fold_of(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(3))
 
 
-def samples(labelled: DataFrame, letters: int = LETTERS, total: int = TOTAL) -> dict[str, str]:
+def samples(labelled: DataFrame, letters: int = LETTERS, total: int = TOTAL, most: int = MOST) -> dict[str, str]:
     """Folded training text by language, at most ``letters`` each and ``total`` together.
 
-    ``labelled``: doc_id, text, lang. The ids with the smallest hashes are found first (ids and
-    languages only are read), a bounded number of each language; then their texts.
+    ``labelled``: doc_id, text, lang. Languages are counted first; a bound on the hash of the id
+    then leaves a little more than the wanted number of documents of each, whatever the number of
+    languages, and the smallest hashes of those give the sample.
     """
     known = labelled.where("lang is not null and text is not null and doc_id is not null")
-    names = [r["lang"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()]
-    each = max(200, min(letters, total // max(len(names), 1)))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
+    if not sizes:
+        return {}
+    each = min(letters, total // len(sizes))
     wanted = 1 + each // 300
-    picked = []
-    for name in names:
-        own = known.where(F.col("lang") == name).select("doc_id", F.xxhash64("doc_id").alias("h"))
-        picked += [(r["doc_id"], name) for r in own.orderBy("h", "doc_id").limit(wanted).collect()]
-    found: dict[str, list[tuple[int, str]]] = {}
-    ids = [i for i, _ in picked]
-    if ids:
-        part = known.where(F.col("doc_id").isin(ids)).select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, 2 * each).alias("text"))
-        for r in part.collect():
-            found.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    share = max(600, 4 * each // wanted)
+    bounds = [(r["lang"], int(-(2**63) + 2**64 * min(1.0, (2 * wanted + 40) / r["n"])) - 1) for r in sizes]
+    limits = labelled.sparkSession.createDataFrame(bounds, f"lang {labelled.schema['lang'].dataType.simpleString()}, bound long")
+    h = F.xxhash64("doc_id")
+    near = known.join(F.broadcast(limits), "lang").where(h <= F.col("bound")).select("lang", h.alias("h"), "doc_id", F.substring("text", 1, 4 * share).alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))
+    found: dict[str, list[str]] = {}
+    for r in near.withColumn("place", place).where(F.col("place") <= wanted).orderBy("lang", "place").collect():
+        found.setdefault(r["lang"], []).append(r["text"])
     out = {}
     for name, rows in found.items():
-        share = max(600, each // max(1, len(rows) // 4))
-        text = " ".join(folded(t)[:share] for _, t in sorted(rows))
+        own = max(600, each // max(1, len(rows) // 4))
+        text = " ".join(folded(t)[:own] for t in rows)
         if text.strip():
             out[name] = text[:each]
     return out
@@ -210,7 +286,7 @@ def identified(docs: DataFrame, trained: dict[str, str], kept: list[str]) -> Dat
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
-    return docs.mapInArrow(judge, f"{kinds}, lang_pred string, score double")
+    return mapped(docs, judge, f"{kinds}, lang_pred string, score double")
 
 
 def learn(docs: DataFrame) -> dict[str, str]:
@@ -220,7 +296,7 @@ def learn(docs: DataFrame) -> dict[str, str]:
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = only(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
-    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (fold_of(F.col("doc_id")) == 1).alias("held_out"), F.col("text").cast("string").alias("text"))
+    asked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(fold_of(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), F.col("text").cast("string").alias("text"))
     return identified(asked, learn(docs), ["doc_id", "held_out"])
 
 
