@@ -5,14 +5,23 @@ with a smaller id, or further to the front of the same one. All is judged on the
 
 Which suffixes can matter is found first, as in distinguishing-prefix merge sort: in every window
 of LENGTH bytes the GRAM-byte string with the least hash is the window's anchor (its place depends
-on the window's bytes alone, so equal windows have their anchors at equal places). An anchor with
-the windows it serves goes out as two hashes. Anchors with equal hashes of all their windows'
-bytes settle one another outright; suffixes at anchors that share the gram only are left for the
-sort. A map task sorts these suffixes, front-codes them (length of the prefix shared with the one
-before, then the rest) and sends one sorted run to every range of a sampled partition. A range
-merges its runs with a loser tree that keeps, for every run's head, the prefix it shares with the
-last suffix out, and compares behind it only. Windows are equal where neighbours in the sorted
-order share enough to the right and the bytes left of the anchor agree (64-bit hashes).
+on the window's bytes alone, so equal windows have their anchors at equal places). The hash of an
+anchor's gram goes out once for each piece of text; every suffix that begins at an anchor whose
+gram occurs again, anywhere, takes part in the sort. Hashes choose these candidates only: what is
+removed is decided by the bytes that sorted neighbours share.
+
+A map task sorts its candidates by the hash of their gram, then by their bytes up to the end of
+the last window they serve; suffixes of one task that agree in all bytes of their windows are one
+entry, their later copies being repeats of it. It front-codes the sorted run (length of the prefix
+shared with the entry before, then the rest) and sends a section of it to every range of hashes.
+A range merges its sections with a loser tree that keeps, for every section's head, the prefix it
+shares with the last entry out, and compares behind it only. Windows with r bytes left of the
+anchor are equal where the merged order shares LENGTH - r bytes on the right and the sorted left
+contexts share r bytes: both are read off prefixes shared by neighbours.
+
+A gram with more than a bounded number of anchors (a line in very many documents) is no entry of
+its own: its windows are sorted as strings of LENGTH bytes under their own hashes, so that they
+fall into many ranges and equal windows of a task are one entry.
 
 Null text counts as empty. Rows with a null doc_id are left whole. Rows with equal ids are parts
 of one document, ordered by a checksum of their texts; identical rows count once and get the same
@@ -22,7 +31,7 @@ overlapping segments for the search only.
 
 from __future__ import annotations
 
-import zlib
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +39,20 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import only, pieces, smallest, table, written
+from carrel.llm.common import mapped, only, pieces, table, written
 
 LENGTH = 100
 GRAM = 32
 WINDOW = LENGTH - GRAM + 1
 SEGMENT = 2 << 20
 PLACE_BITS = 24
-PART_BYTES = 16 << 20
-SAMPLE = 20_000
+PART_BYTES = 24 << 20
+#: anchors and bytes of candidates that a map task holds before it sends them
+HELD = 1 << 19
+RUN_BYTES = 24 << 20
+#: anchors of one gram in one range; of ten times as many hot grams as this there can't be more than MOST_HOT
+HOT = 200_000
+MOST_HOT = 1_000_000
 _BYTE_CODES = np.random.default_rng(100).integers(1, 1 << 63, 256).astype(np.uint64) | np.uint64(1)
 
 
@@ -85,149 +99,119 @@ def _segments(raw: bytes):
         yield at, raw[at : at + SEGMENT + LENGTH - 1]
 
 
-ANCHOR = np.dtype([("gram", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("key", "<i4"), ("at", "<u4"), ("back", "u1"), ("more", "u1")])
-COVER = "doc_id long, text_key int, start int, stop int, anchor int"
-
-
-def _key(raw: bytes) -> int:
-    return zlib.crc32(raw) - (1 << 31)
+ANCHOR = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("key", "<i4"), ("at", "<i4"), ("back", "u1"), ("more", "u1"), ("n", "<u4")])
+_FIELDS = [("low", "<u4"), ("high", "<u2"), ("doc", "<i8"), ("key", "<i4"), ("at", "<i4"), ("back", "u1"), ("more", "u1"), ("n", "<u4")]
 
 
 def _packed(rows: np.ndarray) -> bytes:
     """Anchor rows field by field; ids as differences, which compress well."""
-    order = np.lexsort((rows["at"], rows["doc"]))
-    rows = rows[order]
-    return b"".join([len(rows).to_bytes(4, "little"), (rows["gram"] >> np.uint64(32)).astype("<u4").tobytes(), (rows["gram"] >> np.uint64(16)).astype("<u2").tobytes(), rows["whole"].tobytes(), np.diff(rows["doc"], prepend=0).astype("<i8").tobytes(), np.diff(rows["key"], prepend=np.int32(0)).astype("<i4").tobytes(), rows["at"].tobytes(), rows["back"].tobytes(), rows["more"].tobytes()])
+    rows = rows[np.lexsort((rows["at"], rows["doc"]))]
+    columns = {c: rows[c] for c in ("key", "at", "back", "more", "n")} | {"low": rows["gram"] & np.uint64(0xFFFFFFFF), "high": rows["gram"] >> np.uint64(32), "doc": np.diff(rows["doc"], prepend=0)}
+    return b"".join([len(rows).to_bytes(4, "little"), *(columns[c].astype(k).tobytes() for c, k in _FIELDS)])
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
-    n, at = int.from_bytes(blob[:4], "little"), 4
+    n, at, columns = int.from_bytes(blob[:4], "little"), 4, {}
+    for c, k in _FIELDS:
+        columns[c] = np.frombuffer(blob, k, n, at)
+        at += columns[c].nbytes
     rows = np.zeros(n, ANCHOR)
-
-    def take(kind):
-        nonlocal at
-        out = np.frombuffer(blob, kind, n, at)
-        at += out.nbytes
-        return out
-
-    rows["gram"] = take("<u4").astype("<u8") << np.uint64(16)
-    rows["gram"] |= take("<u2")
-    rows["whole"] = take("<u8")
-    rows["doc"] = np.cumsum(take("<i8"))
-    rows["key"] = np.cumsum(take("<i4"), dtype=np.int32)
-    rows["at"], rows["back"], rows["more"] = take("<u4"), take("u1"), take("u1")
+    rows["gram"] = columns["high"].astype("<u8") << np.uint64(32) | columns["low"]
+    rows["doc"] = np.cumsum(columns["doc"])
+    for c in ("key", "at", "back", "more", "n"):
+        rows[c] = columns[c]
     return rows
 
 
-def _first_of_each(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order by (gram, whole, place); True where a row starts a (gram, whole) group; identical rows once."""
-    order = np.lexsort((rows["at"], rows["key"], rows["doc"], rows["whole"], rows["gram"]))
-    rows = rows[order]
-    same = (rows["gram"][1:] == rows["gram"][:-1]) & (rows["whole"][1:] == rows["whole"][:-1])
-    twin = same & (rows["doc"][1:] == rows["doc"][:-1]) & (rows["key"][1:] == rows["key"][:-1]) & (rows["at"][1:] == rows["at"][:-1])
-    keep = np.r_[True, ~twin] if len(rows) else np.zeros(0, bool)
-    first = np.r_[True, ~same] if len(rows) else np.zeros(0, bool)
-    return rows[keep], first[keep]
-
-
-def _covers(rows: np.ndarray, anchor: bool) -> pa.RecordBatch:
-    """Rows as covered ranges, or (anchor=True) as suffixes to sort: range of windows and anchor."""
-    at, back, more = rows["at"].astype(np.int64), rows["back"].astype(np.int64), rows["more"].astype(np.int64)
-    start = at - back
-    stop = start + more + (0 if anchor else LENGTH)
-    place = pa.array(at.astype(np.int32)) if anchor else pa.nulls(len(rows), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(rows["doc"]), pa.array(rows["key"]), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), place], ["doc_id", "text_key", "start", "stop", "anchor"])
-
-
 def sent_anchors(docs: DataFrame, parts: int) -> DataFrame:
-    """part, blob: the anchors of all texts; those that an Arrow piece settles itself are sent apart."""
+    """part, settled, blob: each gram of a piece once, with its count; grams that the piece itself repeats are settled."""
 
     def find(batches):
-        def flush(held):
-            x = np.frombuffer(b"".join(s for *_, s in held), np.uint8)
-            ends = np.cumsum([len(s) for *_, s in held])
+        held: list[np.ndarray] = []
+
+        def anchored(texts):
+            x = np.frombuffer(b"".join(s for *_, s in texts), np.uint8)
+            ends = np.cumsum([len(s) for *_, s in texts])
             at, first, last, gram = anchors(x, ends)
             rows = np.zeros(len(at), ANCHOR)
             own = np.searchsorted(ends, at, side="right")
-            base = np.r_[0, ends[:-1]][own] - np.array([h[2] for h in held], np.int64)[own]
+            base = np.r_[0, ends[:-1]][own] - np.array([h[2] for h in texts], np.int64)[own]
             rows["gram"] = gram >> np.uint64(16)
-            rows["doc"], rows["key"] = np.array([h[0] for h in held], np.int64)[own], np.array([h[1] for h in held], np.int32)[own]
+            rows["doc"], rows["key"] = np.array([h[0] for h in texts], np.int64)[own], np.array([h[1] for h in texts], np.int32)[own]
             rows["at"], rows["back"], rows["more"] = at - base, at - first, last - first
-            view, digest = memoryview(x), xxhash.xxh3_64_intdigest
-            rows["whole"] = [digest(view[a : b + LENGTH], (c - a) * 128 + b - a) for c, a, b in zip(at.tolist(), first.tolist(), last.tolist(), strict=True)]
-            rows, lead = _first_of_each(rows)
-            later = rows[~lead]
-            out = []
-            if len(later):
-                out.append((int(later["whole"][0] % np.uint64(parts)), later, True))
-            rows = rows[lead]
-            part = (rows["gram"] % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(parts + 1))
-            out += [(k, rows[order[cuts[k] : cuts[k + 1]]], False) for k in range(parts) if cuts[k] < cuts[k + 1]]
-            return pa.RecordBatch.from_arrays([pa.array([k for k, *_ in out], pa.int32()), pa.array([s for *_, s in out]), pa.array([_packed(r) for _, r, _ in out], pa.binary())], ["part", "settled", "blob"])
-
-        held, size = [], 0
+            held.append(rows)
+
+        def emit():
+            rows = np.concatenate(held)
+            held.clear()
+            rows = rows[np.lexsort((rows["at"], rows["key"], rows["doc"], rows["gram"]))]
+            twin = np.r_[False, (rows[1:] == rows[:-1])] if len(rows) else np.zeros(0, bool)  # rows that are in the table twice
+            rows = rows[~twin]
+            first = np.flatnonzero(np.r_[True, rows["gram"][1:] != rows["gram"][:-1]]) if len(rows) else np.zeros(0, np.int64)
+            n = np.diff(np.r_[first, len(rows)])
+            here = rows[np.repeat(n > 1, n)]
+            lead = rows[first]
+            lead["n"] = n
+            for c in ("doc", "key", "at", "back", "more"):
+                lead[c][n > 1] = 0
+            part = (lead["gram"] % np.uint64(parts)).astype(np.int64)
+            lead, part = lead[np.argsort(part, kind="stable")], np.sort(part)
+            cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, np.int64)
+            out = [(int(part[a]), False, _packed(lead[a:b])) for a, b in pairwise(cuts.tolist())]
+            out += [(int(here["gram"][a] % np.uint64(parts)), True, _packed(here[a : a + HELD])) for a in range(0, len(here), HELD)]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, *_ in out], pa.int32()), pa.array([s for _, s, _ in out], pa.bool_()), pa.array([b for *_, b in out], pa.binary())], ["part", "settled", "blob"])
+
+        texts, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                raw = (text or "").encode()
-                key = _key(raw)
-                for at, segment in _segments(raw):
+            for doc_id, key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                for at, segment in _segments((text or "").encode()):
                     if len(segment) < LENGTH:
                         continue
-                    held.append((doc_id, key, at, segment))
+                    texts.append((doc_id, key, at, segment))
                     size += len(segment)
                     if size >= SEGMENT:
-                        yield flush(held)
-                        held, size = [], 0
+                        anchored(texts)
+                        texts, size = [], 0
+                        if sum(map(len, held)) >= HELD:
+                            yield emit()
+        if texts:
+            anchored(texts)
         if held:
-            yield flush(held)
+            yield emit()
+
+    return mapped(docs, find, "part int, settled boolean, blob binary")
 
-    return docs.mapInArrow(find, "part int, settled boolean, blob binary")
 
+def candidates(sent: DataFrame, parts: int, hot: int) -> DataFrame:
+    """doc_id, text_key, at, span of the anchors whose gram occurs again; or only the hash of a gram with over ``hot`` anchors."""
 
-def settled(sent: DataFrame, parts: int) -> DataFrame:
-    """Covered ranges, and (where anchor is not null) suffixes whose gram others share."""
+    def marks(rows: np.ndarray, hottest: np.ndarray) -> pa.RecordBatch:
+        n, m = len(rows), len(hottest)
+        span = rows["back"].astype(np.int32) << 8 | rows["more"]
+        columns = [(rows["doc"], pa.int64()), (rows["key"], pa.int32()), (rows["at"], pa.int32()), (span, pa.int32())]
+        arrays = [pa.concat_arrays([pa.array(c, k), pa.nulls(m, k)]) for c, k in columns]
+        return pa.RecordBatch.from_arrays([*arrays, pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(hottest.astype(np.int64))])], ["doc_id", "text_key", "at", "span", "hot"])
+
+    none = np.zeros(0, np.uint64)
 
     def settle(batches):
-        rows = []
+        held = []
         for batch in batches:
             for apart, blob in zip(batch.column("settled").to_pylist(), batch.column("blob").to_pylist(), strict=True):
                 if apart:
-                    yield _covers(_unpacked(blob), False)
+                    yield marks(_unpacked(blob), none)
                 else:
-                    rows.append(_unpacked(blob))
-        if not rows:
-            return
-        rows, lead = _first_of_each(np.concatenate(rows))
-        yield _covers(rows[~lead], False)
-        rows = rows[lead]
-        near = rows["gram"][1:] == rows["gram"][:-1]
-        yield _covers(rows[np.r_[near, False] | np.r_[False, near]], True)
-
-    return sent.repartition(parts, "part").mapInArrow(settle, COVER)
-
-
-def suffixes(docs: DataFrame, marked: DataFrame) -> DataFrame:
-    """doc_id, text_key, at, least and most bytes left of the anchor, right (from the anchor on), left (reversed)."""
-    wanted = marked.where("anchor is not null").groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop", "anchor")).alias("wanted"))
-
-    def cut(batches):
-        for batch in pieces(batches, SEGMENT):
-            rows = []
-            for doc_id, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
-                raw = (text or "").encode()
-                key = _key(raw)
-                for w in wanted:
-                    if w["text_key"] == key:
-                        a, b, p = w["start"], w["stop"], w["anchor"]
-                        rows.append((doc_id, key, p, p - b, p - a, raw[p : b + LENGTH], raw[a:p][::-1]))
-            if rows:
-                columns = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "text_key", "at", "least", "most", "right", "left"])
+                    held.append(_unpacked(blob))
+        if held:
+            rows = np.concatenate(held)
+            held.clear()
+            rows = rows[np.argsort(rows["gram"], kind="stable")]
+            first = np.flatnonzero(np.r_[True, rows["gram"][1:] != rows["gram"][:-1]])
+            total = np.add.reduceat(rows["n"].astype(np.int64), first)
+            again = np.repeat(total > 1, np.diff(np.r_[first, len(rows)])) & (rows["n"] == 1)
+            yield marks(rows[again], rows["gram"][first[total > hot]])
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(cut, "doc_id long, text_key int, at int, least int, most int, right binary, left binary")
+    return mapped(sent.repartition(parts, "part"), settle, "doc_id long, text_key int, at int, span int, hot long")
 
 
 def shared(a: bytes, b: bytes, known: int) -> int:
@@ -307,95 +291,175 @@ def merged(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[tuple[int, i
     return order, common
 
 
-def sorted_runs(found: DataFrame, splitters: list[bytes]) -> DataFrame:
-    """One front-coded run for each task piece and range, with what belongs to its suffixes."""
+def _entries(raw: bytes, wanted: list[dict], hottest: np.ndarray):
+    """(sort key, left context reversed, place, bytes left of it in its last and first window) of one text's candidates."""
+    at = np.array([w["at"] for w in wanted], np.int64)
+    grams = gram_hashes(np.frombuffer(b"".join([raw[p : p + GRAM] for p in at.tolist()]), np.uint8))[::GRAM] >> np.uint64(16)
+    hot = np.isin(grams, hottest) if len(hottest) else np.zeros(len(at), bool)
+    for w, gram, split in zip(wanted, grams.tolist(), hot.tolist(), strict=True):
+        p = w["at"]
+        first = p - (w["span"] >> 8)
+        last = first + (w["span"] & 255)
+        if not split:
+            yield gram.to_bytes(6, "big") + raw[p : last + LENGTH], raw[first:p][::-1], p, p - last, p - first
+            continue
+        for start in range(first, last + 1):
+            window = raw[start : start + LENGTH]
+            yield (xxhash.xxh3_64_intdigest(window) >> 16).to_bytes(6, "big") + window, b"", start, 0, 0
 
-    def run(batches):
-        import bisect
 
-        for batch in batches:
-            right = batch.column("right").to_pylist()
-            order = sorted(range(len(right)), key=right.__getitem__)
-            part = [bisect.bisect_right(splitters, right[k][:GRAM]) for k in order]
-            cuts = [0, *(k for k in range(1, len(part)) if part[k] != part[k - 1]), len(part)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if a == b:
-                    continue
-                own = pa.array(order[a:b])
-                arrays = [batch.column(c).take(own).to_numpy().tobytes() for c in ("doc_id", "text_key", "at", "least", "most")]
-                left = batch.column("left").take(own).to_pylist()
-                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in ((part[a], pa.int32()), (front_coded([right[k] for k in order[a:b]]), pa.binary()), *((x, pa.binary()) for x in arrays), (b"".join(bytes([len(x)]) + x for x in left), pa.binary()))], ["part", "run", "doc_id", "text_key", "at", "least", "most", "left"])
+_ENTRY = [("doc", "<i8"), ("key", "<i4"), ("at", "<i4"), ("least", "u1"), ("most", "u1")]
 
-    return found.mapInArrow(run, "part int, run binary, doc_id binary, text_key binary, at binary, least binary, most binary, left binary")
 
+def sorted_runs(docs: DataFrame, marked: DataFrame, parts: int, hottest: np.ndarray) -> DataFrame:
+    """part, run, blob: sections of sorted, front-coded runs; where run is false, the ranges of copies within a run."""
+    wanted = marked.where("hot is null").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("at", "span")).alias("wanted"))
 
-def _left_hashes(blob: bytes, n: int) -> np.ndarray:
-    """hash of the first r bytes left of each anchor, for r from 0 to WINDOW - 1."""
-    letters, at = np.zeros((n, WINDOW - 1), np.uint8), 0
-    for k in range(n):
-        size = blob[at]
-        letters[k, :size] = np.frombuffer(blob, np.uint8, size, at + 1)
-        at += size + 1
-    out = np.zeros((n, WINDOW), np.uint64)
-    for r in range(1, WINDOW):
-        h = (out[:, r - 1] ^ _BYTE_CODES[letters[:, r - 1]]) * np.uint64(0x9E3779B97F4A7C15)
-        out[:, r] = h ^ (h >> np.uint64(29))
-    return out
+    def run(batches):
+        def emit():
+            order = sorted(range(len(held)), key=held.__getitem__)
+            sections: dict[int, list[tuple]] = {}
+            copies, before = [], None
+            for k in order:
+                entry = held[k]
+                if before is not None and entry[0] == before[0] and entry[1] == before[1]:
+                    if entry[2:5] != before[2:5]:
+                        copies.append(entry)  # the earliest place comes first
+                    continue
+                before = entry
+                sections.setdefault(int.from_bytes(entry[0][:6], "big") * parts >> 48, []).append(entry)
+            out = []
+            for part, own in sections.items():
+                columns = dict(zip(("doc", "key", "at", "least", "most"), zip(*(e[2:] for e in own), strict=True), strict=True))
+                code = front_coded([e[0] for e in own])
+                meta = b"".join(np.array(columns[c], np.int64).astype(k).tobytes() for c, k in _ENTRY)
+                out.append((part, True, b"".join([len(own).to_bytes(4, "little"), len(code).to_bytes(4, "little"), code, meta, *(e[1] for e in own)])))
+            if copies:
+                doc, key, at, least, most = (np.array(c, np.int64) for c in zip(*(e[2:] for e in copies), strict=True))
+                ranges = np.stack([doc, key, at - most, at - least + LENGTH])
+                out.append((len(copies) % parts, False, ranges.astype("<i8").tobytes()))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.bool_()), pa.array([x[2] for x in out], pa.binary())], ["part", "run", "blob"])
+
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            seen = set()  # identical rows count once
+            for doc_id, key, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist(), batch.column("text").to_pylist(), batch.column("wanted").to_pylist(), strict=True):
+                if (doc_id, key) in seen:
+                    continue
+                seen.add((doc_id, key))
+                raw = (text or "").encode()
+                for entry, left, at, least, most in _entries(raw, wanted, hottest):
+                    held.append((entry, left, doc_id, key, at, least, most))
+                    size += len(entry) + len(left)
+                    if size >= RUN_BYTES:
+                        yield emit()
+                        size = 0
+        if held:
+            yield emit()
+
+    return mapped(docs.join(wanted, ["doc_id", "text_key"]).select("doc_id", "text_key", "text", "wanted"), run, "part int, run boolean, blob binary")
+
+
+def _section(blob: bytes):
+    """Entries, the prefix each shares with the one before, columns and left contexts of a section."""
+    n, size = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
+    strings, common = front_decoded(blob[8 : 8 + size])
+    at, columns = 8 + size, {}
+    for c, k in _ENTRY:
+        columns[c] = np.frombuffer(blob, k, n, at).astype(np.int64)
+        at += n * np.dtype(k).itemsize
+    ends = at + np.cumsum(columns["most"] * (columns["most"] > 0))
+    left = [blob[b - m : b] for b, m in zip(ends.tolist(), columns["most"].tolist(), strict=True)]
+    return strings, common, columns, left
+
+
+def _neighbours(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each string in sorted order, and the prefix that each in that order shares with the one before."""
+    width = WINDOW - 1
+    letters = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in strings]), np.uint8).reshape(-1, width)
+    order = np.array(sorted(range(len(strings)), key=[s.ljust(width, b"\0") for s in strings].__getitem__))
+    differ = letters[order[1:]] != letters[order[:-1]]
+    common = np.r_[0, np.where(differ.any(axis=1), differ.argmax(axis=1), width)]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return place, common
+
+
+def equal_windows(right: np.ndarray, left_place: np.ndarray, left_common: np.ndarray, rank: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For entries in merged order: fewest and most bytes left of the anchor of windows that an earlier place has too (-1: none).
+
+    ``right``: bytes right of the anchor shared with the entry before; ``left_place`` and
+    ``left_common``: the same for the sorted left contexts; ``rank``: the order of places (equal
+    for rows that are in the table twice).
+    """
+    n = len(right)
+    low, high = np.full(n, WINDOW), np.full(n, -1)
+    best = np.maximum(right, np.r_[right[1:], 0])
+    by_rank = np.argsort(rank, kind="stable")
+    for r in range(WINDOW):
+        own = by_rank[(least[by_rank] <= r) & (r <= most[by_rank]) & (best[by_rank] >= LENGTH - r)]
+        if len(own) < 2:
+            continue
+        groups = np.cumsum(right < LENGTH - r)[own] * n + np.cumsum(left_common < r)[left_place[own]]
+        _, first, group = np.unique(groups, return_index=True, return_inverse=True)
+        hit = own[rank[own] > rank[own[first[group]]]]
+        low[hit] = np.minimum(low[hit], r)
+        high[hit] = np.maximum(high[hit], r)
+    return low, high
 
 
 def repeated(runs: DataFrame, parts: int) -> DataFrame:
-    """Merge the runs of each range and give the bytes of windows that an earlier window equals."""
+    """Merge the sections of each range and give the bytes of windows that an earlier window equals."""
+    names = ["doc_id", "text_key", "start", "stop"]
+
+    def covers(doc, key, start, stop):
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(key.astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], names)
 
     def merge(batches):
-        by_part: dict[int, list[dict]] = {}
+        by_part: dict[int, list[bytes]] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                by_part.setdefault(row["part"], []).append(row)
-        for rows in by_part.values():
-            coded = [front_decoded(r["run"]) for r in rows]
-            order, common = merged(coded)
-            n = [len(c[0]) for c in coded]
-            base = np.r_[0, np.cumsum(n)[:-1]]
+            for part, run, blob in zip(batch.column("part").to_pylist(), batch.column("run").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                if run:
+                    by_part.setdefault(part, []).append(blob)
+                else:
+                    yield covers(*np.frombuffer(blob, "<i8").reshape(4, -1))
+        for part in list(by_part):
+            sections = [_section(b) for b in by_part.pop(part)]
+            order, common = merged([s[:2] for s in sections])
+            base = np.r_[0, np.cumsum([len(s[0]) for s in sections])[:-1]]
             picked = np.array([base[r] + k for r, k in order])
-            column = {c: np.concatenate([np.frombuffer(r[c], k) for r in rows])[picked] for c, k in (("doc_id", np.int64), ("text_key", np.int32), ("at", np.int32), ("least", np.int32), ("most", np.int32))}
-            left = np.concatenate([_left_hashes(r["left"], m) for r, m in zip(rows, n, strict=True)])[picked]
-            common = np.array(common)
+            left = [x for s in sections for x in s[3]]
+            column = {c: np.concatenate([s[2][c] for s in sections])[picked] for c, _ in _ENTRY}
+            sections.clear()
+            left_place, left_common = _neighbours([left[k] for k in picked.tolist()])
+            by_place = np.lexsort((column["at"], column["key"], column["doc"]))
+            new = [column[c][by_place][1:] != column[c][by_place][:-1] for c in ("doc", "key", "at")]
             rank = np.empty(len(picked), np.int64)
-            rank[np.lexsort((column["at"], column["text_key"], column["doc_id"]))] = np.arange(len(picked))
-            low, high = np.full(len(picked), WINDOW), np.full(len(picked), -1)
-            for r in range(WINDOW):
-                own = np.flatnonzero((column["least"] <= r) & (r <= column["most"]))
-                if len(own) < 2:
-                    continue
-                group = np.cumsum(common < LENGTH - r)[own]
-                order_ = np.lexsort((rank[own], left[own, r], group))
-                g, h = group[order_], left[own, r][order_]
-                later = np.r_[False, (g[1:] == g[:-1]) & (h[1:] == h[:-1])]
-                hit = own[order_[later]]
-                low[hit] = np.minimum(low[hit], r)
-                high[hit] = np.maximum(high[hit], r)
+            rank[by_place] = np.r_[0, np.cumsum(new[0] | new[1] | new[2])]
+            low, high = equal_windows(np.array(common) - 6, left_place, left_common, rank, column["least"], column["most"])
             hit = np.flatnonzero(high >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(column["doc_id"][hit]), pa.array(column["text_key"][hit]), pa.array((column["at"][hit] - high[hit]).astype(np.int32)), pa.array((column["at"][hit] - low[hit] + LENGTH).astype(np.int32))], ["doc_id", "text_key", "start", "stop"])
+            yield covers(column["doc"][hit], column["key"][hit], column["at"][hit] - high[hit], column["at"][hit] - low[hit] + LENGTH)
 
-    return runs.repartition(parts, "part").mapInArrow(merge, "doc_id long, text_key int, start int, stop int")
+    return mapped(runs.repartition(parts, "part"), merge, "doc_id long, text_key int, start int, stop int")
 
 
 def covered(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, start, stop: byte ranges (they may overlap) whose bytes are repeated."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(max(12, size // PART_BYTES))
-    marked = written(settled(sent_anchors(docs, parts), parts), "anchors")
-    found = written(suffixes(docs, marked), "suffixes")
-    sample = sorted(bytes(r["head"]) for r in smallest(found.select("doc_id", "at", F.substring("right", 1, GRAM).alias("head")), SAMPLE, "doc_id", "at").collect())
-    splitters = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
-    again = repeated(sorted_runs(found, splitters), parts)
-    return marked.where("anchor is null").select("doc_id", "text_key", "start", "stop").union(again)
+    hot = max(HOT, size // GRAM // MOST_HOT)
+    marked = written(candidates(sent_anchors(docs, parts), parts, hot), "anchors")
+    hottest = np.sort(np.array([r["hot"] for r in marked.where("hot is not null").select("hot").collect()], np.int64).view(np.uint64))
+    return repeated(sorted_runs(docs, marked, parts, hottest), parts)
 
 
 def kept(docs: DataFrame) -> DataFrame:
     """doc_id, text bytes left, and what was removed, for every row."""
     plain = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranges = covered(plain.where("doc_id is not null")).groupBy("doc_id").agg(F.collect_list(F.struct("text_key", "start", "stop")).alias("ranges"))
+    plain = plain.withColumn("text_key", (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int"))
+    ranges = covered(plain.where("doc_id is not null")).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
 
     def strip(batches):
         for batch in pieces(batches, SEGMENT):
@@ -404,8 +468,7 @@ def kept(docs: DataFrame) -> DataFrame:
                 raw = (text or "").encode()
                 left, removed, spans = raw, 0, 0
                 if ranges and raw:
-                    key = _key(raw)
-                    own = sorted((r["start"], r["stop"]) for r in ranges if r["text_key"] == key)
+                    own = sorted((r["start"], r["stop"]) for r in ranges)
                     parts, at, open_at = [], 0, None
                     for a, b in own:
                         if open_at is None or a > at:
@@ -422,7 +485,7 @@ def kept(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return plain.join(ranges, "doc_id", "left").select("doc_id", "text", "ranges").mapInArrow(strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return mapped(plain.join(ranges, ["doc_id", "text_key"], "left").select("doc_id", "text", "ranges"), strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op5_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
