@@ -2,16 +2,21 @@
 
 Unit vectors are projected at random to eight dimensions, several times over; each projection
 is decoded to the nearest point of the E8 lattice (its cell) and also asks the PROBES nearest
-neighbouring cells. Vectors of one label that meet in a cell are compared by cosine in double
-precision, and a spanning forest of the links of each cell is kept. Components come from the
-forests. A vector's links are then counted within its component, so no list of pairs is made.
-The projection's scale follows the number of vectors (cells stay sparse as the table grows), and
-the number of tables follows the scale.
-
-Equal vectors of a label are one class and compared once. Cells and components with more rows
+neighbouring cells. A vector goes to its cells as a number and a 64-bit signature (signs of more
+random projections), not with its components: vectors of one label that meet in a cell and whose
+signatures differ in at most NEAR bits are candidates, of which a cell keeps a spanning forest.
+Within a connected group of candidates every vector comes once, and cosines are taken in double
+precision, all against all by blocks of rows: they give each vector's number of links and the
+edges whose components are returned. The projection's scale follows the number of vectors (cells
+stay sparse as the table grows), and the number of tables follows the scale.
+
+Equal vectors of a label are one class and compared once. Of very near vectors that share a cell
+in a task (signatures at most CLOSE bits apart) one stands for the others, with a wider NEAR by
+the triangle bound, so a very common direction sends a few rows a task. Groups with more rows
 than BLOCK are dealt over pairs of blocks. Null, zero or non-finite vectors, null components,
 null labels and null ids link with nothing. Vectors of different length never link. An empty
-table gives an empty table; extra columns are left out; repeated rows are vectors of their own.
+table gives an empty table; extra columns are left out; repeated rows are vectors of their own,
+also under one id.
 """
 
 from __future__ import annotations
@@ -23,15 +28,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import components, only, runs_of, table, written
+from carrel.llm.common import components, mapped, only, runs_of, table, written
 from carrel.llm.simhash import Forest
 
 THRESHOLD = 0.93
 PROBES = 4
-TABLES = 8
+RECALL = 0.97
 SCALE = 0.7
-FITTED = 50_000  # vectors for which TABLES and SCALE hold
+FITTED = 50_000  # vectors for which SCALE holds
 BLOCK = 4_000
+#: of 64 signature bits; at cosine 0.93 the mean is 7.7 and the standard deviation 2.6
+NEAR = 19
+#: cell rows a task holds before it sends them
+SENT = 1 << 19
+CLOSE = 3
 SEED = 20_240_501
 
 
@@ -76,22 +86,38 @@ def cell_numbers(points: np.ndarray, salt: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _cells(x: np.ndarray, salt: int, probes: int) -> np.ndarray:
+    """Numbers of the own cell and of the nearest neighbouring ones of each projected point."""
+    own = nearest_point(x)
+    lean = (x - own) @ NEIGHBOURS.T
+    best = np.argpartition(-lean, probes, axis=1)[:, :probes]
+    return cell_numbers(np.concatenate([own[:, None, :], own[:, None, :] + NEIGHBOURS[best]], axis=1), salt)
+
+
 def probed(unit: np.ndarray, tables: int, scale: float, probes: int = PROBES):
     """(table, cell numbers: own first, then the probed ones) for the rows of ``unit``."""
     for t in range(tables):
         projection = np.random.default_rng([SEED, t, unit.shape[1]]).standard_normal((unit.shape[1], 8))
-        x = unit @ projection * scale
-        own = nearest_point(x)
-        lean = (x - own) @ NEIGHBOURS.T
-        best = np.argpartition(-lean, probes, axis=1)[:, :probes]
-        cells = np.concatenate([own[:, None, :], own[:, None, :] + NEIGHBOURS[best]], axis=1)
-        yield t, cell_numbers(cells, t)
+        yield t, _cells(unit @ projection * scale, t, probes)
+
+
+def meeting_rate(scale: float, threshold: float = THRESHOLD, pairs: int = 20_000) -> float:
+    """How often two vectors just at the threshold meet in one table, on drawn projections of such pairs."""
+    rng = np.random.default_rng([SEED, 1 << 21])
+    x, other = rng.standard_normal((2, pairs, 8))
+    y = threshold * x + np.sqrt(1 - threshold**2) * other
+    (_, a), (_, b) = ((0, _cells(z * scale, 0, PROBES)) for z in (x, y))
+    return float(((a[:, :1] == b).any(axis=1) | (b[:, :1] == a).any(axis=1)).mean())
 
 
 def parameters(n: int) -> tuple[int, float]:
-    """Tables and scale for ``n`` vectors."""
-    grown = max(1.0, n / FITTED) ** (1 / 8)
-    return int(np.ceil(TABLES * grown**2.5)), SCALE * grown
+    """Tables and scale for ``n`` vectors: as many tables as give RECALL at the threshold at that scale.
+
+    A power of 1/8 would keep the rows of a cell at their number; 1/16 lets them grow with the root
+    of ``n``, which costs comparisons of signatures in memory, and keeps the tables (the shuffle) few.
+    """
+    scale = SCALE * max(1.0, n / FITTED) ** (1 / 16)
+    return max(1, int(np.ceil(np.log(1 - RECALL) / np.log(1 - min(meeting_rate(scale), 1 - 1e-9))))), scale
 
 
 def _matrix(column) -> np.ndarray:
@@ -112,107 +138,194 @@ def _in_blocks(rows: DataFrame, keys: list[str], size: str, member: str) -> Data
 
 
 def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with their class key, classes: key, label, vector, id, size); usable rows only have a key."""
+    """(rows with their class, classes: class, salt, vector, id, size); usable rows only have a class.
+
+    A class is a 64-bit hash of label and vector, and so is its number in edges and groups.
+    """
     x = F.col("embedding")
     good = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0)
     good &= ~F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(x, lambda v: v != 0)
-    key = F.when(good, F.concat_ws(":", F.hex(F.xxhash64(F.lit(1), "label", "embedding")), F.hex(F.xxhash64(F.lit("second"), "embedding", "label"))))
-    keyed = vectors.select("vec_id", "label", "embedding", key.alias("key"))
-    own = keyed.where("key is not null").groupBy("key").agg(F.first("label").alias("label"), F.first("embedding").alias("vector"), F.min("vec_id").alias("id"), F.count("*").alias("size"))
-    return keyed.select("vec_id", "key"), own
+    keyed = vectors.select("vec_id", "label", "embedding", F.when(good, F.xxhash64(F.lit(1), "label", "embedding")).alias("class"))
+    salt = F.xxhash64(F.lit("label"), "label", F.size("embedding"))
+    own = keyed.where("class is not null").groupBy("class").agg(F.first(salt).alias("salt"), F.first("embedding").alias("vector"), F.min("vec_id").alias("id"), F.count("*").alias("size"))
+    return keyed.select("vec_id", "class"), own
+
+
+def signatures(unit: np.ndarray) -> np.ndarray:
+    planes = np.random.default_rng([SEED, 1 << 20, unit.shape[1]]).standard_normal((unit.shape[1], 64))
+    return np.packbits(unit @ planes > 0, axis=1, bitorder="little").view("<u8").ravel()
+
+
+ROW = np.dtype([("cell", "<i8"), ("class", "<i8"), ("signature", "<u8"), ("home", "?"), ("wide", "?")])
 
 
-def cell_rows(own: DataFrame, tables: int, scale: float) -> DataFrame:
-    """label, dim, cell, home, id, vector: every class in its own and in its probed cells."""
+def thinned(rows: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Rows sorted by cell, of very near ones in a cell one only; edges of the others to it."""
+    rows = rows[np.lexsort((rows["signature"], rows["cell"]))]
+    near = (rows["cell"][1:] == rows["cell"][:-1]) & (np.bitwise_count(rows["signature"][1:] ^ rows["signature"][:-1]) <= CLOSE)
+    starts = np.flatnonzero(np.r_[True, ~near]) if len(rows) else np.zeros(0, np.int64)
+    keep, edges = np.ones(len(rows), bool), []
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
+        if b - a < 3:
+            continue
+        # a run of near neighbours in sorted order: those within CLOSE of its first row go with it
+        gone = a + 1 + np.flatnonzero(np.bitwise_count(rows["signature"][a + 1 : b] ^ rows["signature"][a]) <= CLOSE)
+        keep[gone] = False
+        rows["home"][a] |= rows["home"][gone].any()
+        rows["wide"][a] |= len(gone) > 0
+        edges += [(int(rows["class"][a]), c) for c in set(rows["class"][gone].tolist()) - {int(rows["class"][a])}]
+    return rows[keep], edges
+
+
+def sent_cells(own: DataFrame, tables: int, scale: float, parts: int) -> DataFrame:
+    """part, edges, blob: cell rows of many vectors for one part of the cells; or edges of very near vectors."""
 
     def spread(batches):
         for batch in batches:
             lists = batch.column("vector")
             dims = np.diff(lists.offsets.to_numpy())
             for dim in np.unique(dims):
-                part = batch.filter(pa.array(dims == dim)) if not (dims == dim).all() else batch
-                unit = _unit(_matrix(part.column("vector")))
+                same = batch.filter(pa.array(dims == dim)) if not (dims == dim).all() else batch
+                unit = _unit(_matrix(same.column("vector")))
+                signature, number, salt = signatures(unit), same.column("class").to_numpy(), same.column("salt").to_numpy()
+                found = []
                 for _, cells in probed(unit, tables, scale):
                     n, width = cells.shape
-                    at = pa.array(np.repeat(np.arange(n), width))
-                    home = np.zeros((n, width), bool)
-                    home[:, 0] = True
-                    yield pa.RecordBatch.from_arrays([part.column("label").take(at), pa.array(np.full(n * width, dim, np.int32)), pa.array(cells.ravel()), pa.array(home.ravel()), part.column("id").take(at), part.column("vector").take(at)], ["label", "dim", "cell", "home", "id", "vector"])
-
-    kind = own.schema["label"].dataType.simpleString()
-    return own.select("label", "id", F.col("vector").cast("array<float>").alias("vector")).mapInArrow(spread, f"label {kind}, dim int, cell long, home boolean, id long, vector array<float>")
-
-
-def links(own: DataFrame, n: int, threshold: float = THRESHOLD) -> DataFrame:
-    """Spanning edges (a, b) of the links found in each cell."""
+                    rows = np.zeros(n * width, ROW)
+                    rows["cell"] = (cells ^ salt[:, None]).ravel()
+                    rows["class"], rows["signature"] = np.repeat(number, width), np.repeat(signature, width)
+                    rows["home"][::width] = True
+                    found.append(rows)
+                    if len(found) * len(rows) >= SENT:
+                        yield sent(np.concatenate(found))
+                        found = []
+                if found:
+                    yield sent(np.concatenate(found))
+
+    def sent(rows):
+        rows, edges = thinned(rows)
+        part = (rows["cell"].view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0, True]) if len(part) else np.zeros(1, np.int64)
+        out = [(int(part[order[a]]), False, _cell_blob(rows[order[a:b]])) for a, b in itertools.pairwise(cuts.tolist())]
+        if edges:
+            out.append((len(edges) % parts, True, np.array(edges, "<i8").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.bool_()), pa.array([x[2] for x in out], pa.binary())], ["part", "edges", "blob"])
+
+    return mapped(own.select("class", "salt", "vector"), spread, "part int, edges boolean, blob binary")
+
+
+def _cell_blob(rows: np.ndarray) -> bytes:
+    """Cell rows field by field; a vector's number and signature once, however many of its cells are here."""
+    number, first, index = np.unique(rows["class"], return_index=True, return_inverse=True)
+    flags = rows["home"].astype(np.uint8) | rows["wide"].astype(np.uint8) << 1
+    return b"".join([np.array([len(rows), len(number)], "<i8").tobytes(), number.astype("<i8").tobytes(), rows["signature"][first].astype("<u8").tobytes(), rows["cell"].astype("<i8").tobytes(), index.astype("<u4").tobytes(), flags.tobytes()])
+
+
+def _cell_rows(blob: bytes) -> np.ndarray:
+    n, m = np.frombuffer(blob, "<i8", 2)
+    number, signature, cell = np.frombuffer(blob, "<i8", m, 16), np.frombuffer(blob, "<u8", m, 16 + 8 * m), np.frombuffer(blob, "<i8", n, 16 + 16 * m)
+    index, flags = np.frombuffer(blob, "<u4", n, 16 + 16 * m + 8 * n), np.frombuffer(blob, "u1", n, 16 + 16 * m + 12 * n)
+    rows = np.zeros(n, ROW)
+    rows["cell"], rows["class"], rows["signature"] = cell, number[index], signature[index]
+    rows["home"], rows["wide"] = flags & 1, flags >> 1
+    return rows
+
+
+def met(rows: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the candidates in one cell: near signatures, one of the two at home."""
+    members = np.flatnonzero(rows["home"])
+    forest = Forest(len(rows))
+    limit = NEAR + CLOSE * rows["wide"].astype(np.int16)
+    step = max(1, (1 << 20) // max(len(members), 1))
+    for at in range(0, len(rows), step):
+        asking = np.arange(at, min(at + step, len(rows)))
+        close = np.bitwise_count(rows["signature"][asking][:, None] ^ rows["signature"][members][None, :]) <= limit[asking][:, None] + (limit[members] - NEAR)[None, :]
+        close &= rows["class"][asking][:, None] != rows["class"][members][None, :]
+        hit = close.any(axis=1)
+        if hit.any():
+            forest.join(asking[hit], members, close[hit])
+    return [(int(rows["class"][a]), int(rows["class"][b])) for a, b in forest.edges]
+
+
+def candidates(own: DataFrame, n: int) -> DataFrame:
+    """a, b: edges that connect all candidates of the ``n`` classes."""
     tables, scale = parameters(n)
-    rows = cell_rows(own, tables, scale)
-    keys = ["label", "dim", "cell"]
-    crowded = rows.groupBy(keys).agg(F.count("*").alias("n"), F.max("home").alias("any")).where(f"n > {BLOCK} and any").select(*keys, "n")
-    crowded = written(crowded, "crowded")
-    if crowded.isEmpty():
-        rows = rows.withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
-    else:
-        rows = _in_blocks(rows.join(crowded, keys, "left").withColumn("n", F.coalesce("n", F.lit(1))), keys, "n", "id")
-    keys = [*keys, "i", "j"]
-
-    def linked(batches):
+    parts = max(12, n * tables // 500_000)
+
+    def gather(batches):
+        held: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            for part, edges, blob in zip(batch.column("part").to_pylist(), batch.column("edges").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+                if edges:
+                    pairs = np.frombuffer(blob, "<i8").reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                else:
+                    held.setdefault(part, []).append(_cell_rows(blob))
+        for part in list(held):
+            rows = np.concatenate(held.pop(part))
+            rows = rows[np.argsort(rows["cell"], kind="stable")]
+            starts = np.flatnonzero(np.r_[True, rows["cell"][1:] != rows["cell"][:-1]])
+            sizes = np.diff(np.r_[starts, len(rows)])
+            busy = (sizes > 1) & np.logical_or.reduceat(rows["home"], starts)
+            found = set()
+            for a, k in zip(starts[busy].tolist(), sizes[busy].tolist(), strict=True):
+                found.update((min(x), max(x)) for x in met(rows[a : a + k]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+    return mapped(sent_cells(own, tables, scale, parts).repartition(parts, "part"), gather, "a long, b long")
+
+
+def verified(own: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b, n: the number n of vectors that class a links to in a pair of blocks (b null), or an edge a, b of their forest."""
+    rows = own.select("class", "size", "vector").join(groups, "class").select("group", "class", "size", "vector")
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
+    keys = ["group", "i", "j"]
+    rows = _in_blocks(rows.join(sizes, "group"), ["group"], "n", "class")
+
+    def compared(batches):
         for group in runs_of(batches, keys):
             if group.num_rows < 2:
                 continue
-            home = group.column("home").to_numpy()
-            members = np.flatnonzero(home)
-            if not len(members):
-                continue
-            ids, unit = group.column("id").to_numpy(), _unit(_matrix(group.column("vector")))
-            forest = Forest(len(ids))
-            for at in range(0, len(ids), 1024):
-                asking = np.arange(at, min(at + 1024, len(ids)))
-                close = unit[asking] @ unit[members].T >= threshold
-                close &= ids[asking][:, None] != ids[members][None, :]
-                hit = close.any(axis=1)
-                if hit.any():
-                    forest.join(asking[hit], members, close[hit])
-            if forest.edges:
-                edges = np.array(forest.edges, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[edges[:, 0]]), pa.array(ids[edges[:, 1]])], ["a", "b"])
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(linked, "a long, b long")
-
-
-def link_counts(own: DataFrame, roots: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """id, n: vectors of other classes at or above the threshold in the class's component."""
-    rows = own.join(roots, "id").select("component", "id", "size", "vector", F.size("vector").alias("dim"))
-    sizes = roots.groupBy("component").agg(F.count("*").alias("n"))
-    rows = _in_blocks(rows.join(sizes, "component"), ["component"], "n", "id")
-    keys = ["component", "i", "j"]
-
-    def counted(batches):
-        for group in runs_of(batches, keys):
-            ids, sizes, block = group.column("id").to_numpy(), group.column("size").to_numpy(), group.column("own").to_numpy()
-            unit = _unit(_matrix(group.column("vector")))
-            first = np.flatnonzero(block == group.column("i")[0].as_py())
-            second = np.flatnonzero(block == group.column("j")[0].as_py())
-            n = np.zeros(len(ids), np.int64)
-            for at in range(0, len(first), 1024):
-                rows_ = first[at : at + 1024]
-                close = (unit[rows_] @ unit[second].T >= threshold) & (ids[rows_][:, None] != ids[second][None, :])
-                n[rows_] += close @ sizes[second]
-                if group.column("i")[0] != group.column("j")[0]:
-                    n[second] += sizes[rows_] @ close
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "n"])
-
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(counted, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            number, sizes, block = group.column("class").to_numpy(), group.column("size").to_numpy(), group.column("own").to_numpy()
+            vectors = group.column("vector").combine_chunks()
+            dims = np.diff(vectors.offsets.to_numpy())
+            for dim in np.unique(dims):
+                own = np.flatnonzero(dims == dim)
+                yield from pairs(number[own], sizes[own], block[own], _unit(_matrix(vectors.take(pa.array(own)))), group.column("i")[0].as_py(), group.column("j")[0].as_py())
+
+    def pairs(number, sizes, block, unit, i, j):
+        first, second = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        n, forest = np.zeros(len(number), np.int64), Forest(len(number))
+        for at in range(0, len(first), 1024):
+            rows_ = first[at : at + 1024]
+            close = (unit[rows_] @ unit[second].T >= threshold) & (number[rows_][:, None] != number[second][None, :])
+            n[rows_] += close @ sizes[second]
+            if i != j:
+                n[second] += sizes[rows_] @ close
+            hit = close.any(axis=1)
+            if hit.any():
+                forest.join(rows_[hit], second, close[hit])
+        some, edges = np.flatnonzero(n), np.array(forest.edges, np.int64).reshape(-1, 2)
+        a, b = np.r_[number[some], number[edges[:, 0]]], np.r_[number[some], number[edges[:, 1]]]
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b, mask=np.arange(len(b)) < len(some)), pa.array(np.r_[n[some], np.zeros(len(edges), np.int64)])], ["a", "b", "n"])
+
+    return mapped(rows.repartition(*keys).sortWithinPartitions(*keys), compared, "a long, b long, n long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``vectors`` (vec_id, embedding, label)."""
     keyed, own = classes(only(vectors, "vec_id", "embedding", "label").withColumn("vec_id", F.col("vec_id").cast("long")))
     own = written(own, "classes")
-    roots = written(components(links(own, own.count(), threshold)), "roots")
-    judged = own.select("key", "id", "size").join(roots, "id", "left").join(link_counts(own, roots, threshold), "id", "left")
-    judged = judged.select("key", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
-    found = keyed.join(judged, "key", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    groups = components(candidates(own, own.count())).select(F.col("id").alias("class"), F.col("component").alias("group"))
+    found = written(verified(own, groups, threshold), "links")
+    counts = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
+    roots = components(found.where("b is not null").select("a", "b")).select(F.col("id").alias("class"), "component")
+    judged = own.select("class", "id", "size").join(counts, "class", "left").join(roots, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    first = judged.groupBy("component").agg(F.min("id").alias("component_id"))
+    judged = judged.join(first, "component").select("class", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), "component_id")
+    found = keyed.join(judged, "class", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
