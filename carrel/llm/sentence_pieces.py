@@ -8,7 +8,7 @@ new to a worker advance together as arrays, one join a chunk and round; long chu
 with letters outside the vocabulary use a heap each. Symbols no piece covers
 become their UTF-8 byte pieces. Every chunk that a worker meets for the first time is checked
 against the sentencepiece library within the Arrow batch; if the library disagrees, the batch's
-documents take the library's ids.
+documents take the library's ids, and the query's column by_agenda says so.
 
 Null text counts as empty (the end id alone). Rows are independent: equal or null ids, extra
 columns and empty tables need no care; columns besides doc_id and text are left out.
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import only, pieces, table, texts_of
+from carrel.llm.common import mapped, only, pieces, table, texts_of
 
 SPACE = "▁"
 #: chunks one worker remembers; then it starts anew
@@ -56,6 +56,7 @@ class PieceCodec:
         self.cut = self._cutter()
         self.known: dict[str, tuple[int, ...]] = {}
         self.spelled: dict[str, str] = {}
+        self.agreed = True
         self._pair_table()
 
     def _cutter(self):
@@ -209,13 +210,14 @@ class PieceCodec:
         return ours == theirs
 
     def encode_all(self, texts: list[str]) -> list[tuple[list[int], str]]:
-        """(ids with the end id, the same as decimal text) for every text."""
+        """(ids with the end id, the same as decimal text) for every text; ``agreed`` tells whether the agenda gave them."""
         cut = [self.chunks(t) for t in texts]
         wanted = set(chain.from_iterable(cut))
         if len(self.known) + len(wanted) > REMEMBERED:
             self.known.clear()
             self.spelled.clear()
-        if not self.learn(wanted):
+        self.agreed = self.learn(wanted)
+        if not self.agreed:
             self.known.clear()
             self.spelled.clear()
             found = [[*ids, self.end] for ids in self.library.encode(texts, num_threads=1)]
@@ -251,7 +253,7 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
             found = [ids for ids, _ in own.encode_all(texts_of(batch))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, "doc_id long, ids array<int>")
+    return mapped(only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), encode, "doc_id long, ids array<int>")
 
 
 def decoded(ids: DataFrame, model_path: str) -> DataFrame:
@@ -262,7 +264,7 @@ def decoded(ids: DataFrame, model_path: str) -> DataFrame:
         for batch in pieces(batches, 4 << 20):
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(own.decode_all(batch.column("ids").to_pylist()), pa.string())], ["doc_id", "text"])
 
-    return ids.mapInArrow(decode, "doc_id long, text string")
+    return mapped(ids, decode, "doc_id long, text string")
 
 
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
@@ -279,11 +281,12 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
                     pa.array([len(ids) for ids, _ in found], pa.int64()),
                     pa.array([hashlib.sha256(s.encode()).hexdigest() for _, s in found]),
                     pa.array([hashlib.sha256(t.encode()).hexdigest() for t in back]),
+                    pa.array([own.agreed] * len(found), pa.bool_()),
                 ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "by_agenda"],
             )
 
-    return only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return mapped(only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), digest, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, by_agenda boolean")
 
 
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
