@@ -11,7 +11,8 @@ to the ends. All runs of all documents are joined on their hashes; the first occ
 doc_id, then place) stays, and every sentence that another occurrence covers is removed, judged on
 the input.
 
-Case and white space do not count in a hash. Occurrences within one Arrow piece are settled
+In scripts that put no space between words every letter is a word, and their full stops end
+sentences too. Case and white space do not count in a hash. Occurrences within one Arrow piece are settled
 before the shuffle, so a very common passage sends a row for each piece, not for each document.
 Null text counts as empty. Rows with a null doc_id are left as they are. Rows with equal ids are
 parts of one document, in the order of their texts; identical rows count as one text, and each
@@ -28,13 +29,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import dropped, neutral, only, pieces, restored, table, written
+from carrel.llm.common import dropped, mapped, neutral, only, pieces, restored, table, written
 
 PASSAGE_WORDS = 50
 UNIT_WORDS = 16
 SPAN_WORDS = PASSAGE_WORDS - 2 * UNIT_WORDS + 1
 _BREAK = re.compile(r"(?<=[.!?])\s+|\n+")
 _WORD = re.compile(r"\S+\s*")
+# Blocks of scripts that put no space between words (Thai to Tibetan, Burmese, Khmer, kana, Han), and their full stops.
+_LETTERS = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SPACELESS = re.compile(f"[{_LETTERS}]")
+_SPACELESS_WORD = re.compile(rf"(?:[{_LETTERS}]|[^\s{_LETTERS}]+)\s*")
+_SPACELESS_BREAK = re.compile(r"(?<=[.!?])\s+|\n+|(?<=[\u3002\uff01\uff1f\uff61])\s*")
 
 
 def inner_cuts(long: list[list[str]]) -> list[list[int]]:
@@ -58,12 +64,17 @@ def inner_cuts(long: list[list[str]]) -> list[list[int]]:
 
 def units(text: str) -> tuple[list[int], list[int], list[bytes]]:
     """Starts (one more than units), words and digests of the sentences of a text."""
-    cuts = [0, *(m.end() for m in _BREAK.finditer(text))]
+    plain = text.isascii() or not _SPACELESS.search(text)
+    word = _WORD if plain else _SPACELESS_WORD
+    cuts = [0, *(m.end() for m in (_BREAK if plain else _SPACELESS_BREAK).finditer(text))]
     if cuts[-1] != len(text):
         cuts.append(len(text))
     starts, sizes, digests = [], [], []
     digest = xxhash.xxh64_digest
-    found = [(a, b, text[a:b].lower().split()) for a, b in zip(cuts, cuts[1:], strict=False)]
+    if plain:
+        found = [(a, b, text[a:b].lower().split()) for a, b in zip(cuts, cuts[1:], strict=False)]
+    else:
+        found = [(a, b, [w.strip().lower() for w in word.findall(text, a, b)]) for a, b in zip(cuts, cuts[1:], strict=False)]
     inner = iter(inner_cuts([words for _, _, words in found if len(words) > UNIT_WORDS]))
     for a, b, words in found:
         if len(words) <= UNIT_WORDS:
@@ -71,7 +82,7 @@ def units(text: str) -> tuple[list[int], list[int], list[bytes]]:
             sizes.append(len(words))
             digests.append(digest(" ".join(words)))
             continue
-        places = [a + m.start() for m in _WORD.finditer(text[a:b])]
+        places = [m.start() for m in word.finditer(text, a, b)]
         own = next(inner)
         for k, after in zip(own, own[1:], strict=False):
             starts.append(places[k] if k else a)
@@ -127,7 +138,7 @@ def hashed_spans(docs: DataFrame) -> DataFrame:
             again[order[1:]] = run[order][1:] == run[order][:-1]
             yield pa.RecordBatch.from_arrays([pa.array(run, mask=again), pa.array(ids_), pa.array(np.array(keys, np.int64)), pa.array(place)], ["run", "doc_id", "text_key", "place"])
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, "run long, doc_id long, text_key long, place long")
+    return mapped(docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), cut, "run long, doc_id long, text_key long, place long")
 
 
 def repeats(found: DataFrame) -> DataFrame:
@@ -175,7 +186,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns), pa.array(removed, pa.int32()), pa.array(chars, pa.int64())], [*columns, "removed_units", "removed_chars"])
 
     kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
-    return keyed.mapInArrow(strip, f"{kinds}, removed_units int, removed_chars long")
+    return mapped(keyed, strip, f"{kinds}, removed_units int, removed_chars long")
 
 
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
