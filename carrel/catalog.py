@@ -96,20 +96,18 @@ def _partial(spark, d):
 
 @query
 def partial_date_interval(spark, d):
-    i = dates.interval(F.col("value"))
-    return _partial(spark, d).select("o_orderkey", "value", i["lo"].alias("lo"), i["hi"].alias("hi"))
+    return dates.with_interval(_partial(spark, d), "value", "span").select("o_orderkey", "value", "span.lo", "span.hi")
 
 
 @query
 def diagnosis_window(spark, d):
-    i = dates.window(F.col("value"))
-    return _partial(spark, d).select("o_orderkey", i["lo"].alias("lo"), i["hi"].alias("hi"))
+    return dates.with_window(_partial(spark, d), "value", "window").select("o_orderkey", "window.lo", "window.hi")
 
 
 @query
 def window_overlap_join(spark, d):
-    tumors_ = _partial(spark, d).select(F.col("o_orderkey").alias("patient_id"), dates.window(F.col("value"), 1).alias("window"))
-    docs = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("patient_id"), "l_linenumber", "l_partkey", dates.interval(F.date_format("l_shipdate", "yyyy-MM-dd")).alias("span"))
+    tumors_ = dates.with_window(_partial(spark, d), "value", "window", 1).select(F.col("o_orderkey").alias("patient_id"), "window")
+    docs = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("patient_id"), "l_linenumber", "l_partkey", dates.day_interval(F.col("l_shipdate")).alias("span"))
     return matching.in_window(docs, tumors_).groupBy("patient_id").agg(F.count("*").alias("n_docs"), F.min("span.lo").alias("first_doc"))
 
 
@@ -327,7 +325,20 @@ def auto_fix(spark, d):
 
 
 def _scored(spark, d):
-    return confidence.scored(_results(spark, d), _violations(spark, d), ["rec"])
+    """Rules and results come from one wide row, so the severities go along and nothing is shuffled."""
+    found = rules.named(_wide(spark, d), ["rec", *(f"v{i}" for i in VALUES)])
+    entries = F.explode(F.array(*(F.struct(F.lit(i).alias("item"), F.col(f"v{i}").alias("value")) for i in VALUES)))
+    rows = found.select("rec", "errors", "warnings", entries.alias("e")).select("rec", "errors", "warnings", "e.item", "e.value")
+    extracted, resolved, conf = long_expressions()
+    long = rows.select("rec", "item", F.expr(extracted).alias("extracted"), F.expr(resolved).alias("resolved"), F.expr(conf).cast("double").alias("confidence"), confidence.severity_of(F.col("item"), F.col("errors"), F.col("warnings")).alias("severity"))
+    return confidence.with_final(long)
+
+
+@query
+def confidence_of_long_results(spark, d):
+    """The same from long results and a table of violations, as the pipeline has them."""
+    found = confidence.scored(_results(spark, d).where("item % 10 = 0"), _violations(spark, d), ["rec"])
+    return found.select("rec", "item", F.coalesce("severity", F.lit(0)).alias("severity"), "final_confidence")
 
 
 @query

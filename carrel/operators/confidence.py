@@ -20,8 +20,22 @@ def worst_severities(violations: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def scored(results: DataFrame, violations: DataFrame, keys: list[str]) -> DataFrame:
-    """Add final_confidence (4 digits) and severity to results (item, extracted, resolved, confidence)."""
-    joined = results.join(worst_severities(violations, keys), [*keys, "item"], "left")
+    """Add final_confidence (4 digits) and severity to results (item, extracted, resolved, confidence).
+
+    The violations of a record become one map, so results are joined by record, never by item.
+    """
+    worst = worst_severities(violations, keys).groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("item", "severity"))).alias("severities"))
+    joined = results.join(worst, keys, "left").withColumn("severity", F.try_element_at("severities", F.col("item"))).drop("severities")
+    return with_final(joined)
+
+
+def severity_of(item: Column, errors: Column, warnings: Column) -> Column:
+    """As in worst_severities(), from the items that a record's broken rules name (rules.named)."""
+    return F.when(F.array_contains(errors, item), 2).when(F.array_contains(warnings, item), 1)
+
+
+def with_final(joined: DataFrame) -> DataFrame:
+    """Add final_confidence to results that have their severity."""
     base = F.coalesce(F.col("confidence"), F.lit(0.0))
     score = base - F.when(F.col("severity") == 2, ERROR_PENALTY).when(F.col("severity") == 1, WARNING_PENALTY).otherwise(0.0)
     extracted, resolved = F.coalesce("extracted", F.lit("")), F.coalesce("resolved", F.lit(""))

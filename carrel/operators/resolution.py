@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from carrel.functions.scalars import text
 
-#: rows up to which a dictionary side is broadcast; larger ones are left to the planner
-SMALL = 200_000
+#: rows and bytes (as JSON) up to which a dictionary side is broadcast; larger ones are left to the planner
+SMALL, SMALL_BYTES = 200_000, 16 << 20
 
 
 def small(dimension: DataFrame) -> DataFrame:
-    """Broadcast a dimension whose size has been checked."""
-    return F.broadcast(dimension) if dimension.limit(SMALL + 1).count() <= SMALL else dimension
+    """Broadcast a dimension whose rows and bytes have been counted."""
+    size = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in dimension.columns))))
+    rows, n = dimension.limit(SMALL + 1).agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(dimension) if rows <= SMALL and n <= SMALL_BYTES else dimension
 
 
 def numeric_ranges(items: DataFrame) -> DataFrame:

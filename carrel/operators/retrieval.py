@@ -34,25 +34,48 @@ def category_rank(category: Column) -> Column:
 MANUAL = ["category", "title", "path"]
 
 
-def scores(queries: DataFrame, manuals: DataFrame) -> DataFrame:
-    """query_id, category, title, path, score of every manual that scores for a query (query_id, words).
+def _tokens(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)))
 
-    Every distinct word meets the manuals (a size-checked reference set) once; hits come back to the
-    queries by an equi-join on the word. Boosts that need no hit are added from the boosted manuals.
+
+def word_hits(words: DataFrame, manuals: DataFrame) -> DataFrame:
+    """word and manual, with in_head and in_body, wherever a manual's text holds the word, also within longer ones.
+
+    Both sides are lower-case runs of letters and digits, so a word is in a text exactly if it is
+    in one of the text's tokens. Distinct tokens give their parts as long as some word, parts meet
+    the distinct words in an equi-join, and the tokens that hold a word lead back to the manuals.
+    """
+    distinct = words.select("word").distinct()
+    head, body = F.concat_ws(" ", "title", "path", "category"), F.substring("text", 1, SEARCHED_CHARS)
+    held = manuals.select(*MANUAL, _tokens(head).alias("head"), _tokens(body).alias("body"))
+    index = held.select(*MANUAL, F.explode("head").alias("token"), F.lit(True).alias("in_head")).unionByName(held.select(*MANUAL, F.explode("body").alias("token"), F.lit(False).alias("in_head")))
+    lengths = F.array_sort(F.collect_set(F.length("word")))
+    vocabulary = index.select("token").distinct().join(F.broadcast(distinct.agg(lengths.alias("lengths"))))
+    cut = F.flatten(F.transform(F.filter("lengths", lambda n: n <= F.length("token")), lambda n: F.transform(F.sequence(F.lit(1), F.length("token") - n + 1), lambda at: F.substring(F.col("token"), at, n))))
+    parts = vocabulary.select("token", F.explode(F.array_distinct(cut)).alias("word"))
+    found = parts.join(distinct, "word").join(index, "token")
+    return found.groupBy("word", *MANUAL).agg(F.max("in_head").alias("in_head"), F.max(~F.col("in_head")).alias("in_body"))
+
+
+def scores(queries: DataFrame, manuals: DataFrame, top: int = TOP) -> DataFrame:
+    """query_id, category, title, path, score of the manuals that can be among a query's ``top`` (query_id, words).
+
+    Those are all that hold one of its words and, of the manuals with a boost that needs no word,
+    the first ``top`` by that boost alone: one that holds a word only moves ahead of them.
     """
     words = queries.select("query_id", F.explode("words").alias("word"))
-    head = F.lower(F.concat_ws(" ", "title", "path", "category"))
-    sides = small(manuals.select(*MANUAL, head.alias("head"), F.lower(F.substring("text", 1, SEARCHED_CHARS)).alias("body")))
-    in_head, in_body = F.contains("head", "word"), F.contains("body", "word")
-    hits = words.select("word").distinct().join(sides, in_head | in_body).select("word", *MANUAL, (8 * in_head.cast("int") + in_body.cast("int")).alias("hits"))
-    based = words.join(hits, "word").groupBy("query_id", *MANUAL).agg(F.sum("hits").alias("base"))
-    blood = F.arrays_overlap("words", F.array(*(F.lit(w) for w in BLOOD_WORDS)))
-    fixed = F.col("category").isin("appendix_c", "staging", "ssdi_grade") | ((F.col("category") == "hematopoietic") & F.col("blood"))
-    boosted = queries.where(F.size("words") > 0).select("query_id", blood.alias("blood")).join(small(manuals.select(*MANUAL)), fixed).select("query_id", *MANUAL, F.when(F.col("category") == "appendix_c", 6).when(F.col("category") == "hematopoietic", 10).otherwise(3).alias("boost"))
-    both = based.select("query_id", *MANUAL, "base", F.lit(0).alias("boost")).unionByName(boosted.select("query_id", *MANUAL, F.lit(0).cast("long").alias("base"), "boost"))
-    summed = both.groupBy("query_id", *MANUAL).agg(F.sum("base").alias("base"), F.max("boost").alias("boost"))
+    hits = word_hits(words, manuals)
+    based = words.join(hits, "word").groupBy("query_id", *MANUAL).agg(F.sum(8 * F.col("in_head").cast("int") + F.col("in_body").cast("int")).alias("base"))
+    boost = lambda blood: F.when(F.col("category") == "appendix_c", 6).when((F.col("category") == "hematopoietic") & blood, 10).when(F.col("category").isin("staging", "ssdi_grade"), 3)
+    blood = queries.where(F.size("words") > 0).select("query_id", F.arrays_overlap("words", F.array(*(F.lit(w) for w in BLOOD_WORDS))).alias("blood"))
+    first = [
+        manuals.select(*MANUAL, boost(F.lit(flag)).alias("boost")).where("boost is not null").dropDuplicates(MANUAL).orderBy(F.desc("boost"), category_rank(F.col("category")), F.lower("title"), "title", "path").limit(top).withColumn("blood", F.lit(flag))
+        for flag in (False, True)
+    ]
+    boosted = blood.join(F.broadcast(first[0].unionByName(first[1])), "blood").select("query_id", *MANUAL)  # at most top rows a flag
+    both = based.unionByName(boosted.withColumn("base", F.lit(0).cast("long"))).groupBy("query_id", *MANUAL).agg(F.max("base").alias("base")).join(blood, "query_id")
     solid = F.when((F.col("category") == "solid_tumor_rules") & (F.col("base") > 0), 2).otherwise(0)
-    return summed.select("query_id", *MANUAL, (F.col("base") + F.col("boost") + solid).cast("int").alias("score")).where("score > 0")
+    return both.select("query_id", *MANUAL, (F.col("base") + F.coalesce(boost(F.col("blood")), F.lit(0)) + solid).cast("int").alias("score")).where("score > 0")
 
 
 def best(scored: DataFrame, top: int = TOP) -> DataFrame:
@@ -61,7 +84,7 @@ def best(scored: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def with_texts(found: DataFrame, queries: DataFrame, manuals: DataFrame) -> DataFrame:
-    """Add the manuals' texts and the queries' words to best()."""
+    """Add the manuals' texts and the queries' words to best(); the texts are broadcast only if they are few bytes."""
     return found.join(small(manuals.select(*MANUAL, "text")), MANUAL).join(queries.select("query_id", "words"), "query_id")
 
 

@@ -181,6 +181,17 @@ def violations(records: DataFrame, keys: list[str], rules: list[Rule] | None = N
     return prepared(records, keys).select(*keys, F.explode(found).alias("hit")).select(*keys, "hit.*")
 
 
+def named(records: DataFrame, keys: list[str], rules: list[Rule] | None = None) -> DataFrame:
+    """keys, errors, warnings: the items that broken rules name, by severity; one row for each record, no shuffle.
+
+    ``keys`` may hold any columns that go along.
+    """
+    rules = rules or [*cross_field_rules(), *consistency_rules()]
+    none = F.array().cast("array<int>")
+    items = lambda severity: F.flatten(F.array(*(F.when(r.when, F.array(*(F.lit(i) for i in r.items))).otherwise(none) for r in rules if r.severity == severity)))
+    return prepared(records, keys).select(*keys, items("error").alias("errors"), items("warning").alias("warnings"))
+
+
 def fixed(results: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """Resolved codes replaced by the fixes of broken rules (the last rule's, where several fix an item)."""
     fixes = found.where("fix is not null").select(*keys, "seq", F.explode("fix").alias("item", "code")).groupBy(*keys, "item").agg(F.max_by("code", "seq").alias("code"))

@@ -49,8 +49,8 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 
 def scoped_chunks(docs: DataFrame, found: DataFrame, run: Run) -> DataFrame:
     """Chunks of the documents in each tumor's window."""
-    spans = docs.select("patient_id", "doc_index", "date", "text", dates.interval(F.col("date")).alias("span"))
-    windows = found.select(*KEYS, dates.window(F.col("approximate_date")).alias("window"))
+    spans = dates.with_interval(docs.select("patient_id", "doc_index", "date", "text"), "date", "span")
+    windows = dates.with_window(found.select(*KEYS, "approximate_date"), "approximate_date", "window").drop("approximate_date")
     inside = matching.in_window(spans, windows).select(*KEYS, "doc_index", "date", "text")
     return chunking.chunked(chunking.concatenated(inside, KEYS), KEYS, run.target_tokens, run.overlap_tokens)
 
