@@ -326,11 +326,13 @@ def auto_fix(spark, d):
 
 def _scored(spark, d):
     """Rules and results come from one wide row, so the severities go along and nothing is shuffled."""
-    found = rules.named(_wide(spark, d), ["rec", *(f"v{i}" for i in VALUES)])
-    entries = F.explode(F.array(*(F.struct(F.lit(i).alias("item"), F.col(f"v{i}").alias("value")) for i in VALUES)))
-    rows = found.select("rec", "errors", "warnings", entries.alias("e")).select("rec", "errors", "warnings", "e.item", "e.value")
+    entries = F.array(*(F.struct(F.lit(i).alias("item"), F.col(f"v{i}").alias("value")) for i in VALUES))
+    found = rules.named(_wide(spark, d).withColumn("entries", entries), ["rec", "entries"])
+    with_severity = F.transform("entries", lambda e: F.struct(e["item"].alias("item"), e["value"].alias("value"), confidence.severity_of(e["item"], F.col("errors"), F.col("warnings")).alias("severity")))
+    rows = found.select("rec", F.explode(with_severity).alias("e")).select("rec", "e.*")
     extracted, resolved, conf = long_expressions()
-    long = rows.select("rec", "item", F.expr(extracted).alias("extracted"), F.expr(resolved).alias("resolved"), F.expr(conf).cast("double").alias("confidence"), confidence.severity_of(F.col("item"), F.col("errors"), F.col("warnings")).alias("severity"))
+    values = F.struct(F.expr(extracted).alias("extracted"), F.expr(resolved).alias("resolved"), F.expr(conf).cast("double").alias("confidence"))
+    long = rows.select("rec", "item", "severity", F.inline(F.array(values)))  # computed once a row, whatever is asked of them
     return confidence.with_final(long)
 
 

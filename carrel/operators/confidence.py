@@ -44,8 +44,8 @@ def with_final(joined: DataFrame) -> DataFrame:
     return joined.withColumn("final_confidence", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)), 4))
 
 
-def _priority(by_violation: Column | None) -> Column:
-    conf, item = F.col("final_confidence"), F.col("item")
+def _priority(conf: Column, by_violation: Column | None) -> Column:
+    item = F.col("item")
     found = F.when(item.isin(KEY_ITEMS) & (conf < KEY_BELOW), "CRITICAL").when(item.isin(REQUIRED_ITEMS) & (conf < REQUIRED_BELOW), "HIGH")
     if by_violation is not None:
         return found.when(by_violation, "MEDIUM").when(conf < LOW_BELOW, "LOW")
@@ -57,7 +57,9 @@ def _priority(by_violation: Column | None) -> Column:
 def review_queue(scores: DataFrame, keys: list[str], mode: str = "drop") -> DataFrame:
     """Items to review. mode 'drop': MEDIUM where the confidence fell; 'violations': MEDIUM where a rule names the item."""
     by_violation = F.col("severity").isNotNull() if mode == "violations" else None
-    flagged = scores.withColumn("priority", _priority(by_violation)).where("priority is not null")
+    # the confidence is bound once: pushed into a filter, its expression would be there for every comparison
+    bound = F.transform(F.array("final_confidence"), lambda conf: _priority(conf, by_violation))[0]
+    flagged = scores.withColumn("priority", bound).where("priority is not null")
     reason = (
         F.when(F.col("priority") == "CRITICAL", F.format_string("Key variable with confidence %.2f < 0.9", "final_confidence"))
         .when(F.col("priority") == "HIGH", F.format_string("Required item with confidence %.2f < 0.7", "final_confidence"))
