@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carrel import oracles
 from carrel.functions import dates, scalars
 from carrel.operators import chunking, compression, confidence, matching, merging, models, prompts, resolution, retrieval, rules, sampling, scoring, summary, tumors
+from carrel.plans import pipeline
 from carrel.sources import notes, registry, sinks
 from carrel.synthetic import VALUES, long_expressions, pick
 
@@ -570,3 +571,68 @@ def _diagnose(_: str, prompt: str) -> str:
 def tumor_fold(spark, d):
     chunks = _chunks(spark, d).withColumn("patient_id", F.col("conv_id").cast("string"))
     return tumors.detected(chunks, models.EchoClient(_diagnose)).select("patient_id", "tumor_index", "cancer_type", "primary_site_hint", "laterality", F.size(F.split("contributing_chunks", ",")).alias("n_chunks"))
+
+
+def _codes_of(_: str, prompt: str) -> str:
+    if "breast" in prompt:
+        return '{"coded": [{"primary_site_code": "c509", "histology_code": "8500/3"}]}'
+    return '{"coded": [{"primary_site_code": "C18.2", "histology_code": "none"}, {"primary_site_code": "C61.9"}]}'
+
+
+@query
+def tumor_codes(spark, d):
+    """Detection and the coding pass behind it; codes of no valid shape are blank."""
+    chunks = _chunks(spark, d).withColumn("patient_id", F.col("conv_id").cast("string"))
+    found = tumors.coded(tumors.detected(chunks, models.EchoClient(_diagnose)), models.EchoClient(_codes_of))
+    return found.select("patient_id", "tumor_index", "cancer_type", "primary_site_code", "histology_code")
+
+
+def _staging_units(spark, d):
+    coded = _coded(spark, d).select(F.col("o_orderkey").cast("string").alias("patient_id"), F.lit(0).alias("tumor_index"), "site", "hist")
+    rows = coded.select("patient_id", "tumor_index", F.inline(F.array(F.struct(F.lit(400).alias("item"), F.col("site").alias("resolved")), F.struct(F.lit(522).alias("item"), F.col("hist").alias("resolved")))))
+    return coded.select("patient_id", "tumor_index"), rows.withColumn("extracted", F.lit(""))
+
+
+@query
+def staging_phase_items(spark, d):
+    """How many items the staging phase asks of each unit, and their sum as a digest."""
+    units, state = _staging_units(spark, d)
+    return pipeline.phase_items(units, state, "staging").groupBy("patient_id").agg(F.count("*").alias("n"), F.sum("item").alias("items"))
+
+
+@query
+def first_open_round(spark, d):
+    turns = read(spark, d, "conversations").select(F.col("conv_id").cast("string").alias("patient_id"), F.lit(0).alias("tumor_index"), F.col("turn").cast("int").alias("chunk_index"))
+    return pipeline.rounds_done(turns, turns.where("chunk_index < 2 or patient_id % 3 = 0"))
+
+
+@query
+def parser_names(spark, d):
+    return _probe(spark, d, 11, oracles.PARSER_PROBES).select("o_orderkey", scalars.parser_name(F.col("x")).alias("parser"))
+
+
+@query
+def usage_numbers(spark, d):
+    """Numeric entries of a usage object, as a map in key order."""
+    body = F.concat(F.lit('{"prompt_tokens": '), F.col("event_id").cast("string"), F.lit(', "kind": "x", "cached": '), F.when(F.col("event_id") % 3 == 0, "null").otherwise("7.5"), F.lit(', "ok": true}'))
+    found = read(spark, d, "events").select("event_id", merging.usage_numbers(body).alias("usage"))
+    return found.select("event_id", F.size("usage").cast("int").alias("n"), F.try_element_at("usage", F.lit("prompt_tokens")).alias("prompt_tokens"), F.try_element_at("usage", F.lit("cached")).alias("cached"))
+
+
+@query
+def envelope_text(spark, d):
+    """The text of a model's reply, whatever envelope it comes in."""
+    t = F.to_json(F.struct(F.col("text").alias("t")))
+    quoted = F.substring(t, 6, F.length(t) - 6)
+    body = (
+        F.when(F.col("turn") % 4 == 0, F.concat(F.lit('{"choices": [{"message": {"content": '), quoted, F.lit("}}]}")))
+        .when(F.col("turn") % 4 == 1, F.concat(F.lit('{"choices": [{"message": {"content": [{"type": "text", "text": '), quoted, F.lit('}, {"type": "image"}, {"text": "!"}]}}]}')))
+        .when(F.col("turn") % 4 == 2, F.concat(F.lit('{"content": [{"type": "text", "text": '), quoted, F.lit("}]}")))
+        .otherwise(F.concat(F.lit('{"candidates": [{"content": {"parts": [{"text": '), quoted, F.lit("}]}}]}")))
+    )
+    return read(spark, d, "conversations").where("text is not null").select("conv_id", "turn", merging.envelope_text(body).alias("answer"))
+
+
+@query
+def checkpoint_keys(spark, d):
+    return read(spark, d, "customer").select("c_custkey", sinks.checkpoint_key(F.col("c_custkey").cast("string")).alias("name"))

@@ -227,3 +227,14 @@ def file_name(url: Column, title: Column) -> Column:
     """A safe, distinct name: the title's letters and digits with a hash of the address."""
     stem = F.regexp_replace(F.regexp_replace(F.lower(text(title)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
     return F.concat(F.substring(either(stem, F.lit("page")), 1, 80), F.lit("_"), F.substring(F.sha2(url, 256), 1, 10))
+
+
+# Other spellings of reasoning-parser names.
+PARSER_ALIASES = {"gptoss": "openai_gptoss", "gpt_oss": "openai_gptoss", "openai_gpt_oss": "openai_gptoss", "openai_gptoss": "openai_gptoss", "qwen_3": "qwen3", "gemma_4": "gemma4"}
+
+
+def parser_name(x: Column) -> Column:
+    """A reasoning parser's name in lower case with single underscores, other spellings resolved."""
+    plain = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    known = F.create_map(*(F.lit(v) for pair in PARSER_ALIASES.items() for v in pair))
+    return F.coalesce(F.try_element_at(known, plain), plain)

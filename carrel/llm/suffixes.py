@@ -31,6 +31,7 @@ overlapping segments for the search only.
 
 from __future__ import annotations
 
+from array import array
 from itertools import pairwise
 
 import numpy as np
@@ -46,10 +47,10 @@ GRAM = 32
 WINDOW = LENGTH - GRAM + 1
 SEGMENT = 2 << 20
 PLACE_BITS = 24
-PART_BYTES = 24 << 20
+PART_BYTES = 12 << 20
 #: anchors and bytes of candidates that a map task holds before it sends them
 HELD = 1 << 19
-RUN_BYTES = 24 << 20
+RUN_BYTES = 12 << 20
 #: anchors of one gram in one range; of ten times as many hot grams as this there can't be more than MOST_HOT
 HOT = 200_000
 MOST_HOT = 1_000_000
@@ -103,14 +104,23 @@ ANCHOR = np.dtype([("gram", "<u8"), ("doc", "<i8"), ("key", "<i4"), ("at", "<i4"
 _FIELDS = [("low", "<u4"), ("high", "<u2"), ("doc", "<i8"), ("key", "<i4"), ("at", "<i4"), ("back", "u1"), ("more", "u1"), ("n", "<u4")]
 
 
+def _squeezed(blob: bytes) -> bytes:
+    return len(blob).to_bytes(8, "little") + pa.compress(blob, codec="zstd", asbytes=True)
+
+
+def _opened(blob: bytes) -> bytes:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _packed(rows: np.ndarray) -> bytes:
     """Anchor rows field by field; ids as differences, which compress well."""
     rows = rows[np.lexsort((rows["at"], rows["doc"]))]
     columns = {c: rows[c] for c in ("key", "at", "back", "more", "n")} | {"low": rows["gram"] & np.uint64(0xFFFFFFFF), "high": rows["gram"] >> np.uint64(32), "doc": np.diff(rows["doc"], prepend=0)}
-    return b"".join([len(rows).to_bytes(4, "little"), *(columns[c].astype(k).tobytes() for c, k in _FIELDS)])
+    return _squeezed(b"".join([len(rows).to_bytes(4, "little"), *(columns[c].astype(k).tobytes() for c, k in _FIELDS)]))
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
+    blob = _opened(blob)
     n, at, columns = int.from_bytes(blob[:4], "little"), 4, {}
     for c, k in _FIELDS:
         columns[c] = np.frombuffer(blob, k, n, at)
@@ -211,7 +221,7 @@ def candidates(sent: DataFrame, parts: int, hot: int) -> DataFrame:
             again = np.repeat(total > 1, np.diff(np.r_[first, len(rows)])) & (rows["n"] == 1)
             yield marks(rows[again], rows["gram"][first[total > hot]])
 
-    return mapped(sent.repartition(parts, "part"), settle, "doc_id long, text_key int, at int, span int, hot long")
+    return mapped(sent.repartition(2 * parts, "part"), settle, "doc_id long, text_key int, at int, span int, hot long")
 
 
 def shared(a: bytes, b: bytes, known: int) -> int:
@@ -242,8 +252,8 @@ def front_decoded(blob: bytes) -> tuple[list[bytes], list[int]]:
     return strings, common
 
 
-def merged(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[tuple[int, int]], list[int]]:
-    """Loser-tree merge of sorted runs: (run, position) in order, and the prefix shared with the one before.
+def merged(runs: list[tuple[list[bytes], list[int]]]) -> tuple[array, array]:
+    """Loser-tree merge of sorted runs: the run of each string in order, and the prefix shared with the one before.
 
     ``known[r]`` is what run r's head shares with the last string out. Of two heads, the one that
     shares more comes first; only at a tie are bytes compared, from the shared part on.
@@ -274,9 +284,9 @@ def merged(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[tuple[int, i
         return winner
 
     top = build(1) if leaves > 1 else 0
-    order, common = [], []
+    order, common = array("i"), array("h")
     while heads[top] is not None:
-        order.append((top, place[top]))
+        order.append(top)
         common.append(known[top])
         place[top] += 1
         strings, own = runs[top]
@@ -333,7 +343,7 @@ def sorted_runs(docs: DataFrame, marked: DataFrame, parts: int, hottest: np.ndar
                 columns = dict(zip(("doc", "key", "at", "least", "most"), zip(*(e[2:] for e in own), strict=True), strict=True))
                 code = front_coded([e[0] for e in own])
                 meta = b"".join(np.array(columns[c], np.int64).astype(k).tobytes() for c, k in _ENTRY)
-                out.append((part, True, b"".join([len(own).to_bytes(4, "little"), len(code).to_bytes(4, "little"), code, meta, *(e[1] for e in own)])))
+                out.append((part, True, _squeezed(b"".join([len(own).to_bytes(4, "little"), len(code).to_bytes(4, "little"), code, meta, *(e[1] for e in own)]))))
             if copies:
                 doc, key, at, least, most = (np.array(c, np.int64) for c in zip(*(e[2:] for e in copies), strict=True))
                 ranges = np.stack([doc, key, at - most, at - least + LENGTH])
@@ -364,6 +374,7 @@ def sorted_runs(docs: DataFrame, marked: DataFrame, parts: int, hottest: np.ndar
 
 def _section(blob: bytes):
     """Entries, the prefix each shares with the one before, columns and left contexts of a section."""
+    blob = _opened(blob)
     n, size = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:8], "little")
     strings, common = front_decoded(blob[8 : 8 + size])
     at, columns = 8 + size, {}
@@ -378,10 +389,13 @@ def _section(blob: bytes):
 def _neighbours(strings: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Place of each string in sorted order, and the prefix that each in that order shares with the one before."""
     width = WINDOW - 1
-    letters = np.frombuffer(b"".join([s.ljust(width, b"\0") for s in strings]), np.uint8).reshape(-1, width)
-    order = np.array(sorted(range(len(strings)), key=[s.ljust(width, b"\0") for s in strings].__getitem__))
-    differ = letters[order[1:]] != letters[order[:-1]]
-    common = np.r_[0, np.where(differ.any(axis=1), differ.argmax(axis=1), width)]
+    full = [s.ljust(width, b"\0") for s in strings]
+    order = np.array(sorted(range(len(full)), key=full.__getitem__))
+    letters = np.frombuffer(b"".join(full), np.uint8).reshape(-1, width)
+    common = np.zeros(len(full), np.int64)
+    for at in range(1, len(full), 65_536):
+        differ = letters[order[at : at + 65_536]] != letters[order[at - 1 : at + 65_535][: len(order[at : at + 65_536])]]
+        common[at : at + 65_536] = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     return place, common
@@ -428,8 +442,8 @@ def repeated(runs: DataFrame, parts: int) -> DataFrame:
         for part in list(by_part):
             sections = [_section(b) for b in by_part.pop(part)]
             order, common = merged([s[:2] for s in sections])
-            base = np.r_[0, np.cumsum([len(s[0]) for s in sections])[:-1]]
-            picked = np.array([base[r] + k for r, k in order])
+            picked = np.empty(len(order), np.int64)
+            picked[np.argsort(np.frombuffer(order, np.int32), kind="stable")] = np.arange(len(order))
             left = [x for s in sections for x in s[3]]
             column = {c: np.concatenate([s[2][c] for s in sections])[picked] for c, _ in _ENTRY}
             sections.clear()
@@ -438,11 +452,11 @@ def repeated(runs: DataFrame, parts: int) -> DataFrame:
             new = [column[c][by_place][1:] != column[c][by_place][:-1] for c in ("doc", "key", "at")]
             rank = np.empty(len(picked), np.int64)
             rank[by_place] = np.r_[0, np.cumsum(new[0] | new[1] | new[2])]
-            low, high = equal_windows(np.array(common) - 6, left_place, left_common, rank, column["least"], column["most"])
+            low, high = equal_windows(np.frombuffer(common, np.int16).astype(np.int64) - 6, left_place, left_common, rank, column["least"], column["most"])
             hit = np.flatnonzero(high >= 0)
             yield covers(column["doc"][hit], column["key"][hit], column["at"][hit] - high[hit], column["at"][hit] - low[hit] + LENGTH)
 
-    return mapped(runs.repartition(parts, "part"), merge, "doc_id long, text_key int, start int, stop int")
+    return mapped(runs.repartition(2 * parts, "part"), merge, "doc_id long, text_key int, start int, stop int")
 
 
 def covered(docs: DataFrame) -> DataFrame:
@@ -456,10 +470,18 @@ def covered(docs: DataFrame) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """doc_id, text bytes left, and what was removed, for every row."""
-    plain = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    plain = plain.withColumn("text_key", (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int"))
-    ranges = covered(plain.where("doc_id is not null")).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    """doc_id, text bytes left, and what was removed, for every row.
+
+    Texts are dealt by id and checksum once: the search for candidates and the removal both join
+    the same rows and columns of ``plain``, so that they read one exchange (of a union's branches
+    the first keeps its aliases, which would make it another plan: so the rows without an id).
+    """
+    every = only(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    every = every.withColumn("text_key", (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int"))
+    plain = every.where("doc_id is not null")
+    ranges = covered(plain).groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
+    joined = plain.join(ranges, ["doc_id", "text_key"], "left").select("doc_id", "text", "ranges")
+    whole = every.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<struct<start:int,stop:int>>").alias("ranges"))
 
     def strip(batches):
         for batch in pieces(batches, SEGMENT):
@@ -485,7 +507,7 @@ def kept(docs: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return mapped(plain.join(ranges, ["doc_id", "text_key"], "left").select("doc_id", "text", "ranges"), strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return mapped(whole.union(joined), strip, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op5_suffix_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

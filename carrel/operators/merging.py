@@ -66,3 +66,27 @@ def with_defaults(values: DataFrame, keys: list[str], defaults: dict[int, str] |
     entries = F.explode(F.array(*(F.struct(F.lit(k).alias("item"), F.lit(x).alias("value")) for k, x in (defaults or DEFAULTS).items())))
     wanted = values.select(*keys).distinct().select(*keys, entries.alias("d")).select(*keys, "d.item", "d.value")
     return values.select(*keys, "item", "value").unionByName(wanted.join(values.select(*keys, "item"), [*keys, "item"], "left_anti"))
+
+
+def usage_numbers(usage: Column) -> Column:
+    """The numeric entries of a usage object (JSON text) as a map of whole numbers; other entries go."""
+    entries = F.from_json(usage, "map<string,string>")
+    number = lambda v: F.when(v.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), v.try_cast("double").cast("bigint"))
+    return F.map_filter(F.transform_values(entries, lambda _, v: number(v)), lambda _, v: v.isNotNull())
+
+
+def content_text(content: Column) -> Column:
+    """A content payload (JSON text of a string, of a list of parts or of one object) as plain text.
+
+    Of a part that is an object, its text counts, or else its content; parts with neither go.
+    """
+    parts = F.from_json(content, "array<string>")
+    piece = lambda p: F.when(p.startswith("{"), F.coalesce(F.get_json_object(p, "$.text"), F.get_json_object(p, "$.content"))).otherwise(p)
+    joined = F.array_join(F.filter(F.transform(parts, piece), lambda p: p.isNotNull()), "")
+    return F.coalesce(F.when(F.ltrim(content).startswith("["), joined).otherwise(content), F.lit(""))
+
+
+def envelope_text(body: Column) -> Column:
+    """The text of a model's reply: chat choices, content blocks, output blocks or candidates' parts."""
+    paths = ["$.choices[0].message.content", "$.content", "$.output.message.content", "$.candidates[0].content.parts"]
+    return content_text(F.coalesce(*(F.get_json_object(body, p) for p in paths)))

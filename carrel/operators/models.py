@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 LONGEST_WAIT = 120.0
 ATTEMPTS = 10
+#: characters of an unreadable answer that are shown to the model again
+SHOWN_AGAIN = 2000
 
 
 class Client(Protocol):
@@ -71,12 +73,36 @@ def as_object(answer: str) -> dict:
     return found
 
 
+def called_object(client: Client, system: str, prompt: str, attempts: int = ATTEMPTS, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """The JSON object a model answers with; an answer that is none goes back with what is wrong about it.
+
+    Failed calls and unreadable answers use up the same attempts; the last one's error is raised.
+    """
+    asked = prompt
+    for attempt in range(1, attempts + 1):
+        try:
+            answer = client.generate(system, asked)
+            return as_object(answer)
+        except Retryable as e:
+            if attempt == attempts:
+                raise
+            sleep(wait_before(attempt, e.after))
+        except ValueError as e:
+            if attempt == attempts:
+                raise
+            asked = f"{prompt}\n\nThe last answer could not be read as a JSON object ({e}). It was:\n{answer[:SHOWN_AGAIN]}\n\nAnswer with one JSON object and nothing else."
+    raise AssertionError
+
+
 def request_id(system: str = "system", prompt: str = "prompt"):
     return F.sha2(F.concat_ws("\x1f", system, prompt), 256)
 
 
-def answered(requests: DataFrame, client: Client, done: DataFrame | None = None, attempts: int = ATTEMPTS) -> DataFrame:
-    """request_id, response, error for every distinct (system, prompt); ``done`` has earlier answers."""
+def answered(requests: DataFrame, client: Client, done: DataFrame | None = None, attempts: int = ATTEMPTS, objects: bool = False) -> DataFrame:
+    """request_id, response, error for every distinct (system, prompt); ``done`` has earlier answers.
+
+    With ``objects``, an answer must be a JSON object: others are asked for again with feedback.
+    """
     wanted = requests.select(request_id().alias("request_id"), "system", "prompt").dropDuplicates(["request_id"])
     if done is not None:
         wanted = wanted.join(done.where("error is null").select("request_id"), "request_id", "left_anti")
@@ -86,7 +112,8 @@ def answered(requests: DataFrame, client: Client, done: DataFrame | None = None,
             rows = []
             for key, system, prompt in zip(frame["request_id"], frame["system"], frame["prompt"], strict=True):
                 try:
-                    rows.append((key, called(client, system, prompt, attempts), None))
+                    found = json.dumps(called_object(client, system, prompt, attempts), ensure_ascii=False) if objects else called(client, system, prompt, attempts)
+                    rows.append((key, found, None))
                 except Exception as e:  # noqa: BLE001  one failed call is one failed row
                     rows.append((key, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["request_id", "response", "error"])

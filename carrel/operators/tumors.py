@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from carrel.operators.models import Client, as_object, called
+from carrel.functions.scalars import morphology, text, topography
+from carrel.operators.models import Client, answered, called_object, request_id
 
 FIELDS = ["cancer_type", "primary_site_hint", "approximate_date", "evidence", "histology", "laterality"]
 SCHEMA = "patient_id string, tumor_index int, cancer_type string, primary_site_hint string, approximate_date string, evidence string, histology string, laterality string, contributing_chunks string"
@@ -19,7 +21,7 @@ def _clean(found: list) -> list[dict]:
     return rows
 
 
-def detected(chunks: DataFrame, client: Client) -> DataFrame:
+def detected(chunks: DataFrame, client: Client, attempts: int = 1) -> DataFrame:
     """One row for each tumor of each patient; a patient without any gets one unknown tumor.
 
     State N depends on state N-1, so the chunks of one patient are folded in one group, in order.
@@ -33,7 +35,8 @@ def detected(chunks: DataFrame, client: Client) -> DataFrame:
         for chunk_id, body in zip(group["chunk_id"], group["chunk_text"], strict=True):
             prompt = f"Current list: {running}\n\nNotes:\n{body}"
             try:
-                running = _clean(as_object(called(client, SYSTEM, prompt, attempts=1)).get("diagnoses", running))
+                found = called_object(client, SYSTEM, prompt, attempts).get("diagnoses")
+                running = _clean(found) if isinstance(found, list) else running
             except Exception:  # noqa: BLE001  an unreadable answer changes nothing
                 continue
             for row in running:
@@ -47,3 +50,24 @@ def detected(chunks: DataFrame, client: Client) -> DataFrame:
 
     return chunks.select("patient_id", "chunk_id", "chunk_index", "chunk_text").groupBy("patient_id").applyInPandas(fold, SCHEMA)
 
+
+CODING_SYSTEM = "Give each numbered diagnosis its topography and morphology code. Answer with a JSON object: {\"coded\": [{\"primary_site_code\": ..., \"histology_code\": ...}]}, one entry for each diagnosis, in order."
+_CODED = "struct<coded:array<struct<primary_site_code:string,histology_code:string>>>"
+
+
+def coded(found: DataFrame, client: Client, attempts: int = 1) -> DataFrame:
+    """``found`` (the rows of detected()) with primary_site_code and histology_code, from one call a patient.
+
+    The answers' entries belong to the diagnoses by their place. A missing or unreadable entry, a
+    code of no valid shape and a failed call leave '' there. Patients whose only row is the unknown
+    tumor are not asked.
+    """
+    line = F.format_string("%d. %s; site %s; histology %s; laterality %s", F.col("tumor_index") + 1, "cancer_type", "primary_site_hint", "histology", "laterality")
+    known = found.where("not (cancer_type = 'unknown' and primary_site_hint = '' and contributing_chunks = '')")
+    lists = known.groupBy("patient_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tumor_index", line.alias("line")))), lambda x: x["line"]), "\n").alias("prompt"))
+    asked = lists.select("patient_id", F.lit(CODING_SYSTEM).alias("system"), F.concat(F.lit("Diagnoses:\n"), "prompt").alias("prompt"))
+    asked = asked.withColumn("request_id", request_id())
+    answers = answered(asked.select("system", "prompt"), client, attempts=attempts, objects=True).where("error is null").select("request_id", F.from_json("response", _CODED)["coded"].alias("coded"))
+    entries = asked.select("patient_id", "request_id").join(answers, "request_id").select("patient_id", F.posexplode("coded").alias("tumor_index", "entry"))
+    entries = entries.select("patient_id", "tumor_index", topography(text(F.col("entry.primary_site_code"))).alias("primary_site_code"), morphology(text(F.col("entry.histology_code"))).alias("histology_code"))
+    return found.join(entries, ["patient_id", "tumor_index"], "left").na.fill("", ["primary_site_code", "histology_code"])

@@ -10,6 +10,8 @@ TNM_PROBES = ["cT1mi", "pT2", "C2", "CX", "T1", "N1a", "c n0", "Tis", "is", "88"
 STAGE_PROBES = ["Stage IV", "IIIA", "IIB", "I", "0", "0IS", "2A", "99", "unk", "", "IS", "7", "5", "stage 4", "x"]
 MARKER_PROBES = ["1: ER positive", "negative", "0", "1", "2", "", "Left", "RIGHT", "unknown", "POS"]
 
+PARSER_PROBES = ["GPT-OSS", "openai gpt_oss", " qwen-3 ", "Qwen3", "gemma.4", "__x__", "", "auto"]
+
 SEP = "\\s"
 
 
@@ -252,6 +254,9 @@ def probe(salt: int, values: list[str], columns: str) -> str:
     return f"SELECT o_orderkey, {columns} FROM (SELECT o_orderkey, {pick('o_orderkey', salt, values)} AS x FROM orders)"
 
 
+_SCHEMA_OF = f"SELECT o_orderkey, {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))"
+_STAGING = {name: [*dict.fromkeys([*CORE_STAGING_ITEMS, *own])] for name, own in ({"generic": []} | SCHEMA_ITEMS).items()}
+
 ORACLES: dict[str, str] = {
     "scan_notes_nonblank": "SELECT doc_id, source, CAST(length(text) AS INT) AS n_chars FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '\\S')",
     "structured_projection": """WITH first AS (SELECT * FROM customer JOIN orders ON c_custkey = o_custkey QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate, o_orderkey) = 1)
@@ -263,6 +268,17 @@ SELECT CAST(c_custkey AS VARCHAR) AS patient_id, item, value FROM (SELECT c_cust
     "chunk_dates": f"""{_CHUNKS}, found AS (SELECT *, regexp_extract_all(chunk_text, '=== Clinical Note dated (.+?) ===', 1) AS h FROM chunks)
 SELECT conv_id, chunk_index, coalesce(h[1], carried) AS first_date, coalesce(h[-1], carried) AS last_date FROM (
   SELECT *, coalesce(last_value(h[-1] IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY chunk_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), first_doc_date) AS carried FROM found)""",
+    "tumor_fold": f"""{_CHUNKS}, said AS (SELECT conv_id, chunk_index, CASE WHEN contains(chunk_text, 'the') THEN 'breast' ELSE 'colon' END AS kind FROM chunks),
+last AS (SELECT conv_id, arg_max(kind, chunk_index) AS kind FROM said GROUP BY 1)
+SELECT CAST(l.conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, l.kind AS cancer_type, 'site' AS primary_site_hint, 'left' AS laterality, CAST(count(*) FILTER (s.kind = l.kind) AS INT) AS n_chunks FROM last l JOIN said s ON s.conv_id = l.conv_id GROUP BY ALL""",
+    "tumor_codes": f"""{_CHUNKS} SELECT CAST(conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, CASE WHEN breast THEN 'breast' ELSE 'colon' END AS cancer_type, CASE WHEN breast THEN 'C50.9' ELSE 'C18.2' END AS primary_site_code, CASE WHEN breast THEN '8500' ELSE '' END AS histology_code
+FROM (SELECT conv_id, arg_max(contains(chunk_text, 'the'), chunk_index) AS breast FROM chunks GROUP BY 1)""",
+    "staging_phase_items": f"WITH schemas AS ({_SCHEMA_OF}), items AS (" + " UNION ALL ".join(f"SELECT '{name}' AS schema, {len(items)} AS n, {sum(items)} AS items" for name, items in _STAGING.items()) + ") SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, CAST(n AS BIGINT) AS n, CAST(items AS BIGINT) AS items FROM schemas JOIN items USING (schema)",
+    "first_open_round": "WITH w AS (SELECT DISTINCT conv_id, turn FROM conversations), o AS (SELECT min(turn) AS first FROM w WHERE NOT (turn < 2 OR conv_id % 3 = 0)) SELECT CAST(max(turn) + 1 AS INT) AS n_rounds, CAST(coalesce(any_value(first), max(turn) + 1) AS INT) AS first_open FROM w, o",
+    "parser_names": f"SELECT o_orderkey, CASE WHEN k IN ('gptoss', 'gpt_oss', 'openai_gpt_oss') THEN 'openai_gptoss' WHEN k = 'qwen_3' THEN 'qwen3' WHEN k = 'gemma_4' THEN 'gemma4' ELSE k END AS parser FROM (SELECT o_orderkey, trim(regexp_replace(lower({pick('o_orderkey', 11, PARSER_PROBES)}), '[^a-z0-9]+', '_', 'g'), '_') AS k FROM orders)",
+    "usage_numbers": "SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS INT) AS n, CAST(event_id AS BIGINT) AS prompt_tokens, CAST(CASE WHEN event_id % 3 <> 0 THEN 7 END AS BIGINT) AS cached FROM events",
+    "envelope_text": "SELECT conv_id, turn, text || CASE WHEN turn % 4 = 1 THEN '!' ELSE '' END AS answer FROM conversations WHERE text IS NOT NULL",
+    "checkpoint_keys": "SELECT c_custkey, left(sha256(CAST(c_custkey AS VARCHAR)), 20) AS name FROM customer",
     "rounds_by_chunk": f"{_CHUNKS} SELECT chunk_index AS round, count(*) AS units FROM chunks GROUP BY 1",
     "batching": "SELECT p_partkey, p_brand, CAST((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 50 AS INT) AS batch FROM part",
     "partial_date_interval": f"{_PARTIAL} SELECT * FROM spans",

@@ -1,7 +1,8 @@
 """The whole run: notes to chunks, tumors, scoped extraction rounds, checked records and files.
 
 Every step is a DataFrame plan; the driver only loops over rounds. A round's state is written as
-Parquet, which cuts the lineage and lets a stopped run resume behind its last whole round.
+Parquet phase by phase, which cuts the lineage and lets a stopped run resume behind its last whole
+phase.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carrel.functions import dates
-from carrel.functions.scalars import either, morphology, topography
+from carrel.functions.scalars import either
 from carrel.operators import chunking, confidence, matching, merging, models, resolution, rules, tumors
+from carrel.operators.prompts import narrative_results
 from carrel.sources import notes, sinks
 
 KEYS = ["patient_id", "tumor_index"]
@@ -33,6 +35,7 @@ class Run:
     target_tokens: int = chunking.TARGET_TOKENS
     overlap_tokens: int = chunking.OVERLAP_TOKENS
     items_per_call: int = 50
+    attempts: int = models.ATTEMPTS
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -58,8 +61,7 @@ def scoped_chunks(docs: DataFrame, found: DataFrame, run: Run) -> DataFrame:
 def first_state(docs: DataFrame, found: DataFrame) -> DataFrame:
     """What is known before any call: structured columns and the codes of the detected tumors."""
     structured = notes.structured_items(docs).join(found.select(*KEYS), "patient_id").select(*KEYS, "item", F.col("value").alias("extracted"), F.col("value").alias("resolved"))
-    coded = found.withColumn("primary_site_code", topography(F.col("primary_site_hint"))).withColumn("histology_code", morphology(F.col("histology")))
-    both = structured.unionByName(merging.seeded(coded, KEYS).drop("confidence"))
+    both = structured.unionByName(merging.seeded(found, KEYS).drop("confidence"))
     rows = both.withColumn("confidence", F.lit(1.0)).withColumn("evidence", F.lit("")).withColumn("seq", F.lit(-1).cast("bigint"))
     return merging.merged(rows, KEYS).select(*KEYS, "item", "extracted", "resolved", "confidence", "evidence", "seq")
 
@@ -68,23 +70,55 @@ def field_names(items: DataFrame) -> DataFrame:
     return items.select("item", either(F.trim(F.coalesce("xml_id", F.lit(""))), F.concat(F.lit("item_"), F.col("item").cast("string"))).alias("field"))
 
 
-def extraction_round(chunks: DataFrame, state: DataFrame, number: int, run: Run) -> DataFrame:
-    """The state after every unit's chunk of this round has been asked and merged."""
-    now = chunks.where(F.col("chunk_index") == number)
+def phase_items(units: DataFrame, state: DataFrame, phase: str) -> DataFrame:
+    """KEYS, item: what a phase asks of each unit; the staging phase asks by the unit's schema."""
+    if phase != "staging":
+        return units.select(*KEYS, F.explode(F.array(*(F.lit(i) for i in resolution.DOMAIN_ITEMS[phase]))).alias("item"))
+    value = either(F.coalesce("resolved", F.lit("")), F.coalesce("extracted", F.lit("")))
+    known = state.where(F.col("item").isin(400, 522)).groupBy(*KEYS).agg(F.max(F.when(F.col("item") == 400, value)).alias("site"), F.max(F.when(F.col("item") == 522, value)).alias("histology"))
+    schema = resolution.schema_of(F.coalesce("site", F.lit("")), F.coalesce("histology", F.lit("")))
+    return units.select(*KEYS).join(known, KEYS, "left").select(*KEYS, F.explode(resolution.staging_items(schema)).alias("item"))
+
+
+def extraction_phase(units: DataFrame, state: DataFrame, phase: str, number: int, run: Run) -> DataFrame:
+    """The state after one phase of one round: open items are asked, replies resolved and merged."""
     wanted = resolution.extractable(run.items)
     fields = resolution.small(field_names(wanted))
-    units = now.select(*KEYS, "chunk_text")
-    ask = merging.still_open(units.select(*KEYS).join(fields, F.lit(True)), state, KEYS)
+    ask = merging.still_open(phase_items(units, state, phase).join(fields, "item"), state, KEYS)
     prior = state.where("confidence > 0").groupBy(*KEYS).agg(F.array_join(F.array_sort(F.collect_list(F.format_string("%05d=%s (%.2f)", "item", either(F.col("resolved"), F.col("extracted")), "confidence"))), "\n").alias("prior"))
     batches = chunking.batched(ask, KEYS, ["item"], run.items_per_call).groupBy(*KEYS, "batch").agg(F.array_join(F.array_sort(F.collect_list("field")), ", ").alias("asked"))
-    prompts = batches.join(units, KEYS).join(prior, KEYS, "left").select(*KEYS, F.lit(SYSTEM).alias("system"), F.concat(F.lit("Items: "), F.col("asked"), F.lit("\nKnown:\n"), F.coalesce("prior", F.lit("")), F.lit("\nNotes:\n"), F.col("chunk_text")).alias("prompt"))
+    prompts = batches.join(units, KEYS).join(prior, KEYS, "left").select(*KEYS, F.lit(SYSTEM).alias("system"), F.concat(F.lit(f"Phase: {phase}\nItems: "), F.col("asked"), F.lit("\nKnown:\n"), F.coalesce("prior", F.lit("")), F.lit("\nNotes:\n"), F.col("chunk_text")).alias("prompt"))
     prompts = prompts.withColumn("request_id", models.request_id())
-    answers = models.answered(prompts.select("system", "prompt"), run.extractor)
+    answers = models.answered(prompts.select("system", "prompt"), run.extractor, attempts=run.attempts, objects=True)
     replies = prompts.select(*KEYS, "request_id").join(answers.where("error is null"), "request_id").select(*KEYS, "response")
-    rows = merging.payload_items(replies).join(fields, "field")
-    resolved = resolution.resolved(rows, run.codes, resolution.numeric_ranges(wanted))
-    fresh = resolved.where(~merging.leaked_number(F.col("item"), F.col("code"))).select(*KEYS, "item", F.col("value").alias("extracted"), F.col("code").alias("resolved"), merging.combined_confidence(F.col("model_confidence"), F.col("resolution")).alias("confidence"), "evidence", F.lit(number).cast("bigint").alias("seq"))
-    return merging.merged(state.unionByName(fresh), KEYS).select(*state.columns)
+    seq = F.lit(number).cast("bigint").alias("seq")
+    if phase == "text":
+        said = merging.payload_items(replies).join(fields.select("field"), "field", "left_semi")
+        rows = narrative_results(said, wanted).select(*KEYS, "item", "extracted", "resolved", "confidence", "evidence", seq)
+    else:
+        found = resolution.resolved(merging.payload_items(replies).join(fields, "field"), run.codes, resolution.numeric_ranges(wanted))
+        rows = found.where(~merging.leaked_number(F.col("item"), F.col("code"))).select(*KEYS, "item", F.col("value").alias("extracted"), F.col("code").alias("resolved"), merging.combined_confidence(F.col("model_confidence"), F.col("resolution")).alias("confidence"), "evidence", seq)
+    return merging.merged(state.unionByName(rows), KEYS).select(*state.columns)
+
+
+#: the phases of a round, in order: what a phase finds is known to the next (the schema, above all)
+PHASES = ["demographics", "staging", "surgery", "radiation", "systemic", "followup", "text"]
+
+
+def extraction_round(chunks: DataFrame, state: DataFrame, number: int, run: Run) -> DataFrame:
+    """The state after every unit's chunk of this round has gone through all phases, each written as it ends."""
+    units = chunks.where(F.col("chunk_index") == number).select(*KEYS, "chunk_text")
+    for phase in PHASES:
+        state = _kept(extraction_phase(units, state, phase, number, run), f"{run.folder}/round={number}/{phase}")
+    return state
+
+
+def rounds_done(chunks: DataFrame, done: DataFrame) -> DataFrame:
+    """n_rounds, first_open: the first round that some unit hasn't done, or n_rounds (``done``: KEYS, chunk_index)."""
+    wanted = chunks.select(*KEYS, "chunk_index").distinct()
+    open_ = wanted.join(done.select(*KEYS, "chunk_index").distinct(), [*KEYS, "chunk_index"], "left_anti").agg(F.min("chunk_index").alias("first"))
+    total = wanted.agg((F.coalesce(F.max("chunk_index"), F.lit(-1)) + 1).alias("n_rounds"))
+    return total.join(F.broadcast(open_)).select("n_rounds", F.coalesce("first", "n_rounds").alias("first_open"))  # two single rows
 
 
 def checked(state: DataFrame) -> dict[str, DataFrame]:
@@ -98,12 +132,13 @@ def checked(state: DataFrame) -> dict[str, DataFrame]:
 def run(spark: SparkSession, path: str, setup: Run) -> dict[str, DataFrame]:
     docs = _kept(notes.load(spark, path), f"{setup.folder}/notes")
     whole = chunking.chunked(chunking.concatenated(docs, ["patient_id"]), ["patient_id"], setup.target_tokens, setup.overlap_tokens)
-    found = _kept(tumors.detected(whole, setup.detector), f"{setup.folder}/tumors")
+    listed = _kept(tumors.detected(whole, setup.detector), f"{setup.folder}/listed")
+    found = _kept(tumors.coded(listed, setup.detector), f"{setup.folder}/tumors")
     chunks = _kept(scoped_chunks(docs, found, setup), f"{setup.folder}/chunks")
     state = _kept(first_state(docs, found), f"{setup.folder}/round=start")
     last = chunks.agg(F.max("chunk_index")).first()[0]
     for number in range((last if last is not None else -1) + 1):
-        state = _kept(extraction_round(chunks, state, number, setup), f"{setup.folder}/round={number}")
+        state = extraction_round(chunks, state, number, setup)
     summary = found.agg(F.count("*").alias("records"), F.countDistinct("patient_id").alias("patients"))
     return {"tumors": found, "chunks": chunks, "state": state, "summary": summary, **checked(state)}
 

@@ -12,7 +12,7 @@ from carrel.sources.notes import read_table
 
 _ITEM = "array<struct<_VALUE:string,_naaccrId:string,_naaccrNum:string>>"
 XML_SCHEMA = f"Item {_ITEM}, Patient array<struct<Item:{_ITEM},Tumor:array<struct<Item:{_ITEM}>>>>"
-# Columns of a registry export and the fields they become.
+# Columns of the registry export that the scorer knows, and the fields they become; others are given as a parameter.
 EXPORT = {"DFCI_MRN": "mrn", "DIAGNOSIS_DT": "date", "DERIVED_BEST_ROW_IND": "best_row", "SITE_CD": "site", "SITE_DESCR": "site_descr", "HISTOLOGY_CD": "hist", "HISTOLOGY_DESCR": "hist_descr", "BEHAVIOR_CD": "beh", "LATERALITY_CD": "lat", "GRADE_DIFF_CODE": "grade", "GENERAL_STAGE_CD": "ss", "BEST_AJCC_STAGE_CD": "ajcc", "CLIN_T_CD": "t", "CLIN_N_CD": "n", "CLIN_M_CD": "m", "SSDI_ER_SUMMARY": "er", "SSDI_PR_SUMMARY": "pr", "SSDI_HER2_OVERALL_SUMMARY": "her2"}
 
 
@@ -40,12 +40,16 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
     return tumors.select("patient_no", F.coalesce("tumor_no", F.lit(0)).alias("tumor_no"), F.when(F.col("tumor").isNull(), F.col("upper")).otherwise(_over(F.col("upper"), _pairs(F.col("tumor.Item")))).alias("values"))
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """A registry export with the scorer's fields; missing ones are null; key and date must be there."""
-    raw = read_table(spark, path)
-    if not {"DFCI_MRN", "DIAGNOSIS_DT"} <= set(raw.columns):
-        raise ValueError("a registry export needs DFCI_MRN and DIAGNOSIS_DT")
-    rows = raw.select(*((F.col(c) if c in raw.columns else F.lit(None).cast("string")).alias(f) for c, f in EXPORT.items()))
+def read_export(spark: SparkSession, path: str, columns: dict[str, str] | None = None) -> DataFrame:
+    """A registry export with the scorer's fields; missing ones are null; key and date must be there.
+
+    ``columns``: the export's columns and the fields they become (an institution's own names).
+    """
+    raw, columns = read_table(spark, path), columns or EXPORT
+    needed = [c for c, f in columns.items() if f in ("mrn", "date")]
+    if not set(needed) <= set(raw.columns):
+        raise ValueError(f"a registry export needs {' and '.join(needed)}")
+    rows = raw.select(*((F.col(c) if c in raw.columns else F.lit(None).cast("string")).alias(f) for c, f in columns.items()))
     return rows.withColumn("mrn", text(F.col("mrn")).try_cast("bigint")).withColumn("day", registry_date(F.col("date"))).where("mrn is not null")
 
 

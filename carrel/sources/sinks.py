@@ -60,9 +60,31 @@ def xml_lines(values: DataFrame, items: DataFrame, patient: str, tumor: str) ->
     return opening.union(body).union(closing)
 
 
-def write_xml(values: DataFrame, items: DataFrame, path: str, patient: str = "patient_id", tumor: str = "tumor_index") -> None:
-    """One file; a registry submission is a single document by its format."""
-    xml_lines(values, items, patient, tumor).orderBy("part", "patient").select("xml").coalesce(1).write.mode("overwrite").text(path)
+def write_xml(values: DataFrame, items: DataFrame, path: str, patient: str = "patient_id", tumor: str = "tumor_index", documents: int | None = 1) -> None:
+    """One document in one file, as a submission needs it; or ``documents`` whole ones, patients dealt over them by range.
+
+    Each document has the same head and foot; None leaves their number to the planner. Readers take
+    a folder of them like one file.
+    """
+    lines = xml_lines(values, items, patient, tumor)
+    if documents == 1:
+        lines.orderBy("part", "patient").select("xml").coalesce(1).write.mode("overwrite").text(path)
+        return
+    ends = F.broadcast(lines.where("part <> 1").agg(F.max(F.when(F.col("part") == 0, F.col("xml"))).alias("head"), F.max(F.when(F.col("part") == 2, F.col("xml"))).alias("foot")))
+    body = lines.where("part = 1").select("patient", "xml")
+    dealt = body.repartitionByRange(documents, "patient") if documents else body.repartitionByRange("patient")
+    placed = dealt.sortWithinPartitions("patient").withColumn("file", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
+    placed = written_once(placed, f"{path}-patients")
+    edges = placed.groupBy("file").agg(F.min("row").alias("first"), F.max("row").alias("last"))
+    whole = placed.join(edges, "file").join(ends).select(
+        "file", "row", F.concat(F.when(F.col("row") == F.col("first"), F.concat("head", F.lit("\n"))).otherwise(""), F.col("xml"), F.when(F.col("row") == F.col("last"), F.concat(F.lit("\n"), "foot")).otherwise("")).alias("xml")
+    )
+    whole.repartition("file").sortWithinPartitions("file", "row").select("file", "xml").write.mode("overwrite").partitionBy("file").text(path)
+
+
+def written_once(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -106,6 +128,11 @@ def write_log(calls: DataFrame, path: str) -> None:
     calls.write.mode("append").json(path)
 
 
+def checkpoint_key(patient: Column) -> Column:
+    """A stable, short and safe name for a patient's checkpoint."""
+    return F.substring(F.sha2(patient, 256), 1, 20)
+
+
 def write_checkpoint(state: DataFrame, folder: str, name: str) -> DataFrame:
     """Write a round's state as Parquet (the committer makes it whole or absent) and read it back."""
     path = f"{folder}/{name}"

@@ -308,6 +308,95 @@ def test_tumor_fold(spark):
     assert got == [("p", "t0", 300, "c1"), ("q", "unknown", 0, "")]
 
 
+class Scripted:
+    """Answers in turn; notes every prompt in a file, so that calls in workers can be counted."""
+
+    def __init__(self, folder, *answers):
+        self.folder, self.answers = str(folder), answers
+
+    def generate(self, system, prompt):
+        import os
+        import uuid
+
+        n = len(os.listdir(self.folder))
+        with open(f"{self.folder}/{n:04}-{uuid.uuid4().hex}", "w") as f:
+            f.write(prompt)
+        return self.answers[min(n, len(self.answers) - 1)]
+
+
+def test_detection_then_coding_takes_one_call_a_chunk_and_one_more(spark, tmp_path):
+    chunks = spark.createDataFrame([("p", "c1", 0, "a"), ("p", "c2", 1, "b")], "patient_id string, chunk_id string, chunk_index int, chunk_text string")
+    first = json.dumps({"diagnoses": [{"cancer_type": "lung", "primary_site_hint": "upper lobe"}]})
+    client = Scripted(tmp_path, first, json.dumps({"diagnoses": [{"cancer_type": "lung", "primary_site_hint": "upper lobe"}, {"cancer_type": "colon"}]}), json.dumps({"coded": [{"primary_site_code": "C341", "histology_code": "8140/3"}, {"primary_site_code": "lung", "histology_code": 81400}]}))
+    listed = spark.createDataFrame(tumors.detected(chunks, client).toPandas(), tumors.SCHEMA)
+    got = sorted((r["tumor_index"], r["cancer_type"], r["primary_site_code"], r["histology_code"]) for r in tumors.coded(listed, client).collect())
+    assert got == [(0, "lung", "C34.1", "8140"), (1, "colon", "", "")]
+    asked = [f.read_text() for f in sorted(tmp_path.iterdir())]
+    assert len(asked) == 3 and "1. lung; site upper lobe" in asked[2] and "2. colon" in asked[2]
+
+
+def test_coding_of_nothing_known_and_of_bad_answers(spark, tmp_path):
+    found = spark.createDataFrame([("p", 0, "unknown", "", "", "", "", "unknown", ""), ("q", 0, "lung", "x", "", "", "", "left", "c1")], tumors.SCHEMA)
+    (tmp_path / "calls").mkdir()
+    rows_ = tumors.coded(found, Scripted(tmp_path / "calls", "no object")).collect()
+    assert sorted((r["patient_id"], r["primary_site_code"], r["histology_code"]) for r in rows_) == [("p", "", ""), ("q", "", "")]
+    assert len(list((tmp_path / "calls").iterdir())) == 1
+
+
+def test_unreadable_answers_go_back_with_feedback(tmp_path):
+    client = Scripted(tmp_path, "not json", "[1, 2]", '```json\n{"a": 1}\n```')
+    assert models.called_object(client, "s", "the prompt", attempts=3) == {"a": 1}
+    first, second, third = (f.read_text() for f in sorted(tmp_path.iterdir()))
+    assert first == "the prompt" and second.startswith("the prompt\n\n") and "not json" in second and "[1, 2]" in third
+    with pytest.raises(ValueError):
+        models.called_object(models.EchoClient(lambda s, p: "never"), "s", "p", attempts=2)
+
+
+def test_answers_as_objects(spark):
+    asked = spark.createDataFrame([("s", "a"), ("s", "b")], "system string, prompt string")
+    client = models.EchoClient(lambda s, p: '[{"k": "é"}]' if p.startswith("a") else "none")
+    got = sorted((r["response"] or "", (r["error"] or "")[:15]) for r in models.answered(asked, client, attempts=2, objects=True).collect())
+    assert got == [("", "JSONDecodeError"), ('{"k": "é"}', "")]
+
+
+def test_phases_ask_in_order_and_staging_by_schema(spark, tmp_path):
+    at = dictionary_files(tmp_path)
+    (tmp_path / "notes.csv").write_text("patient_id,date,text\np1,2024-01-10,breast mass\n")
+    (tmp_path / "asked").mkdir()
+    extractor = Scripted(tmp_path / "asked", '{"primarySite": {"value": "C50.4", "confidence": 0.95}}')
+    run = pipeline.Run(items=dictionary.items(spark, f"{at}/items.csv"), codes=dictionary.codes(spark, f"{at}/codes.csv"), detector=models.EchoClient(detect_one), extractor=extractor, folder=f"{tmp_path}/work", attempts=1)
+    pipeline.run(spark, f"{tmp_path}/notes.csv", run)
+    order = [f.read_text().split("\n")[0].removeprefix("Phase: ") for f in sorted((tmp_path / "asked").iterdir())]
+    assert order == [p for p in pipeline.PHASES if p in order] and order[0] == "demographics"
+    units = spark.createDataFrame([("p", 0), ("q", 0)], "patient_id string, tumor_index int")
+    state = spark.createDataFrame([("p", 0, 400, "", "C61.9")], "patient_id string, tumor_index int, item int, extracted string, resolved string")
+    asked = pipeline.phase_items(units, state, "staging").groupBy("patient_id").agg(F.collect_set("item").alias("i")).collect()
+    assert {r["patient_id"]: 3838 in r["i"] for r in asked} == {"p": True, "q": False}
+
+
+def test_first_open_round(spark):
+    chunks = spark.createDataFrame([("p", 0, 0), ("p", 0, 1), ("q", 0, 0)], "patient_id string, tumor_index int, chunk_index int")
+    answer = lambda done: tuple(pipeline.rounds_done(chunks, done).first())
+    assert answer(chunks) == (2, 2) and answer(chunks.limit(0)) == (2, 0) and answer(chunks.where("chunk_index = 0")) == (2, 1)
+    assert tuple(pipeline.rounds_done(chunks.limit(0), chunks).first()) == (0, 0)
+
+
+def test_many_xml_documents_read_back_like_one(spark, tmp_path):
+    values = spark.createDataFrame([(f"p{k:02}", 0, 220, str(k % 3)) for k in range(20)] + [(f"p{k:02}", t, 400, f"C{k:02}.{t}") for k in range(20) for t in (0, 1)], "patient_id string, tumor_index int, item int, value string")
+    items = spark.createDataFrame([(220, "sex", "Patient"), (400, "primarySite", "Tumor")], "item int, xml_id string, parent_element string")
+    sinks.write_xml(values, items, f"{tmp_path}/one")
+    sinks.write_xml(values, items, f"{tmp_path}/many", documents=4)
+    read = lambda p: sorted(tuple(sorted(r["values"].items())) for r in registry.read_xml(spark, p).collect())
+    assert read(f"{tmp_path}/many") == read(f"{tmp_path}/one") and len(read(f"{tmp_path}/one")) == 40
+    assert len(list((tmp_path / "many").glob("file=*"))) > 1
+
+
+def test_export_under_other_column_names(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("PAT,DX,SITE\n7,01-JAN-2020,C50\n")
+    got = registry.read_export(spark, f"{tmp_path}/e.csv", {"PAT": "mrn", "DX": "date", "SITE": "site", "HIST": "hist"}).first()
+    assert (got["mrn"], str(got["day"]), got["site"], got["hist"]) == (7, "2020-01-01", "C50", None)
+
+
 def extract(system, prompt):
     return json.dumps({"primarySite": {"value": "C50.4", "confidence": 0.95, "evidence": "x"}, "sex": {"value": "Female", "confidence": 0.6, "evidence": "y"}})
 

@@ -15,7 +15,7 @@ from carrel import catalog
 ROOT = Path(__file__).resolve().parents[1]
 QUICK = [
     "scan_notes_nonblank", "doc_index", "notes_concat", "chunk_notes", "chunk_dates", "partial_date_interval", "diagnosis_window", "merge_highest_confidence", "high_confidence_skip", "llm_payload_parse",
-    "default_fill", "code_resolution_tiers", "schema_selection", "site_normalise", "tnm_normalise", "stage_crosswalk", "biomarker_collapse", "edit_rules_violations", "greedy_match", "field_metrics", "registry_filter", "compress_with_fallback", "confidence_score", "confidence_of_long_results", "review_queue", "window_overlap_join", "keyword_score_topk",
+    "default_fill", "code_resolution_tiers", "schema_selection", "site_normalise", "tnm_normalise", "stage_crosswalk", "biomarker_collapse", "edit_rules_violations", "greedy_match", "field_metrics", "registry_filter", "compress_with_fallback", "tumor_fold", "tumor_codes", "staging_phase_items", "first_open_round", "parser_names", "usage_numbers", "envelope_text", "checkpoint_keys", "confidence_score", "confidence_of_long_results", "review_queue", "window_overlap_join", "keyword_score_topk",
 ]
 
 
@@ -27,6 +27,7 @@ def small(spark, tmp_path_factory):
     tables = {
         "documents": ([(k, rng.choice(["", "  ", "some text ", "x"]) * rng.randint(0, 9), f"s{k % 3}") for k in range(40)], "doc_id long, text string, source string"),
         "conversations": ([(k // 6, k % 6, "user", ("stage " if k % 7 == 0 else "") + ("Other c9 " if k % 3 == 0 else "") + "word " * rng.randint(1, 60)) for k in range(60)], "conv_id long, turn long, role string, text string"),
+        "customer": ([(k,) for k in range(30)], "c_custkey long"),
         "benchmark": ([(k, " ".join(rng.choice(["word", "Words", "swordfish", "xword9", "leukemia", "other", "stages"]) for _ in range(rng.randint(0, 5)))) for k in range(60)], "item_id long, text string"),
         "lineitem": ([(k % 400, k // 400, k, day(k * 29)) for k in range(1200)], "l_orderkey long, l_linenumber int, l_partkey long, l_shipdate timestamp_ntz"),
         "orders": ([(k, k % 17, rng.choice("FOP"), 1.0, day(k * 37), "1") for k in range(400)], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
