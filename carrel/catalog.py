@@ -636,3 +636,69 @@ def envelope_text(spark, d):
 @query
 def checkpoint_keys(spark, d):
     return read(spark, d, "customer").select("c_custkey", sinks.checkpoint_key(F.col("c_custkey").cast("string")).alias("name"))
+
+
+# --- files written and read back ----------------------------------------------------------
+
+
+@query
+def notes_loaded(spark, d):
+    """Notes written as CSV and loaded: blank texts go, documents are numbered by date."""
+    path = sinks.scratch(spark, "notes.csv")
+    rows = read(spark, d, "conversations").select(F.col("conv_id").alias(" Patient_ID"), F.lpad(F.col("turn").cast("string"), 6, "0").alias("DATE"), "text")
+    sinks.write_csv(rows, path)
+    return notes.load(spark, path).select("patient_id", "date", "doc_index", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def xml_scan(spark, d):
+    """Registry XML in several documents, read by the scan: every tumor with the items of its patient."""
+    long = _results(spark, d).where(F.col("item").isin(220, 400, 522)).select(F.expr("rec div 10").alias("patient_id"), F.expr("rec % 10").cast("int").alias("tumor_index"), "item", F.col("resolved").alias("value"))
+    ids = long.select("patient_id", "tumor_index").distinct().select("*", F.lit(20).alias("item"), F.col("patient_id").cast("string").alias("value"))
+    items = spark.createDataFrame([(20, "patientIdNumber", "Patient"), (220, "sex", "Patient"), (400, "primarySite", "Tumor"), (522, "histologicTypeIcdO3", "Tumor")], "item int, xml_id string, parent_element string")
+    path = sinks.scratch(spark, "registry_xml")
+    sinks.write_xml(long.unionByName(ids), items, path, documents=3)
+    value = lambda k: F.coalesce(F.try_element_at("values", F.lit(k)), F.lit(""))
+    return registry.read_xml(spark, path).select(value("patientIdNumber").cast("bigint").alias("patient"), F.col("tumor_no").cast("int").alias("tumor_no"), value("sex").alias("sex"), value("primarySite").alias("site"), value("histologicTypeIcdO3").alias("hist"))
+
+
+@query
+def export_scan(spark, d):
+    path = sinks.scratch(spark, "export.csv")
+    rows = read(spark, d, "orders").select(F.when(F.col("o_orderkey") % 50 == 0, "none").otherwise(F.col("o_custkey").cast("string")).alias("DFCI_MRN"), F.date_format("o_orderdate", "dd-MMM-yyyy").alias("DIAGNOSIS_DT"), F.expr(pick("o_orderkey", 400, VALUES[400])).alias("SITE_CD"), "o_orderkey")
+    sinks.write_csv(rows, path)
+    return registry.read_export(spark, path).groupBy("mrn").agg(F.count("*").alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.max("site").alias("site"), F.count("hist").alias("n_hist"))
+
+
+@query
+def predictions_scan(spark, d):
+    path = sinks.scratch(spark, "predictions.csv")
+    values = _wide(spark, d).select("rec", F.inline(F.array(*(F.struct(F.lit(i).alias("item"), c.cast("string").alias("value")) for i, c in ((2300, F.col("rec")), (400, F.col("v400")), (522, F.col("v522"))))))).where("value <> ''")
+    names = spark.createDataFrame([(2300, "Medical Record Number"), (400, "Primary Site")], "item int, name string")
+    sinks.write_csv(sinks.wide_table(values, names, ["rec"]), path)
+    return registry.read_predictions(spark, path).select(F.col("mrn").cast("bigint").alias("mrn"), F.coalesce("site", F.lit("")).alias("site"), F.coalesce("hist", F.lit("")).alias("hist"))
+
+
+@query
+def audit_scan(spark, d):
+    """Audit rows as written: long evidence is cut."""
+    path = sinks.scratch(spark, "audit.csv")
+    sinks.write_audit(_results(spark, d).where("item = 400").withColumn("evidence", F.repeat(F.lit(' "e", '), 100)), ["rec"], path)
+    found = notes.read_table(spark, path)
+    return found.select(F.col("rec").cast("bigint").alias("rec"), F.col("item").cast("int").alias("item"), F.coalesce("extracted", F.lit("")).alias("extracted"), F.coalesce("resolved", F.lit("")).alias("resolved"), F.col("confidence").cast("double").alias("confidence"), F.sha2("evidence", 256).alias("evidence_sha256"))
+
+
+@query
+def json_scan(spark, d):
+    """Records as JSON lines: blanks dropped, keys renamed."""
+    path = sinks.scratch(spark, "records.json")
+    record = _wide(spark, d).select(F.map_from_arrays(F.array(F.lit("rec"), F.lit("site"), F.lit("hist")), F.array(F.col("rec").cast("string"), "v400", "v522")).alias("values"))
+    sinks.write_json(record, path, names={"site": "primarySite"})
+    found = spark.read.schema("rec string, primarySite string, hist string, site string").json(path)
+    return found.select(F.col("rec").cast("bigint").alias("rec"), "primarySite", "hist", "site")
+
+
+@query
+def checkpoint_scan(spark, d):
+    kept = sinks.write_checkpoint(_values(spark, d), sinks.scratch(spark, "state"), "round=0")
+    return kept.select("user_id", "item", "value")

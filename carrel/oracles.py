@@ -279,6 +279,14 @@ FROM (SELECT conv_id, arg_max(contains(chunk_text, 'the'), chunk_index) AS breas
     "usage_numbers": "SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS INT) AS n, CAST(event_id AS BIGINT) AS prompt_tokens, CAST(CASE WHEN event_id % 3 <> 0 THEN 7 END AS BIGINT) AS cached FROM events",
     "envelope_text": "SELECT conv_id, turn, text || CASE WHEN turn % 4 = 1 THEN '!' ELSE '' END AS answer FROM conversations WHERE text IS NOT NULL",
     "checkpoint_keys": "SELECT c_custkey, left(sha256(CAST(c_custkey AS VARCHAR)), 20) AS name FROM customer",
+    "notes_loaded": "SELECT CAST(conv_id AS VARCHAR) AS patient_id, lpad(CAST(turn AS VARCHAR), 6, '0') AS date, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS doc_index, sha256(text) AS text_sha256 FROM conversations WHERE regexp_matches(coalesce(text, ''), '[^ \\t\\n\\r\\f\\v]')",
+    "xml_scan": f"""WITH rec AS ({WIDE}), {_LONG}, v AS (SELECT rec // 10 AS patient, rec % 10 AS tumor, item, resolved AS value FROM long), t AS (SELECT patient, tumor, CAST(row_number() OVER (PARTITION BY patient ORDER BY tumor) - 1 AS INT) AS tumor_no, max(value) FILTER (item = 220) AS own_sex, coalesce(max(value) FILTER (item = 400), '') AS site, coalesce(max(value) FILTER (item = 522), '') AS hist FROM v GROUP BY patient, tumor)
+SELECT patient, tumor_no, coalesce(first_value(own_sex) OVER (PARTITION BY patient ORDER BY tumor), '') AS sex, site, hist FROM t""",
+    "export_scan": f"SELECT o_custkey AS mrn, count(*) AS n, CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day, nullif(max({pick('o_orderkey', 400, VALUES[400])}), '') AS site, CAST(0 AS BIGINT) AS n_hist FROM orders WHERE o_orderkey % 50 <> 0 GROUP BY 1",
+    "predictions_scan": f"WITH rec AS ({WIDE}) SELECT rec AS mrn, v400 AS site, v522 AS hist FROM rec",
+    "audit_scan": f"WITH rec AS ({WIDE}), {_LONG} SELECT rec, item, coalesce(extracted, '') AS extracted, coalesce(resolved, '') AS resolved, CAST(confidence AS DOUBLE) AS confidence, sha256(left(repeat(' \"e\", ', 100), 500)) AS evidence_sha256 FROM long WHERE item = 400",
+    "json_scan": f"WITH rec AS ({WIDE}) SELECT rec, nullif(v400, '') AS primarySite, nullif(v522, '') AS hist, CAST(NULL AS VARCHAR) AS site FROM rec",
+    "checkpoint_scan": "SELECT user_id, length(event_type) * 100 AS item, arg_max(event_type, event_id) AS value FROM events GROUP BY ALL",
     "rounds_by_chunk": f"{_CHUNKS} SELECT chunk_index AS round, count(*) AS units FROM chunks GROUP BY 1",
     "batching": "SELECT p_partkey, p_brand, CAST((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 50 AS INT) AS batch FROM part",
     "partial_date_interval": f"{_PARTIAL} SELECT * FROM spans",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carrel.operators.resolution import small
@@ -88,7 +91,18 @@ def written_once(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """Quoted where needed; outer blanks of values stay."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder all executors share (spark.checkpoint.dir; in local mode a temporary one of our own)."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="carrel-")
+    return f"{folder}/{uuid.uuid4().hex}-{name}"
 
 
 def write_json(values: DataFrame, path: str, keep_blank: bool = False, names: dict[str, str] | None = None) -> None:
