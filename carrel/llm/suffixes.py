@@ -47,6 +47,7 @@ GRAM = 32
 WINDOW = LENGTH - GRAM + 1
 SEGMENT = 2 << 20
 PLACE_BITS = 24
+SPREAD = 0x9E3779B97F4B
 PART_BYTES = 12 << 20
 #: anchors and bytes of candidates that a map task holds before it sends them
 HELD = 1 << 19
@@ -311,7 +312,8 @@ def _entries(raw: bytes, wanted: list[dict], hottest: np.ndarray):
         first = p - (w["span"] >> 8)
         last = first + (w["span"] & 255)
         if not split:
-            yield gram.to_bytes(6, "big") + raw[p : last + LENGTH], raw[first:p][::-1], p, p - last, p - first
+            # anchors have the least hashes of their windows: a product spreads them over the ranges
+            yield (gram * SPREAD & 0xFFFFFFFFFFFF).to_bytes(6, "big") + raw[p : last + LENGTH], raw[first:p][::-1], p, p - last, p - first
             continue
         for start in range(first, last + 1):
             window = raw[start : start + LENGTH]
