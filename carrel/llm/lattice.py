@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carrel.llm import cells
+from carrel.llm.cells import ROW, SENT_KINDS, Forest, candidate_edges, in_blocks, sent_rows
 from carrel.llm.common import components, mapped, only, runs_of, table, written
-from carrel.llm.simhash import Forest
 
 THRESHOLD = 0.93
 PROBES = 4
@@ -37,11 +38,6 @@ RECALL = 0.97
 SCALE = 0.7
 FITTED = 50_000  # vectors for which SCALE holds
 BLOCK = 4_000
-#: of 64 signature bits; at cosine 0.93 the mean is 7.7 and the standard deviation 2.6
-NEAR = 19
-#: cell rows a task holds before it sends them
-SENT = 1 << 19
-CLOSE = 3
 SEED = 20_240_501
 
 
@@ -129,14 +125,6 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _in_blocks(rows: DataFrame, keys: list[str], size: str, member: str) -> DataFrame:
-    """Deal the rows of groups larger than BLOCK over pairs of blocks: adds columns i and j."""
-    parts = F.ceil(F.col(size) / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64(member), parts).cast("int")
-    spread = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return spread.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other", size)
-
-
 def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with their class, classes: class, salt, vector, id, size); usable rows only have a class.
 
@@ -156,27 +144,6 @@ def signatures(unit: np.ndarray) -> np.ndarray:
     return np.packbits(unit @ planes > 0, axis=1, bitorder="little").view("<u8").ravel()
 
 
-ROW = np.dtype([("cell", "<i8"), ("class", "<i8"), ("signature", "<u8"), ("home", "?"), ("wide", "?")])
-
-
-def thinned(rows: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Rows sorted by cell, of very near ones in a cell one only; edges of the others to it."""
-    rows = rows[np.lexsort((rows["signature"], rows["cell"]))]
-    near = (rows["cell"][1:] == rows["cell"][:-1]) & (np.bitwise_count(rows["signature"][1:] ^ rows["signature"][:-1]) <= CLOSE)
-    starts = np.flatnonzero(np.r_[True, ~near]) if len(rows) else np.zeros(0, np.int64)
-    keep, edges = np.ones(len(rows), bool), []
-    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
-        if b - a < 3:
-            continue
-        # a run of near neighbours in sorted order: those within CLOSE of its first row go with it
-        gone = a + 1 + np.flatnonzero(np.bitwise_count(rows["signature"][a + 1 : b] ^ rows["signature"][a]) <= CLOSE)
-        keep[gone] = False
-        rows["home"][a] |= rows["home"][gone].any()
-        rows["wide"][a] |= len(gone) > 0
-        edges += [(int(rows["class"][a]), c) for c in set(rows["class"][gone].tolist()) - {int(rows["class"][a])}]
-    return rows[keep], edges
-
-
 def sent_cells(own: DataFrame, tables: int, scale: float, parts: int) -> DataFrame:
     """part, edges, blob: cell rows of many vectors for one part of the cells; or edges of very near vectors."""
 
@@ -189,63 +156,20 @@ def sent_cells(own: DataFrame, tables: int, scale: float, parts: int) -> DataFra
                 unit = _unit(_matrix(same.column("vector")))
                 signature, number, salt = signatures(unit), same.column("class").to_numpy(), same.column("salt").to_numpy()
                 found = []
-                for _, cells in probed(unit, tables, scale):
-                    n, width = cells.shape
+                for _, numbers in probed(unit, tables, scale):
+                    n, width = numbers.shape
                     rows = np.zeros(n * width, ROW)
-                    rows["cell"] = (cells ^ salt[:, None]).ravel()
+                    rows["cell"] = (numbers ^ salt[:, None]).ravel()
                     rows["class"], rows["signature"] = np.repeat(number, width), np.repeat(signature, width)
                     rows["home"][::width] = True
                     found.append(rows)
-                    if len(found) * len(rows) >= SENT:
-                        yield sent(np.concatenate(found))
+                    if len(found) * len(rows) >= cells.SENT:
+                        yield sent_rows(np.concatenate(found), parts)
                         found = []
                 if found:
-                    yield sent(np.concatenate(found))
-
-    def sent(rows):
-        rows, edges = thinned(rows)
-        part = (rows["cell"].view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0, True]) if len(part) else np.zeros(1, np.int64)
-        out = [(int(part[order[a]]), False, _cell_blob(rows[order[a:b]])) for a, b in itertools.pairwise(cuts.tolist())]
-        if edges:
-            out.append((len(edges) % parts, True, np.array(edges, "<i8").tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.bool_()), pa.array([x[2] for x in out], pa.binary())], ["part", "edges", "blob"])
-
-    return mapped(own.select("class", "salt", "vector"), spread, "part int, edges boolean, blob binary")
-
-
-def _cell_blob(rows: np.ndarray) -> bytes:
-    """Cell rows field by field; a vector's number and signature once, however many of its cells are here."""
-    number, first, index = np.unique(rows["class"], return_index=True, return_inverse=True)
-    flags = rows["home"].astype(np.uint8) | rows["wide"].astype(np.uint8) << 1
-    return b"".join([np.array([len(rows), len(number)], "<i8").tobytes(), number.astype("<i8").tobytes(), rows["signature"][first].astype("<u8").tobytes(), rows["cell"].astype("<i8").tobytes(), index.astype("<u4").tobytes(), flags.tobytes()])
-
-
-def _cell_rows(blob: bytes) -> np.ndarray:
-    n, m = np.frombuffer(blob, "<i8", 2)
-    number, signature, cell = np.frombuffer(blob, "<i8", m, 16), np.frombuffer(blob, "<u8", m, 16 + 8 * m), np.frombuffer(blob, "<i8", n, 16 + 16 * m)
-    index, flags = np.frombuffer(blob, "<u4", n, 16 + 16 * m + 8 * n), np.frombuffer(blob, "u1", n, 16 + 16 * m + 12 * n)
-    rows = np.zeros(n, ROW)
-    rows["cell"], rows["class"], rows["signature"] = cell, number[index], signature[index]
-    rows["home"], rows["wide"] = flags & 1, flags >> 1
-    return rows
-
-
-def met(rows: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the candidates in one cell: near signatures, one of the two at home."""
-    members = np.flatnonzero(rows["home"])
-    forest = Forest(len(rows))
-    limit = NEAR + CLOSE * rows["wide"].astype(np.int16)
-    step = max(1, (1 << 20) // max(len(members), 1))
-    for at in range(0, len(rows), step):
-        asking = np.arange(at, min(at + step, len(rows)))
-        close = np.bitwise_count(rows["signature"][asking][:, None] ^ rows["signature"][members][None, :]) <= limit[asking][:, None] + (limit[members] - NEAR)[None, :]
-        close &= rows["class"][asking][:, None] != rows["class"][members][None, :]
-        hit = close.any(axis=1)
-        if hit.any():
-            forest.join(asking[hit], members, close[hit])
-    return [(int(rows["class"][a]), int(rows["class"][b])) for a, b in forest.edges]
+                    yield sent_rows(np.concatenate(found), parts)
+
+    return mapped(own.select("class", "salt", "vector"), spread, SENT_KINDS)
 
 
 def candidates(own: DataFrame, n: int) -> DataFrame:
@@ -253,28 +177,7 @@ def candidates(own: DataFrame, n: int) -> DataFrame:
     tables, scale = parameters(n)
     parts = max(12, n * tables // 500_000)
 
-    def gather(batches):
-        held: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for part, edges, blob in zip(batch.column("part").to_pylist(), batch.column("edges").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-                if edges:
-                    pairs = np.frombuffer(blob, "<i8").reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-                else:
-                    held.setdefault(part, []).append(_cell_rows(blob))
-        for part in list(held):
-            rows = np.concatenate(held.pop(part))
-            rows = rows[np.argsort(rows["cell"], kind="stable")]
-            starts = np.flatnonzero(np.r_[True, rows["cell"][1:] != rows["cell"][:-1]])
-            sizes = np.diff(np.r_[starts, len(rows)])
-            busy = (sizes > 1) & np.logical_or.reduceat(rows["home"], starts)
-            found = set()
-            for a, k in zip(starts[busy].tolist(), sizes[busy].tolist(), strict=True):
-                found.update((min(x), max(x)) for x in met(rows[a : a + k]))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
-
-    return mapped(sent_cells(own, tables, scale, parts).repartition(parts, "part"), gather, "a long, b long")
+    return candidate_edges(sent_cells(own, tables, scale, parts), parts)
 
 
 def verified(own: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -282,7 +185,7 @@ def verified(own: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) ->
     rows = own.select("class", "size", "vector").join(groups, "class").select("group", "class", "size", "vector")
     sizes = groups.groupBy("group").agg(F.count("*").alias("n"))
     keys = ["group", "i", "j"]
-    rows = _in_blocks(rows.join(sizes, "group"), ["group"], "n", "class")
+    rows = in_blocks(rows.join(sizes, "group"), "n", "class", BLOCK)
 
     def compared(batches):
         for group in runs_of(batches, keys):

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import xxhash
 
-from carrel.llm import catalog, chat, language, lattice, media, packing, quality, sentence_pieces, sentences, simhash, suffixes
+from carrel.llm import catalog, cells, chat, language, lattice, media, packing, quality, sentence_pieces, sentences, simhash, suffixes
 
 
 WORDS = "the of and ston thing ere here anble tion other wh over and in to it ourt".split()
@@ -136,6 +136,55 @@ def test_vantage_point_shards_lose_no_link(spark):
     assert components_of(n, edges) == components_of(n, [(a, b) for a, b in zip(*np.nonzero(np.triu(close, 1)), strict=True)])
 
 
+def slow_similar(texts):
+    """Components of all pairs of five-word sets with a Jaccard similarity of 0.8 or more; texts without words are alike."""
+    sets = {}
+    for i, t in texts:
+        words = (t or "").encode().lower().split()
+        sets[i] = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    linked = [(a, b) for a, b in itertools.combinations(sets, 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return components_of(sets, linked)
+
+
+def test_near_copies_of_the_stage(spark, doc_rows, monkeypatch):
+    """Against all pairs: copies with a few words changed, chains, a dense group whose first class is not near all, clean texts."""
+    rng = random.Random(13)
+    texts = {i: t for i, t, _ in doc_rows}
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(4000)]
+    for g in range(12):
+        base = [rng.choice(words) for _ in range(rng.choice([12, 60, 200, 900]))]
+        for k in range(rng.choice([2, 3, 9])):
+            own = list(base)
+            for _ in range(rng.randint(0, max(1, len(base) // 40))):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            texts[1000 + 20 * g + k] = " ".join(own)
+    chain = [rng.choice(words) for _ in range(150)]
+    for k in range(14):
+        texts[2000 + k] = " ".join(chain)
+        chain[10 * k : 10 * k + 9] = [rng.choice(words) for _ in range(9)]
+    want = slow_similar(texts.items())
+    docs = spark.createDataFrame([*texts.items(), (None, texts[1000])], "doc_id long, text string").repartition(3)
+    for block in (500, 4):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
+        assert got.pop(None) == want[1000]
+        assert got == want
+    assert len(set(want.values())) < len(want) - 30
+
+
+def test_band_keys_meet_at_the_similarity():
+    rng = np.random.default_rng(4)
+    met = near = 0
+    for _ in range(400):
+        base = rng.integers(0, 1 << 63, 400, np.uint64)
+        other = base.copy()
+        other[:44] = rng.integers(0, 1 << 63, 44, np.uint64)  # Jaccard 356 / 444
+        (p, a), (q, b) = simhash.sketch(np.sort(base)), simhash.sketch(np.sort(other))
+        met += bool((a == b).any())
+        near += (p ^ q).bit_count() <= cells.NEAR
+    assert met >= 392 and near >= 396
+
+
 def slow_kneser_ney(counts):
     """p of a run by the textbook recursion over Counters of four-letter tuples."""
     orders = {4: counts}
@@ -515,7 +564,7 @@ def test_lattice_blocks_keep_counts(spark, tmp_path, monkeypatch):
 @pytest.mark.parametrize("sent", [300, 1 << 19])
 def test_lattice_of_doubles_dense_groups_and_repeated_ids(spark, tmp_path, monkeypatch, sent):
     """Cosines that only double precision tells from the threshold; a dense group of many near vectors; one id for two vectors."""
-    monkeypatch.setattr(lattice, "SENT", sent)
+    monkeypatch.setattr(cells, "SENT", sent)
     rng = np.random.default_rng(11)
     rows = []
     for k in range(40):

@@ -1,5 +1,6 @@
 """The stages against their operators' own queries, stage by stage."""
 
+import itertools
 from collections import Counter
 
 import corpus_pipeline
@@ -19,6 +20,20 @@ def folder_of(spark, df, labels, at):
     return str(at)
 
 
+def firsts(rows):
+    """Smallest ids of the groups of texts with a five-word Jaccard similarity of 0.8 or more, by all pairs."""
+    sets = {}
+    for i, text, *_ in rows:
+        words = (text or "").encode().lower().split()
+        sets[i] = {b" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+    up = {i: i for i in sets}
+    for a, b in itertools.combinations(sorted(sets), 2):
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+            x, y = sorted((up[a], up[b]))
+            up = {i: x if r == y else r for i, r in up.items()}
+    return set(up.values())
+
+
 def test_stages_do_what_their_queries_say(spark, folder, tmp_path):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     docs = table(spark, folder, "documents")
@@ -42,8 +57,7 @@ def test_stages_do_what_their_queries_say(spark, folder, tmp_path):
             assert all(n == as_rows(out)[r] for r, n in before.items() if r[0] not in wrong and (r[2] is None or r[2] == next(x["lang_pred"] for x in said if x["doc_id"] == r[0])))
             assert not any(r[0] in wrong for r in as_rows(out))
         elif k == 2:
-            first = {r["doc_id"] for r in said if r["doc_id"] == r["component_id"]}
-            assert as_rows(out) == Counter({r: n for r, n in before.items() if r[0] in first})
+            assert as_rows(out) == Counter({r: n for r, n in before.items() if r[0] in firsts(before)})
         elif k == 3:
             removed = {r["doc_id"]: r["removed_chars"] for r in said}
             left = as_rows(out)
