@@ -211,8 +211,7 @@ def staging_items(spark, d):
 @query
 def domain_items(spark, d):
     rows = [(name, k, item) for name, items in resolution.DOMAIN_ITEMS.items() for k, item in enumerate(items)]
-    items = spark.createDataFrame(rows, "domain string, pos int, item int")
-    return items.join(read(spark, d, "part").select("p_size").distinct(), F.col("item") % 50 == F.col("p_size")).select("domain", "pos", "item", "p_size")
+    return spark.createDataFrame(rows, "domain string, pos int, item int")
 
 
 @query

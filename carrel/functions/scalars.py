@@ -99,6 +99,7 @@ def stage_group(x: Column) -> Column:
 
 def stage_group_main(x: Column) -> Column:
     s = stage_group(x)
+    # Codes without a stage, and the digits of Roman stages.
     found = F.when(s.isin("", "88", "99", "NA", "UNK", "UNKNOWN"), "unknown")
     for roman, digit in (("IV", "4"), ("III", "3"), ("II", "2"), ("I", "1"), ("0", "0")):
         found = found.when(s.startswith(roman), digit)
@@ -110,10 +111,12 @@ def _crosswalk(key: Column, table: dict[str, str]) -> Column:
 
 
 def summary_stage_extent(x: Column) -> Column:
+    # Extent by summary stage.
     return _crosswalk(F.substring(digits(x), 1, 1), {"0": "insitu", "1": "localized", "2": "regional", "3": "regional", "4": "regional", "5": "regional", "7": "distant"})
 
 
 def stage_group_extent(x: Column) -> Column:
+    # Extent by stage group.
     return _crosswalk(stage_group_main(x), {"0": "insitu", "1": "localized", "2": "regional", "3": "regional", "4": "distant"})
 
 

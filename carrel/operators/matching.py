@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 FAR = 10**9
 MAX_DAYS = 365
+#: pairs of one key that are sorted and folded as one array
+MOST_PAIRS = 100_000
 
 
 def in_window(docs: DataFrame, tumors: DataFrame, key: str = "patient_id") -> DataFrame:
@@ -24,9 +26,13 @@ def greedy_matches(truth: DataFrame, predicted: DataFrame, key: str) -> DataFram
     """One-to-one matches within each key: site agreement first, then days apart, then order.
 
     ``truth``: key, ti, site, day; ``predicted``: key, pi, site, day. All pairs of a key (a
-    patient's few tumors) are sorted and folded, taking a pair while both sides are free.
+    patient's few tumors) are sorted and folded, taking a pair while both sides are free; a key with
+    more than MOST_PAIRS of them is an error.
     Result: key, ti, pi, site_match, days (null where a date is missing).
     """
+    sizes = truth.groupBy(key).agg(F.count("*").alias("t")).join(predicted.groupBy(key).agg(F.count("*").alias("p")), key)
+    if not sizes.where(F.col("t") * F.col("p") > MOST_PAIRS).isEmpty():
+        raise ValueError(f"a key has more than {MOST_PAIRS} pairs of rows, which is no patient's tumors")
     t, p = truth.alias("t"), predicted.alias("p")
     site = (F.col("t.site") != "") & (F.col("t.site") == F.col("p.site"))
     days = F.abs(F.date_diff("t.day", "p.day"))

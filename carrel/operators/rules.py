@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from carrel.functions.dates import coded_number
 from carrel.functions.scalars import UNKNOWN_CODES, either, integer, rule_histology, rule_site, starts, text
 
+# The names, severities, item numbers and code groups of all rules below.
 # Site groups that the rules refer to (topography codes without dots).
 MALE_SITES = ["C619", "C620", "C621", "C629", "C630", "C631", "C632", "C637", "C638", "C639"]
 MALE_PREFIXES = ["C62", "C63"]

@@ -311,7 +311,7 @@ SELECT o_orderkey, item, value, coalesce(exact, any_case, named, padded, g) AS c
     "schema_selection": f"SELECT o_orderkey, {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))",
     "staging_items": f"""WITH s AS (SELECT DISTINCT {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))), own(schema, items) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in SCHEMA_ITEMS.items())}), both_ AS (SELECT s.schema, list_concat({CORE_STAGING_ITEMS}, coalesce(items, [])) AS l FROM s LEFT JOIN own USING (schema)), once AS (SELECT schema, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM both_)
 SELECT schema, CAST(pos - 1 AS INT) AS pos, CAST(l[pos] AS INT) AS item FROM (SELECT schema, l, unnest(range(1, len(l) + 1)) AS pos FROM once)""",
-    "domain_items": "WITH i(domain, items) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in DOMAIN_ITEMS.items()) + ") SELECT domain, CAST(pos - 1 AS INT) AS pos, CAST(items[pos] AS INT) AS item, p_size FROM (SELECT domain, items, unnest(range(1, len(items) + 1)) AS pos FROM i) JOIN (SELECT DISTINCT p_size FROM part) ON items[pos] % 50 = p_size",
+    "domain_items": "WITH i(domain, items) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in DOMAIN_ITEMS.items()) + ") SELECT domain, CAST(pos - 1 AS INT) AS pos, CAST(items[pos] AS INT) AS item FROM (SELECT domain, items, unnest(range(1, len(items) + 1)) AS pos FROM i)",
     "diagnosis_summary": f"""WITH rec AS ({WIDE}), {_LONG}, w AS (SELECT rec, {", ".join(f"coalesce(nullif(max(resolved) FILTER (item = {i}), ''), max(extracted) FILTER (item = {i}), '') AS r{i}, coalesce(max(extracted) FILTER (item = {i}), '') AS e{i}" for i in (400, 522, 940))} FROM long GROUP BY rec),
 k AS (SELECT *, {site_code('r400')} AS code, regexp_extract({strip('r522')}, '([0-9]{{4}})', 1) AS hc FROM w)
 SELECT rec, {strip('r400')} AS site_code, coalesce(CASE WHEN lower({strip('r400')}) = 'c504' THEN 'Upper-outer quadrant' END, nullif({_LABEL}, ''), CASE WHEN regexp_matches({strip('e400')}, '(?i)^C?[0-9]{{2,4}}[./]?[0-9]?$') THEN NULL ELSE nullif(e400, '') END, 'site hint') AS site_text,

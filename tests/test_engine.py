@@ -374,6 +374,12 @@ def test_phases_ask_in_order_and_staging_by_schema(spark, tmp_path):
     assert {r["patient_id"]: 3838 in r["i"] for r in asked} == {"p": True, "q": False}
 
 
+def test_a_key_with_too_many_pairs_is_an_error(spark):
+    many = spark.range(400).select(F.lit("p").alias("k"), F.col("id").alias("ti"), F.lit("C50").alias("site"), F.lit(None).cast("date").alias("day"))
+    with pytest.raises(ValueError, match="pairs"):
+        matching.greedy_matches(many, many.withColumnRenamed("ti", "pi"), "k")
+
+
 def test_first_open_round(spark):
     chunks = spark.createDataFrame([("p", 0, 0), ("p", 0, 1), ("q", 0, 0)], "patient_id string, tumor_index int, chunk_index int")
     answer = lambda done: tuple(pipeline.rounds_done(chunks, done).first())
