@@ -32,7 +32,6 @@ SHINGLE = 4
 RADIUS = 4
 SAMPLE = 20_000
 ROOTS_PER_SHARD = 8
-MOST_SHARDS = 4_096
 LEAF = 256
 # the pipeline's stage: five words, a Jaccard similarity of 0.8, which ten bands of four permutations
 # miss five times in a thousand (1 - 0.8^4, ten times over)
@@ -140,9 +139,9 @@ def compare(prints: np.ndarray, members: np.ndarray, asking: np.ndarray, forest:
 
 def links(distinct: DataFrame, n: int) -> DataFrame:
     """Spanning edges (a, b) of all links between the ``n`` fingerprints in column print."""
-    sample = [r["print"] for r in smallest(distinct.select("print"), SAMPLE, "print", rows=n).collect()]
+    wanted = max(1, round(n**0.5 / ROOTS_PER_SHARD))
+    sample = [r["print"] for r in smallest(distinct.select("print"), max(SAMPLE, 8 * wanted), "print", rows=n).collect()]
     points = np.array(sample, np.int64).view(np.uint64)
-    wanted = min(MOST_SHARDS, max(1, round(n**0.5 / ROOTS_PER_SHARD)))
     shards: list[int] = []
     tree = grow(points, max(2, -(-len(points) // wanted)), shards)
 

@@ -39,6 +39,31 @@ def test_empty_tables(spark, empty_folder, name):
     assert len(rows) == (1 if name.startswith("op4") else 0)
 
 
+def test_rows_without_ids_very_long_texts_and_repeated_rows(spark, tmp_path):
+    """Every query of documents gives a row (or pieces) for each of them, and equal texts equal values."""
+    rng = random.Random(17)
+    long = prose(rng, 190_000)
+    assert len(long) > 1_000_000
+    rows = [(None, "one two three", "en"), (None, "one two three", "en"), (None, None, None), (1, long, "en"), (1, long, "en"), (2, "", "de"), (3, "eins zwei drei", "de")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in catalog.QUERIES:
+        if name.startswith(("op4", "op8")):
+            continue
+        found = ran(spark, name, str(tmp_path))
+        by = defaultdict(list)
+        for r in found:
+            by[r["doc_id"]].append({k: v for k, v in r.items() if k not in ("sequence_id", "offset")})
+        assert set(by) == {None, 1, 2, 3}, name
+        if name.startswith("op6"):
+            assert len(by[None]) == 3 and len(by[1]) % 2 == 0 and sum(r["length"] for r in by[1]) > 200_000
+            continue
+        assert {k: len(v) for k, v in by.items()} == {None: 3, 1: 2, 2: 1, 3: 1}, name
+        assert by[1][0] == by[1][1], name
+    by5 = [r for r in ran(spark, "op5_suffix_merge_dedup", str(tmp_path)) if r["doc_id"] == 1]
+    assert by5[0]["n_bytes"] == len(long)
+
+
 def test_sentence_pieces(spark, folder, doc_rows):
     import sentencepiece
 
