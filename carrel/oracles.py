@@ -257,6 +257,19 @@ def probe(salt: int, values: list[str], columns: str) -> str:
 _SCHEMA_OF = f"SELECT o_orderkey, {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))"
 _STAGING = {name: [*dict.fromkeys([*CORE_STAGING_ITEMS, *own])] for name, own in ({"generic": []} | SCHEMA_ITEMS).items()}
 
+
+def _html_text(x: str) -> str:
+    """The steps of the page reader, one SQL replacement each (RE2 has no references back, so each element is named)."""
+    hidden = "|".join(f"<{e}\\b.*?</{e}\\s*>" for e in ("script", "style", "noscript"))
+    x = f"regexp_replace({x}, '(?is){hidden}|<!--.*?-->', ' ', 'g')"
+    x = f"regexp_replace({x}, '(?i)<(/?(p|div|li|ul|ol|tr|table|h[1-6]|article|nav|footer|header|section)\\b[^>]*|br\\s*/?)>', chr(10), 'g')"
+    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
+    for code, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{code}', '{sign}')"
+    x = f"regexp_replace(regexp_replace({x}, '[ \\t\\r]+', ' ', 'g'), ' ?\\n ?', chr(10), 'g')"
+    return f"regexp_replace({x}, '\\n{{2,}}|^\\n|\\n$', chr(10), 'g')"
+
+
 ORACLES: dict[str, str] = {
     "scan_notes_nonblank": "SELECT doc_id, source, CAST(length(text) AS INT) AS n_chars FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '\\S')",
     "structured_projection": """WITH first AS (SELECT * FROM customer JOIN orders ON c_custkey = o_custkey QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate, o_orderkey) = 1)
@@ -287,6 +300,7 @@ SELECT patient, tumor_no, coalesce(first_value(own_sex) OVER (PARTITION BY patie
     "audit_scan": f"WITH rec AS ({WIDE}), {_LONG} SELECT rec, item, coalesce(extracted, '') AS extracted, coalesce(resolved, '') AS resolved, CAST(confidence AS DOUBLE) AS confidence, sha256(left(repeat(' \"e\", ', 100), 500)) AS evidence_sha256 FROM long WHERE item = 400",
     "json_scan": f"WITH rec AS ({WIDE}) SELECT rec, nullif(v400, '') AS primarySite, nullif(v522, '') AS hist, CAST(NULL AS VARCHAR) AS site FROM rec",
     "checkpoint_scan": "SELECT user_id, length(event_type) * 100 AS item, arg_max(event_type, event_id) AS value FROM events GROUP BY ALL",
+    "html_to_text": f"SELECT page_id, {_html_text('html')} AS text FROM pages",
     "rounds_by_chunk": f"{_CHUNKS} SELECT chunk_index AS round, count(*) AS units FROM chunks GROUP BY 1",
     "batching": "SELECT p_partkey, p_brand, CAST((row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 50 AS INT) AS batch FROM part",
     "partial_date_interval": f"{_PARTIAL} SELECT * FROM spans",
