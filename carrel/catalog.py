@@ -391,6 +391,18 @@ def diagnosis_summary(spark, d):
     return summary.diagnosis_summary(results, people, _codes(spark), sites, hist, ["rec"]).select("rec", "site_code", "site_text", "histology_code", "histology_text", "clinical_t_code", "clinical_t_text")
 
 
+@query
+def diagnosis_summary_stages(spark, d):
+    """All stage columns of the summary, clinical and pathological."""
+    moved = F.create_map(*(F.lit(x) for pair in oracles.STAGE_PROBE_ITEMS.items() for x in pair))
+    results = _results(spark, d).where(F.col("item").isin(list(oracles.STAGE_PROBE_ITEMS))).withColumn("item", F.try_element_at(moved, F.col("item")))
+    people = read(spark, d, "orders").select(F.col("o_orderkey").alias("rec"), F.lit("").alias("primary_site_hint"), F.lit("").alias("histology"), F.lit("").alias("cancer_type"))
+    none = spark.createDataFrame([], "code string, label string")
+    codes = spark.createDataFrame([(1011, "t1", "Described T1"), (1014, "99", "Stage unknown")], "item int, code string, description string")
+    found = summary.diagnosis_summary(results, people, codes, none, none, ["rec"])
+    return found.drop("site_code", "site_text", "histology_code", "histology_text")
+
+
 @query
 def audit_rows(spark, d):
     return sinks.audit_rows(_results(spark, d).withColumn("evidence", F.repeat(F.lit("e"), 600)), ["rec"]).groupBy("item").agg(F.count("*").alias("n"), F.max(F.length("evidence")).alias("longest"))

@@ -10,6 +10,8 @@ TNM_PROBES = ["cT1mi", "pT2", "C2", "CX", "T1", "N1a", "c n0", "Tis", "is", "88"
 STAGE_PROBES = ["Stage IV", "IIIA", "IIB", "I", "0", "0IS", "2A", "99", "unk", "", "IS", "7", "5", "stage 4", "x"]
 MARKER_PROBES = ["1: ER positive", "negative", "0", "1", "2", "", "Left", "RIGHT", "unknown", "POS"]
 
+#: coded items, and the stage items of the summary that they stand for
+STAGE_PROBE_ITEMS = {940: 1001, 950: 1002, 960: 1003, 970: 1004, 880: 1011, 890: 1012, 900: 1013, 910: 1014}
 PARSER_PROBES = ["GPT-OSS", "openai gpt_oss", " qwen-3 ", "Qwen3", "gemma.4", "__x__", "", "auto"]
 
 SEP = "\\s"
@@ -270,6 +272,19 @@ def _html_text(x: str) -> str:
     return f"regexp_replace({x}, '\\n{{2,}}|^\\n|\\n$', chr(10), 'g')"
 
 
+
+def _stage_columns() -> str:
+    """Code and text of every stage item: a description where the dictionary has one, else the code without its prefix."""
+    described = {1011: "CASE WHEN lower(r1011) = 't1' THEN 'Described T1' END", 1014: "CASE WHEN r1014 = '99' THEN 'Stage unknown' END"}
+    names = {1001: "clinical_t", 1002: "clinical_n", 1003: "clinical_m", 1004: "clinical_stage", 1011: "pathologic_t", 1012: "pathologic_n", 1013: "pathologic_m", 1014: "pathologic_stage"}
+    return ", ".join(f"r{i} AS {name}_code, coalesce({described.get(i, 'NULL')}, regexp_replace(r{i}, '(?i)^[cp]([TNM0IVX])', '\\1')) AS {name}_text" for i, name in names.items())
+
+
+def _stage_values() -> str:
+    best = lambda i: f"coalesce(nullif(max(resolved) FILTER (item = {i}), ''), max(extracted) FILTER (item = {i}), '')"
+    return ", ".join(f"{strip(best(i))} AS r{to}" for i, to in STAGE_PROBE_ITEMS.items())
+
+
 ORACLES: dict[str, str] = {
     "scan_notes_nonblank": "SELECT doc_id, source, CAST(length(text) AS INT) AS n_chars FROM documents WHERE text IS NOT NULL AND regexp_matches(text, '\\S')",
     "structured_projection": """WITH first AS (SELECT * FROM customer JOIN orders ON c_custkey = o_custkey QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate, o_orderkey) = 1)
@@ -331,6 +346,7 @@ k AS (SELECT *, {site_code('r400')} AS code, regexp_extract({strip('r522')}, '([
 SELECT rec, {strip('r400')} AS site_code, coalesce(CASE WHEN lower({strip('r400')}) = 'c504' THEN 'Upper-outer quadrant' END, nullif({_LABEL}, ''), CASE WHEN regexp_matches({strip('e400')}, '(?i)^C?[0-9]{{2,4}}[./]?[0-9]?$') THEN NULL ELSE nullif(e400, '') END, 'site hint') AS site_text,
   {strip('r522')} AS histology_code, coalesce(CASE WHEN r522 = '8140' THEN 'Adenocarcinoma' END, CASE hc WHEN '8140' THEN 'Adenocarcinoma' WHEN '8720' THEN 'Melanoma' END, CASE WHEN regexp_matches({strip('e522')}, '(?i)^C?[0-9]{{2,4}}[./]?[0-9]?$') THEN NULL ELSE nullif(e522, '') END, 'cancer') AS histology_text,
   {strip('r940')} AS clinical_t_code, regexp_replace({strip('r940')}, '(?i)^[cp]([TNM0IVX])', '\\1') AS clinical_t_text FROM k""",
+    "diagnosis_summary_stages": f"WITH rec AS ({WIDE}), {_LONG}, w AS (SELECT rec, {_stage_values()} FROM long GROUP BY rec) SELECT rec, {_stage_columns()} FROM w",
     "icd_text_lookup": f"SELECT o_orderkey, {_LABEL} AS label FROM (SELECT o_orderkey, {site_code('site')} AS code FROM ({_CODED}))",
     "valid_codes_prompt": "SELECT n_regionkey AS item, string_agg(n_nationkey || '=' || n_name, '; ' ORDER BY n_nationkey) AS codes_text FROM (SELECT * FROM nation QUALIFY row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) <= 4) GROUP BY 1",
     "prior_state_block": f"""WITH rec AS ({WIDE}), {_LONG}, shown AS (SELECT rec, item, coalesce(nullif(resolved, ''), nullif(extracted, ''), '') AS value, confidence FROM long WHERE confidence > 0)
