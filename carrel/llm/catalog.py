@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carrel.llm import chat, language, lattice, media, packing, quality, sentence_pieces, sentences, simhash, suffixes
+from carrel.llm import chat, collocations, language, lattice, media, packing, quality, sentence_pieces, sentences, simhash, suffixes
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_lattice_near_dedup": lattice.op8_lattice_near_dedup,
     "op9_sentence_spans": sentences.op9_sentence_spans,
     "op10_language_id": language.op10_language_id,
+    "op11_phrase_collocations": collocations.op11_phrase_collocations,
 }
 ORACLES: dict[str, str] = {
     "op4_chat_formatting": chat.ORACLE,
+    "op11_phrase_collocations": collocations.ORACLE,
 }

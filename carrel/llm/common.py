@@ -130,6 +130,16 @@ def dropped(df: DataFrame) -> None:
         _drop(df.sparkSession, folder)
 
 
+#: rows and bytes (as JSON) that a broadcast may have
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """With the hint to broadcast, if the counted rows and bytes allow; else as it is, for a shuffled join."""
+    rows, size = df.agg(F.count("*"), F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES else df
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Smallest reachable id of every vertex: (id, component).
 
