@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carrel.llm import chat, collocations, language, lattice, media, packing, periods, quality, sentence_pieces, sentences, simhash, suffixes
+from carrel.llm import chat, collocations, imatch, language, lattice, media, packing, periods, quality, sentence_pieces, sentences, simhash, suffixes
 
 QUERIES = {
     "op1_sentence_pieces": sentence_pieces.op1_sentence_pieces,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_sentence_spans": sentences.op9_sentence_spans,
     "op10_language_id": language.op10_language_id,
     "op11_phrase_collocations": collocations.op11_phrase_collocations,
+    "op12_document_fingerprints": imatch.op12_document_fingerprints,
     "op13_periodic_runs": periods.op13_periodic_runs,
 }
 ORACLES: dict[str, str] = {
