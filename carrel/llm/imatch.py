@@ -85,7 +85,7 @@ def sampled(df: DataFrame, texts: list[str]) -> DataFrame:
 
 
 def hashed(terms: Column) -> Column:
-    return F.when(F.size(terms) > 0, F.xxhash64(F.array_sort(terms)).bitwiseAND(F.lit(0xFFFF)).cast("int"))
+    return F.when(F.size(terms) > 0, F.xxhash64(F.array_sort(terms)).bitwiseAND(F.lit(0xFFFF)).cast("smallint"))
 
 
 def fingerprinted(df: DataFrame, texts: list[str]) -> DataFrame:
@@ -101,7 +101,7 @@ def fingerprinted(df: DataFrame, texts: list[str]) -> DataFrame:
 
 def shown(one: Column) -> Column:
     """A fingerprint as text: its first level, its hashes (a dot for a subset without a term) and the hash of the whole."""
-    hashes = F.array_join(F.transform(one["hashes"], lambda h: F.coalesce(F.lower(F.lpad(F.hex(h), 4, "0")), F.lit("."))), "")
+    hashes = F.array_join(F.transform(one["hashes"], lambda h: F.coalesce(F.lower(F.lpad(F.hex(h.cast("int").bitwiseAND(F.lit(0xFFFF))), 4, "0")), F.lit("."))), "")
     return F.concat_ws("-", one["level"], hashes, F.lower(F.lpad(F.hex(one["whole"]), 16, "0")))
 
 
@@ -126,28 +126,28 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def steps(docs: DataFrame) -> DataFrame:
-    """For every key the one before it (the last before the first) and that one's length; written.
+    """For every key the one before it (the last before the first), that one's length and number of copies; written.
 
     Keys are sorted over ranges; a row's number within its range tells its neighbour, and the ends of the
     ranges, one row each, tell those across.
     """
-    keys = keyed(docs).groupBy(*KEY).agg(F.first(F.length("text")).alias("n"))
+    keys = keyed(docs).groupBy(*KEY).agg(F.first(F.length("text")).alias("n"), F.count("*").alias("copies"))
     ordered = written(keys.repartitionByRange(*KEY).sortWithinPartitions(*KEY).withColumn("at", F.monotonically_increasing_id()), "order")
     part = F.shiftrightunsigned("at", 33)
     ends = ordered.groupBy(part.alias("part")).agg(F.min("at").alias("first"), F.max("at").alias("last"))
     along = Window.orderBy("part")
     ends = ends.select("last", F.coalesce(F.lead("first").over(along), F.min("first").over(along)).alias("over"))
-    linked = ordered.join(small(ends), ordered["at"] == ends["last"], "left").select(*(F.col(c).alias(f"before_{c}") for c in KEY), F.col("n").alias("before_n"), F.coalesce("over", F.col("at") + 1).alias("at"))
-    out = written(ordered.join(linked, "at").select(*KEY, *(f"before_{c}" for c in KEY), "before_n"), "steps")
+    linked = ordered.join(small(ends), ordered["at"] == ends["last"], "left").select(*(F.col(c).alias(f"before_{c}") for c in KEY), F.col("n").alias("before_n"), F.col("copies").alias("before_copies"), F.coalesce("over", F.col("at") + 1).alias("at"))
+    out = written(ordered.join(linked, "at").select(*KEY, *(f"before_{c}" for c in KEY), "before_n", "before_copies"), "steps")
     dropped(ordered)
     return out
 
 
 def paired(docs: DataFrame, order: DataFrame) -> DataFrame:
-    """Every distinct (id, text) with its number of copies, its successor's head, and its key's predecessor."""
-    texts = keyed(docs).groupBy(*KEY).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    """Every distinct (id, text) with its number of copies and its successor's head; texts are exchanged once."""
+    texts = keyed(docs).groupBy(*KEY).agg(F.first("text").alias("text"))
     known = texts.join(order, KEY)
-    heads = known.select(*(F.col(f"before_{c}").alias(c) for c in KEY), F.expr("left(text, cast(before_n div 2 as int))").alias("head"))
+    heads = known.select(*(F.col(f"before_{c}").alias(c) for c in KEY), F.col("before_copies").alias("copies"), F.expr("left(text, cast(before_n div 2 as int))").alias("head"))
     return texts.join(heads, KEY)
 
 
