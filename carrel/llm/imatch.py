@@ -85,7 +85,7 @@ def sampled(df: DataFrame, texts: list[str]) -> DataFrame:
 
 
 def hashed(terms: Column) -> Column:
-    return F.when(F.size(terms) > 0, F.xxhash64(F.array_sort(terms)).bitwiseAND(F.lit(0xFFFF)).cast("smallint"))
+    return F.when(F.size(terms) > 0, (F.xxhash64(F.array_sort(terms)).bitwiseAND(F.lit(0xFFFF)) - 32768).cast("smallint"))
 
 
 def fingerprinted(df: DataFrame, texts: list[str]) -> DataFrame:
@@ -101,7 +101,7 @@ def fingerprinted(df: DataFrame, texts: list[str]) -> DataFrame:
 
 def shown(one: Column) -> Column:
     """A fingerprint as text: its first level, its hashes (a dot for a subset without a term) and the hash of the whole."""
-    hashes = F.array_join(F.transform(one["hashes"], lambda h: F.coalesce(F.lower(F.lpad(F.hex(h.cast("int").bitwiseAND(F.lit(0xFFFF))), 4, "0")), F.lit("."))), "")
+    hashes = F.array_join(F.transform(one["hashes"], lambda h: F.coalesce(F.lower(F.lpad(F.hex(h.cast("int") + 32768), 4, "0")), F.lit("."))), "")
     return F.concat_ws("-", one["level"], hashes, F.lower(F.lpad(F.hex(one["whole"]), 16, "0")))
 
 
