@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carrel import oracles
-from carrel.functions import dates, scalars
+from carrel.functions import dates, reasoning, scalars, web
 from carrel.operators import chunking, compression, confidence, matching, merging, models, prompts, resolution, retrieval, rules, sampling, scoring, summary, tumors
 from carrel.plans import pipeline
+from carrel.sources import answers as answers_source
 from carrel.sources import notes, registry, sinks
 from carrel.synthetic import VALUES, long_expressions, pick
 
@@ -528,18 +530,27 @@ def run_summary(spark, d):
 
 @query
 def link_harvest(spark, d):
-    return read(spark, d, "pages").select("page_id", F.size(registry.links(F.col("html"))).alias("n_links"), F.array_join(registry.links(F.col("html")), " ").alias("links"))
+    """Every link of every page, resolved against the page's address, with its text and place."""
+    found = read(spark, d, "pages").select("page_id", F.posexplode(web.links(F.col("html"), F.col("url"))).alias("place", "link"))
+    return found.select("page_id", "place", "link.url", "link.text")
+
+
+@query
+def reference_resolution(spark, d):
+    """References of every kind against each page's address."""
+    pages = read(spark, d, "pages").select("page_id", "url", F.expr(pick("page_id", 17, oracles.REFERENCES)).alias("reference"))
+    return pages.select("page_id", web.resolved(F.col("url"), F.col("reference")).alias("resolved"))
 
 
 @query
 def url_normalise(spark, d):
-    u = F.col("url")
-    return read(spark, d, "pages").select("page_id", scalars.plain_url(u).alias("url"), scalars.url_extension(u).alias("extension"))
+    u = F.concat(F.lit("  "), F.replace(F.col("url"), F.lit(".example."), F.lit(".Example.")), F.when(F.col("url").rlike("[?#]"), "").otherwise(F.concat(F.lit("/a é%20%7E+("), F.col("page_id").cast("string"), F.lit(").PDF"))), F.lit(" "))
+    return read(spark, d, "pages").select("page_id", web.plain_url(u).alias("url"), web.url_extension(F.trim(u)).alias("extension"), web.file_name(F.trim(u), F.lit("")).alias("file_name"))
 
 
 @query
 def html_to_text(spark, d):
-    return read(spark, d, "pages").select("page_id", registry.html_text(F.col("html")).alias("text"))
+    return read(spark, d, "pages").select("page_id", web.html_text(F.col("html")).alias("text"))
 
 
 # --- compression and tumor detection ------------------------------------------------------
@@ -619,13 +630,51 @@ def first_open_round(spark, d):
 
 @query
 def parser_names(spark, d):
-    return _probe(spark, d, 11, oracles.PARSER_PROBES).select("o_orderkey", scalars.parser_name(F.col("x")).alias("parser"))
+    return _probe(spark, d, 11, oracles.PARSER_PROBES).select("o_orderkey", reasoning.parser_name(F.col("x")).alias("parser"))
+
+
+@query
+def parser_choice(spark, d):
+    """The reasoning parser of a model by a configured name or, with auto, by the model's own."""
+    model, setting = F.expr(pick("o_orderkey", 12, oracles.MODEL_PROBES)), F.expr(pick("o_orderkey", 13, oracles.SETTING_PROBES))
+    return read(spark, d, "orders").select("o_orderkey", reasoning.chosen_parser(model, setting).alias("parser"), scalars.model_size(model).alias("size"))
+
+
+@query
+def reasoning_split(spark, d):
+    """Scripted replies of several model families, some with the server's own reasoning field, split into reasoning and final text."""
+    turns = read(spark, d, "conversations").where("text is not null").withColumn("t", F.regexp_replace(F.regexp_replace("text", "[<>|]", " "), r"^\s+|\s+$", ""))
+    t, kind = F.col("t"), F.col("turn") % 7
+    wrap = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+    reply = (
+        F.when(kind == 0, wrap("<think>why ", t, "</think>\n", t))
+        .when(kind == 1, wrap("why</think>", t))
+        .when(kind == 2, wrap("<|channel>thought\nwhy<channel|>", t))
+        .when(kind == 3, wrap("<|channel|>analysis<|message|>why<|end|><|start|>assistant<|channel|>final<|message|>", t, "<|return|>"))
+        .when(kind == 4, wrap("<think>why<tool_call>", t))
+        .otherwise(t)
+    )
+    parser = F.when(kind.isin(0, 1, 4), "qwen3").when(kind == 2, "gemma4").when(kind == 3, "openai_gptoss").when(kind == 5, "qwen3")
+    split = reasoning.split_text(reply, parser, F.when(kind == 6, "said by the server"))
+    return turns.select("conv_id", "turn", split.alias("s")).select("conv_id", "turn", "s.reasoning", "s.final")
+
+
+@query
+def text_cleanup(spark, d):
+    """Fences, headings and sides: one text in several wrappings, and site hints with a side."""
+    turns = read(spark, d, "conversations").where("text is not null").withColumn("t", F.regexp_replace(F.regexp_replace("text", "`", ""), r"^\s+|\s+$", "")).where("t <> ''")
+    t, kind = F.col("t"), F.col("turn") % 5
+    wrapped = F.when(kind == 0, F.concat(F.lit("```json\n"), t, F.lit("\n```"))).when(kind == 1, F.concat(F.lit("note ```x``` "), t)).when(kind == 2, F.concat(F.lit("```\n"), t)).when(kind == 3, F.concat(F.lit("Clinical Summary: "), t)).otherwise(F.concat(F.lit(" "), t))
+    side = F.when(kind == 0, "LEFT").when(kind == 1, "right").when(kind == 2, "not_applicable").otherwise("x")
+    hint = F.when(kind == 0, "outer quadrant of left breast").when(kind == 1, "Right lung").when(kind == 2, "").otherwise("colon")
+    return turns.select("conv_id", "turn", scalars.unfenced(wrapped).alias("unfenced"), scalars.summary_text(wrapped).alias("summary"), scalars.sided_site(hint, side).alias("site"))
 
 
 @query
 def usage_numbers(spark, d):
-    """Numeric entries of a usage object, as a map in key order."""
-    body = F.concat(F.lit('{"prompt_tokens": '), F.col("event_id").cast("string"), F.lit(', "kind": "x", "cached": '), F.when(F.col("event_id") % 3 == 0, "null").otherwise("7.5"), F.lit(', "ok": true}'))
+    """The numbers of a reply's usage object under either name."""
+    inner = F.concat(F.lit('{"prompt_tokens": '), F.col("event_id").cast("string"), F.lit(', "kind": "5", "cached": '), F.when(F.col("event_id") % 3 == 0, "null").otherwise("7.9"), F.lit(', "ok": true, "more": {"a": 1}}'))
+    body = F.when(F.col("event_id") % 4 == 3, F.lit('{"usage": {"note": "12"}}')).otherwise(F.concat(F.lit('{"id": 1, "'), F.when(F.col("event_id") % 2 == 0, "usage").otherwise("usageMetadata"), F.lit('": '), inner, F.lit("}")))
     found = read(spark, d, "events").select("event_id", merging.usage_numbers(body).alias("usage"))
     return found.select("event_id", F.size("usage").cast("int").alias("n"), F.try_element_at("usage", F.lit("prompt_tokens")).alias("prompt_tokens"), F.try_element_at("usage", F.lit("cached")).alias("cached"))
 
@@ -635,15 +684,49 @@ def envelope_text(spark, d):
     """The text of a model's reply, whatever envelope it comes in."""
     t = F.to_json(F.struct(F.col("text").alias("t")))
     quoted = F.substring(t, 6, F.length(t) - 6)
+    kind = F.col("turn") % 7
+    wrap = lambda head, tail: F.concat(F.lit(head), quoted, F.lit(tail))
     body = (
-        F.when(F.col("turn") % 4 == 0, F.concat(F.lit('{"choices": [{"message": {"content": '), quoted, F.lit("}}]}")))
-        .when(F.col("turn") % 4 == 1, F.concat(F.lit('{"choices": [{"message": {"content": [{"type": "text", "text": '), quoted, F.lit('}, {"type": "image"}, {"text": "!"}]}}]}')))
-        .when(F.col("turn") % 4 == 2, F.concat(F.lit('{"content": [{"type": "text", "text": '), quoted, F.lit("}]}")))
-        .otherwise(F.concat(F.lit('{"candidates": [{"content": {"parts": [{"text": '), quoted, F.lit("}]}}]}")))
+        F.when(kind == 0, wrap('{"choices": [{"message": {"content": ', "}}]}"))
+        .when(kind == 1, wrap('{"choices": [{"message": {"content": [{"type": "text", "text": ', '}, {"type": "image"}, {"text": "!"}]}}]}'))
+        .when(kind == 2, wrap('{"content": [{"type": "text", "text": ', "}]}"))
+        .when(kind == 3, wrap('{"candidates": [{"content": {"parts": [{"text": ', "}]}}]}"))
+        .when(kind == 4, wrap('{"output": [{"type": "reasoning", "content": [{"type": "text", "text": "hm"}]}, {"type": "message", "content": [{"type": "output_text", "text": ', '}, {"type": "refusal", "refusal": "no"}, {"type": "image", "text": "x"}]}]}'))
+        .when(kind == 5, wrap('{"output": [{"role": "assistant", "content": ', "}, {\"role\": \"user\", \"content\": \"x\"}]}"))
+        .otherwise(wrap('{"output_text": ', ', "content": "other"}'))
     )
     return read(spark, d, "conversations").where("text is not null").select("conv_id", "turn", merging.envelope_text(body).alias("answer"))
 
 
+def _scripted(system: str, prompt: str) -> models.Reply | str:
+    """Answers with a JSON object; every third length gives none, every fifth a reply with usage and reasoning."""
+    n = len(prompt.split("\n\nThe last answer")[0])
+    if n % 3 == 0 and "The last answer" not in prompt:
+        return "no object"
+    if n % 5 == 0:
+        return models.Reply(json.dumps({"n": n}), "thought", {"tokens": n})
+    return f"<think>hm</think>{json.dumps({'n': n})}"
+
+
+@query
+def answered_calls(spark, d):
+    """One call for each distinct text, sixteen in flight a task: answer, attempts, reasoning and usage from one pass."""
+    turns = read(spark, d, "conversations").where("text is not null")
+    answers = models.answered(turns.select(F.lit("s").alias("system"), F.col("text").alias("prompt")), models.EchoClient(_scripted), objects=True, parser="qwen3")
+    return answers.select("request_id", "response", "error", "log.attempts", "log.reasoning", F.try_element_at("log.usage", F.lit("tokens")).alias("tokens"))
+
+
+@query
+def durable_answers(spark, d):
+    """The same calls stored as they come and read back; a second run over more texts asks the open ones only."""
+    folder = sinks.scratch(spark, "answers")
+    turns = read(spark, d, "conversations").where("text is not null").select(F.lit("s").alias("system"), F.col("text").alias("prompt"), "turn")
+    first = answers_source.answered_durably(turns.where("turn % 2 = 0"), models.EchoClient(_scripted), folder, objects=True, parser="qwen3").select("request_id")
+    n_first = first.count()
+    every = answers_source.answered_durably(turns, models.EchoClient(_scripted), folder, objects=True, parser="qwen3")
+    return every.select("request_id", "response", F.lit(n_first).alias("n_first"))
+
+
 @query
 def checkpoint_keys(spark, d):
     return read(spark, d, "customer").select("c_custkey", sinks.checkpoint_key(F.col("c_custkey").cast("string")).alias("name"))

@@ -142,9 +142,9 @@ def laterality(x: Column) -> Column:
 
 
 def sided_site(hint: Column, side: Column) -> Column:
-    """A site hint with its side in front, where the side is left, right or bilateral."""
-    s = laterality(side)
-    return F.when(s.isin("left", "right", "bilateral") & ~F.lower(hint).contains(s), F.concat(s, F.lit(" "), hint)).otherwise(hint)
+    """A site hint with its side in front, unless it starts with it; a blank hint is unknown."""
+    s, own = laterality(side), either(text(hint), F.lit("unknown"))
+    return F.when(s.isin("left", "right", "bilateral") & ~F.lower(own).startswith(s), F.concat(s, F.lit(" "), own)).otherwise(own)
 
 
 def rule_site(x: Column) -> Column:
@@ -183,61 +183,26 @@ def manual_text(x: Column) -> Column:
 
 
 def unfenced(x: Column) -> Column:
-    """The inside of a fenced code block, if the text holds one."""
+    """The inside of a text that is one fenced block (plain or json); others only lose outer blanks."""
     s = text(x)
-    return F.when(s.rlike(r"(?s)```[A-Za-z]*\s*.*?```"), strip(F.regexp_extract(s, r"(?s)```[A-Za-z]*\s*(.*?)```", 1))).otherwise(s)
+    block = r"(?s)^```(?:json)?\s*\n?(.*?)\n?\s*```$"
+    return F.when(s.rlike(block), strip(F.regexp_extract(s, block, 1))).otherwise(s)
 
 
 def summary_text(x: Column) -> Column:
-    """A model's summary without fence and heading."""
+    """A model's summary without its first fence line, a last line that is a fence, and one heading."""
     s = text(x)
-    s = F.when(s.startswith("```") & s.endswith("```") & (F.length(s) >= 6), strip(F.regexp_replace(s, r"^```[A-Za-z]*\s*|\s*```$", ""))).otherwise(s)
+    inner = F.regexp_replace(F.regexp_replace(s, r"^[^\n]*(\n|$)", ""), r"(^|\n)[ \t]*```[ \t]*$", "")
+    s = F.when(s.startswith("```"), strip(inner)).otherwise(s)
     return strip(F.regexp_replace(s, r"(?i)^(clinical )?summary:\s*", ""))
 
 
-def without_reasoning(x: Column) -> Column:
-    """What follows the last closing think mark."""
-    return F.when(F.col(x).contains("</think>") if isinstance(x, str) else x.contains("</think>"), strip(F.substring_index(x, "</think>", -1))).otherwise(x)
-
-
-def reasoning(x: Column) -> Column:
-    return F.when(x.contains("</think>"), strip(F.regexp_replace(F.substring_index(x, "</think>", 1), r"^\s*<think>", ""))).otherwise("")
-
-
 def stage_display(x: Column) -> Column:
     """A stage value without its clinical or pathological letter."""
     return F.regexp_replace(text(x), "(?i)^[cp](?=[TNM0IVX])", "")
 
 
 def model_size(name: Column) -> Column:
-    """small (< 15 billion), medium (< 40) or large, by the number before a B in a model's name."""
+    """small (< 15 billion), medium (< 40, or no number) or large, by the first number before a B in a model's name."""
     n = F.regexp_extract(name, "([0-9]+)[bB]", 1).try_cast("int")
-    return F.when(n < 15, "small").when(n < 40, "medium").otherwise("large")
-
-
-def plain_url(url: Column) -> Column:
-    """Without fragment and trailing slash; scheme and host in lower case."""
-    s = F.regexp_replace(text(url), "#.*$", "")
-    head = F.lower(F.regexp_extract(s, "^([A-Za-z]+://[^/?]*)", 1))
-    return F.regexp_replace(F.concat(head, F.substring(s, F.length(head) + 1, F.length(s))), "/+$", "")
-
-
-def url_extension(url: Column) -> Column:
-    return F.lower(F.regexp_extract(F.regexp_replace(url, "[?#].*$", ""), r"/[^/]*(\.[A-Za-z0-9]+)$", 1))
-
-
-def file_name(url: Column, title: Column) -> Column:
-    """A safe, distinct name: the title's letters and digits with a hash of the address."""
-    stem = F.regexp_replace(F.regexp_replace(F.lower(text(title)), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    return F.concat(F.substring(either(stem, F.lit("page")), 1, 80), F.lit("_"), F.substring(F.sha2(url, 256), 1, 10))
-
-
-# Other spellings of reasoning-parser names.
-PARSER_ALIASES = {"gptoss": "openai_gptoss", "gpt_oss": "openai_gptoss", "openai_gpt_oss": "openai_gptoss", "openai_gptoss": "openai_gptoss", "qwen_3": "qwen3", "gemma_4": "gemma4"}
-
-
-def parser_name(x: Column) -> Column:
-    """A reasoning parser's name in lower case with single underscores, other spellings resolved."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    known = F.create_map(*(F.lit(v) for pair in PARSER_ALIASES.items() for v in pair))
-    return F.coalesce(F.try_element_at(known, plain), plain)
+    return F.when(n < 15, "small").when((n < 40) | n.isNull(), "medium").otherwise("large")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carrel.functions.scalars import summary_text, text
-from carrel.operators.models import Client, called
+from carrel.operators.models import Client, Limiter, converse, in_flight, request_id
+from carrel.sources.answers import answered_durably
 
 SYSTEM = "Summarise the clinical note. Keep every fact on diagnosis, stage, treatment and dates. Add nothing."
 
@@ -25,37 +26,41 @@ def pending(notes: DataFrame, done: DataFrame) -> DataFrame:
     return notes.join(done.select("row_index", "fingerprint"), ["row_index", "fingerprint"], "left_anti")
 
 
-def compressed(notes: DataFrame, client: Client, attempts: int = 3) -> DataFrame:
+#: notes that a task keeps in flight
+NOTES_IN_FLIGHT = 4
+
+
+def compressed(notes: DataFrame, client: Client, attempts: int = 3, width: int = NOTES_IN_FLIGHT, per_second: float | None = None) -> DataFrame:
     """All columns with output_text, used_fallback and error; a failed row keeps its text."""
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        limiter = Limiter(per_second)
+
+        def one(body: str | None) -> tuple[str | None, bool, str | None]:
+            call = converse(client, SYSTEM, body or "", attempts, limiter=limiter)
+            return (body, True, f"{type(call.error).__name__}: {call.error}") if call.error else (call.value, False, None)
+
         for frame in frames:
-            out, fell, errors = [], [], []
-            for body in frame["text"]:
-                try:
-                    out.append(called(client, SYSTEM, body or "", attempts))
-                    fell.append(False)
-                    errors.append(None)
-                except Exception as e:  # noqa: BLE001  the row falls back to its text
-                    out.append(body)
-                    fell.append(True)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield frame.assign(output_text=out, used_fallback=fell, error=errors)
+            out = list(in_flight(iter(frame["text"]), one, width))
+            yield frame.assign(output_text=[x[0] for x in out], used_fallback=[x[1] for x in out], error=[x[2] for x in out])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in notes.schema)
     asked = notes.mapInPandas(ask, f"{kinds}, output_text string, used_fallback boolean, error string")
     return asked.withColumn("output_text", F.when(F.col("used_fallback"), F.col("output_text")).otherwise(summary_text(F.col("output_text"))))
 
 
-def compress(notes: DataFrame, client: Client, folder: str, done: DataFrame | None = None) -> DataFrame:
-    """Ask for pending rows only, append them to the checkpoint folder, return all rows in their order.
+def compress(notes: DataFrame, client: Client, folder: str, attempts: int = 3, width: int = NOTES_IN_FLIGHT, **options) -> DataFrame:
+    """All rows in their order with output_text, used_fallback, error and fingerprint.
 
-    ``notes``: row_index, patient_id, date, text and any other columns.
+    ``notes``: row_index, patient_id, date, text and any other columns. Equal texts are asked once. Answers
+    are stored in ``folder`` as they come, so a stopped run goes on with the open ones; texts whose call
+    failed are asked again by the next run, and keep their text until then.
     """
-    keyed = notes.withColumn("fingerprint", fingerprint())
-    compressed(pending(keyed, done) if done is not None else keyed, client).write.mode("append").parquet(folder)
-    finished = notes.sparkSession.read.parquet(folder)
-    return finished.join(keyed.select("row_index", "fingerprint"), ["row_index", "fingerprint"], "left_semi").orderBy("row_index")
+    keyed = notes.withColumn("fingerprint", fingerprint()).withColumn("system", F.lit(SYSTEM)).withColumn("prompt", F.coalesce("text", F.lit("")))
+    answers = answered_durably(keyed.select("system", "prompt"), client, folder, attempts=attempts, width=width, **options)
+    rows = keyed.withColumn("request_id", request_id()).join(answers.select("request_id", "response", "error"), "request_id", "left")
+    failed = F.col("response").isNull()
+    return rows.select(*notes.columns, "fingerprint", F.when(failed, F.col("text")).otherwise(summary_text(F.col("response"))).alias("output_text"), failed.alias("used_fallback"), "error").orderBy("row_index")
 
 
 def prompt(body: Column, **metadata: Column) -> Column:

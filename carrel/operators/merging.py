@@ -68,11 +68,17 @@ def with_defaults(values: DataFrame, keys: list[str], defaults: dict[int, str] |
     return values.select(*keys, "item", "value").unionByName(wanted.join(values.select(*keys, "item"), [*keys, "item"], "left_anti"))
 
 
-def usage_numbers(usage: Column) -> Column:
-    """The numeric entries of a usage object (JSON text) as a map of whole numbers; other entries go."""
-    entries = F.from_json(usage, "map<string,string>")
-    number = lambda v: F.when(v.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"), v.try_cast("double").cast("bigint"))
-    return F.map_filter(F.transform_values(entries, lambda _, v: number(v)), lambda _, v: v.isNotNull())
+def usage_numbers(body: Column) -> Column:
+    """The numbers of a reply's usage (or usageMetadata) object as a map of whole numbers; null if it has none.
+
+    Only JSON numbers count: no texts that look like one, no truth values, no nested objects.
+    """
+    reply = F.try_parse_json(body)
+    inner = lambda path: F.try_variant_get(reply, path, "map<string,variant>")
+    entries = F.coalesce(inner("$.usage"), inner("$.usageMetadata"))
+    numbers = F.map_filter(entries, lambda _, v: F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"))
+    whole = F.transform_values(numbers, lambda _, v: F.coalesce(F.try_variant_get(v, "$", "bigint"), F.try_variant_get(v, "$", "double").cast("bigint")))
+    return F.when(F.size(whole) > 0, whole)
 
 
 def content_text(content: Column) -> Column:
@@ -86,7 +92,26 @@ def content_text(content: Column) -> Column:
     return F.coalesce(F.when(F.ltrim(content).startswith("["), joined).otherwise(content), F.lit(""))
 
 
+def _said(content: Column) -> Column:
+    """The texts of an output block's content: strings, text parts, refusals, else a part's own content."""
+    parts = F.from_json(content, "array<string>")
+    kind = lambda p: F.get_json_object(p, "$.type")
+    text_ = lambda p: F.when(kind(p).isin("output_text", "text"), F.get_json_object(p, "$.text"))
+    refusal = lambda p: F.when(kind(p) == "refusal", F.get_json_object(p, "$.refusal"))
+    piece = lambda p: F.when(p.startswith("{"), F.coalesce(text_(p), refusal(p), F.get_json_object(p, "$.content"))).otherwise(p)
+    joined = F.array_join(F.filter(F.transform(parts, piece), lambda p: p.isNotNull()), "")
+    return F.coalesce(F.when(F.ltrim(content).startswith("["), joined).otherwise(content), F.lit(""))
+
+
+def output_text(body: Column) -> Column:
+    """The messages among a reply's output blocks, joined; '' if it has none."""
+    blocks = F.from_json(F.get_json_object(body, "$.output"), "array<string>")
+    own = F.filter(blocks, lambda b: F.get_json_object(b, "$.type").isin("message", "output_message") | (F.get_json_object(b, "$.role") == "assistant"))
+    return F.coalesce(F.array_join(F.transform(own, lambda b: _said(F.get_json_object(b, "$.content"))), ""), F.lit(""))
+
+
 def envelope_text(body: Column) -> Column:
-    """The text of a model's reply: chat choices, content blocks, output blocks or candidates' parts."""
+    """The text of a model's reply: output text or output blocks, chat choices, content blocks or candidates' parts."""
     paths = ["$.choices[0].message.content", "$.content", "$.output.message.content", "$.candidates[0].content.parts"]
-    return content_text(F.coalesce(*(F.get_json_object(body, p) for p in paths)))
+    first = F.nullif(F.coalesce(F.get_json_object(body, "$.output_text"), F.lit("")), F.lit(""))
+    return F.coalesce(first, F.nullif(output_text(body), F.lit("")), content_text(F.coalesce(*(F.get_json_object(body, p) for p in paths))))

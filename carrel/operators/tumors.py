@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carrel.functions.scalars import morphology, text, topography
-from carrel.operators.models import Client, answered, called_object, request_id
+from carrel.operators.models import Client, answered, called_object, in_flight, request_id
 
 FIELDS = ["cancer_type", "primary_site_hint", "approximate_date", "evidence", "histology", "laterality"]
 SCHEMA = "patient_id string, tumor_index int, cancer_type string, primary_site_hint string, approximate_date string, evidence string, histology string, laterality string, contributing_chunks string"
@@ -21,18 +23,35 @@ def _clean(found: list) -> list[dict]:
     return rows
 
 
-def detected(chunks: DataFrame, client: Client, attempts: int = 1) -> DataFrame:
+#: patients whose chunks a task folds side by side
+PATIENTS_IN_FLIGHT = 16
+
+
+def by_patient(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[str, list[tuple[str, str]]]]:
+    """Each patient's (chunk_id, text) in order, from frames sorted by patient; a patient may span frames."""
+    patient, held = None, []
+    for frame in frames:
+        for who, chunk_id, body in zip(frame["patient_id"], frame["chunk_id"], frame["chunk_text"], strict=True):
+            if held and who != patient:
+                yield patient, held
+                held = []
+            patient = who
+            held.append((chunk_id, body))
+    if held:
+        yield patient, held
+
+
+def detected(chunks: DataFrame, client: Client, attempts: int = 1, width: int = PATIENTS_IN_FLIGHT) -> DataFrame:
     """One row for each tumor of each patient; a patient without any gets one unknown tumor.
 
-    State N depends on state N-1, so the chunks of one patient are folded in one group, in order.
-    A chunk whose answer can't be read leaves the list as it was.
+    State N depends on state N-1, so the chunks of one patient are folded in order; several patients of a
+    task are in flight at a time. A chunk whose answer can't be read leaves the list as it was.
     """
 
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("chunk_index")
+    def fold(patient: tuple[str, list[tuple[str, str]]]) -> list[tuple]:
         running: list[dict] = []
         origin: dict[str, list[str]] = {}
-        for chunk_id, body in zip(group["chunk_id"], group["chunk_text"], strict=True):
+        for chunk_id, body in patient[1]:
             prompt = f"Current list: {running}\n\nNotes:\n{body}"
             try:
                 found = called_object(client, SYSTEM, prompt, attempts).get("diagnoses")
@@ -45,29 +64,34 @@ def detected(chunks: DataFrame, client: Client, attempts: int = 1) -> DataFrame:
                     own.append(chunk_id)
         if not running:
             running = [dict.fromkeys(FIELDS, "") | {"cancer_type": "unknown", "laterality": "unknown"}]
-        rows = [(group["patient_id"].iloc[0], k, *(r[f] for f in FIELDS), ",".join(origin.get(f"{r['cancer_type']}|{r['primary_site_hint']}", []))) for k, r in enumerate(running)]
-        return pd.DataFrame(rows, columns=["patient_id", "tumor_index", *FIELDS, "contributing_chunks"])
+        return [(patient[0], k, *(r[f] for f in FIELDS), ",".join(origin.get(f"{r['cancer_type']}|{r['primary_site_hint']}", []))) for k, r in enumerate(running)]
+
+    def folded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in in_flight(by_patient(frames), fold, width):
+            yield pd.DataFrame(rows, columns=["patient_id", "tumor_index", *FIELDS, "contributing_chunks"])
 
-    return chunks.select("patient_id", "chunk_id", "chunk_index", "chunk_text").groupBy("patient_id").applyInPandas(fold, SCHEMA)
+    sorted_ = chunks.select("patient_id", "chunk_id", "chunk_index", "chunk_text").repartition("patient_id").sortWithinPartitions("patient_id", "chunk_index")
+    return sorted_.mapInPandas(folded, SCHEMA)
 
 
 CODING_SYSTEM = "Give each numbered diagnosis its topography and morphology code. Answer with a JSON object: {\"coded\": [{\"primary_site_code\": ..., \"histology_code\": ...}]}, one entry for each diagnosis, in order."
 _CODED = "struct<coded:array<struct<primary_site_code:string,histology_code:string>>>"
 
 
-def coded(found: DataFrame, client: Client, attempts: int = 1) -> DataFrame:
+def coded(found: DataFrame, client: Client, attempts: int = 1, ask: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``found`` (the rows of detected()) with primary_site_code and histology_code, from one call a patient.
 
     The answers' entries belong to the diagnoses by their place. A missing or unreadable entry, a
     code of no valid shape and a failed call leave '' there. Patients whose only row is the unknown
-    tumor are not asked.
+    tumor are not asked. ``ask`` turns requests into answers in another way (stored ones, say).
     """
     line = F.format_string("%d. %s; site %s; histology %s; laterality %s", F.col("tumor_index") + 1, "cancer_type", "primary_site_hint", "histology", "laterality")
     known = found.where("not (cancer_type = 'unknown' and primary_site_hint = '' and contributing_chunks = '')")
     lists = known.groupBy("patient_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tumor_index", line.alias("line")))), lambda x: x["line"]), "\n").alias("prompt"))
     asked = lists.select("patient_id", F.lit(CODING_SYSTEM).alias("system"), F.concat(F.lit("Diagnoses:\n"), "prompt").alias("prompt"))
     asked = asked.withColumn("request_id", request_id())
-    answers = answered(asked.select("system", "prompt"), client, attempts=attempts, objects=True).where("error is null").select("request_id", F.from_json("response", _CODED)["coded"].alias("coded"))
+    requests = asked.select("system", "prompt")
+    answers = (ask(requests) if ask else answered(requests, client, attempts=attempts, objects=True)).where("error is null").select("request_id", F.from_json("response", _CODED)["coded"].alias("coded"))
     entries = asked.select("patient_id", "request_id").join(answers, "request_id").select("patient_id", F.posexplode("coded").alias("tumor_index", "entry"))
     entries = entries.select("patient_id", "tumor_index", topography(text(F.col("entry.primary_site_code"))).alias("primary_site_code"), morphology(text(F.col("entry.histology_code"))).alias("histology_code"))
     return found.join(entries, ["patient_id", "tumor_index"], "left").na.fill("", ["primary_site_code", "histology_code"])

@@ -12,6 +12,9 @@ MARKER_PROBES = ["1: ER positive", "negative", "0", "1", "2", "", "Left", "RIGHT
 
 #: coded items, and the stage items of the summary that they stand for
 STAGE_PROBE_ITEMS = {940: 1001, 950: 1002, 960: 1003, 970: 1004, 880: 1011, 890: 1012, 900: 1013, 910: 1014}
+MODEL_PROBES = ["openai/gpt-oss-120b", "Qwen/Qwen3.5-72B-Instruct", "google/gemma-4-27b", "Meta-Llama-3.1-8B", "gpt-oss", "big"]
+SETTING_PROBES = ["auto", " Auto ", "none", "OFF", "qwen-3", "gpt oss", "other.parser", ""]
+REFERENCES = ["/x/y", "../x", "./y", "a/../b", "?k=1", "#top", "//other.org/p", "https://third.net/q?r", "mailto:a@b.c", "z"]
 PARSER_PROBES = ["GPT-OSS", "openai gpt_oss", " qwen-3 ", "Qwen3", "gemma.4", "__x__", "", "auto"]
 
 SEP = "\\s"
@@ -260,16 +263,21 @@ _SCHEMA_OF = f"SELECT o_orderkey, {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX}
 _STAGING = {name: [*dict.fromkeys([*CORE_STAGING_ITEMS, *own])] for name, own in ({"generic": []} | SCHEMA_ITEMS).items()}
 
 
-def _html_text(x: str) -> str:
-    """The steps of the page reader, one SQL replacement each (RE2 has no references back, so each element is named)."""
-    hidden = "|".join(f"<{e}\\b.*?</{e}\\s*>" for e in ("script", "style", "noscript"))
-    x = f"regexp_replace({x}, '(?is){hidden}|<!--.*?-->', ' ', 'g')"
-    x = f"regexp_replace({x}, '(?i)<(/?(p|div|li|ul|ol|tr|table|h[1-6]|article|nav|footer|header|section)\\b[^>]*|br\\s*/?)>', chr(10), 'g')"
-    x = f"regexp_replace({x}, '<[^>]*>', '', 'g')"
-    for code, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+TOKENS = r"""(?is)<!--.*?-->|<[!?][^>]*>|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|</?[a-z][^>]*>|[^<]+|<"""
+
+
+def _unescaped(x: str) -> str:
+    for code, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         x = f"replace({x}, '{code}', '{sign}')"
-    x = f"regexp_replace(regexp_replace({x}, '[ \\t\\r]+', ' ', 'g'), ' ?\\n ?', chr(10), 'g')"
-    return f"regexp_replace({x}, '\\n{{2,}}|^\\n|\\n$', chr(10), 'g')"
+    return x
+
+
+def _html_text(x: str) -> str:
+    """Every token of a page gives a line, a line break or nothing."""
+    line = lambda t: f"nullif(trim(regexp_replace({t}, '\\s+', ' ', 'g')), '')"
+    inner = r"regexp_replace(t, '(?is)^<[^>]*>|</[a-z]+\s*>$', '', 'g')"
+    parts = f"""list_transform(regexp_extract_all({x}, '{TOKENS}'), lambda t: CASE WHEN regexp_matches(t, '(?i)^<(br|p|li|tr|h[1-4])[\\s/>]') THEN chr(10) WHEN regexp_matches(t, '(?is)^<(script|style)\\b') THEN {line(inner)} WHEN t LIKE '<_%' THEN NULL ELSE {line(_unescaped('t'))} END)"""
+    return f"regexp_replace(regexp_replace(array_to_string(list_filter({parts}, lambda p: p IS NOT NULL), chr(10)), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\s+|\\s+$', '', 'g')"
 
 
 
@@ -304,8 +312,18 @@ FROM (SELECT conv_id, arg_max(contains(chunk_text, 'the'), chunk_index) AS breas
     "staging_phase_items": f"WITH schemas AS ({_SCHEMA_OF}), items AS (" + " UNION ALL ".join(f"SELECT '{name}' AS schema, {len(items)} AS n, {sum(items)} AS items" for name, items in _STAGING.items()) + ") SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, CAST(n AS BIGINT) AS n, CAST(items AS BIGINT) AS items FROM schemas JOIN items USING (schema)",
     "first_open_round": "WITH w AS (SELECT DISTINCT conv_id, turn FROM conversations), o AS (SELECT min(turn) AS first FROM w WHERE NOT (turn < 2 OR conv_id % 3 = 0)) SELECT CAST(max(turn) + 1 AS INT) AS n_rounds, CAST(coalesce(any_value(first), max(turn) + 1) AS INT) AS first_open FROM w, o",
     "parser_names": f"SELECT o_orderkey, CASE WHEN k IN ('gptoss', 'gpt_oss', 'openai_gpt_oss') THEN 'openai_gptoss' WHEN k = 'qwen_3' THEN 'qwen3' WHEN k = 'gemma_4' THEN 'gemma4' ELSE k END AS parser FROM (SELECT o_orderkey, trim(regexp_replace(lower({pick('o_orderkey', 11, PARSER_PROBES)}), '[^a-z0-9]+', '_', 'g'), '_') AS k FROM orders)",
-    "usage_numbers": "SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS INT) AS n, CAST(event_id AS BIGINT) AS prompt_tokens, CAST(CASE WHEN event_id % 3 <> 0 THEN 7 END AS BIGINT) AS cached FROM events",
-    "envelope_text": "SELECT conv_id, turn, text || CASE WHEN turn % 4 = 1 THEN '!' ELSE '' END AS answer FROM conversations WHERE text IS NOT NULL",
+    "usage_numbers": "SELECT event_id, CAST(CASE WHEN event_id % 4 = 3 THEN NULL WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS INT) AS n, CAST(CASE WHEN event_id % 4 <> 3 THEN event_id END AS BIGINT) AS prompt_tokens, CAST(CASE WHEN event_id % 4 <> 3 AND event_id % 3 <> 0 THEN 7 END AS BIGINT) AS cached FROM events",
+    "envelope_text": "SELECT conv_id, turn, text || CASE turn % 7 WHEN 1 THEN '!' WHEN 4 THEN 'no' ELSE '' END AS answer FROM conversations WHERE text IS NOT NULL",
+    "parser_choice": f"""SELECT o_orderkey, CASE WHEN s IN ('', 'none', 'off') THEN NULL WHEN s = 'auto' THEN CASE WHEN m LIKE '%gpt-oss%' THEN 'openai_gptoss' WHEN m LIKE '%gemma-4%' THEN 'gemma4' WHEN m LIKE '%Qwen3%' THEN 'qwen3' END WHEN s = 'qwen-3' THEN 'qwen3' WHEN s = 'gpt oss' THEN 'openai_gptoss' ELSE replace(s, '.', '_') END AS parser,
+CASE WHEN m LIKE '%120b' OR m LIKE '%72B%' THEN 'large' WHEN m LIKE '%-8B' THEN 'small' ELSE 'medium' END AS size FROM (SELECT o_orderkey, {pick('o_orderkey', 12, MODEL_PROBES)} AS m, lower(trim({pick('o_orderkey', 13, SETTING_PROBES)})) AS s FROM orders)""",
+    "reasoning_split": r"""SELECT conv_id, turn, CASE turn % 7 WHEN 0 THEN regexp_replace('why ' || t, '\s+$', '') WHEN 5 THEN '' WHEN 6 THEN 'said by the server' ELSE 'why' END AS reasoning, CASE WHEN turn % 7 = 4 THEN '<tool_call>' ELSE '' END || t AS final
+FROM (SELECT *, regexp_replace(regexp_replace(text, '[<>|]', ' ', 'g'), '^\s+|\s+$', '', 'g') AS t FROM conversations WHERE text IS NOT NULL)""",
+    "text_cleanup": r"""SELECT conv_id, turn, CASE turn % 5 WHEN 1 THEN 'note ```x``` ' || t WHEN 2 THEN '```' || chr(10) || t WHEN 3 THEN 'Clinical Summary: ' || t ELSE t END AS unfenced, CASE turn % 5 WHEN 1 THEN 'note ```x``` ' || t ELSE t END AS summary,
+CASE turn % 5 WHEN 0 THEN 'left outer quadrant of left breast' WHEN 1 THEN 'Right lung' WHEN 2 THEN 'unknown' ELSE 'colon' END AS site
+FROM (SELECT *, regexp_replace(replace(text, '`', ''), '^\s+|\s+$', '', 'g') AS t FROM conversations WHERE text IS NOT NULL) WHERE t <> ''""",
+    "answered_calls": """SELECT sha256('s' || chr(31) || text) AS request_id, '{"n": ' || n || '}' AS response, CAST(NULL AS VARCHAR) AS error, CAST(CASE WHEN n % 3 = 0 THEN 2 ELSE 1 END AS INT) AS attempts, CASE WHEN n % 5 = 0 THEN 'thought' ELSE 'hm' END AS reasoning, CASE WHEN n % 5 = 0 THEN n END AS tokens
+FROM (SELECT DISTINCT text, length(text) AS n FROM conversations WHERE text IS NOT NULL)""",
+    "durable_answers": """SELECT sha256('s' || chr(31) || text) AS request_id, '{"n": ' || length(text) || '}' AS response, (SELECT CAST(count(DISTINCT text) AS INT) FROM conversations WHERE turn % 2 = 0) AS n_first FROM (SELECT DISTINCT text FROM conversations WHERE text IS NOT NULL)""",
     "checkpoint_keys": "SELECT c_custkey, left(sha256(CAST(c_custkey AS VARCHAR)), 20) AS name FROM customer",
     "notes_loaded": "SELECT CAST(conv_id AS VARCHAR) AS patient_id, lpad(CAST(turn AS VARCHAR), 6, '0') AS date, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS doc_index, sha256(text) AS text_sha256 FROM conversations WHERE regexp_matches(coalesce(text, ''), '[^ \\t\\n\\r\\f\\v]')",
     "xml_scan": f"""WITH rec AS ({WIDE}), {_LONG}, v AS (SELECT rec // 10 AS patient, rec % 10 AS tumor, item, resolved AS value FROM long), t AS (SELECT patient, tumor, CAST(row_number() OVER (PARTITION BY patient ORDER BY tumor) - 1 AS INT) AS tumor_no, max(value) FILTER (item = 220) AS own_sex, coalesce(max(value) FILTER (item = 400), '') AS site, coalesce(max(value) FILTER (item = 522), '') AS hist FROM v GROUP BY patient, tumor)
@@ -388,8 +406,16 @@ SELECT query_id, title, score, CAST(place AS INT) AS place FROM (SELECT *, row_n
     "manifest_upsert": """WITH e AS (SELECT page_id AS pos, regexp_extract(url, '://([^/?#]*)', 1) AS url, regexp_extract(html, '<html lang="([a-z]*)"', 1) AS category, 'p' || page_id AS title, 's' || (page_id % 5) AS source_page FROM pages), p AS (SELECT url, source_page, min(pos) AS pos FROM e GROUP BY 1, 2)
 SELECT e.url, arg_min(category, pos) AS category, arg_min(title, pos) AS title, (SELECT string_agg(source_page, ',' ORDER BY p.pos) FROM p WHERE p.url = e.url) AS source_pages FROM e GROUP BY e.url""",
     "run_summary": "SELECT count(*) AS records, count(DISTINCT o_custkey) AS patients, round(count(*) / count(DISTINCT o_custkey), 4) AS per_patient FROM orders",
-    "link_harvest": """SELECT page_id, CAST(len(l) AS INT) AS n_links, array_to_string(l, ' ') AS links FROM (SELECT page_id, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']', 1) AS l FROM pages)""",
-    "url_normalise": """SELECT page_id, regexp_replace(lower(regexp_extract(s, '^([A-Za-z]+://[^/?]*)', 1)) || substr(s, length(regexp_extract(s, '^([A-Za-z]+://[^/?]*)', 1)) + 1), '/+$', '') AS url, lower(regexp_extract(regexp_replace(url, '[?#].*$', ''), '/[^/]*(\\.[A-Za-z0-9]+)$', 1)) AS extension FROM (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS s FROM pages)""",
+    "link_harvest": r"""SELECT page_id, CAST(k - 1 AS INT) AS place, CASE WHEN target LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || target ELSE target END AS url, text FROM (
+SELECT page_id, url, unnest(generate_series(1, len(t))) AS k, unnest(t) AS target, trim(regexp_replace(unnest(x), '\\s+', ' ', 'g')) AS text FROM (
+SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1) AS t, regexp_extract_all(html, '(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2) AS x FROM pages))""",
+    "reference_resolution": f"""SELECT page_id, CASE WHEN r = '/x/y' THEN root || r WHEN r = '../x' THEN root || CASE WHEN regexp_matches(path, '^/[^/]*/[^/]+/') THEN regexp_extract(path, '^(/.*/)[^/]*/[^/]*$', 1) ELSE '/' END || 'x' WHEN r = './y' THEN root || dir || 'y' WHEN r = 'a/../b' THEN root || dir || 'b' WHEN r = 'z' THEN root || dir || 'z'
+WHEN r LIKE '?%' THEN root || path || r WHEN r LIKE '#%' THEN regexp_replace(url, '#.*$', '') || r WHEN r LIKE '//%' THEN regexp_extract(url, '^[a-z]+:') || r ELSE r END AS resolved FROM (
+SELECT *, regexp_extract(path, '^(.*/)[^/]*$', 1) AS dir FROM (SELECT page_id, url, {pick('page_id', 17, REFERENCES)} AS r, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS root, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages))""",
+    "url_normalise": r"""SELECT page_id, root || replace(replace(replace(url_encode(url_decode(replace(path, '+', '%2B'))), '%2F', '/'), '%3A', ':'), '%40', '@') || rest AS url, CASE WHEN path LIKE '%.PDF' THEN '.pdf' ELSE coalesce(nullif(lower(regexp_extract(path, '/[^/.][^/]*(\\.[^./]+)$', 1)), ''), '.html') END AS extension,
+CASE WHEN name = '' THEN 'manual.html' ELSE regexp_replace(name, '[^A-Za-z0-9._-]+', '_', 'g') END AS file_name FROM (
+SELECT *, regexp_extract(u, '^[a-z]+://[^/?#]*', 0) AS root, regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*(.*)$', 1) AS rest, regexp_extract(regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) AS name FROM (
+SELECT page_id, replace(url, '.example.', '.Example.') || CASE WHEN regexp_matches(url, '[?#]') THEN '' ELSE '/a é%20%7E+(' || page_id || ').PDF' END AS u FROM pages))""",
     "pending_rows": "SELECT conv_id * 1000 + turn AS row_index FROM conversations WHERE NOT ((conv_id * 1000 + turn) % 3 = 0 AND (conv_id * 1000 + turn) % 2 = 0)",
     "compress_fingerprint": "SELECT count(*) AS rows, count(DISTINCT (conv_id, turn)) AS fingerprints, 64 AS width FROM conversations",
     "compress_with_fallback": f"""SELECT conv_id * 1000 + turn AS row_index, CASE WHEN length(coalesce(text, '')) % 7 = 0 THEN text ELSE {strip("left(text, 40)")} END AS output_text, length(coalesce(text, '')) % 7 = 0 AS used_fallback, CASE WHEN length(coalesce(text, '')) % 7 = 0 THEN 'RuntimeError: endpoint unavailable' END AS error FROM conversations""",

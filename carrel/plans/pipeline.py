@@ -17,6 +17,7 @@ from carrel.functions.scalars import either
 from carrel.operators import chunking, confidence, matching, merging, models, resolution, rules, tumors
 from carrel.operators.prompts import narrative_results
 from carrel.sources import notes, sinks
+from carrel.sources.answers import answered_durably, stored
 
 KEYS = ["patient_id", "tumor_index"]
 SYSTEM = "Extract the listed registry items from the notes. Answer with a JSON object: field -> {value, confidence, evidence}."
@@ -36,6 +37,9 @@ class Run:
     overlap_tokens: int = chunking.OVERLAP_TOKENS
     items_per_call: int = 50
     attempts: int = models.ATTEMPTS
+    in_flight: int = models.IN_FLIGHT
+    per_second: float | None = None
+    parser: str | None = None
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -50,6 +54,16 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def asked(requests: DataFrame, client: models.Client, run: Run) -> DataFrame:
+    """Answers that are stored as they come: a stopped phase asks for its open requests only."""
+    return answered_durably(requests, client, f"{run.folder}/answers", attempts=run.attempts, objects=True, width=run.in_flight, per_second=run.per_second, parser=run.parser)
+
+
+def calls(spark: SparkSession, run: Run) -> DataFrame:
+    """The log of all coding and extraction calls so far, one row a request."""
+    return stored(spark, f"{run.folder}/answers").select("request_id", F.timestamp_seconds("asked_at").alias("asked_at"), F.col("response").alias("final_output"), "error", "log.*")
+
+
 def scoped_chunks(docs: DataFrame, found: DataFrame, run: Run) -> DataFrame:
     """Chunks of the documents in each tumor's window."""
     spans = dates.with_interval(docs.select("patient_id", "doc_index", "date", "text"), "date", "span")
@@ -89,7 +103,7 @@ def extraction_phase(units: DataFrame, state: DataFrame, phase: str, number: int
     batches = chunking.batched(ask, KEYS, ["item"], run.items_per_call).groupBy(*KEYS, "batch").agg(F.array_join(F.array_sort(F.collect_list("field")), ", ").alias("asked"))
     prompts = batches.join(units, KEYS).join(prior, KEYS, "left").select(*KEYS, F.lit(SYSTEM).alias("system"), F.concat(F.lit(f"Phase: {phase}\nItems: "), F.col("asked"), F.lit("\nKnown:\n"), F.coalesce("prior", F.lit("")), F.lit("\nNotes:\n"), F.col("chunk_text")).alias("prompt"))
     prompts = prompts.withColumn("request_id", models.request_id())
-    answers = models.answered(prompts.select("system", "prompt"), run.extractor, attempts=run.attempts, objects=True)
+    answers = asked(prompts.select("system", "prompt"), run.extractor, run)
     replies = prompts.select(*KEYS, "request_id").join(answers.where("error is null"), "request_id").select(*KEYS, "response")
     seq = F.lit(number).cast("bigint").alias("seq")
     if phase == "text":
@@ -132,8 +146,8 @@ def checked(state: DataFrame) -> dict[str, DataFrame]:
 def run(spark: SparkSession, path: str, setup: Run) -> dict[str, DataFrame]:
     docs = _kept(notes.load(spark, path), f"{setup.folder}/notes")
     whole = chunking.chunked(chunking.concatenated(docs, ["patient_id"]), ["patient_id"], setup.target_tokens, setup.overlap_tokens)
-    listed = _kept(tumors.detected(whole, setup.detector), f"{setup.folder}/listed")
-    found = _kept(tumors.coded(listed, setup.detector), f"{setup.folder}/tumors")
+    listed = _kept(tumors.detected(whole, setup.detector, width=setup.in_flight), f"{setup.folder}/listed")
+    found = _kept(tumors.coded(listed, setup.detector, ask=lambda requests: asked(requests, setup.detector, setup)), f"{setup.folder}/tumors")
     chunks = _kept(scoped_chunks(docs, found, setup), f"{setup.folder}/chunks")
     state = _kept(first_state(docs, found), f"{setup.folder}/round=start")
     last = chunks.agg(F.max("chunk_index")).first()[0]
@@ -144,7 +158,7 @@ def run(spark: SparkSession, path: str, setup: Run) -> dict[str, DataFrame]:
 
 
 def write(found: dict[str, DataFrame], setup: Run, out: str) -> None:
-    """Registry XML, fixed-width and wide tables, audit and review files."""
+    """Registry XML, fixed-width and wide tables, audit, review and call-log files."""
     values = found["results"].select(*KEYS, "item", either(F.coalesce("resolved", F.lit("")), F.coalesce("extracted", F.lit(""))).alias("value"))
     values = _kept(merging.with_defaults(values, KEYS), f"{setup.folder}/values")
     sinks.write_xml(values, setup.items, f"{out}/registry_xml")
@@ -152,3 +166,4 @@ def write(found: dict[str, DataFrame], setup: Run, out: str) -> None:
     sinks.write_csv(sinks.wide_table(values, setup.items, KEYS), f"{out}/wide")
     sinks.write_audit(found["results"], KEYS, f"{out}/audit")
     sinks.write_review(found["review"], KEYS, f"{out}/review")
+    sinks.write_log(calls(values.sparkSession, setup), f"{out}/calls")

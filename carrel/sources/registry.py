@@ -74,17 +74,3 @@ def manuals(spark: SparkSession, manifest: str, root: str) -> DataFrame:
     tail = lambda c: F.regexp_extract(F.url_decode(c), r"([^/]+/[^/]+)$", 1)
     return listed.withColumn("k", F.regexp_extract("text_path", r"([^/]+/[^/]+)$", 1)).join(files.withColumn("k", tail(F.col("file"))), "k").select("category", "title", "url", F.col("text_path").alias("path"), F.col("value").alias("text"))
 
-
-def links(html: Column) -> Column:
-    """Targets of all anchors."""
-    return F.regexp_extract_all(html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
-
-
-def html_text(html: Column) -> Column:
-    """The readable text of a page: no scripts, styles or tags, common entities resolved, lines kept."""
-    s = F.regexp_replace(html, r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", " ")
-    s = F.regexp_replace(s, r"(?i)<(/?(p|div|li|ul|ol|tr|table|h[1-6]|article|nav|footer|header|section)\b[^>]*|br\s*/?)>", "\n")
-    s = F.regexp_replace(s, r"<[^>]*>", "")
-    for code, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(code), F.lit(sign))
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"[ \t\r]+", " "), r" ?\n ?", "\n"), r"\n{2,}|^\n|\n$", "\n")

@@ -18,16 +18,22 @@ def one(spark, value, f):
         (scalars.summary_stage_extent, "7", "distant"), (scalars.stage_group_extent, "IIB", "regional"), (scalars.biomarker, "1: ER positive", "positive"), (scalars.biomarker, "0", "negative"), (scalars.biomarker, "", "unknown"),
         (scalars.topography, "c509", "C50.9"), (scalars.topography, "C5", ""), (scalars.morphology, "8500/3", "8500"), (scalars.laterality, "LEFT", "left"), (scalars.laterality, "x", "unknown"),
         (scalars.rule_site, "61.9", "C619"), (scalars.rule_histology, "0000", None), (scalars.rule_histology, "8140/3", 8140), (scalars.integer, "x", None), (scalars.integer, " 7 ", 7),
-        (scalars.summary_text, "Summary: Patient has colon cancer.", "Patient has colon cancer."), (scalars.summary_text, "```\nClinical content.\n```", "Clinical content."), (scalars.unfenced, "x ```json\n{}\n``` y", "{}"),
-        (scalars.without_reasoning, "<think>hm</think> answer", "answer"), (scalars.reasoning, "<think>hm</think> answer", "hm"), (scalars.stage_display, "cT1", "T1"), (scalars.stage_display, "pIIA", "IIA"),
-        (scalars.model_size, "Model-7B", "small"), (scalars.model_size, "x-32b", "medium"), (scalars.model_size, "big", "large"), (scalars.one_line, " * a \n b* ", "a b"), (scalars.manual_text, "a  b\n\n\n\nc", "a b\n\nc"),
-        (scalars.plain_url, "HTTP://A.org/B/#x", "http://a.org/B"), (scalars.url_extension, "http://a.org/x.PDF?q=1", ".pdf"), (scalars.site_code, "site C50.9 left", "C50.9"), (scalars.estimated_tokens, "abc", 1),
+        (scalars.summary_text, "Summary: Patient has colon cancer.", "Patient has colon cancer."), (scalars.summary_text, "```\nClinical content.\n```", "Clinical content."), (scalars.unfenced, "x ```json\n{}\n``` y", "x ```json\n{}\n``` y"), (scalars.unfenced, " ```json\n{}\n``` ", "{}"), (scalars.unfenced, "```\n{}", "```\n{}"), (scalars.summary_text, "```text\nOpen", "Open"), (scalars.summary_text, "Clinical summary:\nx", "x"), (scalars.summary_text, "```\nx\n ``` ", "x"),
+        (scalars.stage_display, "cT1", "T1"), (scalars.stage_display, "pIIA", "IIA"),
+        (scalars.model_size, "Model-7B", "small"), (scalars.model_size, "x-32b", "medium"), (scalars.model_size, "big", "medium"), (scalars.model_size, "m-120B", "large"), (scalars.model_size, "gpt-oss", "medium"), (scalars.one_line, " * a \n b* ", "a b"), (scalars.manual_text, "a  b\n\n\n\nc", "a b\n\nc"),
+        (scalars.site_code, "site C50.9 left", "C50.9"), (scalars.estimated_tokens, "abc", 1),
     ],
 )
 def test_scalars(spark, f, value, want):
     assert one(spark, value, f) == want
 
 
+@pytest.mark.parametrize(("hint", "side", "want"), [("outer quadrant of left breast", "left", "left outer quadrant of left breast"), ("Left breast", "LEFT", "Left breast"), ("", "left", "left unknown"), (None, "unknown", "unknown"), ("colon", "not_applicable", "colon")])
+def test_sided_site(spark, hint, side, want):
+    row = spark.createDataFrame([(hint, side)], "h string, s string").select(scalars.sided_site(F.col("h"), F.col("s")).alias("y")).first()
+    assert row["y"] == want
+
+
 @pytest.mark.parametrize(("value", "axis", "want"), [("CT1MI", "T", "1MI"), ("C2", "T", "2"), ("CX", "T", "X"), ("pN1a", "N", "1A"), ("", "T", "")])
 def test_tnm(spark, value, axis, want):
     assert one(spark, value, lambda x: scalars.tnm(x, axis)) == want

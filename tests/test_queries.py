@@ -15,7 +15,7 @@ from carrel import catalog
 ROOT = Path(__file__).resolve().parents[1]
 QUICK = [
     "scan_notes_nonblank", "doc_index", "notes_concat", "chunk_notes", "chunk_dates", "partial_date_interval", "diagnosis_window", "merge_highest_confidence", "high_confidence_skip", "llm_payload_parse",
-    "default_fill", "code_resolution_tiers", "schema_selection", "site_normalise", "tnm_normalise", "stage_crosswalk", "biomarker_collapse", "edit_rules_violations", "greedy_match", "field_metrics", "registry_filter", "compress_with_fallback", "notes_loaded", "xml_scan", "export_scan", "predictions_scan", "audit_scan", "json_scan", "checkpoint_scan", "tumor_fold", "tumor_codes", "staging_phase_items", "first_open_round", "parser_names", "usage_numbers", "envelope_text", "checkpoint_keys", "confidence_score", "confidence_of_long_results", "review_queue", "window_overlap_join", "keyword_score_topk",
+    "default_fill", "code_resolution_tiers", "schema_selection", "site_normalise", "tnm_normalise", "stage_crosswalk", "biomarker_collapse", "edit_rules_violations", "greedy_match", "field_metrics", "registry_filter", "compress_with_fallback", "notes_loaded", "answered_calls", "text_cleanup", "reasoning_split", "parser_choice", "envelope_text", "usage_numbers","xml_scan", "export_scan", "predictions_scan", "audit_scan", "json_scan", "checkpoint_scan", "tumor_fold", "tumor_codes", "staging_phase_items", "first_open_round", "parser_names", "usage_numbers", "envelope_text", "checkpoint_keys", "confidence_score", "confidence_of_long_results", "review_queue", "window_overlap_join", "keyword_score_topk",
 ]
 
 
