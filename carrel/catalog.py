@@ -50,9 +50,12 @@ def doc_index(spark, d):
     return chunking.document_index(shaped, "o_custkey", "date", "o_orderkey").select("o_custkey", "o_orderkey", "doc_index")
 
 
+def _conversation_docs(spark, d):
+    return read(spark, d, "conversations").select("conv_id", F.col("turn").alias("doc_index"), F.when(F.col("turn") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("2024-01-"), F.lpad((F.col("turn") % 28 + 1).cast("string"), 2, "0"))).alias("date"), "text")
+
+
 def _conversation_texts(spark, d):
-    docs = read(spark, d, "conversations").select("conv_id", F.col("turn").alias("doc_index"), F.when(F.col("turn") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("2024-01-"), F.lpad((F.col("turn") % 28 + 1).cast("string"), 2, "0"))).alias("date"), "text")
-    return chunking.concatenated(docs, ["conv_id"])
+    return chunking.concatenated(_conversation_docs(spark, d), ["conv_id"])
 
 
 @query
@@ -66,7 +69,7 @@ def token_estimate(spark, d):
 
 
 def _chunks(spark, d):
-    return chunking.chunked(_conversation_texts(spark, d), ["conv_id"], 40, 5)
+    return chunking.chunked(_conversation_docs(spark, d), ["conv_id"], 40, 5)
 
 
 @query
@@ -190,11 +193,22 @@ def alt_name_lookup(spark, d):
 
 @query
 def code_resolution_tiers(spark, d):
-    values = read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", 1, ["400", "410", "522", "764", "410"])).cast("int").alias("item"), F.expr(pick("o_orderkey", 2, ["C504", "c504", "left", "Right ", "8140", "ADENOCARCINOMA", "7", "12", "x", "", "8140A"])).alias("value"))
+    values = read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", 1, ["400", "410", "522", "764", "410"])).cast("int").alias("item"), F.expr(pick("o_orderkey", 2, ["C504", "c504", "left", "Right ", "8140", "ADENOCARCINOMA", "7", "12", "x", "", "8140A", "adenocarcinom", "Upper-outr quadrant", "Lefd"])).alias("value"))
     ranges = resolution.numeric_ranges(spark.createDataFrame([(764, "0-7, 9"), (522, "8000-9999"), (410, "001-010 blank")], "item int, allowable_values string"))
     return resolution.resolved(values, _codes(spark), ranges)
 
 
+@query
+def fuzzy_descriptions(spark, d):
+    """Names with slips against all names of their brand: the likest one, by an index of grams."""
+    parts = read(spark, d, "part").select("p_partkey", F.substring("p_brand", 7, 1).cast("int").alias("item"), F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("name"))
+    slip = F.col("p_partkey") % 5
+    k = F.when(slip == 0, F.col("name")).when(slip == 1, F.concat(F.lit("x"), F.col("name"))).when(slip == 2, F.expr("concat(left(name, 3), substring(name, 5))")).when(slip == 3, F.expr("concat(left(name, length(name) - 2), 'zz')")).otherwise(F.reverse("name"))
+    values = parts.select("item", k.alias("k"))
+    names = parts.select("item", "name", F.col("p_partkey").cast("string").alias("code"), F.col("p_partkey").alias("pos"))
+    return resolution.fuzzy_matches(values, names).select("item", "k", "code", F.round("likeness", 4).alias("likeness"))
+
+
 def _coded(spark, d):
     return read(spark, d, "orders").select("o_orderkey", F.expr(pick("o_orderkey", 400, VALUES[400])).alias("site"), F.expr(pick("o_orderkey", 522, VALUES[522])).alias("hist"))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from carrel.sources.sinks import scratch
+
 FAR = 10**9
 MAX_DAYS = 365
-#: pairs of one key that are sorted and folded as one array
+#: pairs of one key that are sorted and folded as one array; larger keys go by rounds
 MOST_PAIRS = 100_000
 
 
@@ -22,26 +26,63 @@ def in_window(docs: DataFrame, tumors: DataFrame, key: str = "patient_id") -> Da
     return d.join(t, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("t.window").isNull() | overlap)).select("t.*", *(F.col(f"d.{c}") for c in docs.columns if c not in tumors.columns))
 
 
-def greedy_matches(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
-    """One-to-one matches within each key: site agreement first, then days apart, then order.
-
-    ``truth``: key, ti, site, day; ``predicted``: key, pi, site, day. All pairs of a key (a
-    patient's few tumors) are sorted and folded, taking a pair while both sides are free; a key with
-    more than MOST_PAIRS of them is an error.
-    Result: key, ti, pi, site_match, days (null where a date is missing).
-    """
-    sizes = truth.groupBy(key).agg(F.count("*").alias("t")).join(predicted.groupBy(key).agg(F.count("*").alias("p")), key)
-    if not sizes.where(F.col("t") * F.col("p") > MOST_PAIRS).isEmpty():
-        raise ValueError(f"a key has more than {MOST_PAIRS} pairs of rows, which is no patient's tumors")
+def _pairs(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
     t, p = truth.alias("t"), predicted.alias("p")
     site = (F.col("t.site") != "") & (F.col("t.site") == F.col("p.site"))
     days = F.abs(F.date_diff("t.day", "p.day"))
     pair = F.struct(F.when(site, 0).otherwise(1).alias("rank"), F.coalesce(days, F.lit(FAR)).alias("gap"), F.col("t.ti").alias("ti"), F.col("p.pi").alias("pi"))
-    pairs = t.join(p, F.col(f"t.{key}") == F.col(f"p.{key}")).select(F.col(f"t.{key}").alias(key), pair.alias("pair"))
+    return t.join(p, F.col(f"t.{key}") == F.col(f"p.{key}")).select(F.col(f"t.{key}").alias(key), pair.alias("pair"))
+
+
+def folded_matches(pairs: DataFrame, key: str) -> DataFrame:
+    """key, m: a key's few pairs sorted and folded, taking a pair while both sides are free."""
     grouped = pairs.groupBy(key).agg(F.array_sort(F.collect_list("pair")).alias("pairs"))
     start = F.slice("pairs", 1, 0)
     taken = F.aggregate("pairs", start, lambda done, x: F.when(F.exists(done, lambda y: (y["ti"] == x["ti"]) | (y["pi"] == x["pi"])), done).otherwise(F.array_append(done, x)))
-    return grouped.select(key, F.explode(taken).alias("m")).select(key, "m.ti", "m.pi", (F.col("m.rank") == 0).alias("site_match"), F.when(F.col("m.gap") < FAR, F.col("m.gap")).alias("days"))
+    return grouped.select(key, F.explode(taken).alias("m"))
+
+
+def mutual_matches(pairs: DataFrame, key: str, rounds: int = 10_000) -> DataFrame:
+    """key, m: the same matches by rounds of mutual best pairs; pairs of a key never meet in one row or task.
+
+    Under a total order of pairs the greedy choice takes exactly the pairs that are the best of both
+    sides, then those that become so. Each round is two aggregations and two joins, its rest written.
+    """
+    spark, best, rest = pairs.sparkSession, [], pairs
+    for _ in range(rounds):
+        of_t = rest.groupBy(key, "pair.ti").agg(F.min("pair").alias("m")).select(key, "m")
+        of_p = rest.groupBy(key, "pair.pi").agg(F.min("pair").alias("m")).select(key, "m")
+        folder = scratch(spark, "matches")
+        of_t.join(of_p, [key, "m"]).write.parquet(f"{folder}/taken")
+        taken = spark.read.schema(of_t.schema).parquet(f"{folder}/taken")
+        if taken.isEmpty():
+            break
+        best.append(taken)
+        left = rest.withColumn("ti", F.col("pair.ti")).withColumn("pi", F.col("pair.pi"))
+        left = left.join(taken.select(key, "m.ti"), [key, "ti"], "left_anti").join(taken.select(key, "m.pi"), [key, "pi"], "left_anti").select(key, "pair")
+        left.write.parquet(f"{folder}/rest")
+        rest = spark.read.schema(left.schema).parquet(f"{folder}/rest")
+    else:
+        raise RuntimeError("the matches did not settle")
+    return reduce(DataFrame.union, best, taken)
+
+
+def greedy_matches(truth: DataFrame, predicted: DataFrame, key: str, most: int = MOST_PAIRS) -> DataFrame:
+    """One-to-one matches within each key: site agreement first, then days apart, then order.
+
+    ``truth``: key, ti, site, day; ``predicted``: key, pi, site, day. All pairs of a key (a patient's few
+    tumors) are sorted and folded; a key with more than ``most`` of them is matched by rounds instead.
+    Result: key, ti, pi, site_match, days (null where a date is missing).
+    """
+    sizes = truth.groupBy(key).agg(F.count("*").alias("t")).join(predicted.groupBy(key).agg(F.count("*").alias("p")), key)
+    large = sizes.where(F.col("t") * F.col("p") > most).select(key)
+    if large.isEmpty():
+        found = folded_matches(_pairs(truth, predicted, key), key)
+    else:
+        own = lambda side, how: side.join(large, key, how)
+        found = folded_matches(_pairs(own(truth, "left_anti"), own(predicted, "left_anti"), key), key)
+        found = found.union(mutual_matches(_pairs(own(truth, "left_semi"), own(predicted, "left_semi"), key), key))
+    return found.select(key, "m.ti", "m.pi", (F.col("m.rank") == 0).alias("site_match"), F.when(F.col("m.gap") < FAR, F.col("m.gap")).alias("days"))
 
 
 def accepted(site_match, days):

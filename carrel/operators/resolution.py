@@ -26,25 +26,75 @@ def numeric_ranges(items: DataFrame) -> DataFrame:
     return found.select("item", F.col("a").cast("bigint").alias("low"), F.col("b").cast("bigint").alias("high"), F.greatest(F.length("a"), F.length("b")).alias("width"))
 
 
-def resolved(values: DataFrame, codes: DataFrame, ranges: DataFrame) -> DataFrame:
+#: least likeness of a fuzzy match in hundredths: 100 * (1 - edits / longer length); grams of an index
+LEAST, GRAM = 85, 2
+
+
+def _allowed(length: Column) -> Column:
+    """Edits that two texts may differ by if the longer one has this length."""
+    return F.floor(length * (100 - LEAST) / 100).cast("int")
+
+
+def _signature(k: Column) -> Column:
+    """Of a text's grams (a shorter text is its own; the nth of equal ones is a gram of its own), sorted, the first GRAM * edits + 1.
+
+    An edit spoils at most GRAM grams, so of two texts within the edits that the longest partner allows,
+    these first ones share at least one.
+    """
+    n = F.length(k)
+    grams = F.when(n >= GRAM, F.transform(F.sequence(F.lit(1), n - GRAM + 1), lambda i: F.substring(k, i, F.lit(GRAM)))).otherwise(F.array(k))
+    numbered = F.transform(grams, lambda g, i: F.concat(g, F.lit("#"), F.size(F.filter(F.slice(grams, F.lit(1), i), lambda x: x == g)).cast("string")))
+    hashed = F.array_sort(F.transform(numbered, lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+    most = F.floor(n * (100 - LEAST) / LEAST).cast("int")
+    return F.transform(F.slice(hashed, F.lit(1), GRAM * most + 1), lambda x: x["g"])
+
+
+def fuzzy_matches(values: DataFrame, names: DataFrame) -> DataFrame:
+    """item, k, code, likeness: the likest name of each value with LEAST or more; the first by pos of equals.
+
+    ``values``: item, k; ``names``: item, name, code, pos. Values and names meet by a gram of their
+    signatures, an equi-join; lengths and then edit distances decide among those that meet.
+    """
+    distinct = values.where("k <> ''").distinct()
+    asked = distinct.select("item", "k", F.explode(_signature(F.col("k"))).alias("g"))
+    offered = names.where("name <> ''").groupBy("item", "name").agg(F.min(F.struct("pos", "code")).alias("first")).select("item", "name", "first", F.explode(_signature(F.col("name"))).alias("g"))
+    longer = F.greatest(F.length("k"), F.length("name"))
+    met = asked.join(small(offered), ["item", "g"]).where(F.abs(F.length("k") - F.length("name")) <= _allowed(longer)).select("item", "k", "name", "first").distinct()
+    edits = F.levenshtein(F.col("k"), F.col("name"))
+    near = met.withColumn("edits", edits).where(F.col("edits") <= _allowed(longer)).withColumn("likeness", 100.0 * (longer - F.col("edits")) / longer)
+    best = near.groupBy("item", "k").agg(F.max_by(F.struct("first.code", "likeness"), F.struct("likeness", -F.col("first.pos"))).alias("best"))
+    return best.select("item", "k", "best.code", "best.likeness")
+
+
+def resolved(values: DataFrame, codes: DataFrame, ranges: DataFrame, fuzzy: bool = True) -> DataFrame:
     """Add code and resolution (0 to 1) to values (item, value).
 
-    Tiers: exact code 1.0; code in other case 0.95; exact description 0.9; digits within a range,
-    padded, 0.85; else the text itself at 0. ``codes``: item, code, description, pos.
+    Tiers: exact code 1.0; code in other case 0.95; exact description 0.9; a description that is
+    LEAST or more alike, 0.9 times the likeness; digits within a range, padded, 0.85; else the text itself
+    at 0. ``codes``: item, code, description, pos. Without ``fuzzy`` the fourth tier is left out.
     """
     key = text(F.col("value"))
     upper = codes.groupBy("item", F.lower("code").alias("k")).agg(F.max_by("code", "pos").alias("any_case"), F.collect_set("code").alias("spellings"))
-    named = codes.where("coalesce(description, '') <> ''").groupBy("item", F.lower(text(F.col("description"))).alias("k")).agg(F.max_by("code", "pos").alias("by_name"))
+    described = codes.where("coalesce(description, '') <> ''").select("item", F.lower(text(F.col("description"))).alias("k"), "code", "pos")
+    named = described.groupBy("item", "k").agg(F.max_by("code", "pos").alias("by_name"))
     keyed = values.withColumn("given", key).withColumn("k", F.lower("given"))
     found = keyed.join(small(upper), ["item", "k"], "left").join(small(named), ["item", "k"], "left")
+    if fuzzy:
+        asked = found.where("any_case is null and by_name is null").select("item", "k")
+        alike = fuzzy_matches(asked, described.select("item", F.col("k").alias("name"), "code", "pos")).select("item", "k", F.col("code").alias("alike"), "likeness")
+        found = found.join(alike, ["item", "k"], "left")
+    else:
+        found = found.withColumn("alike", F.lit(None).cast("string")).withColumn("likeness", F.lit(None).cast("double"))
     number = F.when(F.col("given").rlike("^[0-9]{1,18}$"), F.col("given").cast("bigint"))
     bounds = ranges.groupBy("item").agg(F.collect_list(F.struct("low", "high", "width")).alias("bounds"))
     found = found.join(small(bounds), "item", "left").withColumn("number", number)
     inside = F.try_element_at(F.filter(F.coalesce("bounds", F.array().cast("array<struct<low:bigint,high:bigint,width:int>>")), lambda r: F.col("number").between(r["low"], r["high"])), F.lit(1))
     padded = F.when(inside.isNotNull(), F.lpad(F.col("number").cast("string"), F.greatest(inside["width"], F.length(F.col("number").cast("string"))), F.lit("0")))
     exact = F.array_contains("spellings", F.col("given"))
-    code = F.when(exact, F.col("given")).otherwise(F.coalesce("any_case", "by_name", padded, "given"))
-    level = F.when(exact, 1.0).when(F.col("any_case").isNotNull(), 0.95).when(F.col("by_name").isNotNull(), 0.9).when(padded.isNotNull(), 0.85).otherwise(0.0)
+    named_ = F.col("any_case").isNull() & F.col("by_name").isNull()
+    close = F.when(named_, F.col("alike"))
+    code = F.when(exact, F.col("given")).otherwise(F.coalesce("any_case", "by_name", close, padded, "given"))
+    level = F.when(exact, 1.0).when(F.col("any_case").isNotNull(), 0.95).when(F.col("by_name").isNotNull(), 0.9).when(close.isNotNull(), F.round(0.9 * F.col("likeness") / 100, 4)).when(padded.isNotNull(), 0.85).otherwise(0.0)
     return found.select(*values.columns, code.alias("code"), level.alias("resolution"))
 
 

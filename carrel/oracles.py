@@ -349,12 +349,20 @@ SELECT patient, tumor_no, coalesce(first_value(own_sex) OVER (PARTITION BY patie
     "default_fill": "WITH rows AS (SELECT DISTINCT user_id, CAST(CASE event_type WHEN 'click' THEN 10 WHEN 'view' THEN 50 ELSE 400 END AS INT) AS item, event_type AS value FROM events), wanted AS (SELECT DISTINCT user_id, d.item, d.value FROM rows, (VALUES (10, 'A'), (50, '260')) AS d(item, value)) SELECT * FROM rows UNION ALL SELECT * FROM wanted w WHERE NOT EXISTS (SELECT 1 FROM rows r WHERE r.user_id = w.user_id AND r.item = w.item)",
     "dict_lookup_join": "SELECT n_nationkey, n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
     "alt_name_lookup": "SELECT p_partkey, item FROM part JOIN (SELECT lower(p_name) AS k, max(p_partkey) AS item FROM part GROUP BY 1) ON k = lower(p_name)",
-    "code_resolution_tiers": f"""WITH vals AS (SELECT o_orderkey, CAST({pick('o_orderkey', 1, ['400', '410', '522', '764', '410'])} AS INT) AS item, {pick('o_orderkey', 2, ['C504', 'c504', 'left', 'Right ', '8140', 'ADENOCARCINOMA', '7', '12', 'x', '', '8140A'])} AS value FROM orders),
+    "fuzzy_descriptions": """WITH parts AS (SELECT p_partkey, CAST(substr(p_brand, 7, 1) AS INT) AS item, lower(p_name || ' ' || p_type) AS name FROM part),
+vals AS (SELECT DISTINCT item, CASE p_partkey % 5 WHEN 0 THEN name WHEN 1 THEN 'x' || name WHEN 2 THEN left(name, 3) || substr(name, 5) WHEN 3 THEN left(name, length(name) - 2) || 'zz' ELSE reverse(name) END AS k FROM parts),
+names AS (SELECT item, name, min(p_partkey) AS pos FROM parts GROUP BY ALL),
+pairs AS (SELECT v.item, k, pos, greatest(length(k), length(name)) AS m, levenshtein(k, name) AS e FROM vals v JOIN names n ON n.item = v.item WHERE k <> '')
+SELECT item, k, CAST(pos AS VARCHAR) AS code, round(100.0 * (m - e) / m, 4) AS likeness FROM pairs WHERE 100 * e <= 15 * m QUALIFY row_number() OVER (PARTITION BY item, k ORDER BY 100.0 * (m - e) / m DESC, pos) = 1""",
+    "code_resolution_tiers": f"""WITH vals AS (SELECT o_orderkey, CAST({pick('o_orderkey', 1, ['400', '410', '522', '764', '410'])} AS INT) AS item, {pick('o_orderkey', 2, ['C504', 'c504', 'left', 'Right ', '8140', 'ADENOCARCINOMA', '7', '12', 'x', '', '8140A', 'adenocarcinom', 'Upper-outr quadrant', 'Lefd'])} AS value FROM orders),
 codes(item, code, description, pos) AS (VALUES (400, 'C504', 'Upper-outer quadrant', 0), (410, '1', 'Right', 1), (410, '2', 'Left', 2), (522, '8140', 'Adenocarcinoma', 3), (522, '8140a', 'adenocarcinoma', 4)),
-ranges(item, lo, hi, width) AS (VALUES (764, 0, 7, 1), (522, 8000, 9999, 4), (410, 1, 10, 3)), tiers AS (
+ranges(item, lo, hi, width) AS (VALUES (764, 0, 7, 1), (522, 8000, 9999, 4), (410, 1, 10, 3)), near AS (
+  SELECT * FROM (SELECT v.item, k, code, pos, greatest(length(k), length(description)) AS m, levenshtein(k, lower(description)) AS e FROM (SELECT DISTINCT item, lower(trim(value)) AS k FROM vals) v JOIN codes c ON c.item = v.item) WHERE k <> '' AND 100 * e <= 15 * m
+), tiers AS (
   SELECT v.*, trim(value) AS g, (SELECT max(code) FROM codes c WHERE c.item = v.item AND c.code = trim(value)) AS exact, (SELECT arg_max(code, pos) FROM codes c WHERE c.item = v.item AND lower(c.code) = lower(trim(value))) AS any_case,
-    (SELECT arg_max(code, pos) FROM codes c WHERE c.item = v.item AND lower(c.description) = lower(trim(value))) AS named, (SELECT max(lpad(CAST(CAST(trim(value) AS INT) AS VARCHAR), width, '0')) FROM ranges r WHERE r.item = v.item AND regexp_matches(trim(value), '^[0-9]+$') AND TRY_CAST(trim(value) AS INT) BETWEEN lo AND hi) AS padded FROM vals v)
-SELECT o_orderkey, item, value, coalesce(exact, any_case, named, padded, g) AS code, CAST(CASE WHEN exact IS NOT NULL THEN 1 WHEN any_case IS NOT NULL THEN 0.95 WHEN named IS NOT NULL THEN 0.9 WHEN padded IS NOT NULL THEN 0.85 ELSE 0 END AS DOUBLE) AS resolution FROM tiers""",
+    (SELECT arg_max(code, pos) FROM codes c WHERE c.item = v.item AND lower(c.description) = lower(trim(value))) AS named, (SELECT max(lpad(CAST(CAST(trim(value) AS INT) AS VARCHAR), width, '0')) FROM ranges r WHERE r.item = v.item AND regexp_matches(trim(value), '^[0-9]+$') AND TRY_CAST(trim(value) AS INT) BETWEEN lo AND hi) AS padded,
+    (SELECT arg_max(code, (100.0 * (m - e) / m, -pos)) FROM near c WHERE c.item = v.item AND c.k = lower(trim(value))) AS alike, (SELECT max(100.0 * (m - e) / m) FROM near c WHERE c.item = v.item AND c.k = lower(trim(value))) AS likeness FROM vals v)
+SELECT o_orderkey, item, value, coalesce(exact, any_case, named, alike, padded, g) AS code, CAST(CASE WHEN exact IS NOT NULL THEN 1 WHEN any_case IS NOT NULL THEN 0.95 WHEN named IS NOT NULL THEN 0.9 WHEN alike IS NOT NULL THEN round(0.9 * likeness / 100, 4) WHEN padded IS NOT NULL THEN 0.85 ELSE 0 END AS DOUBLE) AS resolution FROM tiers""",
     "schema_selection": f"SELECT o_orderkey, {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))",
     "staging_items": f"""WITH s AS (SELECT DISTINCT {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))), own(schema, items) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in SCHEMA_ITEMS.items())}), both_ AS (SELECT s.schema, list_concat({CORE_STAGING_ITEMS}, coalesce(items, [])) AS l FROM s LEFT JOIN own USING (schema)), once AS (SELECT schema, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM both_)
 SELECT schema, CAST(pos - 1 AS INT) AS pos, CAST(l[pos] AS INT) AS item FROM (SELECT schema, l, unnest(range(1, len(l) + 1)) AS pos FROM once)""",

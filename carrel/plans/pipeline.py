@@ -69,7 +69,7 @@ def scoped_chunks(docs: DataFrame, found: DataFrame, run: Run) -> DataFrame:
     spans = dates.with_interval(docs.select("patient_id", "doc_index", "date", "text"), "date", "span")
     windows = dates.with_window(found.select(*KEYS, "approximate_date"), "approximate_date", "window").drop("approximate_date")
     inside = matching.in_window(spans, windows).select(*KEYS, "doc_index", "date", "text")
-    return chunking.chunked(chunking.concatenated(inside, KEYS), KEYS, run.target_tokens, run.overlap_tokens)
+    return chunking.chunked(inside, KEYS, run.target_tokens, run.overlap_tokens)
 
 
 def first_state(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def checked(state: DataFrame) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, path: str, setup: Run) -> dict[str, DataFrame]:
     docs = _kept(notes.load(spark, path), f"{setup.folder}/notes")
-    whole = chunking.chunked(chunking.concatenated(docs, ["patient_id"]), ["patient_id"], setup.target_tokens, setup.overlap_tokens)
+    whole = chunking.chunked(docs, ["patient_id"], setup.target_tokens, setup.overlap_tokens)
     listed = _kept(tumors.detected(whole, setup.detector, width=setup.in_flight), f"{setup.folder}/listed")
     found = _kept(tumors.coded(listed, setup.detector, ask=lambda requests: asked(requests, setup.detector, setup)), f"{setup.folder}/tumors")
     chunks = _kept(scoped_chunks(docs, found, setup), f"{setup.folder}/chunks")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from carrel.functions.dates import registry_date
@@ -11,7 +11,6 @@ from carrel.operators.scoring import ITEMS
 from carrel.sources.notes import read_table
 
 _ITEM = "array<struct<_VALUE:string,_naaccrId:string,_naaccrNum:string>>"
-XML_SCHEMA = f"Item {_ITEM}, Patient array<struct<Item:{_ITEM},Tumor:array<struct<Item:{_ITEM}>>>>"
 # Columns of the registry export that the scorer knows, and the fields they become; others are given as a parameter.
 EXPORT = {"DFCI_MRN": "mrn", "DIAGNOSIS_DT": "date", "DERIVED_BEST_ROW_IND": "best_row", "SITE_CD": "site", "SITE_DESCR": "site_descr", "HISTOLOGY_CD": "hist", "HISTOLOGY_DESCR": "hist_descr", "BEHAVIOR_CD": "beh", "LATERALITY_CD": "lat", "GRADE_DIFF_CODE": "grade", "GENERAL_STAGE_CD": "ss", "BEST_AJCC_STAGE_CD": "ajcc", "CLIN_T_CD": "t", "CLIN_N_CD": "n", "CLIN_M_CD": "m", "SSDI_ER_SUMMARY": "er", "SSDI_PR_SUMMARY": "pr", "SSDI_HER2_OVERALL_SUMMARY": "her2"}
 
@@ -29,15 +28,34 @@ def _over(upper: Column, lower: Column) -> Column:
     return F.map_concat(F.map_filter(upper, lambda k, _: ~F.array_contains(F.map_keys(lower), k)), lower)
 
 
+_PATIENT = f"Item {_ITEM}, Tumor array<struct<Item:{_ITEM}>>"
+END = "</Patient>"
+
+
 def read_xml(spark: SparkSession, path: str) -> DataFrame:
-    """patient_no, tumor_no, values map: file, patient and tumor items, lower levels over upper ones.
+    """file, patient_no (place in its file), tumor_no, values map: file, patient and tumor items, lower levels over upper ones.
 
-    A patient without tumors gives one row.
+    A patient without tumors gives one row. Files are read in splits: the end of a patient ends a record, so
+    a large file takes many tasks and no task holds more than a patient. What stands outside patients (file
+    items, ahead of the first or behind the last) is gathered by file. Patients are numbered by their
+    split's count and their place in the split. The element names carry no prefix.
     """
-    data = spark.read.format("xml").option("rowTag", "NaaccrData").schema(XML_SCHEMA).load(path)
-    patients = data.select(_pairs(F.col("Item")).alias("top"), F.posexplode_outer("Patient").alias("patient_no", "patient"))
-    tumors = patients.select("patient_no", _over(F.col("top"), _pairs(F.col("patient.Item"))).alias("upper"), F.posexplode_outer("patient.Tumor").alias("tumor_no", "tumor"))
-    return tumors.select("patient_no", F.coalesce("tumor_no", F.lit(0)).alias("tumor_no"), F.when(F.col("tumor").isNull(), F.col("upper")).otherwise(_over(F.col("upper"), _pairs(F.col("tumor.Item")))).alias("values"))
+    records = spark.read.option("lineSep", END).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    closed = F.regexp_extract_all("value", F.lit(r"(?s)<Patient\b[^>]*/>|<Patient\b.*"), F.lit(0))  # an empty patient may stand before a full one
+    found = records.select("file", "block", "at", F.posexplode(closed).alias("place", "patient"))
+    counted = found.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    blocks = counted.select("file", "block", before.alias("before"))
+    order = Window.partitionBy("file", "block").orderBy("at", "place")
+    outer = F.regexp_replace("value", r"(?s)<Patient\b.*", "")
+    items = F.regexp_extract_all(outer, F.lit(r"(?s)<Item\b[^>]*/>|<Item\b.*?</Item>"), F.lit(0))
+    heads = records.select("file", "block", "at", items.alias("items")).where(F.size("items") > 0).groupBy("file").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "items"))), lambda x: x["items"])).alias("items"))
+    heads = heads.select("file", _pairs(F.from_xml(F.concat(F.lit("<r>"), F.array_join("items", ""), F.lit("</r>")), f"Item {_ITEM}")["Item"]).alias("top"))
+    whole = F.when(F.col("patient").endswith("/>"), F.col("patient")).otherwise(F.concat("patient", F.lit(END)))
+    parsed = found.select("file", "block", F.row_number().over(order).alias("nth"), F.from_xml(whole, _PATIENT).alias("p"))
+    numbered = parsed.join(blocks, ["file", "block"]).join(heads, "file", "left").select("file", (F.col("before") + F.col("nth") - 1).cast("int").alias("patient_no"), F.coalesce("top", F.create_map().cast("map<string,string>")).alias("top"), "p")
+    tumors = numbered.select("file", "patient_no", _over(F.col("top"), _pairs(F.col("p.Item"))).alias("upper"), F.posexplode_outer("p.Tumor").alias("tumor_no", "tumor"))
+    return tumors.select("file", "patient_no", F.coalesce("tumor_no", F.lit(0)).alias("tumor_no"), F.when(F.col("tumor").isNull(), F.col("upper")).otherwise(_over(F.col("upper"), _pairs(F.col("tumor.Item")))).alias("values"))
 
 
 def read_export(spark: SparkSession, path: str, columns: dict[str, str] | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import random
 import sys
 
 import pytest
@@ -21,18 +22,42 @@ def rows(df):
 
 def test_chunks_cover_the_text(spark):
     text = "".join(chr(97 + k % 26) for k in range(1000))
-    df = spark.createDataFrame([("p", text, "2020"), ("q", "short", "")], "k string, full_text string, first_doc_date string")
+    df = spark.createDataFrame([("p", 0, "2020", text), ("q", 0, "", "short")], "k string, doc_index int, date string, text string")
+    whole = {r["k"]: r["full_text"] for r in chunking.concatenated(df, ["k"]).collect()}
     got = chunking.chunked(df, ["k"], 40, 5).orderBy("k", "chunk_index").collect()
     p = [r["chunk_text"] for r in got if r["k"] == "p"]
-    assert p[0] + "".join(c[17:] for c in p[1:]) == text
-    assert [r["chunk_text"] for r in got if r["k"] == "q"] == ["short"]
+    assert p[0] + "".join(c[17:] for c in p[1:]) == whole["p"]
+    assert [r["chunk_text"] for r in got if r["k"] == "q"] == [whole["q"]]
     with pytest.raises(ValueError):
         chunking.chunked(df, ["k"], 5, 5)
 
 
+def sliced(text, target, overlap):
+    """Chunks of one text, the plain way."""
+    size, stride = int(target * 3.5), int(target * 3.5) - int(overlap * 3.5)
+    if max(1, int(len(text) / 3.5)) <= target:
+        return [text]
+    return [text[k * stride : k * stride + size] for k in range(-(-max(len(text) - size, 0) // stride) + 1)]
+
+
+def test_chunks_by_offsets_equal_slices_of_the_whole_text(spark, monkeypatch):
+    monkeypatch.setattr(chunking, "SPAN", 4)
+    rng = random.Random(8)
+    docs = [(k, 3 * n + 1, rng.choice(["2020-01-01", "2021", None]), rng.choice(["", None, "é" * rng.randint(1, 300), "w " * rng.randint(1, 90), "=== Clinical Note dated 1999 ===\n"])) for k in ("a", "b", None) for n in range({"a": 60, "b": 3, None: 9}[k])]
+    docs.append(("hot", 0, "2020", "z" * 20_000))
+    df = spark.createDataFrame(docs, "k string, doc_index int, date string, text string").repartition(5)
+    whole = {r["k"]: r["full_text"] for r in chunking.concatenated(df, ["k"]).collect()}
+    for target, overlap in ((40, 5), (7, 6), (100, 0), (100_000, 10)):
+        got = {}
+        for r in chunking.chunked(df, ["k"], target, overlap).orderBy("chunk_index").collect():
+            assert r["chunk_index"] == len(got.setdefault(r["k"], []))
+            got[r["k"]].append(r["chunk_text"])
+        assert got == {k: sliced(t, target, overlap) for k, t in whole.items()}
+
+
 def test_chunk_dates_carry_on(spark):
     docs = spark.createDataFrame([("p", 0, "2020-01-01", "x" * 200), ("p", 1, "2021-02-02", "y" * 30)], "p string, doc_index int, date string, text string")
-    got = chunking.chunked(chunking.concatenated(docs, ["p"]), ["p"], 40, 20).orderBy("chunk_index").select("first_date", "last_date").collect()
+    got = chunking.chunked(docs, ["p"], 40, 20).orderBy("chunk_index").select("first_date", "last_date").collect()
     assert tuple(got[0]) == ("2020-01-01", "2020-01-01") and got[1]["first_date"] == "2020-01-01"
     assert got[-1]["last_date"] == "2021-02-02" and len(got) == 4
 
@@ -369,10 +394,82 @@ def test_phases_ask_in_order_and_staging_by_schema(spark, tmp_path):
     assert {r["patient_id"]: 3838 in r["i"] for r in asked} == {"p": True, "q": False}
 
 
-def test_a_key_with_too_many_pairs_is_an_error(spark):
-    many = spark.range(400).select(F.lit("p").alias("k"), F.col("id").alias("ti"), F.lit("C50").alias("site"), F.lit(None).cast("date").alias("day"))
-    with pytest.raises(ValueError, match="pairs"):
-        matching.greedy_matches(many, many.withColumnRenamed("ti", "pi"), "k")
+def test_matching_by_rounds_equals_the_fold(spark):
+    rng = random.Random(3)
+    side = lambda name, n: spark.createDataFrame([(k, i, rng.choice(["", "C50", "C61", "C18"]), rng.choice([None, dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 60))])) for k in "pqr" for i in range(n)], f"k string, {name} int, site string, day date")
+    truth, predicted = side("ti", 14), side("pi", 11)
+    fold, rounds = (sorted(rows(matching.greedy_matches(truth, predicted, "k", most)), key=str) for most in (10**6, 1))
+    assert fold == rounds and len(fold) == 33
+    mixed = matching.greedy_matches(truth, predicted.where("k <> 'p' or pi < 2"), "k", 100)
+    assert sorted(rows(mixed.where("k <> 'p'")), key=str) == [r for r in fold if r[0] != "p"] and mixed.where("k = 'p'").count() == 2
+
+
+def test_matching_of_a_key_with_very_many_pairs(spark):
+    day = lambda c: F.date_add(F.lit("2020-01-01").cast("date"), c.cast("int"))
+    many = spark.range(600).select(F.lit("p").alias("k"), F.col("id").alias("ti"), F.concat(F.lit("C"), (F.col("id") % 50).cast("string")).alias("site"), day(F.col("id") * 7 % 600).alias("day"))
+    other = many.select("k", (F.lit(599) - F.col("ti")).alias("pi"), "site", "day")
+    got = matching.greedy_matches(many, other, "k").collect()
+    assert len(got) == 600 and all(r["site_match"] and r["days"] == 0 and r["ti"] + r["pi"] == 599 for r in got)
+
+
+def test_fuzzy_matches_equal_all_pairs(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abc ") for _ in range(rng.randint(1, 24)))
+    names = [(k % 2, word(), str(k), k) for k in range(60)] + [(0, "é" * 9, "x", 99), (0, "aaaaaaaaaaaa", "y", 100), (1, "", "z", 101)]
+
+    def slipped(t):
+        t = list(t)
+        for _ in range(rng.randint(0, 3)):
+            if t:
+                i = rng.randrange(len(t))
+                t[i : i + rng.randint(0, 1)] = rng.choice(["", "a", "q"])
+        return "".join(t)
+
+    values = [(n[0], slipped(n[1])) for n in names for _ in range(6)] + [(0, None), (None, "abc"), (0, "aaaaaaaaaaa")]
+    want = {}
+    for item, k in set(values):
+        for other, name, code, pos in names:
+            if item == other and k and name:
+                m, e = max(len(k), len(name)), edits(k, name)
+                if 100 * e <= 15 * m:
+                    want[item, k] = max(want.get((item, k), (0.0, 0, "")), (100.0 * (m - e) / m, -pos, code))
+    got = resolution.fuzzy_matches(spark.createDataFrame(values, "item int, k string"), spark.createDataFrame(names, "item int, name string, code string, pos int"))
+    assert {(r["item"], r["k"]): (round(r["likeness"], 6), r["code"]) for r in got.collect()} == {k: (round(v[0], 6), v[2]) for k, v in want.items()} and len(want) > 100
+
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_one_large_xml_file_is_read_by_several_tasks(spark, tmp_path):
+    rng = random.Random(5)
+    item = lambda name, value: f'<Item naaccrId="{name}" naaccrNum="1">{value}</Item>'
+    body, want = [], []
+    for k in range(400):
+        if k % 50 == 7:
+            body.append("<Patient/>")
+            want.append({"head": "h", "tail": "t"})
+            continue
+        own, n = {"id": str(k), "sex": rng.choice("12")}, rng.randint(0, 3)
+        found = [{"site": f"C{rng.randint(10, 80)}", "note": "x &amp; y" * rng.randint(0, 20)} for _ in range(n)]
+        body.append("<Patient>\n  " + "".join(item(*x) for x in own.items()) + "".join("\n<Tumor>" + "".join(item(*x) for x in t.items()) + "</Tumor>" for t in found) + "\n</Patient>")
+        for t in found or [{}]:
+            want.append({"head": "h", "tail": "t"} | own | {a: b.replace("&amp;", "&") for a, b in t.items()})
+    (tmp_path / "big.xml").write_text('<?xml version="1.0"?>\n<NaaccrData xmlns="http://naaccr.org/naaccrxml">\n' + item("head", "h") + "\n" + "\n".join(body) + item("tail", "t") + "</NaaccrData>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+    try:
+        found = registry.read_xml(spark, f"{tmp_path}/big.xml")
+        tasks = spark.read.option("lineSep", registry.END).text(f"{tmp_path}/big.xml").rdd.getNumPartitions()
+        got = found.orderBy("patient_no", "tumor_no").select("values").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks > 5 and [r["values"] for r in got] == want
 
 
 def test_first_open_round(spark):
