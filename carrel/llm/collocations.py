@@ -31,9 +31,11 @@ COVER = 100
 
 def pieces_of(docs: DataFrame) -> DataFrame:
     """lang, words (array, at least one): every piece of every text."""
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    split = only(docs, "text", "lang").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(text, r"[.,;:!?\x0A-\x0D]")).alias("piece"))
-    return split.select("lang", F.expr(r"trim(BOTH ' \t' FROM piece)").alias("piece")).where("piece <> ''").select("lang", F.split("piece", r"[ \t]+").alias("words"))
+    split = only(docs, "text", "lang").where("text <> ''").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(F.col("text").cast("string"), r"[.,;:!?\x0A-\x0D]")).alias("piece"))
+    trimmed = split.select("lang", F.expr(r"trim(BOTH ' \t' FROM piece)").alias("piece")).where("piece <> ''")
+    plain = F.octet_length("piece") == F.length("piece")  # of other letters only A-Z may change
+    lowered = F.when(plain, F.lower("piece")).otherwise(F.translate("piece", string.ascii_uppercase, string.ascii_lowercase))
+    return trimmed.select("lang", F.split(lowered, r"[ \t]+").alias("words"))
 
 
 def windows(pieces: DataFrame, width: int) -> DataFrame:

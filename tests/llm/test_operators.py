@@ -59,6 +59,9 @@ def test_rows_without_ids_very_long_texts_and_repeated_rows(spark, tmp_path):
             assert len(by[None]) == 3 and len(by[1]) % 2 == 0 and sum(r["length"] for r in by[1]) > 200_000
             continue
         assert {k: len(v) for k, v in by.items()} == {None: 3, 1: 2, 2: 1, 3: 1}, name
+        if name.startswith("op12"):  # of two equal rows one is the other's next document
+            assert by[1][0]["fingerprint"] == by[1][1]["fingerprint"] and {r["near_next"] for r in by[1]} == {0.0, 1.0}
+            continue
         assert by[1][0] == by[1][1], name
     by5 = [r for r in ran(spark, "op5_suffix_merge_dedup", str(tmp_path)) if r["doc_id"] == 1]
     assert by5[0]["n_bytes"] == len(long)
