@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -226,8 +227,10 @@ def staging_items(spark, d):
 
 @query
 def domain_items(spark, d):
-    rows = [(name, k, item) for name, items in resolution.DOMAIN_ITEMS.items() for k, item in enumerate(items)]
-    return spark.createDataFrame(rows, "domain string, pos int, item int")
+    """Every item that the phases with fixed items ask of each unit."""
+    units = read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("patient_id"), F.lit(0).alias("tumor_index"))
+    asked = [pipeline.phase_items(units, units, phase).select("patient_id", F.lit(phase).alias("phase"), "item") for phase in resolution.DOMAIN_ITEMS]
+    return reduce(DataFrame.union, asked)
 
 
 @query
@@ -303,7 +306,7 @@ def coded_date_order(spark, d):
 
 
 def _wide(spark, d):
-    return read(spark, d, "orders").selectExpr("o_orderkey AS rec", *(f"{pick('o_orderkey', i, x)} AS v{i}" for i, x in VALUES.items()))
+    return rules.spread(read(spark, d, "orders").select("o_orderkey")).selectExpr("o_orderkey AS rec", *(f"{pick('o_orderkey', i, x)} AS v{i}" for i, x in VALUES.items()))
 
 
 def _results(spark, d):
@@ -331,7 +334,7 @@ def rule_counts(spark, d):
 def eav_pivot_rules(spark, d):
     """The rules over pivoted long results, as the pipeline runs them."""
     found = rules.violations(rules.wide(_results(spark, d), ["rec"]), ["rec"])
-    return found.groupBy("seq", "edit_name").agg(F.count("*").alias("n"))
+    return found.select("rec", "seq", "edit_name")
 
 
 @query
@@ -371,12 +374,12 @@ def review_queue(spark, d):
 
 @query
 def review_queue_violation_mode(spark, d):
-    return confidence.review_queue(_scored(spark, d), ["rec"], "violations").groupBy("priority").agg(F.count("*").alias("n"))
+    return confidence.review_queue(_scored(spark, d), ["rec"], "violations").select("rec", "item", "priority")
 
 
 @query
 def worst_severity(spark, d):
-    return confidence.worst_severities(_violations(spark, d), ["rec"]).groupBy("item", "severity").agg(F.count("*").alias("n"))
+    return confidence.worst_severities(_violations(spark, d), ["rec"])
 
 
 # --- outputs ------------------------------------------------------------------------------
@@ -421,19 +424,19 @@ def diagnosis_summary_stages(spark, d):
 
 @query
 def audit_rows(spark, d):
-    return sinks.audit_rows(_results(spark, d).withColumn("evidence", F.repeat(F.lit("e"), 600)), ["rec"]).groupBy("item").agg(F.count("*").alias("n"), F.max(F.length("evidence")).alias("longest"))
+    return sinks.audit_rows(_results(spark, d).withColumn("evidence", F.concat(F.col("rec").cast("string"), F.repeat(F.lit("e"), 600))), ["rec"]).select("rec", "item", "extracted", "resolved", F.sha2("evidence", 256).alias("evidence"))
 
 
 @query
 def xml_roundtrip(spark, d):
-    """Written as lines, read back by the parser: values that survive, by item."""
+    """Written as lines, read back by the parser: values that survive, by patient and item."""
     values = _results(spark, d).where(F.col("item").isin(220, 400, 522)).select(F.expr("rec div 10").alias("patient_id"), F.expr("rec % 10").cast("int").alias("tumor_index"), "item", F.col("resolved").alias("value"))
     items = spark.createDataFrame([(220, "sex", "Patient"), (400, "primarySite", "Tumor"), (522, "histologicTypeIcdO3", "Tumor")], "item int, xml_id string, parent_element string")
     lines = sinks.xml_lines(values, items, "patient_id", "tumor_index").where("part = 1")
     kinds = "Item array<struct<_VALUE:string,_naaccrNum:int>>, Tumor array<struct<Item:array<struct<_VALUE:string,_naaccrNum:int>>>>"
-    parsed = lines.select(F.from_xml("xml", kinds).alias("p"))
+    parsed = lines.select("patient", F.from_xml("xml", kinds).alias("p"))
     every = F.concat(F.coalesce("p.Item", F.array()), F.flatten(F.transform(F.coalesce("p.Tumor", F.array()), lambda t: F.coalesce(t["Item"], F.array()))))
-    return parsed.select(F.explode(every).alias("i")).groupBy(F.col("i._naaccrNum").alias("item"), F.col("i._VALUE").alias("value")).agg(F.count("*").alias("n"))
+    return parsed.select("patient", F.explode(every).alias("i")).groupBy("patient", F.col("i._naaccrNum").alias("item"), F.col("i._VALUE").alias("value")).agg(F.count("*").alias("n"))
 
 
 # --- retrieval ----------------------------------------------------------------------------
@@ -582,8 +585,7 @@ def _answer(_: str, prompt: str) -> str:
 
 @query
 def compress_fingerprint(spark, d):
-    n = _compressible(spark, d).withColumn("fingerprint", compression.fingerprint())
-    return n.agg(F.count("*").alias("rows"), F.countDistinct("fingerprint").alias("fingerprints"), F.min(F.length("fingerprint")).alias("width"))
+    return _compressible(spark, d).select("row_index", compression.fingerprint().alias("fingerprint"))
 
 
 @query
@@ -631,9 +633,9 @@ def _staging_units(spark, d):
 
 @query
 def staging_phase_items(spark, d):
-    """How many items the staging phase asks of each unit, and their sum as a digest."""
+    """Every item that the staging phase asks of each unit."""
     units, state = _staging_units(spark, d)
-    return pipeline.phase_items(units, state, "staging").groupBy("patient_id").agg(F.count("*").alias("n"), F.sum("item").alias("items"))
+    return pipeline.phase_items(units, state, "staging").select("patient_id", "item")
 
 
 @query

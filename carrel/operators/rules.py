@@ -153,6 +153,15 @@ def referenced_items() -> list[int]:
     return [220, 230, 390, 400, 410, 441, 490, 522, 523, 754, 764, 834, 880, 890, 900, 910, 940, 950, 960, 970, 1112, 1113, 1114, 1115, 1116, 1117, 1200, 1210, 1220, 1230, 1240, 1290, 1291, 1292, 1320, 1340, 1360, 1390, 1430, 1570, 1750, 1760, 1910, 2640]
 
 
+def spread(records: DataFrame) -> DataFrame:
+    """Deal narrow records over all cores where their scan has fewer splits than that (one large row group, say).
+
+    Meant for keys, ahead of the wide columns that rules and scores make of them.
+    """
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    return records.repartition(cores) if records.rdd.getNumPartitions() < cores else records
+
+
 def wide(results: DataFrame, keys: list[str], items: list[int] | None = None) -> DataFrame:
     """One row for each record with columns v<item>; ``results`` is long: keys, item, extracted, resolved."""
     items = items or referenced_items()

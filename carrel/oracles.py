@@ -309,7 +309,7 @@ last AS (SELECT conv_id, arg_max(kind, chunk_index) AS kind FROM said GROUP BY 1
 SELECT CAST(l.conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, l.kind AS cancer_type, 'site' AS primary_site_hint, 'left' AS laterality, CAST(count(*) FILTER (s.kind = l.kind) AS INT) AS n_chunks FROM last l JOIN said s ON s.conv_id = l.conv_id GROUP BY ALL""",
     "tumor_codes": f"""{_CHUNKS} SELECT CAST(conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, CASE WHEN breast THEN 'breast' ELSE 'colon' END AS cancer_type, CASE WHEN breast THEN 'C50.9' ELSE 'C18.2' END AS primary_site_code, CASE WHEN breast THEN '8500' ELSE '' END AS histology_code
 FROM (SELECT conv_id, arg_max(contains(chunk_text, 'the'), chunk_index) AS breast FROM chunks GROUP BY 1)""",
-    "staging_phase_items": f"WITH schemas AS ({_SCHEMA_OF}), items AS (" + " UNION ALL ".join(f"SELECT '{name}' AS schema, {len(items)} AS n, {sum(items)} AS items" for name, items in _STAGING.items()) + ") SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, CAST(n AS BIGINT) AS n, CAST(items AS BIGINT) AS items FROM schemas JOIN items USING (schema)",
+    "staging_phase_items": f"WITH schemas AS ({_SCHEMA_OF}), items AS (" + " UNION ALL ".join(f"SELECT '{name}' AS schema, unnest({items}) AS item" for name, items in _STAGING.items()) + ") SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, CAST(item AS INT) AS item FROM schemas JOIN items USING (schema)",
     "first_open_round": "WITH w AS (SELECT DISTINCT conv_id, turn FROM conversations), o AS (SELECT min(turn) AS first FROM w WHERE NOT (turn < 2 OR conv_id % 3 = 0)) SELECT CAST(max(turn) + 1 AS INT) AS n_rounds, CAST(coalesce(any_value(first), max(turn) + 1) AS INT) AS first_open FROM w, o",
     "parser_names": f"SELECT o_orderkey, CASE WHEN k IN ('gptoss', 'gpt_oss', 'openai_gpt_oss') THEN 'openai_gptoss' WHEN k = 'qwen_3' THEN 'qwen3' WHEN k = 'gemma_4' THEN 'gemma4' ELSE k END AS parser FROM (SELECT o_orderkey, trim(regexp_replace(lower({pick('o_orderkey', 11, PARSER_PROBES)}), '[^a-z0-9]+', '_', 'g'), '_') AS k FROM orders)",
     "usage_numbers": "SELECT event_id, CAST(CASE WHEN event_id % 4 = 3 THEN NULL WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS INT) AS n, CAST(CASE WHEN event_id % 4 <> 3 THEN event_id END AS BIGINT) AS prompt_tokens, CAST(CASE WHEN event_id % 4 <> 3 AND event_id % 3 <> 0 THEN 7 END AS BIGINT) AS cached FROM events",
@@ -366,7 +366,7 @@ SELECT o_orderkey, item, value, coalesce(exact, any_case, named, alike, padded,
     "schema_selection": f"SELECT o_orderkey, {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))",
     "staging_items": f"""WITH s AS (SELECT DISTINCT {_SCHEMA} AS schema FROM (SELECT *, {_PREFIX} AS p FROM ({_CODED}))), own(schema, items) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in SCHEMA_ITEMS.items())}), both_ AS (SELECT s.schema, list_concat({CORE_STAGING_ITEMS}, coalesce(items, [])) AS l FROM s LEFT JOIN own USING (schema)), once AS (SELECT schema, list_filter(l, lambda x, i: list_position(l, x) = i) AS l FROM both_)
 SELECT schema, CAST(pos - 1 AS INT) AS pos, CAST(l[pos] AS INT) AS item FROM (SELECT schema, l, unnest(range(1, len(l) + 1)) AS pos FROM once)""",
-    "domain_items": "WITH i(domain, items) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in DOMAIN_ITEMS.items()) + ") SELECT domain, CAST(pos - 1 AS INT) AS pos, CAST(items[pos] AS INT) AS item FROM (SELECT domain, items, unnest(range(1, len(items) + 1)) AS pos FROM i)",
+    "domain_items": "WITH i(phase, items) AS (VALUES " + ", ".join(f"('{k}', {v})" for k, v in DOMAIN_ITEMS.items()) + ") SELECT CAST(c_custkey AS VARCHAR) AS patient_id, phase, CAST(unnest(items) AS INT) AS item FROM customer, i",
     "diagnosis_summary": f"""WITH rec AS ({WIDE}), {_LONG}, w AS (SELECT rec, {", ".join(f"coalesce(nullif(max(resolved) FILTER (item = {i}), ''), max(extracted) FILTER (item = {i}), '') AS r{i}, coalesce(max(extracted) FILTER (item = {i}), '') AS e{i}" for i in (400, 522, 940))} FROM long GROUP BY rec),
 k AS (SELECT *, {site_code('r400')} AS code, regexp_extract({strip('r522')}, '([0-9]{{4}})', 1) AS hc FROM w)
 SELECT rec, {strip('r400')} AS site_code, coalesce(CASE WHEN lower({strip('r400')}) = 'c504' THEN 'Upper-outer quadrant' END, nullif({_LABEL}, ''), CASE WHEN regexp_matches({strip('e400')}, '(?i)^C?[0-9]{{2,4}}[./]?[0-9]?$') THEN NULL ELSE nullif(e400, '') END, 'site hint') AS site_text,
@@ -391,8 +391,8 @@ SELECT r.rec, coalesce('Known so far (change only on better evidence):' || chr(1
     "confidence_of_long_results": f"{_SCORES} SELECT rec, item, coalesce(severity, 0) AS severity, final_confidence FROM scores WHERE item % 10 = 0",
     "review_queue": f"""{_SCORES}, flagged AS (SELECT *, CASE WHEN {_KEY} AND {_C2} < 0.9 THEN 'CRITICAL' WHEN {_NEED} AND {_C2} < 0.7 THEN 'HIGH' WHEN {_C2} < 0.5 THEN 'LOW' WHEN confidence > 0 AND confidence - {_C2} >= (CAST(0.15 AS DOUBLE) - CAST(0.01 AS DOUBLE)) THEN 'MEDIUM' END AS priority FROM scores)
 SELECT rec, item, priority, CASE priority WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END AS priority_rank, final_confidence FROM flagged WHERE priority IS NOT NULL""",
-    "review_queue_violation_mode": f"{_SCORES} SELECT priority, count(*) AS n FROM (SELECT CASE WHEN {_KEY} AND {_C2} < 0.9 THEN 'CRITICAL' WHEN {_NEED} AND {_C2} < 0.7 THEN 'HIGH' WHEN severity IS NOT NULL THEN 'MEDIUM' WHEN {_C2} < 0.5 THEN 'LOW' END AS priority FROM scores) WHERE priority IS NOT NULL GROUP BY 1",
-    "worst_severity": f"{_SCORES} SELECT item, severity, count(*) AS n FROM worst GROUP BY 1, 2",
+    "review_queue_violation_mode": f"{_SCORES} SELECT rec, item, priority FROM (SELECT rec, item, CASE WHEN {_KEY} AND {_C2} < 0.9 THEN 'CRITICAL' WHEN {_NEED} AND {_C2} < 0.7 THEN 'HIGH' WHEN severity IS NOT NULL THEN 'MEDIUM' WHEN {_C2} < 0.5 THEN 'LOW' END AS priority FROM scores) WHERE priority IS NOT NULL",
+    "worst_severity": f"{_SCORES} SELECT rec, item, severity FROM worst",
     "eav_pivot_wide": "WITH v AS (SELECT user_id, length(event_type) * 100 AS item, arg_max(event_type, event_id) AS value FROM events GROUP BY ALL) SELECT user_id, " + ", ".join(f"coalesce(max(value) FILTER (item = {i}), '') AS \"{n} [{i}]\"" for i, n in ((400, "Four"), (500, "Five"), (600, "Item 600"), (800, "Item 800"))) + " FROM v GROUP BY 1",
     "flat_fixed_width": "WITH v AS (SELECT user_id, length(event_type) * 100 AS item, arg_max(event_type, event_id) AS value FROM events GROUP BY ALL) SELECT user_id, " + " || ".join(f"rpad(left(coalesce(max(value) FILTER (item = {i}), ''), {n}), {n}, ' ')" for i, n in ((400, 3), (500, 7), (600, 2), (800, 1))) + " AS line FROM v GROUP BY 1",
     "keyword_score_topk": f"""WITH q AS (SELECT conv_id * 1000 + turn AS query_id, list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda w: NOT list_contains(['a','an','and','at','by','cancer','carcinoma','for','from','histology','in','malignant','neoplasm','of','primary','schema','site','the','to','tumor','tumour','unknown','with'], w) AND (length(w) >= 3 OR w LIKE 'c%')) AS ws FROM conversations),
@@ -425,10 +425,10 @@ CASE WHEN name = '' THEN 'manual.html' ELSE regexp_replace(name, '[^A-Za-z0-9._-
 SELECT *, regexp_extract(u, '^[a-z]+://[^/?#]*', 0) AS root, regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(u, '^[^?#]*(.*)$', 1) AS rest, regexp_extract(regexp_extract(u, '^[a-z]+://[^/?#]*([^?#]*)', 1), '([^/]*)/*$', 1) AS name FROM (
 SELECT page_id, replace(url, '.example.', '.Example.') || CASE WHEN regexp_matches(url, '[?#]') THEN '' ELSE '/a é%20%7E+(' || page_id || ').PDF' END AS u FROM pages))""",
     "pending_rows": "SELECT conv_id * 1000 + turn AS row_index FROM conversations WHERE NOT ((conv_id * 1000 + turn) % 3 = 0 AND (conv_id * 1000 + turn) % 2 = 0)",
-    "compress_fingerprint": "SELECT count(*) AS rows, count(DISTINCT (conv_id, turn)) AS fingerprints, 64 AS width FROM conversations",
+    "compress_fingerprint": """SELECT conv_id * 1000 + turn AS row_index, sha256('{"row":' || (conv_id * 1000 + turn) || ',"patient":"' || conv_id || '","date":"' || turn || '","document":"","text":"' || sha256(coalesce(text, '')) || '"}') AS fingerprint FROM conversations""",
     "compress_with_fallback": f"""SELECT conv_id * 1000 + turn AS row_index, CASE WHEN length(coalesce(text, '')) % 7 = 0 THEN text ELSE {strip("left(text, 40)")} END AS output_text, length(coalesce(text, '')) % 7 = 0 AS used_fallback, CASE WHEN length(coalesce(text, '')) % 7 = 0 THEN 'RuntimeError: endpoint unavailable' END AS error FROM conversations""",
-    "audit_rows": f"WITH rec AS ({WIDE}), {_LONG} SELECT item, count(*) AS n, 500 AS longest FROM long GROUP BY 1",
+    "audit_rows": f"WITH rec AS ({WIDE}), {_LONG} SELECT rec, item, extracted, resolved, sha256(left(rec || repeat('e', 600), 500)) AS evidence FROM long",
     "xml_roundtrip": f"""WITH rec AS ({WIDE}), {_LONG}, v AS (SELECT rec // 10 AS patient, rec % 10 AS tumor, item, resolved AS value FROM long WHERE item IN (220, 400, 522) AND resolved <> ''), firsts AS (SELECT o_orderkey // 10 AS patient, min(o_orderkey % 10) AS tumor FROM orders GROUP BY 1)
-SELECT item, value, count(*) AS n FROM v WHERE item <> 220 OR EXISTS (SELECT 1 FROM firsts f WHERE f.patient = v.patient AND f.tumor = v.tumor) GROUP BY 1, 2""",
-    "eav_pivot_rules": f"WITH src AS ({WIDE}), rec0 AS (SELECT * FROM src), {_LONG.replace('UNPIVOT rec ON', 'UNPIVOT rec0 ON')}, rec AS (SELECT rec, " + ", ".join(f"max(coalesce(nullif(resolved, ''), nullif(extracted, ''), '')) FILTER (item = {i}) AS v{i}" for i in VALUES) + f" FROM long GROUP BY rec), {_BASE}, hits AS ({_HITS}) SELECT seq, edit_name, count(*) AS n FROM hits GROUP BY 1, 2",
+SELECT patient, item, value, count(*) AS n FROM v WHERE item <> 220 OR EXISTS (SELECT 1 FROM firsts f WHERE f.patient = v.patient AND f.tumor = v.tumor) GROUP BY 1, 2, 3""",
+    "eav_pivot_rules": f"WITH src AS ({WIDE}), rec0 AS (SELECT * FROM src), {_LONG.replace('UNPIVOT rec ON', 'UNPIVOT rec0 ON')}, rec AS (SELECT rec, " + ", ".join(f"max(coalesce(nullif(resolved, ''), nullif(extracted, ''), '')) FILTER (item = {i}) AS v{i}" for i in VALUES) + f" FROM long GROUP BY rec), {_BASE}, hits AS ({_HITS}) SELECT rec, seq, edit_name FROM hits",
 }
