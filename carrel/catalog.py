@@ -15,6 +15,7 @@ from carrel.operators import chunking, compression, confidence, matching, mergin
 from carrel.plans import pipeline
 from carrel.sources import answers as answers_source
 from carrel.sources import notes, registry, sinks
+from carrel.streaming import tumors as streaming_tumors
 from carrel.synthetic import VALUES, long_expressions, pick
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,11 +112,21 @@ def diagnosis_window(spark, d):
     return dates.with_window(_partial(spark, d), "value", "window").select("o_orderkey", "window.lo", "window.hi")
 
 
-@query
-def window_overlap_join(spark, d):
+def _windows(spark, d, hot):
     tumors_ = dates.with_window(_partial(spark, d), "value", "window", 1).select(F.col("o_orderkey").alias("patient_id"), "window")
     docs = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("patient_id"), "l_linenumber", "l_partkey", dates.day_interval(F.col("l_shipdate")).alias("span"))
-    return matching.in_window(docs, tumors_).groupBy("patient_id").agg(F.count("*").alias("n_docs"), F.min("span.lo").alias("first_doc"))
+    return matching.in_window(docs, tumors_, hot=hot).groupBy("patient_id").agg(F.count("*").alias("n_docs"), F.min("span.lo").alias("first_doc"))
+
+
+@query
+def window_overlap_join(spark, d):
+    return _windows(spark, d, matching.HOT_DOCUMENTS)
+
+
+@query
+def window_overlap_bins(spark, d):
+    """The same join where a patient with more than three documents counts as hot: those meet by bins of time."""
+    return _windows(spark, d, 3)
 
 
 @query
@@ -528,7 +539,10 @@ def union_sources(spark, d):
 @query
 def manifest_upsert(spark, d):
     entries = read(spark, d, "pages").select(F.col("page_id").alias("pos"), F.regexp_extract("url", "://([^/?#]*)", 1).alias("url"), F.regexp_extract("html", "<html lang=\"([a-z]*)\"", 1).alias("category"), F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("title"), F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string")).alias("source_page"))
-    return sampling.manifest(entries).select("url", "category", "title", F.array_join("source_pages", ",").alias("source_pages"))
+    folder, third = f"{sinks.scratch(spark, 'manifest')}/table", entries.count() / 3
+    for k in range(3):  # entries come in three batches, in the order of their places
+        stored = sampling.upsert_manifest(entries.where((F.col("pos") >= k * third) & ((F.col("pos") < (k + 1) * third) | F.lit(k == 2))), folder)
+    return stored.select("url", "category", "title", F.array_join("source_pages", ",").alias("source_pages"))
 
 
 @query
@@ -611,6 +625,21 @@ def tumor_fold(spark, d):
     return tumors.detected(chunks, models.EchoClient(_diagnose)).select("patient_id", "tumor_index", "cancer_type", "primary_site_hint", "laterality", F.size(F.split("contributing_chunks", ",")).alias("n_chunks"))
 
 
+@query
+def tumor_stream(spark, d):
+    """The running list over chunks that arrive in three batches, each by a query that starts from the last one's checkpoint."""
+    folder = sinks.scratch(spark, "tumor-stream")
+    chunks = _chunks(spark, d).withColumn("patient_id", F.col("conv_id").cast("string")).select("patient_id", "chunk_id", "chunk_index", "chunk_text")
+    chunks.write.parquet(f"{folder}/chunks")
+    chunks = spark.read.schema(chunks.schema).parquet(f"{folder}/chunks")
+    for k in range(3):
+        part = chunks.where((F.col("chunk_index") >= 2 * k) & ((F.col("chunk_index") < 2 * k + 2) | F.lit(k == 2)))
+        part.write.parquet(f"{folder}/arrived/{k}")
+        arriving = spark.readStream.schema(chunks.schema).parquet(f"{folder}/arrived/*")
+        streaming_tumors.running_lists(arriving, models.EchoClient(_diagnose), f"{folder}/lists", f"{folder}/checkpoint").awaitTermination()
+    return streaming_tumors.latest_lists(spark, f"{folder}/lists").select("patient_id", "tumor_index", "cancer_type", "primary_site_hint", "laterality", F.size(F.split("contributing_chunks", ",")).alias("n_chunks"))
+
+
 def _codes_of(_: str, prompt: str) -> str:
     if "breast" in prompt:
         return '{"coded": [{"primary_site_code": "c509", "histology_code": "8500/3"}]}'

@@ -15,15 +15,54 @@ MAX_DAYS = 365
 MOST_PAIRS = 100_000
 
 
-def in_window(docs: DataFrame, tumors: DataFrame, key: str = "patient_id") -> DataFrame:
+#: documents of one key beyond which its intervals meet in bins of time, and a bin's days
+HOT_DOCUMENTS, BIN_DAYS = 100_000, 30
+#: parts over which a hot key's documents are dealt for tumors without a window
+DEALT = 64
+
+
+def in_window(docs: DataFrame, tumors: DataFrame, key: str = "patient_id", hot: int = HOT_DOCUMENTS) -> DataFrame:
     """Documents whose interval overlaps the tumor's window; a tumor without a window takes all.
 
     ``docs``: key, span struct(lo, hi) (null: never in a window); ``tumors``: key, window struct.
-    An equi-join on the key with the overlap as its residual condition.
+    An equi-join on the key with the overlap as its residual condition; keys with more than ``hot``
+    documents, which are counted first, meet by bins of time instead.
     """
+    large = docs.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hot).select(key)
+    if large.isEmpty():
+        return _by_key(docs, tumors, key)
+    side = lambda rows, how: rows.join(large, key, how).select(*rows.columns)
+    return _by_key(side(docs, "left_anti"), side(tumors, "left_anti"), key).unionByName(_by_bins(side(docs, "left_semi"), side(tumors, "left_semi"), key))
+
+
+def _columns(docs: DataFrame, tumors: DataFrame) -> list:
+    return [F.col("t.*"), *(F.col(f"d.{c}") for c in docs.columns if c not in tumors.columns)]
+
+
+def _by_key(docs: DataFrame, tumors: DataFrame, key: str) -> DataFrame:
     d, t = docs.alias("d"), tumors.alias("t")
     overlap = (F.col("d.span.lo") <= F.col("t.window.hi")) & (F.col("d.span.hi") >= F.col("t.window.lo"))
-    return d.join(t, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("t.window").isNull() | overlap)).select("t.*", *(F.col(f"d.{c}") for c in docs.columns if c not in tumors.columns))
+    return d.join(t, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("t.window").isNull() | overlap)).select(*_columns(docs, tumors))
+
+
+def _by_bins(docs: DataFrame, tumors: DataFrame, key: str) -> DataFrame:
+    """The same pairs: both sides are dealt to the bins that they touch and meet by key and bin.
+
+    A pair that shares several bins counts in the first of them only. Tumors without a window go to
+    every part of their key's documents instead.
+    """
+    days = lambda x: F.unix_date(F.col(x).cast("date"))
+    bin_of = lambda x: F.floor(days(x) / BIN_DAYS)
+    bound = lambda rows, name: rows.select(*(c for c in rows.columns if c != name), F.explode(F.array(name)).alias(name)).where(F.col(name).isNotNull())  # noqa: E731  computed once, whatever reads it
+    d = bound(docs, "span").withColumn("first_", bin_of("span.lo")).withColumn("bin_", F.explode(F.sequence(F.col("first_"), bin_of("span.hi")))).alias("d")
+    t = bound(tumors, "window").withColumn("first_", bin_of("window.lo")).withColumn("bin_", F.explode(F.sequence(F.col("first_"), bin_of("window.hi")))).alias("t")
+    overlap = (F.col("d.span.lo") <= F.col("t.window.hi")) & (F.col("d.span.hi") >= F.col("t.window.lo"))
+    once = F.col("d.bin_") == F.greatest("d.first_", "t.first_")
+    columns = [*(F.col(f"t.{c}") for c in tumors.columns), *(F.col(f"d.{c}") for c in docs.columns if c not in tumors.columns)]
+    met = d.join(t, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("d.bin_") == F.col("t.bin_")) & overlap & once).select(*columns)
+    dealt = docs.withColumn("part_", F.pmod(F.xxhash64(*(F.col(c) for c in docs.columns if c != key)), F.lit(DEALT))).alias("d")
+    every = tumors.where("window is null").withColumn("part_", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)).cast("array<bigint>"))).alias("t")
+    return met.union(dealt.join(every, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("d.part_") == F.col("t.part_"))).select(*columns))
 
 
 def _pairs(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:

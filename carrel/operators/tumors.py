@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +24,37 @@ def _clean(found: list) -> list[dict]:
     return rows
 
 
+@dataclass
+class Listing:
+    """A patient's running list, and the chunks that contributed to each entry."""
+
+    running: list[dict] = field(default_factory=list)
+    origin: dict[str, list[str]] = field(default_factory=dict)
+
+    def take(self, chunk_id: str, body: str, client: Client, attempts: int) -> None:
+        """The list after one more chunk; an answer that can't be read leaves it as it was."""
+        prompt = f"Current list: {self.running}\n\nNotes:\n{body}"
+        try:
+            found = called_object(client, SYSTEM, prompt, attempts).get("diagnoses")
+        except Exception:  # noqa: BLE001
+            return
+        self.running = _clean(found) if isinstance(found, list) else self.running
+        for row in self.running:
+            own = self.origin.setdefault(self.name(row), [])
+            if chunk_id not in own:
+                own.append(chunk_id)
+
+    @staticmethod
+    def name(row: dict) -> str:
+        return f"{row['cancer_type']}|{row['primary_site_hint']}"
+
+    def rows(self, patient: str) -> list[tuple]:
+        """Rows of SCHEMA; one unknown tumor for an empty list."""
+        shown = self.running or [dict.fromkeys(FIELDS, "") | {"cancer_type": "unknown", "laterality": "unknown"}]
+        return [(patient, k, *(r[f] for f in FIELDS), ",".join(self.origin.get(self.name(r), []))) for k, r in enumerate(shown)]
+
+
+COLUMNS = ["patient_id", "tumor_index", *FIELDS, "contributing_chunks"]
 #: patients whose chunks a task folds side by side
 PATIENTS_IN_FLIGHT = 16
 
@@ -49,26 +81,14 @@ def detected(chunks: DataFrame, client: Client, attempts: int = 1, width: int =
     """
 
     def fold(patient: tuple[str, list[tuple[str, str]]]) -> list[tuple]:
-        running: list[dict] = []
-        origin: dict[str, list[str]] = {}
+        listing = Listing()
         for chunk_id, body in patient[1]:
-            prompt = f"Current list: {running}\n\nNotes:\n{body}"
-            try:
-                found = called_object(client, SYSTEM, prompt, attempts).get("diagnoses")
-                running = _clean(found) if isinstance(found, list) else running
-            except Exception:  # noqa: BLE001  an unreadable answer changes nothing
-                continue
-            for row in running:
-                own = origin.setdefault(f"{row['cancer_type']}|{row['primary_site_hint']}", [])
-                if chunk_id not in own:
-                    own.append(chunk_id)
-        if not running:
-            running = [dict.fromkeys(FIELDS, "") | {"cancer_type": "unknown", "laterality": "unknown"}]
-        return [(patient[0], k, *(r[f] for f in FIELDS), ",".join(origin.get(f"{r['cancer_type']}|{r['primary_site_hint']}", []))) for k, r in enumerate(running)]
+            listing.take(chunk_id, body, client, attempts)
+        return listing.rows(patient[0])
 
     def folded(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in in_flight(by_patient(frames), fold, width):
-            yield pd.DataFrame(rows, columns=["patient_id", "tumor_index", *FIELDS, "contributing_chunks"])
+            yield pd.DataFrame(rows, columns=COLUMNS)
 
     sorted_ = chunks.select("patient_id", "chunk_id", "chunk_index", "chunk_text").repartition("patient_id").sortWithinPartitions("patient_id", "chunk_index")
     return sorted_.mapInPandas(folded, SCHEMA)

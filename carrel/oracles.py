@@ -432,3 +432,5 @@ SELECT page_id, replace(url, '.example.', '.Example.') || CASE WHEN regexp_match
 SELECT patient, item, value, count(*) AS n FROM v WHERE item <> 220 OR EXISTS (SELECT 1 FROM firsts f WHERE f.patient = v.patient AND f.tumor = v.tumor) GROUP BY 1, 2, 3""",
     "eav_pivot_rules": f"WITH src AS ({WIDE}), rec0 AS (SELECT * FROM src), {_LONG.replace('UNPIVOT rec ON', 'UNPIVOT rec0 ON')}, rec AS (SELECT rec, " + ", ".join(f"max(coalesce(nullif(resolved, ''), nullif(extracted, ''), '')) FILTER (item = {i}) AS v{i}" for i in VALUES) + f" FROM long GROUP BY rec), {_BASE}, hits AS ({_HITS}) SELECT rec, seq, edit_name FROM hits",
 }
+ORACLES["window_overlap_bins"] = ORACLES["window_overlap_join"]
+ORACLES["tumor_stream"] = ORACLES["tumor_fold"]

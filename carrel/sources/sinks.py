@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import shutil
 import tempfile
 import uuid
 
@@ -96,13 +99,22 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder all executors share (spark.checkpoint.dir; in local mode a temporary one of our own)."""
+    """A new path in the folder all executors share (spark.checkpoint.dir; in local mode a temporary one of our own), removed when Python ends."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         if spark.sparkContext.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="carrel-")
-    return f"{folder}/{uuid.uuid4().hex}-{name}"
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = f"{folder}/{uuid.uuid4().hex}-{name}"
+    atexit.register(_drop, spark, path)
+    return path
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended before the clean-up
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def write_json(values: DataFrame, path: str, keep_blank: bool = False, names: dict[str, str] | None = None) -> None:

@@ -12,6 +12,7 @@ from carrel.operators import chunking, compression, confidence, matching, mergin
 from carrel.plans import pipeline
 from carrel.sources import dictionary, notes, registry, sinks
 from carrel.streaming import notes as streams
+from carrel.streaming import tumors as streaming_tumors
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import test modules
 
@@ -394,6 +395,22 @@ def test_phases_ask_in_order_and_staging_by_schema(spark, tmp_path):
     assert {r["patient_id"]: 3838 in r["i"] for r in asked} == {"p": True, "q": False}
 
 
+def test_windows_by_bins_equal_windows_by_key(spark):
+    rng = random.Random(6)
+    day = lambda: dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 900))
+
+    def interval():
+        a = day()
+        return rng.choice([None, (a, a + dt.timedelta(days=rng.choice([0, 0, 5, 29, 30, 31, 200])))])
+
+    docs = spark.createDataFrame([(k, n, interval()) for k in "abc" for n in range({"a": 120, "b": 40, "c": 3}[k])] * 2, "p string, n int, span struct<lo:date,hi:date>")
+    tumors = spark.createDataFrame([(k, n, interval()) for k in "abcd" for n in range(9)], "p string, ti int, window struct<lo:date,hi:date>")
+    plain, mixed, bins = (sorted(map(str, matching.in_window(docs, tumors, "p", hot).select("p", "ti", "n").collect())) for hot in (10**6, 50, 0))
+    assert plain == mixed == bins and len(plain) > 500
+    parts = matching._by_bins(docs, tumors, "p").select("p").rdd.glom().map(len).collect()
+    assert max(parts) < sum(parts)
+
+
 def test_matching_by_rounds_equals_the_fold(spark):
     rng = random.Random(3)
     side = lambda name, n: spark.createDataFrame([(k, i, rng.choice(["", "C50", "C61", "C18"]), rng.choice([None, dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 60))])) for k in "pqr" for i in range(n)], f"k string, {name} int, site string, day date")
@@ -530,6 +547,38 @@ def test_streams(spark, tmp_path):
     assert sorted(r["row_index"] for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 1]
 
 
+def test_running_lists_go_on_from_their_checkpoint(spark, tmp_path):
+    schema = "patient_id string, chunk_id string, chunk_index int, chunk_text string"
+    chunks = [(f"p{k}", f"p{k}-{n}", n, ("breast" if (k + n) % 3 else "bad") + f" note {n}") for k in range(6) for n in range(5)]
+
+    def listed(system, prompt):
+        if "Notes:\nbad" in prompt:
+            return "no json"
+        n = prompt.count("cancer_type")
+        return json.dumps({"diagnoses": [{"cancer_type": f"breast {i}", "evidence": "e" * 400} for i in range(n + 1)]})
+
+    want = sorted(map(tuple, tumors.detected(spark.createDataFrame(chunks, schema), models.EchoClient(listed)).collect()))
+    for k, part in enumerate(([c for c in chunks if c[2] < 2], [c for c in chunks if c[2] == 2], [c for c in chunks if c[2] > 2] + chunks[:3])):  # some come again
+        spark.createDataFrame(part, schema).write.parquet(f"{tmp_path}/in/{k}")
+        arriving = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
+        streaming_tumors.running_lists(arriving, models.EchoClient(listed), f"{tmp_path}/out", f"{tmp_path}/ck").awaitTermination(120)
+    assert sorted(map(tuple, streaming_tumors.latest_lists(spark, f"{tmp_path}/out").collect())) == want
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 3 and max(r[1] for r in want) > 1
+
+
+def test_a_stored_manifest_takes_new_entries_in(spark, tmp_path):
+    kinds = "url string, category string, title string, pos int, source_page string"
+    first = [("u1", "c1", "t1", 0, "s1"), ("u1", "cx", "tx", 1, "s2"), ("u2", "c2", "t2", 2, "s1")]
+    second = [("u2", "cy", "ty", 3, "s3"), ("u2", "cy", "ty", 4, "s1"), ("u3", "c3", "t3", 5, "s2")]
+    sampling.upsert_manifest(spark.createDataFrame(first, kinds), f"{tmp_path}/m", 8)
+    before = {f"{f.parent.name}/{f.name}": f.stat().st_mtime_ns for f in (tmp_path / "m").glob("part=*/*.parquet")}
+    got = sampling.upsert_manifest(spark.createDataFrame(second, kinds), f"{tmp_path}/m", 8)
+    want = {("u1", "c1", "t1", ("s1", "s2")), ("u2", "c2", "t2", ("s1", "s3")), ("u3", "c3", "t3", ("s2",))}
+    assert {(r["url"], r["category"], r["title"], tuple(r["source_pages"])) for r in got.collect()} == want
+    after = {f"{f.parent.name}/{f.name}": f.stat().st_mtime_ns for f in (tmp_path / "m").glob("part=*/*.parquet")}
+    assert set(before.items()) & set(after.items())  # folders without new entries stay as they were
+
+
 def test_sampling(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     a, b = rows(sampling.sampled(df, 10, 42, ["k"])), rows(sampling.sampled(df.repartition(7), 10, 42, ["k"]))
