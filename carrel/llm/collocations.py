@@ -31,11 +31,12 @@ COVER = 100
 
 def pieces_of(docs: DataFrame) -> DataFrame:
     """lang, words (array, at least one): every piece of every text."""
-    split = only(docs, "text", "lang").where("text <> ''").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(F.col("text").cast("string"), r"[.,;:!?\x0A-\x0D]")).alias("piece"))
-    trimmed = split.select("lang", F.expr(r"trim(BOTH ' \t' FROM piece)").alias("piece")).where("piece <> ''")
+    text = F.replace(F.col("text").cast("string"), F.lit("\t"), F.lit(" "))
+    split = only(docs, "text", "lang").where("text <> ''").select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.explode(F.split(text, r"[.,;:!?\x0A-\x0D]")).alias("piece"))
     plain = F.octet_length("piece") == F.length("piece")  # of other letters only A-Z may change
     lowered = F.when(plain, F.lower("piece")).otherwise(F.translate("piece", string.ascii_uppercase, string.ascii_lowercase))
-    return trimmed.select("lang", F.split(lowered, r"[ \t]+").alias("words"))
+    # a split at one plain letter needs no pattern for each piece; exploded, it is done once, whatever reads the words
+    return split.select("lang", F.explode(F.array(F.array_remove(F.split(lowered, " "), ""))).alias("words")).where(F.size("words") > 0)
 
 
 def windows(pieces: DataFrame, width: int) -> DataFrame:
