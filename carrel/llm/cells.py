@@ -1,9 +1,10 @@
-"""Candidates among rows that meet in cells: 64-bit signatures travel, spanning forests come back.
+"""Candidates among rows that meet in cells: signatures travel, edges come back.
 
-Operators name a cell by a 64-bit number and give every row that asks it a 64-bit signature.
-Rows of one cell whose signatures differ in at most NEAR bits are candidates. Of very near rows
-that share a cell in a task (at most CLOSE bits) one stands for the others, with a wider NEAR by
-the triangle bound, so a very common cell gets a few rows from each task.
+Operators name a cell by a 64-bit number and give every row that asks it a signature of one or more
+64-bit words. Rows of one cell whose signatures differ in few bits are candidates. Of very near rows
+that share a cell in a task (at most CLOSE bits a word) one stands for the others, with a wider bound
+by the triangle inequality, so a very common cell gets a few rows from each task. An edge says whether
+its rows belong into one group (merge) or are a pair of their own.
 """
 
 from __future__ import annotations
@@ -17,8 +18,7 @@ from pyspark.sql import functions as F
 
 from carrel.llm.common import mapped
 
-#: of 64 signature bits; at cosine 0.93 the mean is 7.7 and the standard deviation 2.6, at a
-#: Jaccard similarity of 0.8 they are 9.7 and 2.9
+#: of 64 signature bits; at a Jaccard similarity of 0.8 the mean is 9.7 and the standard deviation 2.9
 NEAR = 19
 CLOSE = 3
 #: cell rows a task holds before it sends them
@@ -60,20 +60,45 @@ class Forest:
                     self.edges.append((a, b))
 
 
-ROW = np.dtype([("cell", "<i8"), ("class", "<i8"), ("signature", "<u8"), ("home", "?"), ("wide", "?")])
+def row_type(words: int) -> np.dtype:
+    return np.dtype([("cell", "<i8"), ("class", "<i8"), ("signature", "<u8", (words,)) if words > 1 else ("signature", "<u8"), ("home", "?"), ("wide", "?")])
+
+
+ROW = row_type(1)
+
+
+def words_of(signature: np.ndarray) -> np.ndarray:
+    """Signatures as rows of words."""
+    return signature.reshape(len(signature), -1)
+
+
+def bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which two rows of words differ (one of them may be a single row)."""
+    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
+
+
+def all_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which every row of a differs from every row of b."""
+    out = np.zeros((len(a), len(b)), np.int16)
+    for k in range(a.shape[1]):
+        out += np.bitwise_count(a[:, k][:, None] ^ b[:, k][None, :])
+    return out
 
 
 def thinned(rows: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Rows sorted by cell, of very near ones in a cell one only; edges of the others to it."""
-    rows = rows[np.lexsort((rows["signature"], rows["cell"]))]
-    near = (rows["cell"][1:] == rows["cell"][:-1]) & (np.bitwise_count(rows["signature"][1:] ^ rows["signature"][:-1]) <= CLOSE)
+    words = words_of(rows["signature"])
+    rows = rows[np.lexsort((*words.T[::-1], rows["cell"]))]
+    words = words_of(rows["signature"])
+    close = CLOSE * words.shape[1]
+    near = (rows["cell"][1:] == rows["cell"][:-1]) & (bits(words[1:], words[:-1]) <= close)
     starts = np.flatnonzero(np.r_[True, ~near]) if len(rows) else np.zeros(0, np.int64)
     keep, edges = np.ones(len(rows), bool), []
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
         if b - a < 3:
             continue
-        # a run of near neighbours in sorted order: those within CLOSE of its first row go with it
-        gone = a + 1 + np.flatnonzero(np.bitwise_count(rows["signature"][a + 1 : b] ^ rows["signature"][a]) <= CLOSE)
+        # a run of near neighbours in sorted order: those within the bound of its first row go with it
+        gone = a + 1 + np.flatnonzero(bits(words[a + 1 : b], words[a]) <= close)
         keep[gone] = False
         rows["home"][a] |= rows["home"][gone].any()
         rows["wide"][a] |= len(gone) > 0
@@ -85,15 +110,20 @@ def cell_blob(rows: np.ndarray) -> bytes:
     """Cell rows field by field; a vector's number and signature once, however many of its cells are here."""
     number, first, index = np.unique(rows["class"], return_index=True, return_inverse=True)
     flags = rows["home"].astype(np.uint8) | rows["wide"].astype(np.uint8) << 1
-    return b"".join([np.array([len(rows), len(number)], "<i8").tobytes(), number.astype("<i8").tobytes(), rows["signature"][first].astype("<u8").tobytes(), rows["cell"].astype("<i8").tobytes(), index.astype("<u4").tobytes(), flags.tobytes()])
+    signature = words_of(rows["signature"])[first].astype("<u8")
+    return b"".join([np.array([len(rows), len(number), signature.shape[1]], "<i8").tobytes(), number.astype("<i8").tobytes(), signature.tobytes(), rows["cell"].astype("<i8").tobytes(), index.astype("<u4").tobytes(), flags.tobytes()])
 
 
 def cell_rows(blob: bytes) -> np.ndarray:
-    n, m = np.frombuffer(blob, "<i8", 2)
-    number, signature, cell = np.frombuffer(blob, "<i8", m, 16), np.frombuffer(blob, "<u8", m, 16 + 8 * m), np.frombuffer(blob, "<i8", n, 16 + 16 * m)
-    index, flags = np.frombuffer(blob, "<u4", n, 16 + 16 * m + 8 * n), np.frombuffer(blob, "u1", n, 16 + 16 * m + 12 * n)
-    rows = np.zeros(n, ROW)
-    rows["cell"], rows["class"], rows["signature"] = cell, number[index], signature[index]
+    n, m, width = np.frombuffer(blob, "<i8", 3).tolist()
+    at = 24
+    number, at = np.frombuffer(blob, "<i8", m, at), at + 8 * m
+    signature, at = np.frombuffer(blob, "<u8", m * width, at).reshape(m, width), at + 8 * m * width
+    cell, at = np.frombuffer(blob, "<i8", n, at), at + 8 * n
+    index, flags = np.frombuffer(blob, "<u4", n, at), np.frombuffer(blob, "u1", n, at + 4 * n)
+    rows = np.zeros(n, row_type(width))
+    rows["cell"], rows["class"] = cell, number[index]
+    rows["signature"] = signature[index] if width > 1 else signature[index, 0]
     rows["home"], rows["wide"] = flags & 1, flags >> 1
     return rows
 
@@ -110,24 +140,8 @@ def sent_rows(rows: np.ndarray, parts: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.bool_()), pa.array([x[2] for x in out], pa.binary())], ["part", "edges", "blob"])
 
 
-def met(rows: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the candidates in one cell: near signatures, one of the two at home."""
-    members = np.flatnonzero(rows["home"])
-    forest = Forest(len(rows))
-    limit = NEAR + CLOSE * rows["wide"].astype(np.int16)
-    step = max(1, (1 << 20) // max(len(members), 1))
-    for at in range(0, len(rows), step):
-        asking = np.arange(at, min(at + step, len(rows)))
-        close = np.bitwise_count(rows["signature"][asking][:, None] ^ rows["signature"][members][None, :]) <= limit[asking][:, None] + (limit[members] - NEAR)[None, :]
-        close &= rows["class"][asking][:, None] != rows["class"][members][None, :]
-        hit = close.any(axis=1)
-        if hit.any():
-            forest.join(asking[hit], members, close[hit])
-    return [(int(rows["class"][a]), int(rows["class"][b])) for a, b in forest.edges]
-
-
-def candidate_edges(sent: DataFrame, parts: int, search=met) -> DataFrame:
-    """a, b: edges that connect all candidates; ``search`` gives the forest of one cell."""
+def candidate_edges(sent: DataFrame, parts: int, search) -> DataFrame:
+    """a, b, merge: the edges of all cells; ``search`` gives those of one cell as (a, b, merge)."""
 
     def gather(batches):
         held: dict[int, list[np.ndarray]] = {}
@@ -135,7 +149,7 @@ def candidate_edges(sent: DataFrame, parts: int, search=met) -> DataFrame:
             for part, edges, blob in zip(batch.column("part").to_pylist(), batch.column("edges").to_pylist(), batch.column("blob").to_pylist(), strict=True):
                 if edges:
                     pairs = np.frombuffer(blob, "<i8").reshape(-1, 2)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    yield found_edges(pairs[:, 0], pairs[:, 1], np.ones(len(pairs), bool))
                 else:
                     held.setdefault(part, []).append(cell_rows(blob))
         for part in list(held):
@@ -146,11 +160,18 @@ def candidate_edges(sent: DataFrame, parts: int, search=met) -> DataFrame:
             busy = (sizes > 1) & np.logical_or.reduceat(rows["home"], starts)
             found = set()
             for a, k in zip(starts[busy].tolist(), sizes[busy].tolist(), strict=True):
-                found.update((min(x), max(x)) for x in search(rows[a : a + k]))
+                found.update((min(x, y), max(x, y), merge) for x, y, merge in search(rows[a : a + k]))
+                if len(found) > SENT:
+                    yield found_edges(*(np.array(c) for c in zip(*found, strict=True)))
+                    found = set()
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+                yield found_edges(*(np.array(c) for c in zip(*found, strict=True)))
+
+    return mapped(sent.repartition(parts, "part"), gather, "a long, b long, merge boolean")
+
 
-    return mapped(sent.repartition(parts, "part"), gather, "a long, b long")
+def found_edges(a: np.ndarray, b: np.ndarray, merge: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(merge, pa.bool_())], ["a", "b", "merge"])
 
 
 def in_blocks(rows: DataFrame, size: str, member: str, block: int) -> DataFrame:

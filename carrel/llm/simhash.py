@@ -224,11 +224,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     return mapped(docs, work, "doc_id long, class long, print long, n int, keys array<long>")
 
 
-def near_in_cell(rows: np.ndarray) -> list[tuple[int, int]]:
+def near_in_cell(rows: np.ndarray) -> list[tuple[int, int, bool]]:
     """The forest of one cell's candidates by a vantage-point tree over its prints."""
     forest, at = Forest(len(rows)), np.arange(len(rows))
     compare(rows["signature"], at, at, forest, cells.NEAR + 2 * cells.CLOSE * bool(rows["wide"].any()))
-    return [(int(rows["class"][a]), int(rows["class"][b])) for a, b in forest.edges]
+    return [(int(rows["class"][a]), int(rows["class"][b]), True) for a, b in forest.edges]
 
 
 def similar_edges(members: DataFrame) -> DataFrame:

@@ -616,6 +616,71 @@ def test_lattice_of_doubles_dense_groups_and_repeated_ids(spark, tmp_path, monke
     assert sorted(r["n_links"] for r in found if r["vec_id"] == 500) == [0, 1] and got[501]["component_id"] == 500
 
 
+@pytest.mark.parametrize("inside", [0.5, 0.7])
+def test_lattice_prunes_clusters_without_near_vectors(spark, inside):
+    """12,000 vectors in 12 clusters of a given inner cosine, some pairs at the threshold planted: few pairs are compared, the planted ones found."""
+    rng = np.random.default_rng(13)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centres = unit(rng.standard_normal((12, 64)))
+    x = unit(np.sqrt(inside) * np.repeat(centres, 1000, axis=0) + np.sqrt(1 - inside) * unit(rng.standard_normal((12_000, 64))))
+    for k in range(0, 12_000, 40):  # a neighbour at cosine 0.94 for one in forty
+        away = rng.standard_normal(64)
+        away = unit(away - (away @ x[k]) * x[k])
+        x[k + 1] = 0.94 * x[k] + np.sqrt(1 - 0.94**2) * away
+    links = np.zeros(12_000, np.int64)
+    true = []
+    for at in range(0, 12_000, 1000):
+        close = x[at : at + 1000] @ x.T >= lattice.THRESHOLD
+        close[np.arange(1000), at + np.arange(1000)] = False
+        links[at : at + 1000] = close.sum(axis=1)
+        true += [(at + a, b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(close)), strict=True) if at + a < b]
+    assert len(true) >= 300
+    rows = spark.createDataFrame([(k, [float(c) for c in v], 1) for k, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    own = lattice.written(lattice.classes(rows)[1], "classes")
+    groups, pairs = lattice.grouped(lattice.written(lattice.candidates(own, 12_000), "candidates"))
+    sizes = groups.groupBy("group").count()
+    size = {r["group"]: r["count"] for r in sizes.collect()}
+    compared = sum(n * (n - 1) // 2 for n in size.values()) + sum(size.get(r["g"], 1) * size.get(r["h"], 1) for r in pairs.collect())
+    assert compared < 0.05 * 12_000 * 11_999 / 2
+    got = {r["vec_id"]: r for r in lattice.near_duplicates(rows).collect()}
+    assert sum(r["n_links"] for r in got.values()) / 2 >= 0.9 * len(true) and all(got[k]["n_links"] <= links[k] for k in range(12_000))
+    linked = [(a, b) for a, b in true if got[a]["component_id"] == got[b]["component_id"]]
+    want = components_of(range(12_000), linked)
+    assert len(linked) >= 0.9 * len(true) and all(got[k]["component_id"] == want[k] for k in range(12_000))
+
+
+def test_lattice_of_groups_of_all_sizes(spark, tmp_path, monkeypatch):
+    """Dense balls, borderline neighbours and large groups that pairs join: links and components as brute force has them, over the pairs found."""
+    monkeypatch.setattr(lattice, "LARGE", 6)
+    monkeypatch.setattr(lattice, "DEGREE", 5)
+    rng = np.random.default_rng(14)
+    x = []
+    for n, spread in ((60, 0.02), (40, 0.1), (30, 0.2), (20, 0.26), (80, 1.0)):
+        base = rng.standard_normal(32)
+        x += [base + spread * rng.standard_normal(32) for _ in range(n)]
+    x += [x[0] + 0.2 * rng.standard_normal(32) for _ in range(15)]
+    rows = [(k, [float(c) for c in v], k % 2 if k > 200 else 0) for k, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r["vec_id"]: r for r in ran(spark, "op8_lattice_near_dedup", str(tmp_path))}
+    u = np.array([v for _, v, _ in rows])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    close = (u @ u.T >= lattice.THRESHOLD) & (label[:, None] == label[None, :])
+    np.fill_diagonal(close, False)
+    assert sum(r["n_links"] for r in got.values()) >= 0.95 * close.sum() and all(got[k]["n_links"] <= close[k].sum() for k in got)
+    want = components_of(range(len(rows)), [(a, b) for a, b in zip(*map(np.ndarray.tolist, np.nonzero(close)), strict=True)])
+    assert sum(got[k]["component_id"] == want[k] for k in got) >= 0.95 * len(got)
+
+
+def test_lattice_of_very_large_and_very_small_vectors(spark, tmp_path):
+    rng = np.random.default_rng(15)
+    base = rng.standard_normal((3, 16))
+    rows = [(k, [float(c) for c in base[k % 3] * size], 0) for k, size in enumerate([1e200] * 3 + [1e-200] * 3 + [1.0] * 3)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = ran(spark, "op8_lattice_near_dedup", str(tmp_path))
+    assert all((r["n_links"], r["component_id"]) == (2, r["vec_id"] % 3) for r in got)
+
+
 def test_lattice_sends_each_vector_a_few_times(spark, tmp_path):
     """Cells travel as numbers: the blobs of a batch are smaller than four times its vectors."""
     rng = np.random.default_rng(12)
