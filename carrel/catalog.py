@@ -538,7 +538,7 @@ def union_sources(spark, d):
 
 @query
 def manifest_upsert(spark, d):
-    entries = read(spark, d, "pages").select(F.col("page_id").alias("pos"), F.regexp_extract("url", "://([^/?#]*)", 1).alias("url"), F.regexp_extract("html", "<html lang=\"([a-z]*)\"", 1).alias("category"), F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("title"), F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string")).alias("source_page"))
+    entries = read(spark, d, "pages").select(F.col("page_id").alias("pos"), F.regexp_extract("url", "://([^/?#]*)", 1).alias("url"), F.regexp_extract("html", "<html lang=\"([a-z]*)\"", 1).alias("category"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("p"), F.col("page_id").cast("string"))).otherwise("").alias("title"), F.concat(F.lit("s"), (F.col("page_id") % 5).cast("string")).alias("source_page"))
     folder, third = f"{sinks.scratch(spark, 'manifest')}/table", entries.count() / 3
     for k in range(3):  # entries come in three batches, in the order of their places
         stored = sampling.upsert_manifest(entries.where((F.col("pos") >= k * third) & ((F.col("pos") < (k + 1) * third) | F.lit(k == 2))), folder)
@@ -651,7 +651,7 @@ def tumor_codes(spark, d):
     """Detection and the coding pass behind it; codes of no valid shape are blank."""
     chunks = _chunks(spark, d).withColumn("patient_id", F.col("conv_id").cast("string"))
     found = tumors.coded(tumors.detected(chunks, models.EchoClient(_diagnose)), models.EchoClient(_codes_of))
-    return found.select("patient_id", "tumor_index", "cancer_type", "primary_site_code", "histology_code")
+    return found.select("patient_id", "tumor_index", "cancer_type", "primary_site_hint", "primary_site_code", "histology_code")
 
 
 def _staging_units(spark, d):

@@ -47,6 +47,18 @@ def chosen_parser(model: Column, configured: Column) -> Column:
     return F.when(configured.isNull() | name.isin(NO_PARSER), None).when(name == "auto", inferred_parser(model)).otherwise(parser_name(configured))
 
 
+def parser_of(model: str, configured: str | None = "auto") -> str | None:
+    """chosen_parser for one model and setting."""
+    plain = lambda x: re.sub("[^a-z0-9]+", "_", x.lower()).strip("_")
+    name = plain(configured) if configured is not None else ""
+    if name in NO_PARSER:
+        return None
+    if name == "auto":
+        compact = re.sub("[^a-z0-9]", "", model.lower())
+        return next((parser for part, parser in FAMILIES.items() if part in compact), None)
+    return PARSER_ALIASES.get(name, name)
+
+
 def _pattern(parser: str) -> str:
     return "|".join(re.escape(m) for m in MARKS[parser])
 

@@ -13,6 +13,7 @@ repeated task or a resumed run asks for the open requests only.
 from __future__ import annotations
 
 import json
+import re
 import threading
 import time
 from collections import deque
@@ -144,11 +145,10 @@ def _next(held: deque, ordered: bool):
 
 
 def as_object(answer: str) -> dict:
-    """The JSON object in an answer: fences off, a one-element array unwrapped; else ValueError."""
+    """The JSON object in an answer: a fence around all of it off, a one-element array unwrapped; else ValueError."""
     body = answer.strip()
-    if body.startswith("```"):
-        body = body.split("\n", 1)[-1].rsplit("```", 1)[0]
-    found = json.loads(body)
+    block = re.fullmatch(r"```(?:json)?\s*(.*?)\s*```", body, re.DOTALL)
+    found = json.loads(block[1] if block else body)
     if isinstance(found, list) and len(found) == 1:
         found = found[0]
     if not isinstance(found, dict):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carrel.functions.web import file_name, plain_url
 from carrel.sources.sinks import scratch
 
 
@@ -27,9 +28,14 @@ def without_documents(patients: DataFrame, docs: DataFrame, key: str) -> DataFra
 
 
 def manifest(entries: DataFrame) -> DataFrame:
-    """One row for each url: first category and title, all source pages in order, each once."""
+    """One row for each address (plain_url; blank ones go): first category and title, all source pages in order, each once.
+
+    An address without a title has its file name for one.
+    """
     pages = F.array_sort(F.collect_list(F.struct("pos", "source_page")))
-    return entries.groupBy("url").agg(F.min_by("category", "pos").alias("category"), F.min_by("title", "pos").alias("title"), F.array_distinct(F.transform(pages, lambda p: p["source_page"])).alias("source_pages"))
+    named = entries.withColumn("url", plain_url(F.col("url"))).where("url <> ''").groupBy("url")
+    rows = named.agg(F.min_by("category", "pos").alias("category"), F.min_by("title", "pos").alias("title"), F.array_distinct(F.transform(pages, lambda p: p["source_page"])).alias("source_pages"))
+    return rows.withColumn("title", F.when(F.coalesce("title", F.lit("")) == "", file_name(F.col("url"), F.lit(""))).otherwise(F.col("title")))
 
 
 #: folders over which a stored manifest's addresses are dealt

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrel.functions.scalars import morphology, text, topography
+from carrel.functions.scalars import morphology, sided_site, text, topography
 from carrel.operators.models import Client, answered, called_object, in_flight, request_id
 
 FIELDS = ["cancer_type", "primary_site_hint", "approximate_date", "evidence", "histology", "laterality"]
@@ -99,7 +99,7 @@ _CODED = "struct<coded:array<struct<primary_site_code:string,histology_code:stri
 
 
 def coded(found: DataFrame, client: Client, attempts: int = 1, ask: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """``found`` (the rows of detected()) with primary_site_code and histology_code, from one call a patient.
+    """``found`` (the rows of detected()) with primary_site_code and histology_code, from one call a patient, and sides in site hints.
 
     The answers' entries belong to the diagnoses by their place. A missing or unreadable entry, a
     code of no valid shape and a failed call leave '' there. Patients whose only row is the unknown
@@ -114,4 +114,5 @@ def coded(found: DataFrame, client: Client, attempts: int = 1, ask: Callable[[Da
     answers = (ask(requests) if ask else answered(requests, client, attempts=attempts, objects=True)).where("error is null").select("request_id", F.from_json("response", _CODED)["coded"].alias("coded"))
     entries = asked.select("patient_id", "request_id").join(answers, "request_id").select("patient_id", F.posexplode("coded").alias("tumor_index", "entry"))
     entries = entries.select("patient_id", "tumor_index", topography(text(F.col("entry.primary_site_code"))).alias("primary_site_code"), morphology(text(F.col("entry.histology_code"))).alias("histology_code"))
-    return found.join(entries, ["patient_id", "tumor_index"], "left").na.fill("", ["primary_site_code", "histology_code"])
+    sided = found.withColumn("primary_site_hint", sided_site(F.col("primary_site_hint"), F.col("laterality")))
+    return sided.join(entries, ["patient_id", "tumor_index"], "left").na.fill("", ["primary_site_code", "histology_code"])

@@ -307,7 +307,7 @@ SELECT conv_id, chunk_index, coalesce(h[1], carried) AS first_date, coalesce(h[-
     "tumor_fold": f"""{_CHUNKS}, said AS (SELECT conv_id, chunk_index, CASE WHEN contains(chunk_text, 'the') THEN 'breast' ELSE 'colon' END AS kind FROM chunks),
 last AS (SELECT conv_id, arg_max(kind, chunk_index) AS kind FROM said GROUP BY 1)
 SELECT CAST(l.conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, l.kind AS cancer_type, 'site' AS primary_site_hint, 'left' AS laterality, CAST(count(*) FILTER (s.kind = l.kind) AS INT) AS n_chunks FROM last l JOIN said s ON s.conv_id = l.conv_id GROUP BY ALL""",
-    "tumor_codes": f"""{_CHUNKS} SELECT CAST(conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, CASE WHEN breast THEN 'breast' ELSE 'colon' END AS cancer_type, CASE WHEN breast THEN 'C50.9' ELSE 'C18.2' END AS primary_site_code, CASE WHEN breast THEN '8500' ELSE '' END AS histology_code
+    "tumor_codes": f"""{_CHUNKS} SELECT CAST(conv_id AS VARCHAR) AS patient_id, CAST(0 AS INT) AS tumor_index, CASE WHEN breast THEN 'breast' ELSE 'colon' END AS cancer_type, 'left site' AS primary_site_hint, CASE WHEN breast THEN 'C50.9' ELSE 'C18.2' END AS primary_site_code, CASE WHEN breast THEN '8500' ELSE '' END AS histology_code
 FROM (SELECT conv_id, arg_max(contains(chunk_text, 'the'), chunk_index) AS breast FROM chunks GROUP BY 1)""",
     "staging_phase_items": f"WITH schemas AS ({_SCHEMA_OF}), items AS (" + " UNION ALL ".join(f"SELECT '{name}' AS schema, unnest({items}) AS item" for name, items in _STAGING.items()) + ") SELECT CAST(o_orderkey AS VARCHAR) AS patient_id, CAST(item AS INT) AS item FROM schemas JOIN items USING (schema)",
     "first_open_round": "WITH w AS (SELECT DISTINCT conv_id, turn FROM conversations), o AS (SELECT min(turn) AS first FROM w WHERE NOT (turn < 2 OR conv_id % 3 = 0)) SELECT CAST(max(turn) + 1 AS INT) AS n_rounds, CAST(coalesce(any_value(first), max(turn) + 1) AS INT) AS first_open FROM w, o",
@@ -411,8 +411,8 @@ SELECT query_id, title, score, CAST(place AS INT) AS place FROM (SELECT *, row_n
     "docs_per_patient_stats": "SELECT count(*) AS n_keys, min(n) AS least, median(n) AS middle, max(n) AS most, round(avg(n), 4) AS mean FROM (SELECT count(*) AS n FROM documents GROUP BY source)",
     "value_counts_top10": "SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, p_brand LIMIT 10",
     "union_sources": "SELECT source, count(*) AS rows, CAST(sum(n) AS BIGINT) AS chars FROM (SELECT 'documents' AS source, length(text) AS n FROM documents UNION ALL SELECT 'pages', length(html) FROM pages UNION ALL SELECT 'conversations', length(text) FROM conversations) GROUP BY 1",
-    "manifest_upsert": """WITH e AS (SELECT page_id AS pos, regexp_extract(url, '://([^/?#]*)', 1) AS url, regexp_extract(html, '<html lang="([a-z]*)"', 1) AS category, 'p' || page_id AS title, 's' || (page_id % 5) AS source_page FROM pages), p AS (SELECT url, source_page, min(pos) AS pos FROM e GROUP BY 1, 2)
-SELECT e.url, arg_min(category, pos) AS category, arg_min(title, pos) AS title, (SELECT string_agg(source_page, ',' ORDER BY p.pos) FROM p WHERE p.url = e.url) AS source_pages FROM e GROUP BY e.url""",
+    "manifest_upsert": """WITH e AS (SELECT page_id AS pos, regexp_extract(url, '://([^/?#]*)', 1) AS url, regexp_extract(html, '<html lang="([a-z]*)"', 1) AS category, CASE WHEN page_id % 2 = 0 THEN 'p' || page_id ELSE '' END AS title, 's' || (page_id % 5) AS source_page FROM pages), p AS (SELECT url, source_page, min(pos) AS pos FROM e GROUP BY 1, 2)
+SELECT e.url, arg_min(category, pos) AS category, coalesce(nullif(arg_min(title, pos), ''), e.url) AS title, (SELECT string_agg(source_page, ',' ORDER BY p.pos) FROM p WHERE p.url = e.url) AS source_pages FROM e GROUP BY e.url""",
     "run_summary": "SELECT count(*) AS records, count(DISTINCT o_custkey) AS patients, round(count(*) / count(DISTINCT o_custkey), 4) AS per_patient FROM orders",
     "link_harvest": r"""SELECT page_id, CAST(k - 1 AS INT) AS place, CASE WHEN target LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || target ELSE target END AS url, text FROM (
 SELECT page_id, url, unnest(generate_series(1, len(t))) AS k, unnest(t) AS target, trim(regexp_replace(unnest(x), '\\s+', ' ', 'g')) AS text FROM (

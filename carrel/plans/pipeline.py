@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carrel.functions import dates
+from carrel.functions.reasoning import parser_of
 from carrel.functions.scalars import either
 from carrel.operators import chunking, confidence, matching, merging, models, resolution, rules, tumors
 from carrel.operators.prompts import narrative_results
@@ -39,7 +40,8 @@ class Run:
     attempts: int = models.ATTEMPTS
     in_flight: int = models.IN_FLIGHT
     per_second: float | None = None
-    parser: str | None = None
+    model: str = ""
+    parser: str | None = "auto"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -56,7 +58,7 @@ def _kept(df: DataFrame, path: str) -> DataFrame:
 
 def asked(requests: DataFrame, client: models.Client, run: Run) -> DataFrame:
     """Answers that are stored as they come: a stopped phase asks for its open requests only."""
-    return answered_durably(requests, client, f"{run.folder}/answers", attempts=run.attempts, objects=True, width=run.in_flight, per_second=run.per_second, parser=run.parser)
+    return answered_durably(requests, client, f"{run.folder}/answers", attempts=run.attempts, objects=True, width=run.in_flight, per_second=run.per_second, parser=parser_of(run.model, run.parser))
 
 
 def calls(spark: SparkSession, run: Run) -> DataFrame:

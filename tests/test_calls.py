@@ -134,6 +134,18 @@ def test_reasoning_by_column_and_by_worker(spark):
         assert tuple(row["s"]) == want == reasoning.split_reply(text or "", parser)
 
 
+def test_parser_of_a_model():
+    assert [reasoning.parser_of(m) for m in ("openai/gpt-oss-120b", "Qwen/Qwen3.6-72B", "gemma-4-27b", "llama", "")] == ["openai_gptoss", "qwen3", "gemma4", None, None]
+    assert [reasoning.parser_of("qwen3", c) for c in ("none", " OFF ", None, "", "GPT-OSS", "qwen-3", "other parser", "Auto")] == [None, None, None, None, "openai_gptoss", "qwen3", "other_parser", "qwen3"]
+
+
+def test_objects_in_fences():
+    assert models.as_object('```\n{"a": 1}```') == {"a": 1} == models.as_object(' ```json {"a": 1} ``` ')
+    for bad in ('```json\n{"a": 1}', 'x ```{"a": 1}```'):
+        with pytest.raises(ValueError):
+            models.as_object(bad)
+
+
 def test_the_log_comes_with_the_answers(spark, tmp_path):
     def answer(system, prompt):
         (tmp_path / f"{time.time_ns()}").write_text(prompt)

@@ -579,6 +579,12 @@ def test_a_stored_manifest_takes_new_entries_in(spark, tmp_path):
     assert set(before.items()) & set(after.items())  # folders without new entries stay as they were
 
 
+def test_manifest_addresses_and_titles(spark):
+    rows = [(" http://a.org/x y.pdf ", "c", "", 0, "s"), ("http://a.org/x%20y.pdf", "d", "later", 1, "t"), ("", "c", "t", 2, "s"), (None, "c", "t", 3, "s")]
+    got = sampling.manifest(spark.createDataFrame(rows, "url string, category string, title string, pos int, source_page string")).collect()
+    assert [(r["url"], r["category"], r["title"], r["source_pages"]) for r in got] == [("http://a.org/x%20y.pdf", "c", "x_20y.pdf", ["s", "t"])]
+
+
 def test_sampling(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     a, b = rows(sampling.sampled(df, 10, 42, ["k"])), rows(sampling.sampled(df.repartition(7), 10, 42, ["k"]))
