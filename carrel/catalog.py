@@ -715,6 +715,38 @@ def text_cleanup(spark, d):
     return turns.select("conv_id", "turn", scalars.unfenced(wrapped).alias("unfenced"), scalars.summary_text(wrapped).alias("summary"), scalars.sided_site(hint, side).alias("site"))
 
 
+@query
+def text_normalisers(spark, d):
+    """One-line and manual texts of every turn, and its stage words without their letters."""
+    x = F.concat(F.lit(" *  "), F.col("text"), F.lit("\t \n\n\n\n x * "))
+    stage = F.concat(F.expr(pick("turn", 21, ["c", "p", "P", "", "yp"])), F.expr(pick("conv_id", 22, ["T1", "N0", "IIA", "M1", "X", "other"])))
+    turns = read(spark, d, "conversations").where("text is not null")
+    return turns.select("conv_id", "turn", scalars.one_line(x).alias("one_line"), scalars.manual_text(x).alias("manual"), scalars.stage_display(stage).alias("stage"))
+
+
+@query
+def compression_prompts(spark, d):
+    """The note of every turn behind the metadata that it has."""
+    turns = read(spark, d, "conversations")
+    body = compression.prompt(F.col("text"), document_type=F.when(F.col("turn") % 2 == 0, F.col("role")), note_date=F.concat(F.lit(" 2024-"), F.col("turn").cast("string")))
+    return turns.select("conv_id", "turn", body.alias("prompt"))
+
+
+@query
+def compression_outcome(spark, d):
+    """Rows, errors and fallbacks by conversation length of a compression whose client fails now and then."""
+    done = compression.compressed(_compressible(spark, d), models.EchoClient(_answer), 1)
+    return compression.outcome(done)
+
+
+@query
+def prior_state_blocks(spark, d):
+    """What is known of every record, as the prompt of the next round shows it."""
+    results = _results(spark, d).where(F.col("item").isin(220, 400, 522, 880, 1290)).withColumn("name", F.concat(F.lit("n"), F.col("item").cast("string")))
+    units = read(spark, d, "orders").select(F.col("o_orderkey").alias("rec"))
+    return prompts.prior_state(results, units, ["rec"]).select("rec", "prior")
+
+
 @query
 def usage_numbers(spark, d):
     """The numbers of a reply's usage object under either name."""

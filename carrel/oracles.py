@@ -434,3 +434,12 @@ SELECT patient, item, value, count(*) AS n FROM v WHERE item <> 220 OR EXISTS (S
 }
 ORACLES["window_overlap_bins"] = ORACLES["window_overlap_join"]
 ORACLES["tumor_stream"] = ORACLES["tumor_fold"]
+ORACLES["text_normalisers"] = rf"""SELECT conv_id, turn, regexp_replace(regexp_replace(x, '\s+', ' ', 'g'), '^[ *]+|[ *]+$', '', 'g') AS one_line,
+regexp_replace(regexp_replace(regexp_replace(x, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS manual,
+CASE WHEN s[1] IN ('c', 'p', 'P') AND upper(s[2]) IN ('T', 'N', 'M', '0', 'I', 'V', 'X') THEN s[2:] ELSE s END AS stage
+FROM (SELECT *, ' *  ' || text || chr(9) || ' ' || repeat(chr(10), 4) || ' x * ' AS x, {pick('turn', 21, ['c', 'p', 'P', '', 'yp'])} || {pick('conv_id', 22, ['T1', 'N0', 'IIA', 'M1', 'X', 'other'])} AS s FROM conversations WHERE text IS NOT NULL)"""
+ORACLES["compression_prompts"] = """SELECT conv_id, turn, CASE WHEN turn % 2 = 0 AND trim(coalesce(role, '')) <> '' THEN 'Document Type: ' || trim(role) || chr(10) ELSE '' END || 'Note Date: 2024-' || turn || chr(10) || chr(10) || 'Note:' || chr(10) || coalesce(text, '') AS prompt FROM conversations"""
+ORACLES["compression_outcome"] = f"""SELECT count(*) AS rows, count(error) AS errors, count(*) FILTER (used_fallback) AS fallbacks FROM ({ORACLES["compress_with_fallback"]})"""
+ORACLES["prior_state_blocks"] = f"""WITH rec AS ({WIDE}), {_LONG}, shown AS (SELECT rec, item, coalesce(nullif(resolved, ''), nullif(extracted, ''), '') AS v, confidence FROM long WHERE item IN (220, 400, 522, 880, 1290) AND confidence > 0),
+known AS (SELECT rec, 'Known so far (change only on better evidence):' || chr(10) || string_agg(printf('- n%d (item %d): %s (confidence %.2f)', item, item, v, confidence), chr(10) ORDER BY item) AS prior FROM shown WHERE v <> '' GROUP BY rec)
+SELECT o_orderkey AS rec, coalesce(prior, 'Nothing is known yet: these are the first notes.') AS prior FROM orders LEFT JOIN known ON rec = o_orderkey"""

@@ -579,6 +579,23 @@ def test_a_stored_manifest_takes_new_entries_in(spark, tmp_path):
     assert set(before.items()) & set(after.items())  # folders without new entries stay as they were
 
 
+def test_the_sample_is_the_smallest_hashes(spark):
+    import struct
+
+    import xxhash
+
+    def seeded(seed, *values):  # a long is hashed on its eight bytes, with the last hash as seed
+        h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        for v in values:
+            h = xxhash.xxh64_intdigest(struct.pack("<q", v), h)
+        return h - (1 << 64) if h >> 63 else h
+
+    keys = [(k % 13, k) for k in range(500)]
+    want = sorted(sorted(keys, key=lambda k: (seeded(42, *k), k))[:60])
+    df = spark.createDataFrame(keys, "a long, b long").repartition(6)
+    assert [tuple(r) for r in sampling.sampled(df, 60, 42, ["a", "b"]).collect()] == want
+
+
 def test_manifest_addresses_and_titles(spark):
     rows = [(" http://a.org/x y.pdf ", "c", "", 0, "s"), ("http://a.org/x%20y.pdf", "d", "later", 1, "t"), ("", "c", "t", 2, "s"), (None, "c", "t", 3, "s")]
     got = sampling.manifest(spark.createDataFrame(rows, "url string, category string, title string, pos int, source_page string")).collect()
