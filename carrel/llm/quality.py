@@ -11,8 +11,8 @@ back scores the block's documents: perplexity = exp(-mean log probability). A do
 rejected above its language's threshold, which is taken from quantiles of all documents of that
 language: median + SPREAD x (upper quartile - median), widened for short texts.
 
-The trusted rows are a bounded sample of the labels (``trusted`` rows with quality 1 and not
-toxic, smallest hash first: a documented parameter). Null and blank texts have no perplexity and
+All documents that the labels trust (quality 1 and not toxic) train the model: their ids find the
+blocks they are in, and each block counts its own, so no text is exchanged once more. Null and blank texts have no perplexity and
 are rejected. A null language is a group of its own. Repeated rows are rows of their own; a null
 doc_id is scored like any other. Without any trusted text, probabilities are uniform and nothing
 but blank text is rejected. Extra columns are carried.
@@ -24,15 +24,15 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import mapped, neutral, only, pieces, restored, smallest, table, written
+from carrel.llm.common import mapped, neutral, only, pieces, restored, table, written
 
 ORDER = 4
 BITS = 16
 MASK = (1 << BITS) - 1
-TRUSTED = 20_000
 BLOCK_BYTES = 24 << 20
 #: text handled at once within a task: its arrays take some forty times as much
 PIECE = 1 << 20
@@ -84,29 +84,43 @@ def runs(texts: list[str], fold=signed) -> tuple[np.ndarray, np.ndarray]:
     return codes[np.cumsum(keep[: len(codes)]) > 0], sizes
 
 
-def _counts(batches, column: str | None):
+def _counts(batches, column: str):
     """Distinct runs with their counts, batch by batch; ``column`` tells blocks apart."""
     for batch in pieces(batches, PIECE):
-        texts = [x or "" for x in batch.column("text").to_pylist()]
-        groups = {None: texts}
-        if column:
-            groups = {}
-            for key, text in zip(batch.column(column).to_pylist(), texts, strict=True):
-                groups.setdefault(key, []).append(text)
+        groups: dict = {}
+        for key, text in zip(batch.column(column).to_pylist(), batch.column("text").to_pylist(), strict=True):
+            groups.setdefault(key, []).append(text or "")
         for key, own in groups.items():
-            codes, n = np.unique(runs(own, signed if column else unrepeated)[0], return_counts=True)
+            codes, n = np.unique(runs(own)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array([key] * len(codes), pa.int32()), pa.array(codes), pa.array(n.astype(np.int64))], ["block", "run", "n"])
 
 
 _COUNTED = "block int, run long, n long"
 
 
-def trusted_runs(docs: DataFrame, labels: DataFrame, trusted: int = TRUSTED) -> DataFrame:
-    """run, n over the bounded sample of trusted documents."""
+def trusted_runs(dealt: DataFrame, labels: DataFrame) -> DataFrame:
+    """run, n over all trusted documents; ``dealt``: doc_id, text and their block, by which it is partitioned."""
     good = only(labels, "doc_id", "quality", "toxic").where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    sample = smallest(good, trusted, "doc_id")
-    text = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left_semi").select("text")
-    return mapped(text, lambda b: _counts(b, None), _COUNTED).groupBy("run").agg(F.sum("n").alias("n"))
+
+    def ids(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("doc_id")], ["block", "doc_id"])
+
+    kind = dealt.schema["doc_id"].dataType.simpleString()
+    found = mapped(dealt, ids, f"block int, doc_id {kind}").join(good, "doc_id", "left_semi").distinct()
+
+    def count(texts: pa.Table, own: pa.Table) -> pa.Table:
+        known = texts.select(["doc_id", "text"])
+        known = known.filter(pc.is_in(known.column("doc_id"), value_set=own.column("doc_id").combine_chunks()))
+        codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in pieces(known.to_batches(), PIECE):
+            more, m = np.unique(runs([x or "" for x in batch.column("text").to_pylist()], unrepeated)[0], return_counts=True)
+            codes, at = np.unique(np.concatenate([codes, more]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([n, m]), minlength=len(codes)).astype(np.int64)
+        return pa.table({"run": pa.array(codes), "n": pa.array(n)})
+
+    counted = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(count, "run long, n long")
+    return counted.groupBy("run").agg(F.sum("n").alias("n"))
 
 
 def _context(run: Column) -> Column:
@@ -152,17 +166,17 @@ def log_probabilities(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]
     return found.select("run", F.log(F.col("p") + F.col("left") / letters).alias("logp"))
 
 
-def perplexities(docs: DataFrame, labels: DataFrame, kept: list[str], trusted: int = TRUSTED) -> DataFrame:
+def perplexities(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
     """The columns ``kept`` of ``docs`` with n_runs and perplexity.
 
-    The texts are dealt over blocks once: both the branch that lists the runs of a block and the
-    branch that scores it take all columns, so that they read one exchange.
+    The texts are dealt over blocks once: the branches that find and count trusted texts, list the
+    runs of a block and score it take all columns, so that they read one exchange.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(12, -(-size // BLOCK_BYTES))
     # a block is a hash of the row's place in its file, which a task that runs again gives again
     dealt = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    counts = written(trusted_runs(docs, labels, trusted), "trusted")
+    counts = written(trusted_runs(dealt, labels), "trusted")
     letters = max(2, counts.select(F.col("run").bitwiseAND(F.lit(MASK))).distinct().count() + 1)
     wanted = mapped(dealt, lambda b: _counts(b, "block"), _COUNTED).select("block", "run").distinct()
     scores = wanted.join(log_probabilities(wanted, kneser_ney(counts), letters), "run").select("block", "run", "logp")

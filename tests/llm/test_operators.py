@@ -288,6 +288,15 @@ def test_quality_tells_scripts_apart():
     assert len(set(kinds)) == len(kinds)
 
 
+def test_quality_learns_from_every_trusted_text(spark, tmp_path):
+    """Texts of one letter each, no two alike: a text left out of the training would cost more than the others."""
+    n = 20_400
+    spark.createDataFrame([(k, chr(0x4E00 + k), "zh") for k in range(n)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, 0) for k in range(n)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = ran(spark, "op3_quality_classifier", str(tmp_path))
+    assert len(found) == n and len({r["perplexity"] for r in found}) == 1
+
+
 def test_quality_separates_junk(spark, tmp_path):
     rng = random.Random(1)
     good = [(k, prose(rng, 150), "en") for k in range(120)]
