@@ -16,7 +16,7 @@ from carrel.plans import pipeline
 from carrel.sources import answers as answers_source
 from carrel.sources import notes, registry, sinks
 from carrel.streaming import tumors as streaming_tumors
-from carrel.synthetic import VALUES, long_expressions, pick
+from carrel.synthetic import VALUES, long_expressions, pick, picked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = oracles.ORACLES
@@ -317,7 +317,8 @@ def coded_date_order(spark, d):
 
 
 def _wide(spark, d):
-    return rules.spread(read(spark, d, "orders").select("o_orderkey")).selectExpr("o_orderkey AS rec", *(f"{pick('o_orderkey', i, x)} AS v{i}" for i, x in VALUES.items()))
+    keys = rules.spread(read(spark, d, "orders").select(F.col("o_orderkey").alias("rec")), ["rec"])
+    return keys.select("rec", *(picked("rec", i, x).alias(f"v{i}") for i, x in VALUES.items()))
 
 
 def _results(spark, d):

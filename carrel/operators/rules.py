@@ -153,13 +153,18 @@ def referenced_items() -> list[int]:
     return [220, 230, 390, 400, 410, 441, 490, 522, 523, 754, 764, 834, 880, 890, 900, 910, 940, 950, 960, 970, 1112, 1113, 1114, 1115, 1116, 1117, 1200, 1210, 1220, 1230, 1240, 1290, 1291, 1292, 1320, 1340, 1360, 1390, 1430, 1570, 1750, 1760, 1910, 2640]
 
 
-def spread(records: DataFrame) -> DataFrame:
-    """Deal narrow records over all cores where their scan has fewer splits than that (one large row group, say).
+#: records of one task: the wide columns and long rows made of a record take hundreds of times its key
+RECORDS = 100_000
 
-    Meant for keys, ahead of the wide columns that rules and scores make of them.
+
+def spread(records: DataFrame, keys: list[str]) -> DataFrame:
+    """Deal narrow records by key over tasks of about RECORDS each, over all cores at least.
+
+    Meant for keys, ahead of the wide columns that rules and scores make of them: what groups by the
+    keys afterwards finds them together and needs no exchange.
     """
     cores = records.sparkSession.sparkContext.defaultParallelism
-    return records.repartition(cores) if records.rdd.getNumPartitions() < cores else records
+    return records.repartition(max(cores, -(-records.count() // RECORDS)), *keys)
 
 
 def wide(results: DataFrame, keys: list[str], items: list[int] | None = None) -> DataFrame:

@@ -5,6 +5,9 @@ Spark and the SQL it is held against share these expressions; they only make dat
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Invented values for each item: plausible, blank, unknown and contradictory ones.
 VALUES = {
     220: ["1", "2", "9", "", "3", "F", "2"],
@@ -43,6 +46,11 @@ def pick(key: str, salt: int, values: list[str]) -> str:
     return f"CASE mod(mod({key} * {7 * salt + 31}, 9973), {len(values)}) {cases} END"
 
 
+def picked(key: str, salt: int, values: list[str]) -> Column:
+    """pick() as a look-up in a literal array: its code stays small where a row has dozens of them."""
+    return F.get(F.array(*(F.lit(x) for x in values)), F.expr(f"cast(mod(mod({key} * {7 * salt + 31}, 9973), {len(values)}) AS int)"))
+
+
 def record_columns(key: str = "o_orderkey") -> str:
     return ", ".join(f"{pick(key, item, values)} AS v{item}" for item, values in VALUES.items())
 
