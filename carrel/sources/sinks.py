@@ -93,9 +93,13 @@ def written_once(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: rows of one CSV file: values may hold line ends, so a reader takes each file in one task
+CSV_ROWS = 20_000
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Quoted where needed; outer blanks of values stay."""
-    df.write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    """Files of at most CSV_ROWS rows, quoted where needed; outer blanks of values stay."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", CSV_ROWS).csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def scratch(spark: SparkSession, name: str) -> str:

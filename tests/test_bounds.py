@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from carrel.operators import rules
+from carrel.sources import notes, sinks
 from carrel.synthetic import pick, picked
 
 
@@ -20,3 +21,14 @@ def test_picked_values_are_those_of_the_sql(spark):
     keys = spark.range(-50, 50).union(spark.sql("SELECT CAST(NULL AS bigint)"))
     values = ["a", "", "b", "c"]
     assert keys.where(~picked("id", 5, values).eqNullSafe(F.expr(pick("id", 5, values)))).isEmpty()
+
+
+def test_csv_files_have_bounded_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "CSV_ROWS", 20)
+    rows = spark.range(50).coalesce(1).select(F.col("id").cast("string").alias("id"), F.lit('a "b",\n c').alias("text"))
+    path = f"{tmp_path}/out.csv"
+    sinks.write_csv(rows, path)
+    found = notes.read_table(spark, path)
+    each = [r["n"] for r in found.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert sorted(each) == [10, 20, 20]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
