@@ -44,8 +44,11 @@ def prior_state(results: DataFrame, units: DataFrame, keys: list[str]) -> DataFr
     """keys, prior for every unit: its results with a value and a confidence above 0, in item order."""
     value = either(F.coalesce("resolved", F.lit("")), F.coalesce("extracted", F.lit("")))
     shown = results.where((F.col("confidence") > 0) & (value != "")).select(*keys, F.struct("item", F.format_string("- %s (item %d): %s (confidence %.2f)", F.coalesce("name", F.lit("")), "item", value, "confidence").alias("line")).alias("l"))
-    blocks = shown.groupBy(*keys).agg(F.concat(F.lit("Known so far (change only on better evidence):\n"), _lines("l")).alias("prior"))
-    return units.select(*keys).distinct().join(blocks, keys, "left").withColumn("prior", F.coalesce("prior", F.lit(NO_STATE)))
+    # the units join the grouping as rows without a line: a join behind it would sort all blocks
+    whose = units.select(*keys).distinct().withColumn("l", F.lit(None).cast(shown.schema["l"].dataType))
+    named = shown.dropna(subset=keys).select("*", F.lit(False).alias("unit")).unionByName(whose.withColumn("unit", F.lit(True)))
+    blocks = named.groupBy(*keys).agg(F.max("unit").alias("unit"), F.count("l").alias("n"), _lines("l").alias("lines")).where("unit")
+    return blocks.select(*keys, F.when(F.col("n") > 0, F.concat(F.lit("Known so far (change only on better evidence):\n"), "lines")).otherwise(NO_STATE).alias("prior"))
 
 
 def prior_narratives(results: DataFrame, units: DataFrame, keys: list[str], text_items: list[int]) -> DataFrame:

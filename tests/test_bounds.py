@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.operators import rules
+from carrel.operators import prompts, rules
 from carrel.sources import notes, sinks
 from carrel.synthetic import pick, picked
 
@@ -32,3 +32,14 @@ def test_csv_files_have_bounded_rows(spark, tmp_path, monkeypatch):
     each = [r["n"] for r in found.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert sorted(each) == [10, 20, 20]
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_prior_state_groups_without_a_join(spark):
+    results = spark.createDataFrame([(1, 400, "C50", "", 0.5, "site"), (None, 400, "C18", "", 0.5, "site"), (3, 400, "C61", "", 0.5, "site"), (4, 400, "C61", "", 0.0, "site")], "k int, item int, extracted string, resolved string, confidence double, name string")
+    units = spark.createDataFrame([(1,), (1,), (None,), (4,)], "k int")
+    found = prompts.prior_state(results, units, ["k"])
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    prior = {r["k"]: r["prior"] for r in found.collect()}
+    assert set(prior) == {1, None, 4}
+    assert prior[1].endswith("\n- site (item 400): C50 (confidence 0.50)")
+    assert prior[None] == prior[4] == prompts.NO_STATE
