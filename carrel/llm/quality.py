@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carrel.llm.common import mapped, neutral, only, pieces, restored, table, written
+from carrel.llm.common import mapped, neutral, only, pieces, restored, returned, table, written
 
 ORDER = 4
 BITS = 16
@@ -117,6 +117,7 @@ def trusted_runs(dealt: DataFrame, labels: DataFrame) -> DataFrame:
             more, m = np.unique(runs([x or "" for x in batch.column("text").to_pylist()], unrepeated)[0], return_counts=True)
             codes, at = np.unique(np.concatenate([codes, more]), return_inverse=True)
             n = np.bincount(at, weights=np.concatenate([n, m]), minlength=len(codes)).astype(np.int64)
+        returned()
         return pa.table({"run": pa.array(codes), "n": pa.array(n)})
 
     counted = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(count, "run long, n long")
@@ -140,7 +141,10 @@ def discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, flo
 
 
 def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """For orders ORDER to 1: (run, own) and (context, rest): p = own + rest x p of the shorter run."""
+    """For orders ORDER to 1: (run, own) and (context, rest): p = own + rest x p of the shorter run.
+
+    The counts of each order are written, so that no plan holds those of the orders above it again.
+    """
     out = []
     for order in range(ORDER, 0, -1):
         sums = counts.agg(*(F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4))).first()
@@ -149,7 +153,8 @@ def kneser_ney(counts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
         by_context = counts.withColumn("context", _context(F.col("run"))).groupBy("context").agg(F.sum("n").alias("total"), F.sum(d).alias("held"))
         own = counts.withColumn("context", _context(F.col("run"))).join(by_context, "context").select("run", ((F.col("n") - d) / F.col("total")).alias("own"))
         out.append((own, by_context.select("context", (F.col("held") / F.col("total")).alias("rest"))))
-        counts = counts.groupBy(_shorter(F.col("run"), order).alias("run")).agg(F.count("*").alias("n"))
+        if order > 1:
+            counts = written(counts.groupBy(_shorter(F.col("run"), order).alias("run")).agg(F.count("*").alias("n")), "shorter")
     return out
 
 
@@ -178,7 +183,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFra
     dealt = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).repartition(blocks, "block")
     counts = written(trusted_runs(dealt, labels), "trusted")
     letters = max(2, counts.select(F.col("run").bitwiseAND(F.lit(MASK))).distinct().count() + 1)
-    wanted = mapped(dealt, lambda b: _counts(b, "block"), _COUNTED).select("block", "run").distinct()
+    wanted = written(mapped(dealt, lambda b: _counts(b, "block"), _COUNTED).select("block", "run").distinct(), "wanted")  # read twice
     scores = wanted.join(log_probabilities(wanted, kneser_ney(counts), letters), "run").select("block", "run", "logp")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
 
@@ -194,6 +199,7 @@ def perplexities(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFra
             n += sizes.tolist()
             mean += [math.exp(-t / s) if s else None for t, s in zip(total.tolist(), sizes.tolist(), strict=True)]
         columns = [texts.column(c) for c in kept]
+        returned()
         return pa.Table.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(mean, pa.float64())], [*kept, "n_runs", "perplexity"])
 
     return dealt.groupBy("block").cogroup(scores.groupBy("block")).applyInArrow(score, f"{kinds}, n_runs long, perplexity double")

@@ -3,8 +3,10 @@
 import itertools
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from carrel.llm import catalog, sentences, suffixes
+from carrel.llm import catalog, quality, sentences, suffixes
 from carrel.llm.common import neutral, restored, table
 
 NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -93,3 +95,10 @@ def test_clashing_names_come_back(spark):
     df = spark.createDataFrame([(1, "a", "b", 2)], "doc_id long, text string, TEXT string, block int")
     back = restored(neutral(df, "doc_id", "text"), df, "doc_id", "text")
     assert back.columns == df.columns and back.first() == df.first()
+
+
+def test_model_of_an_order_does_not_hold_the_orders_above(spark):
+    counts = spark.range(200).select((F.col("id") * 7919 * 65537).alias("run"), (F.col("id") % 5 + 1).alias("n"))
+    for own, rest in quality.kneser_ney(counts)[1:]:
+        for part, most in ((rest, 2), (own, 2)):
+            assert part._jdf.queryExecution().executedPlan().toString().count("HashAggregate") <= most
