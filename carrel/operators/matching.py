@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carrel.sources.sinks import scratch
+from carrel.operators.resolution import small
+from carrel.sources.sinks import scratch, written_once
 
 FAR = 10**9
 MAX_DAYS = 365
@@ -28,11 +29,14 @@ def in_window(docs: DataFrame, tumors: DataFrame, key: str = "patient_id", hot:
     An equi-join on the key with the overlap as its residual condition; keys with more than ``hot``
     documents, which are counted first, meet by bins of time instead.
     """
-    large = docs.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hot).select(key)
+    large = docs.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > hot)
+    large = written_once(large, scratch(docs.sparkSession, "hot"))  # read several times
     if large.isEmpty():
         return _by_key(docs, tumors, key)
-    side = lambda rows, how: rows.join(large, key, how).select(*rows.columns)
-    return _by_key(side(docs, "left_anti"), side(tumors, "left_anti"), key).unionByName(_by_bins(side(docs, "left_semi"), side(tumors, "left_semi"), key))
+    loose = tumors.where("window is null").select(key).distinct().withColumn("loose_", F.lit(True))
+    parts = F.least(F.lit(DEALT), F.ceil(F.col("n") / max(hot, 1))).cast("int")
+    known = small(large.select(key, parts.alias("parts_")).join(loose, key, "left"))  # few of them meet the documents where those are
+    return _by_bins(docs, tumors, key, known)
 
 
 def _columns(docs: DataFrame, tumors: DataFrame) -> list:
@@ -45,24 +49,31 @@ def _by_key(docs: DataFrame, tumors: DataFrame, key: str) -> DataFrame:
     return d.join(t, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("t.window").isNull() | overlap)).select(*_columns(docs, tumors))
 
 
-def _by_bins(docs: DataFrame, tumors: DataFrame, key: str) -> DataFrame:
-    """The same pairs: both sides are dealt to the bins that they touch and meet by key and bin.
+def _by_bins(docs: DataFrame, tumors: DataFrame, key: str, known: DataFrame | None = None) -> DataFrame:
+    """The same pairs: rows of the keys in ``known`` (key, parts_, loose_; every key if none is given) are dealt to the bins of time that they touch.
 
-    A pair that shares several bins counts in the first of them only. Tumors without a window go to
-    every part of their key's documents instead.
+    A pair that shares several bins counts in the first of them only. A tumor without a window goes to
+    every part of its key's documents instead, as many as ``parts_``, and documents to a part only where
+    there is such a tumor. All other keys have one slot and go the same way.
     """
-    days = lambda x: F.unix_date(F.col(x).cast("date"))
-    bin_of = lambda x: F.floor(days(x) / BIN_DAYS)
-    bound = lambda rows, name: rows.select(*(c for c in rows.columns if c != name), F.explode(F.array(name)).alias(name)).where(F.col(name).isNotNull())  # noqa: E731  computed once, whatever reads it
-    d = bound(docs, "span").withColumn("first_", bin_of("span.lo")).withColumn("bin_", F.explode(F.sequence(F.col("first_"), bin_of("span.hi")))).alias("d")
-    t = bound(tumors, "window").withColumn("first_", bin_of("window.lo")).withColumn("bin_", F.explode(F.sequence(F.col("first_"), bin_of("window.hi")))).alias("t")
+    marked = lambda rows: rows.select("*", F.lit(DEALT).alias("parts_"), F.lit(True).alias("loose_")) if known is None else rows.join(known, key, "left")
+    bin_of = lambda x: F.floor(F.unix_date(F.col(x).cast("date")) / BIN_DAYS)
+    slot = lambda kind, n: F.struct(F.lit(kind).alias("kind"), n.cast("bigint").alias("n"))
+    none = F.array().cast("array<struct<kind:int,n:bigint>>")
+    bins = lambda x: F.coalesce(F.transform(F.sequence(bin_of(f"{x}.lo"), bin_of(f"{x}.hi")), lambda n: slot(1, n)), none)
+    bound = lambda rows, name: rows.select(*(c for c in rows.columns if c != name), F.explode(F.array(name)).alias(name))  # noqa: E731  computed once, whatever reads it
+    single = F.when(F.col("parts_").isNull(), F.array(slot(0, F.lit(0))))
+    part = F.pmod(F.xxhash64(*(F.col(c) for c in docs.columns if c != key)), F.col("parts_"))
+    d, t = marked(bound(docs, "span")), marked(bound(tumors, "window"))
+    loose = t.where("window is null and parts_ is not null").withColumn("slot_", F.explode(F.transform(F.sequence(F.lit(0), F.col("parts_") - 1), lambda n: slot(2, n))))
+    t = t.withColumn("slot_", F.explode(single.when(F.col("window").isNotNull(), bins("window")).otherwise(none)))
     overlap = (F.col("d.span.lo") <= F.col("t.window.hi")) & (F.col("d.span.hi") >= F.col("t.window.lo"))
-    once = F.col("d.bin_") == F.greatest("d.first_", "t.first_")
+    once = (F.col("d.slot_.kind") != 1) | (F.col("d.slot_.n") == F.greatest(bin_of("d.span.lo"), bin_of("t.window.lo")))
+    same = (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("d.slot_.kind") == F.col("t.slot_.kind")) & (F.col("d.slot_.n") == F.col("t.slot_.n"))
     columns = [*(F.col(f"t.{c}") for c in tumors.columns), *(F.col(f"d.{c}") for c in docs.columns if c not in tumors.columns)]
-    met = d.join(t, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("d.bin_") == F.col("t.bin_")) & overlap & once).select(*columns)
-    dealt = docs.withColumn("part_", F.pmod(F.xxhash64(*(F.col(c) for c in docs.columns if c != key)), F.lit(DEALT))).alias("d")
-    every = tumors.where("window is null").withColumn("part_", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1)).cast("array<bigint>"))).alias("t")
-    return met.union(dealt.join(every, (F.col(f"d.{key}") == F.col(f"t.{key}")) & (F.col("d.part_") == F.col("t.part_"))).select(*columns))
+    met = d.withColumn("slot_", F.explode(single.otherwise(bins("span")))).alias("d").join(t.alias("t"), same & (F.col("t.window").isNull() | overlap) & once).select(*columns)
+    dealt = d.where("loose_").withColumn("slot_", slot(2, part)).alias("d")
+    return met.union(dealt.join(loose.alias("t"), same).select(*columns))
 
 
 def _pairs(truth: DataFrame, predicted: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.operators import prompts, rules
+from carrel.operators import matching, prompts, rules
 from carrel.sources import notes, sinks
 from carrel.synthetic import pick, picked
 
@@ -43,3 +43,18 @@ def test_prior_state_groups_without_a_join(spark):
     assert set(prior) == {1, None, 4}
     assert prior[1].endswith("\n- site (item 400): C50 (confidence 0.50)")
     assert prior[None] == prior[4] == prompts.NO_STATE
+
+
+def test_windows_of_hot_and_other_keys_go_one_way(spark):
+    day = lambda n: F.date_add(F.lit("2020-01-01").cast("date"), n.cast("int"))
+    span = F.struct(day(F.col("id") * 5).alias("lo"), day(F.col("id") * 5 + F.col("id") % 70).alias("hi"))
+    docs = spark.range(120).select((F.sqrt("id").cast("int")).alias("p"), F.col("id").alias("doc"), F.when(F.col("id") % 9 > 0, span).alias("span"))
+    docs = docs.union(spark.sql("SELECT CAST(NULL AS int), 500L, CAST(NULL AS struct<lo:date,hi:date>)"))
+    window = F.struct(day(F.col("id") * 9 - 30).alias("lo"), day(F.col("id") * 9 + 60).alias("hi"))
+    tumors = spark.range(60).select((F.col("id") % 15).cast("int").alias("p"), F.col("id").alias("tumor"), F.when(F.col("id") % 4 > 0, window).alias("window"))
+    pairs = lambda df: sorted((r["p"], r["tumor"], r["doc"]) for r in df.collect())
+    wanted = pairs(matching._by_key(docs, tumors, "p"))
+    for hot in (0, 3, 10):
+        found = matching.in_window(docs, tumors, "p", hot)
+        assert pairs(found) == wanted
+        assert "LeftAnti" not in found._jdf.queryExecution().optimizedPlan().toString()
