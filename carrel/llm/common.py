@@ -115,11 +115,20 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: the shuffle files of a query go when it ends, not when the driver happens to collect its garbage
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back."""
+    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back; nothing else stays on disk of it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANED, None)
+    spark.conf.set(_CLEANED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANED) if before is None else spark.conf.set(_CLEANED, before)
     atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 

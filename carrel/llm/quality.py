@@ -84,22 +84,11 @@ def runs(texts: list[str], fold=signed) -> tuple[np.ndarray, np.ndarray]:
     return codes[np.cumsum(keep[: len(codes)]) > 0], sizes
 
 
-def _counts(batches, column: str):
-    """Distinct runs with their counts, batch by batch; ``column`` tells blocks apart."""
-    for batch in pieces(batches, PIECE):
-        groups: dict = {}
-        for key, text in zip(batch.column(column).to_pylist(), batch.column("text").to_pylist(), strict=True):
-            groups.setdefault(key, []).append(text or "")
-        for key, own in groups.items():
-            codes, n = np.unique(runs(own)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([key] * len(codes), pa.int32()), pa.array(codes), pa.array(n.astype(np.int64))], ["block", "run", "n"])
+def block_runs(dealt: DataFrame, labels: DataFrame) -> DataFrame:
+    """block, run, n: the distinct runs of each block's texts (n is null), and those of its trusted texts with their counts.
 
-
-_COUNTED = "block int, run long, n long"
-
-
-def trusted_runs(dealt: DataFrame, labels: DataFrame) -> DataFrame:
-    """run, n over all trusted documents; ``dealt``: doc_id, text and their block, by which it is partitioned."""
+    ``dealt``: doc_id, text and their block, by which it is partitioned; one pass gives both, so its texts are exchanged once.
+    """
     good = only(labels, "doc_id", "quality", "toxic").where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
 
     def ids(batches):
@@ -110,6 +99,9 @@ def trusted_runs(dealt: DataFrame, labels: DataFrame) -> DataFrame:
     found = mapped(dealt, ids, f"block int, doc_id {kind}").join(good, "doc_id", "left_semi").distinct()
 
     def count(texts: pa.Table, own: pa.Table) -> pa.Table:
+        wanted = np.zeros(0, np.int64)
+        for batch in pieces(texts.select(["text"]).to_batches(), PIECE):
+            wanted = np.union1d(wanted, runs([x or "" for x in batch.column("text").to_pylist()])[0])
         known = texts.select(["doc_id", "text"])
         known = known.filter(pc.is_in(known.column("doc_id"), value_set=own.column("doc_id").combine_chunks()))
         codes, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -117,11 +109,12 @@ def trusted_runs(dealt: DataFrame, labels: DataFrame) -> DataFrame:
             more, m = np.unique(runs([x or "" for x in batch.column("text").to_pylist()], unrepeated)[0], return_counts=True)
             codes, at = np.unique(np.concatenate([codes, more]), return_inverse=True)
             n = np.bincount(at, weights=np.concatenate([n, m]), minlength=len(codes)).astype(np.int64)
+        block = texts.column("block")[0].as_py()
         returned()
-        return pa.table({"run": pa.array(codes), "n": pa.array(n)})
+        rows = len(wanted) + len(codes)
+        return pa.table({"block": pa.array(np.full(rows, block, np.int32)), "run": pa.array(np.concatenate([wanted, codes])), "n": pa.concat_arrays([pa.nulls(len(wanted), pa.int64()), pa.array(n)])})
 
-    counted = dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(count, "run long, n long")
-    return counted.groupBy("run").agg(F.sum("n").alias("n"))
+    return dealt.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(count, "block int, run long, n long")
 
 
 def _context(run: Column) -> Column:
@@ -174,16 +167,17 @@ def log_probabilities(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]
 def perplexities(docs: DataFrame, labels: DataFrame, kept: list[str]) -> DataFrame:
     """The columns ``kept`` of ``docs`` with n_runs and perplexity.
 
-    The texts are dealt over blocks once: the branches that find and count trusted texts, list the
-    runs of a block and score it take all columns, so that they read one exchange.
+    The texts are dealt over blocks twice: for their runs (the branches that find trusted texts and
+    count take all columns, so that they read one exchange), and to be scored once the model is there.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(12, -(-size // BLOCK_BYTES))
     # a block is a hash of the row's place in its file, which a task that runs again gives again
     dealt = docs.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    counts = written(trusted_runs(dealt, labels), "trusted")
+    found = written(block_runs(dealt, labels), "runs")
+    counts = written(found.where("n is not null").groupBy("run").agg(F.sum("n").alias("n")), "trusted")
     letters = max(2, counts.select(F.col("run").bitwiseAND(F.lit(MASK))).distinct().count() + 1)
-    wanted = written(mapped(dealt, lambda b: _counts(b, "block"), _COUNTED).select("block", "run").distinct(), "wanted")  # read twice
+    wanted = found.where("n is null").select("block", "run")
     scores = wanted.join(log_probabilities(wanted, kneser_ney(counts), letters), "run").select("block", "run", "logp")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
 

@@ -1,13 +1,15 @@
 """The stages against their operators' own queries, stage by stage."""
 
 import itertools
+import time
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from carrel.llm import catalog, quality, sentences, suffixes
-from carrel.llm.common import neutral, restored, table
+from carrel.llm.common import neutral, restored, table, written
 
 NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -102,3 +104,23 @@ def test_model_of_an_order_does_not_hold_the_orders_above(spark):
     for own, rest in quality.kneser_ney(counts)[1:]:
         for part, most in ((rest, 2), (own, 2)):
             assert part._jdf.queryExecution().executedPlan().toString().count("HashAggregate") <= most
+
+
+def test_quality_exchanges_its_texts_twice(spark, folder, monkeypatch):
+    """Each written table is a job with shuffles of its own: one for the runs, one for the scores."""
+    texts = []
+    monkeypatch.setattr(quality, "written", lambda df, name: (texts.append("hashpartitioning(block" in (plan := df._jdf.queryExecution().executedPlan().toString()) and "text#" in plan), written(df, name))[1])
+    catalog.QUERIES["op3_quality_classifier"](spark, folder).collect()
+    assert sum(texts) == 2
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark):
+    disk = Path(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    left = lambda: {f.name for f in disk.rglob("shuffle_*.data")}
+    before = left()
+    kept = written(spark.range(50_000).repartition(7, F.col("id") % 1000), "rows")
+    for _ in range(50):
+        if left() <= before:
+            break
+        time.sleep(0.1)
+    assert left() <= before and kept.count() == 50_000
