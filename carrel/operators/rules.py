@@ -176,24 +176,29 @@ def wide(results: DataFrame, keys: list[str], items: list[int] | None = None) ->
 
 
 def violations(records: DataFrame, keys: list[str], rules: list[Rule] | None = None) -> DataFrame:
-    """keys, seq, edit_name, severity, item_numbers, message, fix of every rule that a record breaks."""
+    """keys, seq, edit_name, severity, item_numbers, message, fix of every rule that a record breaks.
+
+    The numbers of broken rules are exploded alone; all else follows from the number, messages are
+    written for broken rules only, and what nobody asks for is never made. No key is named like a prepared column.
+    """
     rules = rules or [*cross_field_rules(), *consistency_rules()]
-    hits = [
-        F.when(
-            r.when,
-            F.struct(
-                F.lit(k).alias("seq"),
-                F.lit(r.edit).alias("edit_name"),
-                F.lit(r.severity).alias("severity"),
-                F.array(*(F.lit(i) for i in r.items)).alias("item_numbers"),
-                r.message.alias("message"),
-                (F.create_map(*(F.lit(x) for kv in r.fix.items() for x in kv)) if r.fix else F.lit(None).cast("map<int,string>")).alias("fix"),
-            ),
-        )
-        for k, r in enumerate(rules)
-    ]
-    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return prepared(records, keys).select(*keys, F.explode(found).alias("hit")).select(*keys, "hit.*")
+    known_of = lambda values: F.get(F.array(*values), F.col("seq"))
+    no_fix = F.lit(None).cast("map<int,string>")
+    fixes = F.array(*(F.create_map(*(F.lit(x) for kv in r.fix.items() for x in kv)) if r.fix else no_fix for r in rules))
+    message = reduce(lambda c, kr: c.when(F.col("seq") == kr[0], kr[1].message), list(enumerate(rules))[1:], F.when(F.col("seq") == 0, rules[0].message))
+    # a column of its own: within a higher-order function or a generator no code would be generated for the rules;
+    # outer, as otherwise filters that the planner infers from the array would hold all rules once more
+    broken = prepared(records, keys).withColumn("hits", F.array(*(F.when(r.when, F.lit(k)) for k, r in enumerate(rules))))
+    hit = broken.withColumn("seq", F.explode_outer("hits")).where("seq is not null")
+    return hit.select(
+        *keys,
+        "seq",
+        known_of(F.lit(r.edit) for r in rules).alias("edit_name"),
+        known_of(F.lit(r.severity) for r in rules).alias("severity"),
+        known_of(F.array(*(F.lit(i) for i in r.items)) for r in rules).alias("item_numbers"),
+        message.alias("message"),
+        F.get(fixes, F.col("seq")).alias("fix"),
+    )
 
 
 def named(records: DataFrame, keys: list[str], rules: list[Rule] | None = None) -> DataFrame:

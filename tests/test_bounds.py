@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.operators import matching, prompts, rules
+from carrel.operators import confidence, matching, prompts, rules
 from carrel.sources import notes, sinks
 from carrel.synthetic import pick, picked
 
@@ -58,3 +58,13 @@ def test_windows_of_hot_and_other_keys_go_one_way(spark):
         found = matching.in_window(docs, tumors, "p", hot)
         assert pairs(found) == wanted
         assert "LeftAnti" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rules_write_messages_for_those_who_ask(spark):
+    """Rules are numbers until they are asked for more; evaluated by a higher-order function, no code was generated for them."""
+    records = spark.range(3).select(F.col("id").alias("rec"), *(F.col("id").cast("string").alias(f"v{i}") for i in rules.referenced_items()))
+    found = rules.violations(records, ["rec"])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "format_string" in plan(found)
+    worst = plan(confidence.worst_severities(found, ["rec"]))
+    assert "format_string" not in worst and "lambda" not in worst
