@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carrel.functions.scalars import manual_text
-from carrel.operators.resolution import small
+from carrel.operators.resolution import SMALL, SMALL_BYTES, small
 
 # Words that are no keywords, and the keywords of blood cancers.
 STOP_WORDS = ["a", "an", "and", "at", "by", "cancer", "carcinoma", "for", "from", "histology", "in", "malignant", "neoplasm", "of", "primary", "schema", "site", "the", "to", "tumor", "tumour", "unknown", "with"]
@@ -57,25 +57,37 @@ def word_hits(words: DataFrame, manuals: DataFrame) -> DataFrame:
     return found.groupBy("word", *MANUAL).agg(F.max("in_head").alias("in_head"), F.max(~F.col("in_head")).alias("in_body"))
 
 
+#: hits of queries' words that one task gathers
+HITS = 1_000_000
+
+
 def scores(queries: DataFrame, manuals: DataFrame, top: int = TOP) -> DataFrame:
     """query_id, category, title, path, score of the manuals that can be among a query's ``top`` (query_id, words).
 
     Those are all that hold one of its words and, of the manuals with a boost that needs no word,
-    the first ``top`` by that boost alone: one that holds a word only moves ahead of them.
+    the first ``top`` by that boost alone: one that holds a word only moves ahead of them. They stand
+    in the index under a word for each kind of query, with no weight. The words' hits are counted
+    first; queries are dealt so that a task gathers about HITS of them, and stay there.
     """
-    words = queries.select("query_id", F.explode("words").alias("word"))
-    hits = word_hits(words, manuals)
-    based = words.join(hits, "word").groupBy("query_id", *MANUAL).agg(F.sum(8 * F.col("in_head").cast("int") + F.col("in_body").cast("int")).alias("base"))
     boost = lambda blood: F.when(F.col("category") == "appendix_c", 6).when((F.col("category") == "hematopoietic") & blood, 10).when(F.col("category").isin("staging", "ssdi_grade"), 3)
-    blood = queries.where(F.size("words") > 0).select("query_id", F.arrays_overlap("words", F.array(*(F.lit(w) for w in BLOOD_WORDS))).alias("blood"))
-    first = [
-        manuals.select(*MANUAL, boost(F.lit(flag)).alias("boost")).where("boost is not null").dropDuplicates(MANUAL).orderBy(F.desc("boost"), category_rank(F.col("category")), F.lower("title"), "title", "path").limit(top).withColumn("blood", F.lit(flag))
-        for flag in (False, True)
-    ]
-    boosted = blood.join(F.broadcast(first[0].unionByName(first[1])), "blood").select("query_id", *MANUAL)  # at most top rows a flag
-    both = based.unionByName(boosted.withColumn("base", F.lit(0).cast("long"))).groupBy("query_id", *MANUAL).agg(F.max("base").alias("base")).join(blood, "query_id")
+    kind = lambda blood: F.concat(F.lit("blood: "), blood.cast("string"))
+    blood = F.arrays_overlap("words", F.array(*(F.lit(w) for w in BLOOD_WORDS)))
+    asked = queries.where(F.size("words") > 0).select("query_id", blood.alias("blood"), F.explode(F.concat("words", F.array(kind(blood)))).alias("word"))
+    words = queries.select(F.explode("words").alias("word"))
+    hits = word_hits(words, manuals).select("word", *MANUAL, (8 * F.col("in_head").cast("int") + F.col("in_body").cast("int")).alias("weight"))
+    for flag in (False, True):
+        first = manuals.select(*MANUAL, boost(F.lit(flag)).alias("boost")).where("boost is not null").dropDuplicates(MANUAL).orderBy(F.desc("boost"), category_rank(F.col("category")), F.lower("title"), "title", "path").limit(top)
+        hits = hits.unionByName(first.select(kind(F.lit(flag)).alias("word"), *MANUAL, F.lit(0).alias("weight")))
+    held = hits.groupBy("word").agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("size"))
+    rows, size, pairs = held.join(asked.groupBy("word").agg(F.count("*").alias("queries")), "word").agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in (F.col("n"), F.col("size"), F.col("n") * F.col("queries")))).first()
+    tasks = max(queries.sparkSession.sparkContext.defaultParallelism, -(-pairs // HITS))
+    if rows <= SMALL and size <= SMALL_BYTES:
+        met = asked.repartition(tasks, "query_id").join(F.broadcast(hits), "word")
+    else:
+        met = asked.join(hits, "word").repartition(tasks, "query_id")
+    based = met.groupBy("query_id", "blood", *MANUAL).agg(F.sum("weight").alias("base"))
     solid = F.when((F.col("category") == "solid_tumor_rules") & (F.col("base") > 0), 2).otherwise(0)
-    return both.select("query_id", *MANUAL, (F.col("base") + F.coalesce(boost(F.col("blood")), F.lit(0)) + solid).cast("int").alias("score")).where("score > 0")
+    return based.select("query_id", *MANUAL, (F.col("base") + F.coalesce(boost(F.col("blood")), F.lit(0)) + solid).cast("int").alias("score")).where("score > 0")
 
 
 def best(scored: DataFrame, top: int = TOP) -> DataFrame:

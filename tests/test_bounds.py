@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from carrel.operators import confidence, matching, prompts, rules
+from carrel.operators import confidence, matching, prompts, retrieval, rules
 from carrel.sources import notes, sinks
 from carrel.synthetic import pick, picked
 
@@ -68,3 +68,33 @@ def test_rules_write_messages_for_those_who_ask(spark):
     assert "format_string" in plan(found)
     worst = plan(confidence.worst_severities(found, ["rec"]))
     assert "format_string" not in worst and "lambda" not in worst
+
+
+def test_queries_are_dealt_by_their_hits(spark, monkeypatch):
+    """Tasks follow the number of hits, and a query's hits are summed and ranked where its words are; both ways to join give what every word in every text gives."""
+    words = ["stage", "lung", "leukemia", "c1", "ung", "none"]
+    texts = ["lung stage", "leukemia ung", "xlungx", "stages c12", ""]
+    kinds = ["appendix_c", "staging", "solid_tumor_rules", "hematopoietic", "other"]
+    manuals = spark.createDataFrame([(kinds[k % 5], f"t{k:02}", "manual", texts[k % 4]) for k in range(40)], "category string, title string, path string, text string")
+    asked = {q: [w for k, w in enumerate(words) if q >> k & 1] for q in range(64)}
+    queries = spark.createDataFrame(list(asked.items()), "query_id int, words array<string>").union(spark.sql("SELECT 99, CAST(NULL AS array<string>)"))
+
+    def score(ws, kind, title, text):
+        base = sum(8 * (w in f"{title} manual {kind}") + (w in text) for w in ws)
+        return base + {"appendix_c": 6, "staging": 3, "hematopoietic": 10 * ("leukemia" in ws), "solid_tumor_rules": 2 * (base > 0)}.get(kind, 0)
+
+    wanted = {}
+    for q, ws in asked.items():
+        ranked = sorted(((-score(ws, *(kind := kinds[k % 5], title := f"t{k:02}", texts[k % 4])), retrieval.CATEGORY_RANKS.get(kind, 9), title) for k in range(40)) if ws else [])
+        wanted[q] = [(t, -s) for s, _, t in ranked[:8] if s < 0]
+    for hits, most in ((10**6, 10**6), (20, 10**6), (20, 0)):
+        monkeypatch.setattr(retrieval, "HITS", hits)
+        monkeypatch.setattr(retrieval, "SMALL", most)
+        best = retrieval.best(retrieval.scores(queries, manuals))
+        found = {q: [] for q in asked}
+        for r in best.orderBy("query_id", "place").collect():
+            found[r["query_id"]].append((r["title"], r["score"]))
+        assert found == wanted
+        plan = best._jdf.queryExecution().executedPlan().toString()
+        assert (best.rdd.getNumPartitions() > 40) == (hits == 20)
+        assert plan.count("hashpartitioning(query_id") == 1
