@@ -826,7 +826,8 @@ def notes_loaded(spark, d):
 def xml_scan(spark, d):
     """Registry XML in several documents, read by the scan: every tumor with the items of its patient."""
     long = _results(spark, d).where(F.col("item").isin(220, 400, 522)).select(F.expr("rec div 10").alias("patient_id"), F.expr("rec % 10").cast("int").alias("tumor_index"), "item", F.col("resolved").alias("value"))
-    ids = long.select("patient_id", "tumor_index").distinct().select("*", F.lit(20).alias("item"), F.col("patient_id").cast("string").alias("value"))
+    keys = rules.spread(read(spark, d, "orders").select(F.col("o_orderkey").alias("rec")), ["rec"]).distinct()
+    ids = keys.select(F.expr("rec div 10").alias("patient_id"), F.expr("rec % 10").cast("int").alias("tumor_index")).select("*", F.lit(20).alias("item"), F.col("patient_id").cast("string").alias("value"))
     items = spark.createDataFrame([(20, "patientIdNumber", "Patient"), (220, "sex", "Patient"), (400, "primarySite", "Tumor"), (522, "histologicTypeIcdO3", "Tumor")], "item int, xml_id string, parent_element string")
     path = sinks.scratch(spark, "registry_xml")
     sinks.write_xml(long.unionByName(ids), items, path, documents=3)

@@ -52,7 +52,8 @@ def read_xml(spark: SparkSession, path: str) -> DataFrame:
     heads = records.select("file", "block", "at", items.alias("items")).where(F.size("items") > 0).groupBy("file").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "items"))), lambda x: x["items"])).alias("items"))
     heads = heads.select("file", _pairs(F.from_xml(F.concat(F.lit("<r>"), F.array_join("items", ""), F.lit("</r>")), f"Item {_ITEM}")["Item"]).alias("top"))
     whole = F.when(F.col("patient").endswith("/>"), F.col("patient")).otherwise(F.concat("patient", F.lit(END)))
-    parsed = found.select("file", "block", F.row_number().over(order).alias("nth"), F.from_xml(whole, _PATIENT).alias("p"))
+    splits = max(records.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)  # as many tasks as read them: text shuffles far smaller than it is
+    parsed = found.repartition(splits, "file", "block").select("file", "block", F.row_number().over(order).alias("nth"), F.from_xml(whole, _PATIENT).alias("p"))
     numbered = parsed.join(blocks, ["file", "block"]).join(heads, "file", "left").select("file", (F.col("before") + F.col("nth") - 1).cast("int").alias("patient_no"), F.coalesce("top", F.create_map().cast("map<string,string>")).alias("top"), "p")
     tumors = numbered.select("file", "patient_no", _over(F.col("top"), _pairs(F.col("p.Item"))).alias("upper"), F.posexplode_outer("p.Tumor").alias("tumor_no", "tumor"))
     return tumors.select("file", "patient_no", F.coalesce("tumor_no", F.lit(0)).alias("tumor_no"), F.when(F.col("tumor").isNull(), F.col("upper")).otherwise(_over(F.col("upper"), _pairs(F.col("tumor.Item")))).alias("values"))

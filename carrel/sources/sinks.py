@@ -43,49 +43,73 @@ def _item(item: Column, xml_id: Column, value: Column, depth: int) -> Column:
     return F.concat(F.lit("  " * depth + '<Item naaccrId="'), xml_id, F.lit('" naaccrNum="'), item.cast("string"), F.lit('">'), safe, F.lit("</Item>"))
 
 
+#: values of one task, and of one document where there may be several: what a task sorts doesn't grow with the table
+XML_VALUES = 500_000
+
+
+def _parts(values: DataFrame) -> int:
+    return max(1, -(-values.count() // XML_VALUES))
+
+
+def _patients(values: DataFrame, items: DataFrame, patient: str, tumor: str, parts: int) -> DataFrame:
+    """patient, xml, top (file items of the first tumor). Values are dealt by patient once, nothing is exchanged after it."""
+    dealt = values.select(patient, tumor, "item", "value").repartition(max(parts, values.sparkSession.sparkContext.defaultParallelism), patient)
+    rows = dealt.join(small(items.select("item", "xml_id", "parent_element")), "item", "left")
+    told = (F.coalesce("value", F.lit("")) != "") & F.col(patient).isNotNull() & F.col(tumor).isNotNull()
+
+    def lines(parent: str, depth: int) -> Column:
+        held = F.collect_list(F.when(told & (F.col("parent_element") == parent), F.struct("item", _item(F.col("item"), F.col("xml_id"), F.col("value"), depth).alias("x"))))
+        return F.nullif(F.array_join(F.transform(F.array_sort(held), lambda s: s["x"]), "\n"), F.lit(""))
+
+    tumors = rows.groupBy(patient, tumor).agg(lines("Tumor", 3).alias("xml"), lines("Patient", 2).alias("own"), lines("NaaccrData", 1).alias("top"))
+    tumor_xml = F.concat(F.lit("    <Tumor>\n"), F.coalesce(F.concat("xml", F.lit("\n")), F.lit("")), F.lit("    </Tumor>"))
+    ordered = tumors.groupBy(patient).agg(F.array_sort(F.collect_list(F.struct(F.col(tumor).alias("t"), tumor_xml.alias("x"), "own", "top"))).alias("tumors"))
+    first = F.get(F.filter("tumors", lambda x: x["t"].isNotNull()), F.lit(0))
+    body = F.concat(F.lit("  <Patient>\n"), F.coalesce(F.concat(first["own"], F.lit("\n")), F.lit("")), F.array_join(F.transform("tumors", lambda x: x["x"]), "\n"), F.lit("\n  </Patient>"))
+    return ordered.select(F.col(patient).alias("patient"), body.alias("xml"), first["top"].alias("top"))
+
+
+def _head(patients: DataFrame) -> DataFrame:
+    """head: what stands ahead of the patients, with the file items of the first one."""
+    opened = F.lit(f'<?xml version="1.0" encoding="UTF-8"?>\n<NaaccrData xmlns="{NAMESPACE}">')
+    return patients.agg(F.min_by("top", "patient").alias("top")).select(F.concat(opened, F.coalesce(F.concat(F.lit("\n"), "top"), F.lit(""))).alias("head"))
+
+
+FOOT = "</NaaccrData>"
+
+
 def xml_lines(values: DataFrame, items: DataFrame, patient: str, tumor: str) -> DataFrame:
     """part, patient, xml: the head (items of the first record), each patient, the foot.
 
     ``values``: patient, tumor, item, value. ``items``: item, xml_id, parent_element. Unknown items
     and blank values go; file and patient items come from the first record they could come from.
     """
-    rows = values.where("coalesce(value, '') <> ''").join(small(items.select("item", "xml_id", "parent_element")), "item")
-    text = lambda depth: _item(F.col("item"), F.col("xml_id"), F.col("value"), depth)
-    joined = lambda rows_, keys: rows_.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item", "x"))), lambda s: s["x"]), "\n").alias("xml"))
-    tumors = values.select(patient, tumor).distinct().join(joined(rows.where("parent_element = 'Tumor'").withColumn("x", text(3)), [patient, tumor]), [patient, tumor], "left")
-    tumor_xml = F.concat(F.lit("    <Tumor>\n"), F.when(F.col("xml").isNotNull(), F.concat("xml", F.lit("\n"))).otherwise(""), F.lit("    </Tumor>"))
-    tumors = tumors.groupBy(patient).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(tumor).alias("t"), tumor_xml.alias("x")))), lambda s: s["x"]), "\n").alias("tumors"))
-    first = values.groupBy(patient).agg(F.min(tumor).alias(tumor))
-    own = joined(rows.where("parent_element = 'Patient'").withColumn("x", text(2)).join(first, [patient, tumor], "left_semi"), [patient])
-    body = tumors.join(own, patient, "left").select(F.lit(1).alias("part"), F.col(patient).alias("patient"), F.concat(F.lit("  <Patient>\n"), F.when(F.col("xml").isNotNull(), F.concat("xml", F.lit("\n"))).otherwise(""), F.col("tumors"), F.lit("\n  </Patient>")).alias("xml"))
-    top = values.agg(F.min(F.struct(patient, tumor)).alias("k")).select(f"k.{patient}", f"k.{tumor}")
-    head = joined(rows.where("parent_element = 'NaaccrData'").withColumn("x", text(1)).join(F.broadcast(top), [patient, tumor], "left_semi").withColumn("one", F.lit(1)), ["one"])
-    spark = values.sparkSession
-    opening = spark.range(1).join(head, F.lit(True), "left").select(F.lit(0).alias("part"), F.lit(None).cast(values.schema[patient].dataType).alias("patient"), F.concat(F.lit(f'<?xml version="1.0" encoding="UTF-8"?>\n<NaaccrData xmlns="{NAMESPACE}">'), F.when(F.col("xml").isNotNull(), F.concat(F.lit("\n"), F.col("xml"))).otherwise("")).alias("xml"))
-    closing = spark.range(1).select(F.lit(2).alias("part"), F.lit(None).cast(values.schema[patient].dataType).alias("patient"), F.lit("</NaaccrData>").alias("xml"))
-    return opening.union(body).union(closing)
+    body = _patients(values, items, patient, tumor, _parts(values))
+    nobody = F.lit(None).cast(values.schema[patient].dataType).alias("patient")
+    opening = _head(body).select(F.lit(0).alias("part"), nobody, F.col("head").alias("xml"))
+    closing = values.sparkSession.range(1).select(F.lit(2).alias("part"), nobody, F.lit(FOOT).alias("xml"))
+    return opening.union(body.select(F.lit(1).alias("part"), "patient", "xml")).union(closing)
 
 
 def write_xml(values: DataFrame, items: DataFrame, path: str, patient: str = "patient_id", tumor: str = "tumor_index", documents: int | None = 1) -> None:
-    """One document in one file, as a submission needs it; or ``documents`` whole ones, patients dealt over them by range.
+    """One document in one file, as a submission needs it; or at least ``documents`` whole ones, patients dealt over them by range.
 
-    Each document has the same head and foot; None leaves their number to the planner. Readers take
-    a folder of them like one file.
+    There are more than ``documents`` where one would get over about XML_VALUES values; None asks for no
+    least number. Each document has the same head and foot. Readers take a folder of them like one file.
     """
-    lines = xml_lines(values, items, patient, tumor)
     if documents == 1:
-        lines.orderBy("part", "patient").select("xml").coalesce(1).write.mode("overwrite").text(path)
+        xml_lines(values, items, patient, tumor).orderBy("part", "patient").select("xml").coalesce(1).write.mode("overwrite").text(path)
         return
-    ends = F.broadcast(lines.where("part <> 1").agg(F.max(F.when(F.col("part") == 0, F.col("xml"))).alias("head"), F.max(F.when(F.col("part") == 2, F.col("xml"))).alias("foot")))
-    body = lines.where("part = 1").select("patient", "xml")
-    dealt = body.repartitionByRange(documents, "patient") if documents else body.repartitionByRange("patient")
+    parts = _parts(values)
+    n = max(parts, documents or 1)
+    dealt = _patients(values, items, patient, tumor, parts).repartitionByRange(n, "patient")
     placed = dealt.sortWithinPartitions("patient").withColumn("file", F.spark_partition_id()).withColumn("row", F.monotonically_increasing_id())
     placed = written_once(placed, f"{path}-patients")
     edges = placed.groupBy("file").agg(F.min("row").alias("first"), F.max("row").alias("last"))
-    whole = placed.join(edges, "file").join(ends).select(
-        "file", "row", F.concat(F.when(F.col("row") == F.col("first"), F.concat("head", F.lit("\n"))).otherwise(""), F.col("xml"), F.when(F.col("row") == F.col("last"), F.concat(F.lit("\n"), "foot")).otherwise("")).alias("xml")
+    whole = placed.join(F.broadcast(edges), "file").join(F.broadcast(_head(placed))).select(
+        "file", "row", F.concat(F.when(F.col("row") == F.col("first"), F.concat("head", F.lit("\n"))).otherwise(""), F.col("xml"), F.when(F.col("row") == F.col("last"), F.lit("\n" + FOOT)).otherwise("")).alias("xml")
     )
-    whole.repartition("file").sortWithinPartitions("file", "row").select("file", "xml").write.mode("overwrite").partitionBy("file").text(path)
+    whole.repartitionById(n, "file").sortWithinPartitions("file", "row").select("file", "xml").write.mode("overwrite").partitionBy("file").text(path)
 
 
 def written_once(df: DataFrame, path: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from carrel.operators import confidence, matching, prompts, retrieval, rules
-from carrel.sources import notes, sinks
+from carrel.sources import notes, registry, sinks
 from carrel.synthetic import pick, picked
 
 
@@ -70,6 +70,31 @@ def test_rules_write_messages_for_those_who_ask(spark):
     assert "format_string" not in worst and "lambda" not in worst
 
 
+def test_xml_documents_have_bounded_values(spark, tmp_path, monkeypatch):
+    """More documents than asked for, not larger ones; a patient's rows meet in one exchange, and a scan deals its patients over as many tasks as read them."""
+    values = spark.createDataFrame([(p, t, i, f"{p}.{t}.{i}" if (p + t) % 3 else " " * (p % 2)) for p in range(60) for t in range(1 + p % 4) for i in (1, 2, 3, 4)], "patient_id int, tumor_index int, item int, value string")
+    values = values.union(spark.sql("SELECT 61, CAST(NULL AS int), 3, 'x' UNION ALL SELECT 62, 0, 9, 'unknown item' UNION ALL SELECT 62, 0, 3, CAST(NULL AS string)"))
+    items = spark.createDataFrame([(1, "head", "NaaccrData"), (2, "own", "Patient"), (3, "a", "Tumor"), (4, "b", "Tumor")], "item int, xml_id string, parent_element string")
+    read = lambda path: sorted(tuple(sorted(r["values"].items())) for r in registry.read_xml(spark, path).collect())
+    sinks.write_xml(values, items, f"{tmp_path}/one")
+    wanted = read(f"{tmp_path}/one")
+    rows = {(p, t): {k: f"{p}.{t}.{i}" for i, k in ((3, "a"), (4, "b")) if (p + t) % 3} | ({"own": f"{p}.0.2"} if p % 3 else {}) for p in range(60) for t in range(1 + p % 4)}
+    blank = {(p, t): {k: " " for k in ("a", "b")} for p, t in rows if p % 2 and (p + t) % 3 == 0}
+    owned = {(p, t): {"own": " "} for p, t in rows if p % 2 and p % 3 == 0}
+    odd = lambda k: rows[k] | blank.get(k, {}) | owned.get(k, {})
+    strip = lambda found: sorted(tuple((k, v.strip()) for k, v in r if k != "head" and v.strip()) for r in found)
+    assert strip(wanted) == strip([tuple(sorted(odd(k).items())) for k in rows] + [(), ()])
+    monkeypatch.setattr(sinks, "XML_VALUES", 50)
+    sinks.write_xml(values, items, f"{tmp_path}/many", documents=2)
+    assert read(f"{tmp_path}/many") == wanted
+    files = list((tmp_path / "many").glob("file=*/*.txt"))
+    assert len(files) > 6 and max(f.read_text().count("<Item") for f in files) < 200
+    assert all(f.read_text().startswith("<?xml") and f.read_text().endswith("</NaaccrData>\n") for f in files)
+    plan = sinks._patients(values, items, "patient_id", "tumor_index", 9)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "REPARTITION_BY_NUM" in registry.read_xml(spark, f"{tmp_path}/many")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_queries_are_dealt_by_their_hits(spark, monkeypatch):
     """Tasks follow the number of hits, and a query's hits are summed and ranked where its words are; both ways to join give what every word in every text gives."""
     words = ["stage", "lung", "leukemia", "c1", "ung", "none"]
