@@ -388,7 +388,7 @@ SELECT r.rec, coalesce('Known so far (change only on better evidence):' || chr(1
     "rule_counts": f"{_VIOLATIONS} SELECT edit_name, severity, count(*) AS n, count(DISTINCT rec) AS records FROM hits GROUP BY 1, 2",
     "auto_fix": f"{_VIOLATIONS}, {_LONG} SELECT rec, extracted, CASE WHEN EXISTS (SELECT 1 FROM hits h WHERE h.rec = l.rec AND h.edit_name LIKE '%Tis_Behavior') THEN '2' ELSE resolved END AS resolved FROM long l WHERE item = 523",
     "confidence_score": f"{_SCORES} SELECT rec, item, coalesce(severity, 0) AS severity, final_confidence FROM scores",
-    "confidence_of_long_results": f"{_SCORES} SELECT rec, item, coalesce(severity, 0) AS severity, final_confidence FROM scores WHERE item % 10 = 0",
+    "confidence_of_long_results": f"{_SCORES} SELECT rec, item, coalesce(severity, 0) AS severity, final_confidence FROM scores",
     "review_queue": f"""{_SCORES}, flagged AS (SELECT *, CASE WHEN {_KEY} AND {_C2} < 0.9 THEN 'CRITICAL' WHEN {_NEED} AND {_C2} < 0.7 THEN 'HIGH' WHEN {_C2} < 0.5 THEN 'LOW' WHEN confidence > 0 AND confidence - {_C2} >= (CAST(0.15 AS DOUBLE) - CAST(0.01 AS DOUBLE)) THEN 'MEDIUM' END AS priority FROM scores)
 SELECT rec, item, priority, CASE priority WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END AS priority_rank, final_confidence FROM flagged WHERE priority IS NOT NULL""",
     "review_queue_violation_mode": f"{_SCORES} SELECT rec, item, priority FROM (SELECT rec, item, CASE WHEN {_KEY} AND {_C2} < 0.9 THEN 'CRITICAL' WHEN {_NEED} AND {_C2} < 0.7 THEN 'HIGH' WHEN severity IS NOT NULL THEN 'MEDIUM' WHEN {_C2} < 0.5 THEN 'LOW' END AS priority FROM scores) WHERE priority IS NOT NULL",

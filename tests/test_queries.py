@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 from carrel import catalog
+from carrel.synthetic import VALUES
 
 ROOT = Path(__file__).resolve().parents[1]
 QUICK = [
@@ -53,6 +54,15 @@ def test_query_equals_its_sql(spark, small, name):
     assert ours == sorted(repr([show(r[theirs.index(c)]) for c in columns]) for r in result.fetchall())
 
 
+def test_long_results_have_every_item(spark, small):
+    """Each order has a row for each of its items, the same by both ways to the scores."""
+    folder, _ = small
+    rows = lambda name: sorted(map(tuple, catalog.QUERIES[name](spark, folder).collect()))
+    found = rows("confidence_of_long_results")
+    assert [r[:2] for r in found] == [(rec, item) for rec in range(400) for item in sorted(VALUES)]
+    assert found == rows("confidence_score")
+
+
 def test_every_sql_has_its_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
 
