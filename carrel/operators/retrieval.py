@@ -13,7 +13,6 @@ STOP_WORDS = ["a", "an", "and", "at", "by", "cancer", "carcinoma", "for", "from"
 BLOOD_WORDS = ["hematopoietic", "heme", "leukemia", "lymphoid", "lymphoma", "myeloma"]
 # Order of manual categories.
 CATEGORY_RANKS = {"appendix_c": 0, "solid_tumor_rules": 1, "hematopoietic": 1, "staging": 2, "ssdi_grade": 3, "seer_coding_manual": 4}
-SEARCHED_CHARS = 400_000
 TOP = 8
 
 
@@ -34,26 +33,36 @@ def category_rank(category: Column) -> Column:
 MANUAL = ["category", "title", "path"]
 
 
-def _tokens(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)))
+#: characters of a text whose tokens one row gathers; letters of a token whose parts one row gathers, and of a part at most
+PIECE, RUN, KEY = 400_000, 256, 64
+
+
+def _windows(text: Column, size: int, most: Column) -> Column:
+    """Parts of a text that begin every ``size`` characters; what has up to ``most`` characters is whole in the one it begins in."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(size)), lambda at: F.substring(text, at, F.lit(size) + most - 1))
 
 
 def word_hits(words: DataFrame, manuals: DataFrame) -> DataFrame:
     """word and manual, with in_head and in_body, wherever a manual's text holds the word, also within longer ones.
 
     Both sides are lower-case runs of letters and digits, so a word is in a text exactly if it is
-    in one of the text's tokens. Distinct tokens give their parts as long as some word, parts meet
-    the distinct words in an equi-join, and the tokens that hold a word lead back to the manuals.
+    in one of the text's tokens. Whole texts are read in pieces that overlap by the longest word.
+    Distinct tokens give their parts as long as some word (of longer words the first KEY letters
+    count), parts meet the distinct words in an equi-join, and the hashes of tokens lead back to
+    the manuals, where the token itself is asked for the word.
     """
     distinct = words.select("word").distinct()
-    head, body = F.concat_ws(" ", "title", "path", "category"), F.substring("text", 1, SEARCHED_CHARS)
-    held = manuals.select(*MANUAL, _tokens(head).alias("head"), _tokens(body).alias("body"))
-    index = held.select(*MANUAL, F.explode("head").alias("token"), F.lit(True).alias("in_head")).unionByName(held.select(*MANUAL, F.explode("body").alias("token"), F.lit(False).alias("in_head")))
-    lengths = F.array_sort(F.collect_set(F.length("word")))
-    vocabulary = index.select("token").distinct().join(F.broadcast(distinct.agg(lengths.alias("lengths"))))
-    cut = F.flatten(F.transform(F.filter("lengths", lambda n: n <= F.length("token")), lambda n: F.transform(F.sequence(F.lit(1), F.length("token") - n + 1), lambda at: F.substring(F.col("token"), at, n))))
-    parts = vocabulary.select("token", F.explode(F.array_distinct(cut)).alias("word"))
-    found = parts.join(distinct, "word").join(index, "token")
+    lengths = F.broadcast(distinct.agg(F.array_sort(F.collect_set(F.length("word"))).alias("lengths")))
+    head = F.concat_ws(" ", "title", "path", "category")
+    sides = F.array(*(F.struct(F.lit(side).alias("in_head"), F.lower(x).alias("held")) for side, x in ((True, head), (False, F.col("text")))))
+    pieces = manuals.select(*MANUAL, F.inline(sides)).join(lengths).select(*MANUAL, "in_head", F.explode(_windows(F.col("held"), PIECE, F.array_max("lengths"))).alias("piece"))
+    index = pieces.select(*MANUAL, "in_head", F.explode(F.array_distinct(F.regexp_extract_all("piece", F.lit("[a-z0-9]+"), F.lit(0)))).alias("token"))
+    short = F.array_distinct(F.transform("lengths", lambda n: F.least(n, F.lit(KEY))))
+    runs = index.select("token").distinct().join(lengths).select(F.xxhash64("token").alias("id"), short.alias("lengths"), F.explode(_windows(F.col("token"), RUN, F.lit(KEY))).alias("run"))
+    cut = F.flatten(F.transform(F.filter("lengths", lambda n: n <= F.length("run")), lambda n: F.transform(F.sequence(F.lit(1), F.length("run") - n + 1), lambda at: F.substring(F.col("run"), at, n))))
+    parts = runs.select("id", F.explode(F.array_distinct(cut)).alias("key"))
+    met = parts.join(distinct.withColumn("key", F.substring("word", 1, KEY)), "key").select("id", "word")
+    found = met.join(index.withColumn("id", F.xxhash64("token")), "id").where(F.contains("token", "word"))
     return found.groupBy("word", *MANUAL).agg(F.max("in_head").alias("in_head"), F.max(~F.col("in_head")).alias("in_body"))
 
 

@@ -1,5 +1,7 @@
 """Steps whose tasks stay bounded as tables grow."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from carrel.operators import confidence, matching, prompts, retrieval, rules
@@ -123,3 +125,17 @@ def test_queries_are_dealt_by_their_hits(spark, monkeypatch):
         plan = best._jdf.queryExecution().executedPlan().toString()
         assert (best.rdd.getNumPartitions() > 40) == (hits == 20)
         assert plan.count("hashpartitioning(query_id") == 1
+
+
+def test_words_are_found_across_pieces(spark, monkeypatch):
+    """Texts and tokens are cut into overlapping parts; what they hold is what the whole text holds."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("aab1 -É", k=n)) for n in (0, 1, 6, 7, 8, 40, 41, 90, 200) for _ in range(3)] + [None]
+    words = sorted({"".join(rng.choices("aab1", k=n)) for n in (1, 2, 3, 4, 5, 9) for _ in range(12)})
+    manuals = spark.createDataFrame([("b-aab", f"t{k:02}", "1", x) for k, x in enumerate(texts)], "category string, title string, path string, text string")
+    wanted = {(w, f"t{k:02}", head, body) for k, x in enumerate(texts) for w in words if (head := w in f"t{k:02} 1 b-aab") | (body := w in (x or "").lower())}
+    for piece, run, key in ((7, 5, 3), (1, 1, 1), (400_000, 256, 64)):
+        for name, value in (("PIECE", piece), ("RUN", run), ("KEY", key)):
+            monkeypatch.setattr(retrieval, name, value)
+        found = retrieval.word_hits(spark.createDataFrame([(w,) for w in words], "word string"), manuals)
+        assert {(r["word"], r["title"], r["in_head"], r["in_body"]) for r in found.collect()} == wanted

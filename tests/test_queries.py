@@ -63,6 +63,21 @@ def test_long_results_have_every_item(spark, small):
     assert found == rows("confidence_score")
 
 
+def test_manuals_are_searched_to_their_ends(spark, tmp_path):
+    """Words behind the first 400,000 characters count, also across that place and within a very long run of letters."""
+    run = "".join(random.Random(2).choices("abcdefghij", k=60_000))
+    texts = ["filler " * 60_000 + "swordfish", "x " * 199_998 + "lymphnode", "none", run + "lastword", "", "swordfish"]
+    asked = ["swordfish lastword", "lymphnode " + run[30_000:30_070], "word", "the of"]
+    spark.createDataFrame(list(enumerate(texts)), "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(k, 0, "user", x) for k, x in enumerate(asked)], "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    for name in ("benchmark", "conversations"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    columns = "query_id", "title", "score", "place"
+    found = catalog.QUERIES["keyword_score_topk"](spark, str(tmp_path)).select(*columns)
+    assert sorted(map(tuple, found.collect())) == sorted(con.execute(f"SELECT {', '.join(columns)} FROM ({catalog.ORACLES['keyword_score_topk']})").fetchall())
+
+
 def test_every_sql_has_its_query():
     assert set(catalog.ORACLES) <= set(catalog.QUERIES)
 
